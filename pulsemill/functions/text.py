@@ -86,11 +86,16 @@ def _from_exponent_text(raw: Column, value: Column) -> Column:
 
 
 def _shorten(p: Column) -> Column:
-    """Older JVMs may write a digit too many: keep 16 digits where they name the same number."""
-    short = F.round(p["mantissa"].try_cast("decimal(20,17)"), 15).cast("string")
-    same = F.concat(short, F.lit("E"), p["exponent"].cast("string")).try_cast("double") == p["size"]
-    spare = (F.length(p["mantissa"]) > 17) & same & (F.length(short) == 17)
-    return F.struct(F.when(spare, short).otherwise(p["mantissa"]).alias("mantissa"), p["exponent"].alias("exponent"))
+    """Older JVMs may write more digits than needed: take 15 or 16 where they name the same number."""
+    exact, exponent = p["mantissa"], p["exponent"]
+
+    def shorter(digits: int) -> tuple[Column, Column]:
+        text = F.round(exact.try_cast("decimal(20,17)"), digits - 1).cast("string")
+        same = F.concat(text, F.lit("E"), exponent.cast("string")).try_cast("double") == p["size"]
+        return (F.length(exact) > digits + 1) & same & (F.length(text) == digits + 1), text
+
+    choice = F.when(*shorter(15)).when(*shorter(16)).otherwise(exact)
+    return F.struct(choice.alias("mantissa"), exponent.alias("exponent"))
 
 
 def _move_point(p: Column) -> Column:

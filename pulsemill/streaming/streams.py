@@ -55,6 +55,16 @@ def run_batches(
         **(trigger or AVAILABLE_NOW)).start().awaitTermination()
 
 
+def run_complete(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
+    """Run a ``complete`` stream; every batch stores the whole result, and the newest is returned."""
+    spark = stream.sparkSession
+    run_batches(stream, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}"),
+                checkpoint, "complete", trigger)
+    stored = spark.read.schema(stream.schema.add("batch", "integer")).parquet(path)
+    newest = stored.agg(F.max("batch")).first()[0]
+    return stored.filter(F.col("batch") == newest).drop("batch")
+
+
 def _window(stream: DataFrame, width: str, delay: str) -> tuple[DataFrame, Column]:
     return stream.withWatermark(TIME, delay), F.window(TIME, width).alias("_window")
 
