@@ -7,22 +7,24 @@ from pyspark.sql import functions as F
 
 from pulsemill.model import DELTA_PREFIX, DELTA_PREFIX_ALT, UNKNOWN_SOURCE
 
-# The Unicode white space code points, as the inside of a character class.
-SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-# Everything a name may not contain, and the marks a name may start with.
+# The Unicode white space code points.
+SPACES = (
+    "\t\n\v\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# What a name may not contain, and the marks it may start with.
 ILLEGAL = r"[^,\-.0-9A-Za-z_]"
-NAME_MARK = f"^([{DELTA_PREFIX}{DELTA_PREFIX_ALT}]~?|~)?"
 BEYOND_BMP = r"[\x{10000}-\x{10FFFF}]"
+TILDE = "~"
 
 
 def blank(text: Column) -> Column:
     """True for null, empty and all-white-space text."""
-    return text.isNull() | ~text.rlike(f"[^{SPACE}]")
+    return text.isNull() | (F.ltrim(text, F.lit(SPACES)) == "")
 
 
 def trim_space(text: Column) -> Column:
-    """Trim every kind of Unicode white space (``F.trim`` only strips blanks)."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    """Trim every kind of Unicode white space (the default trim only strips blanks)."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def sanitize_name(name: Column) -> Column:
@@ -30,10 +32,13 @@ def sanitize_name(name: Column) -> Column:
 
     A leading delta sign, tilde, or delta sign plus tilde is kept.
     """
-    mark = F.regexp_extract(name, NAME_MARK, 0)
-    rest = F.substr(name, F.length(mark) + 1)
-    legal = F.regexp_replace(F.regexp_replace(rest, BEYOND_BMP, "--"), ILLEGAL, "-")
-    return F.concat(F.lit('"'), mark, legal, F.lit('"'))
+    delta_tilde = name.startswith(DELTA_PREFIX + TILDE) | name.startswith(DELTA_PREFIX_ALT + TILDE)
+    one_mark = name.startswith(TILDE) | name.startswith(DELTA_PREFIX) | name.startswith(DELTA_PREFIX_ALT)
+    marks = F.when(delta_tilde, 2).when(one_mark, 1).otherwise(0)
+    # Only text with multi-byte characters can hold a character of two UTF-16 units.
+    units = F.when(F.octet_length(name) == F.length(name), name).otherwise(F.regexp_replace(name, BEYOND_BMP, "--"))
+    legal = F.regexp_replace(F.substr(units, marks + 1), ILLEGAL, "-")
+    return F.concat(F.lit('"'), F.substr(name, F.lit(1), marks), legal, F.lit('"'))
 
 
 def sanitize_tag_value(value: Column) -> Column:
@@ -60,14 +65,15 @@ def with_default_source(source: Column, default: str = UNKNOWN_SOURCE) -> Column
 def number_text(value: Column) -> Column:
     """Invariant, shortest number text: no trailing ``.0``; plain digits for 1e-4 <= |x| < 1e15, else ``dE+dd``.
 
-    Most numbers only lose a ``.0``. For those the JVM writes with an exponent the decimal point is moved in the text,
-    so no digit is rounded.
+    Whole numbers go through an integer. Where the JVM writes an exponent, the decimal point is moved in its text, so no
+    digit is rounded.
     """
     raw = value.cast("string")
+    whole = (F.rint(value) == value) & (F.abs(value) < 1e15)
     return (
-        F.when(value == 0, F.lit("0"))
+        F.when(whole, value.cast("bigint").cast("string"))
         .when(raw.contains("E"), _from_exponent_text(raw, value))
-        .otherwise(F.regexp_replace(raw, r"\.0\z", ""))
+        .otherwise(raw)
     )
 
 

@@ -19,7 +19,7 @@ def not_finite(value: Column) -> Column:
 
 
 def _has_break(text: Column) -> Column:
-    return F.coalesce(text.rlike("[\r\n]"), F.lit(False))
+    return F.coalesce(text.contains("\n") | text.contains("\r"), F.lit(False))
 
 
 def _name_reason(name: Column) -> Column:
@@ -27,14 +27,17 @@ def _name_reason(name: Column) -> Column:
 
 
 def _tag_reason(reason: Column, pairs: Column, source: Column) -> Column:
-    """Continue a ``when`` chain: the first bad pair of the list decides between key and value."""
-    bad = F.try_element_at(F.filter(pairs, lambda e: blank(e["key"]) | blank(e["value"])), F.lit(1))
-    return (
-        reason
-        .when(bad.isNotNull() & blank(bad["key"]), "blank_tag_key")
-        .when(bad.isNotNull(), "blank_tag_value")
-        .when(_has_break(source) | F.coalesce(F.exists(pairs, lambda e: _has_break(e["value"])), F.lit(False)), "newline")
-    )
+    """Continue a ``when`` chain: the first bad pair of the list decides between key and value.
+
+    Good rows pay for one pass over the pairs; the details are only looked at behind it.
+    """
+    def bad_pair(e: Column) -> Column:
+        return blank(e["key"]) | blank(e["value"])
+
+    suspect = F.exists(pairs, lambda e: bad_pair(e) | _has_break(e["value"]))
+    bad = F.try_element_at(F.filter(pairs, bad_pair), F.lit(1))
+    detail = F.when(bad.isNull(), "newline").when(blank(bad["key"]), "blank_tag_key").otherwise("blank_tag_value")
+    return reason.when(suspect, detail).when(_has_break(source), "newline")
 
 
 def _sorted_pairs(tags: Column) -> Column:

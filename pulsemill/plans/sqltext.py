@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pulsemill.functions.text import BEYOND_BMP, ILLEGAL, NAME_MARK, SPACE
+from pulsemill.functions.text import BEYOND_BMP, ILLEGAL
+
+# The white space code points as the inside of a character class, and the marks a name may start with.
+SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+NAME_MARK = "^([∆Δ]~?|~)?"
 
 
 def blank(x: str) -> str:

@@ -20,19 +20,18 @@ def ms(column: str) -> str:
 
 
 def uuid_text(text: str) -> str:
-    """SQL (both engines): md5 of ``text`` in the 8-4-4-4-12 form."""
-    h = f"md5({text})"
-    return "concat_ws('-', " + ", ".join(
-        f"substring({h}, {start}, {length})" for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
+    """SQL: md5 of ``text`` in the 8-4-4-4-12 form. ``{ref}`` stands for the engine's mark of a group reference."""
+    groups = "-".join(f"{{ref}}{i}" for i in range(1, 6))
+    return f"regexp_replace(md5({text}), '^(........)(....)(....)(....)(............)$', '{groups}')"
 
 
 def cat(*parts: str) -> str:
     """SQL text concatenation that reads the same in both engines."""
-    return " || ".join(p if p.startswith("'") else f"CAST({p} AS {{text}})" for p in parts)
+    return " || ".join(p if p.startswith("'") else f"CAST({p} AS STRING)" for p in parts)
 
 
 def _s(sql: str) -> str:
-    return sql.replace("{text}", "STRING")
+    return sql.replace("{ref}", "$")
 
 
 LINE_ID = cat("'l'", "l_orderkey", "'-'", "l_partkey", "'-'", "l_suppkey", "'-'", "l_linenumber")
@@ -146,9 +145,9 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
     """Every order line logs its status; a line with a discount logs a second entry. Some name unknown spans."""
-    span = f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END"
+    span = _s(f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END")
     base = table(spark, folder, "lineitem").selectExpr(
-        f"{_s(TRACE_OF_LINE)} AS trace_id", f"{_s(span)} AS span_id", f"{ms('l_shipdate')} * 1000 AS ts_us", "l_linenumber",
+        f"{_s(TRACE_OF_LINE)} AS trace_id", f"{span} AS span_id", f"{ms('l_shipdate')} * 1000 AS ts_us", "l_linenumber",
         "l_returnflag", "l_linestatus", "l_discount", "l_extendedprice")
     status = base.selectExpr("trace_id", "span_id", "ts_us + l_linenumber AS ts_us",
                              "map('event', concat('status \"', l_linestatus, '\"'), 'flag', concat(l_returnflag, '\n')) AS fields")
@@ -213,7 +212,7 @@ def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
 
 # The same views for the comparison engine. Maps become one column per key (tag_<key>), arrays stay arrays.
 def _d(sql: str) -> str:
-    return sql.replace("{text}", "VARCHAR")
+    return sql.replace("{ref}", "\\")
 
 
 SQL_VIEWS = {
