@@ -19,6 +19,12 @@ def canonical_tags(tags: Column, pair: str = PAIR_MARK, entry: str = ENTRY_MARK)
     )
 
 
+def from_canonical(canonical: Column) -> Column:
+    """The tag map of a canonical string. Grouping by the string keeps maps out of aggregation buffers."""
+    tags = F.str_to_map(canonical, F.lit(ENTRY_MARK), F.lit(PAIR_MARK))
+    return F.when(canonical == "", empty_tags()).otherwise(tags)
+
+
 def tags_text(tags: Column) -> Column:
     """Tags as ``k=v,k=v`` in key order, for reports."""
     return canonical_tags(tags, "=", ",")

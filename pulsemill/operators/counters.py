@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemill.functions.tags import app_point_tags, canonical_tags, empty_tags, first_wins
+from pulsemill.functions.tags import app_point_tags, canonical_tags, empty_tags, first_wins, from_canonical
 from pulsemill.functions.text import delta_name
 from pulsemill.functions.time import bin_start
 from pulsemill.model import HEARTBEAT_INTERVAL_S, HEARTBEAT_NAME, REPORT_INTERVAL_S
-from pulsemill.operators.ranges import previous_value
+from pulsemill.operators.ranges import previous_value, salted_join
 from pulsemill.operators.validate import positive_deltas
 
 
@@ -31,12 +31,13 @@ def signed_count(op: str = "op", n: str = "n") -> Column:
 def counter_totals(ops: DataFrame, ts: str = "ts_ms", tie: str = "id") -> DataFrame:
     """Value of each counter: signed counts after its last clear.
 
-    Two aggregations without any ordering of the rows: the last clear per name, then the sum behind it.
+    Two aggregations without any ordering of the rows: the last clear per name, then the sum behind it. A hot counter
+    is joined in many tasks, and each makes its partial sum before the names are shuffled.
     """
     when = F.struct(ts, tie)
     clears = ops.filter(F.col("op") == "clear").groupBy("name").agg(F.max(when).alias("_cleared"))
     live = F.col("_cleared").isNull() | (when > F.col("_cleared"))
-    return ops.join(clears, "name", "left").groupBy("name").agg(
+    return salted_join(ops, clears, ["name"], [tie], "left").groupBy("name").agg(
         F.coalesce(F.sum(F.when(live, signed_count())), F.lit(0)).cast("bigint").alias("total"))
 
 
@@ -120,6 +121,6 @@ def heartbeats(beats: DataFrame, interval_s: int = HEARTBEAT_INTERVAL_S) -> Data
         kinds.append(beats.filter(F.col("reported_tags").isNotNull()).select(
             window, F.lit("custom").alias("kind"), F.col("reported_tags").alias("tags")))
     rows = kinds[0] if len(kinds) == 1 else kinds[0].unionByName(kinds[1])
-    return rows.groupBy("window_ms", "kind", canonical_tags(F.col("tags")).alias("canonical")).agg(
-        F.any_value("tags").alias("tags")).select(
-        F.lit(HEARTBEAT_NAME).alias("name"), F.lit(1.0).alias("value"), "window_ms", "kind", "tags")
+    sets = rows.select("window_ms", "kind", canonical_tags(F.col("tags")).alias("canonical")).distinct()
+    return sets.select(
+        F.lit(HEARTBEAT_NAME).alias("name"), F.lit(1.0).alias("value"), "window_ms", "kind", from_canonical(F.col("canonical")).alias("tags"))

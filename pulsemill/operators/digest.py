@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemill.model import ACCURACY, MAX_CENTROIDS
-from pulsemill.operators.ranges import has_hot_group, running_sum
+from pulsemill.operators.ranges import running_sum
 
 DIGEST = ["mean", "weight", "lo", "hi"]
 
@@ -38,30 +38,10 @@ def compress_digest(
 
     ``split`` spreads a key over many tasks (see ``ranges``); by default it is decided by group size.
     """
-    split = has_hot_group(digest, keys) if split is None else split
-    if split:
-        sizes = digest.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), F.sum("weight").alias("_n"))
-        summed = running_sum(digest, keys, [F.col("mean")], F.col("weight"), "_cum", split=True)
-        ranked = summed.join(sizes.withColumnsRenamed({k: f"_s_{k}" for k in keys}),
-                             _same(keys), "left").drop(*[f"_s_{k}" for k in keys])
-    else:
-        ordered = Window.partitionBy(*keys).orderBy("mean")
-        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ranked = digest.withColumns({
-            "_cum": F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "_size": F.count(F.lit(1)).over(whole),
-            "_n": F.sum("weight").over(whole),
-        })
+    ranked = running_sum(digest, keys, [F.col("mean")], F.col("weight"), "_cum", split, total="_n", size="_size")
     return _cluster(ranked, keys, max_centroids, accuracy)
 
 
-def _same(keys: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return match
-
-
 def _cluster(ranked: DataFrame, keys: Sequence[str], max_centroids: int, accuracy: float) -> DataFrame:
     q = (F.col("_cum") - F.col("weight") / 2) / F.col("_n")
     step = F.floor(F.lit(1.0 / (4.0 * accuracy)) * F.log(q / (1 - q)))
@@ -77,7 +57,10 @@ def _cluster(ranked: DataFrame, keys: Sequence[str], max_centroids: int, accurac
 
 
 def merge_digests(parts: DataFrame, keys: Sequence[str], split: bool | None = None) -> DataFrame:
-    """Partial digests (one per writer) to one digest per key."""
+    """Partial digests (one per writer) to one digest per key.
+
+    A digest has a few hundred rows, so ``split=False`` is right for up to some thousand writers per key.
+    """
     return compress_digest(as_digest(parts.select(*keys, *DIGEST), keys), keys, split)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.functions.tags import app_point_tags, canonical_tags, empty_tags, first_wins
+from pulsemill.functions.tags import app_point_tags, canonical_tags, empty_tags, first_wins, from_canonical
 
 
 def enrich_points(points: DataFrame, apps: DataFrame, key: str = "app_id") -> DataFrame:
@@ -26,5 +26,5 @@ def enrich_points(points: DataFrame, apps: DataFrame, key: str = "app_id") -> Da
 
 def distinct_tag_sets(df: DataFrame, tags: str = "tags") -> DataFrame:
     """One row per tag content with its number of rows; entry order never matters."""
-    return df.groupBy(canonical_tags(F.col(tags)).alias("canonical")).agg(
-        F.any_value(tags).alias(tags), F.count(F.lit(1)).alias("n_rows"))
+    sets = df.groupBy(canonical_tags(F.col(tags)).alias("canonical")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return sets.withColumn(tags, from_canonical(F.col("canonical")))

@@ -11,8 +11,9 @@ from pulsemill.functions.text import number_text
 from pulsemill.functions.time import bin_start
 from pulsemill.model import GRANULARITY_MS, RETAINED_BINS
 from pulsemill.operators.digest import as_digest, compress_digest, merge_digests
-from pulsemill.operators.ranges import has_hot_group, row_rank
+from pulsemill.operators.ranges import has_hot_group, row_rank, salted_join, shuffle_partitions
 from pulsemill.operators.validate import not_finite
+from pulsemill.session import materialise
 
 MINUTE_KEY = ["series", "minute_ms"]
 REPEAT_BLOCK = 10_000
@@ -23,7 +24,8 @@ def histogram_bins(
 ) -> DataFrame:
     """Raw values to digest rows per (series, minute), or per series when ``bin_ms`` is None.
 
-    Values are counted per distinct value first, which combines map-side; only distinct values are shuffled.
+    Values are counted per distinct value first, which combines map-side; only distinct values are shuffled. Whether a
+    bin is hot is asked of the raw rows, which are at least as many as its distinct values.
     Values that are not finite are left out.
     """
     finite = samples.filter(~not_finite(F.col(value)))
@@ -41,12 +43,15 @@ def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), spl
     return compress_digest(as_digest(weights, keys), keys, split)
 
 
-def histogram_rollup(minute_bins: DataFrame, split: bool | None = None) -> DataFrame:
-    """Minute digests to minute, hour and day digests in one pass over the (small) minute digests."""
+def histogram_rollup(minute_bins: DataFrame) -> DataFrame:
+    """Minute digests to minute, hour and day digests in one pass over the (small) minute digests.
+
+    A day merges at most 1440 digests of a few hundred rows, which bounds every group.
+    """
     spread = minute_bins.withColumn("granularity", F.explode(F.array(*[F.lit(g) for g in GRANULARITY_MS])))
     width = F.create_map(*[F.lit(x) for g, ms in GRANULARITY_MS.items() for x in (g, ms)])[F.col("granularity")]
     starts = spread.withColumn("start_ms", bin_start(F.col("minute_ms"), width.cast("bigint")))
-    return merge_digests(starts, ["series", "granularity", "start_ms"], split)
+    return merge_digests(starts, ["series", "granularity", "start_ms"], split=False)
 
 
 def histogram_stats(digest: DataFrame, keys: Sequence[str], all_keys: DataFrame | None = None) -> DataFrame:
@@ -87,7 +92,8 @@ def histogram_values(digest: DataFrame, keys: Sequence[str]) -> DataFrame:
         return cut.withColumn("_left", F.least(F.col("_left") - F.col(name) * size, size))
 
     rows = digest.filter(F.col("weight") > 0).select(*keys, F.col("mean").alias("value"), F.col("weight").alias("_left"))
-    coarse = blocks(rows, "_task", per_task)
+    # A fixed number of partitions: what is shuffled is tiny, what comes out of it is not.
+    coarse = blocks(rows, "_task", per_task).repartition(shuffle_partitions(digest), *keys, "value", "_task")
     fine = blocks(coarse, "_block", per_row)
     return fine.select(*keys, F.explode(F.array_repeat("value", F.col("_left").cast("int"))).alias("value"))
 
@@ -103,7 +109,8 @@ def retain_recent_bins(bins: DataFrame, keep: int = RETAINED_BINS) -> DataFrame:
         minutes.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= keep)
         .groupBy("series").agg(F.min("minute_ms").alias("_from"))
     )
-    return bins.join(cutoffs, "series").filter(F.col("minute_ms") >= F.col("_from")).drop("_from")
+    joined = salted_join(bins, cutoffs, ["series"], ["minute_ms", "mean"])
+    return joined.filter(F.col("minute_ms") >= F.col("_from")).select(*bins.columns)
 
 
 def closed_bins(bins: DataFrame, now_ms: int) -> DataFrame:
@@ -113,7 +120,10 @@ def closed_bins(bins: DataFrame, now_ms: int) -> DataFrame:
 
 def flush_order(bins: DataFrame, now_ms: int, split: bool | None = None) -> DataFrame:
     """Closed bins with their place in the flush, per series: newest bin first, centroids ascending."""
-    return row_rank(closed_bins(bins, now_ms), ["series"], [F.col("minute_ms").desc(), F.col("mean")], "pos", split)
+    closed = closed_bins(bins, now_ms)
+    if split is None:
+        closed = materialise(closed, "flush")
+    return row_rank(closed, ["series"], [F.col("minute_ms").desc(), F.col("mean")], "pos", split)
 
 
 def serialize_bins(bins: DataFrame, period_ms: int = GRANULARITY_MS["!D"]) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Ordered calculations per key that no single key can overload.
+"""Ordered calculations and joins per key that no single key can overload.
 
-A window partitioned by a hot key would sort that key's rows in one task. Each helper first asks whether any
-key is that large (one aggregate over the key columns, combined map-side). If none is, the plain window is
-used: one shuffle, one sort. If one is, the rows are range-partitioned by key *and* order, so a hot key spreads
-over many partitions, and small per-partition totals carry the state across the seams. Both ways give the same
-rows; ``split`` forces one of them.
+A window partitioned by a hot key would sort that key's rows in one task. Each ordered helper first asks whether
+any key is that large (one pass over the key columns whose shuffle is a few numbers per task). If none is, the plain
+window is used: one shuffle, one sort. If one is, the rows are range-partitioned by key *and* order, so a hot key
+spreads over many partitions, and small per-partition totals carry the state across the seams. Both ways give the
+same rows; ``split`` forces one of them and saves the question.
 """
 
 from __future__ import annotations
@@ -17,12 +17,30 @@ from pyspark.sql import functions as F
 from pulsemill.session import materialise
 
 HOT_ROWS = 2_000_000
+SALTS = 64
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether any group of ``keys`` holds more than ``hot_rows`` rows."""
+    """False only if no group of ``keys`` is larger than ``hot_rows`` or, on large data, a task's fair share of rows.
+
+    Rows are counted per hash bucket of the keys, four buckets to a task. A bucket is at least as large as each of its
+    groups, so this finds every hot group without shuffling the keys themselves.
+    """
+    tasks = shuffle_partitions(df)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * tasks)).alias("_bucket")
+    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
+    row = sizes.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
+    return (row["largest"] or 0) > max(hot_rows, (row["total"] or 0) // tasks)
+
+
+def has_group_over(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether any group of ``keys`` has more than ``limit`` rows, exactly."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return not sizes.filter(F.col("_rows") > hot_rows).isEmpty()
+    return not sizes.filter(F.col("_rows") > limit).isEmpty()
 
 
 def _decide(df: DataFrame, keys: Sequence[str], split: bool | None, hot_rows: int) -> bool:
@@ -53,20 +71,35 @@ def running_sum(
     out: str,
     split: bool | None = None,
     hot_rows: int = HOT_ROWS,
+    total: str | None = None,
+    size: str | None = None,
 ) -> DataFrame:
-    """Inclusive running sum of a non-null ``amount`` per key. ``order`` must be unique within a key."""
+    """Inclusive running sum of a non-null ``amount`` per key. ``order`` must be unique within a key.
+
+    ``total`` and ``size`` name optional columns for the key's whole sum and number of rows.
+    """
     upto = (Window.unboundedPreceding, Window.currentRow)
+    extra = [c for c in (total, size) if c]
     if not _decide(df, keys, split, hot_rows):
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
-        return df.withColumn(out, F.sum(amount).over(window))
+        ordered = Window.partitionBy(*keys).orderBy(*order)
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        columns = {out: F.sum(amount).over(ordered.rowsBetween(*upto))}
+        if total:
+            columns[total] = F.sum(amount).over(whole)
+        if size:
+            columns[size] = F.count(F.lit(1)).over(whole)
+        return df.withColumns(columns)
 
     parts = _range_parts(df.withColumn("_amount", amount), keys, order)
-    totals = parts.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_part", F.sum("_total").over(earlier).alias("_carried"))
+    sums = parts.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
+    key = Window.partitionBy(*keys)
+    earlier = key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        *keys, "_part", F.sum("_sum").over(earlier).alias("_carried"),
+        *([F.sum("_sum").over(key).alias(total)] if total else []), *([F.sum("_rows").over(key).alias(size)] if size else []))
     within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*upto)
     summed = _join_parts(parts.withColumn(out, F.sum("_amount").over(within)), carried, keys)
-    return summed.withColumn(out, F.col(out) + F.coalesce(F.col("_carried"), F.lit(0))).select(*df.columns, out)
+    return summed.withColumn(out, F.col(out) + F.coalesce(F.col("_carried"), F.lit(0))).select(*df.columns, out, *extra)
 
 
 def row_rank(
@@ -120,3 +153,14 @@ def first_rows(
         .withColumn("_rank", F.row_number().over(final)).filter(F.col("_rank") <= n)
         .select(*df.columns)
     )
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_by: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """Join many ``left`` rows with few ``right`` rows (an aggregate with one row per key), safe for hot keys.
+
+    ``right`` is repeated once per salt, so a hot key of ``left`` meets it in ``salts`` tasks. When ``right`` is small
+    enough at run time the join is a broadcast and nothing is skewed at all.
+    """
+    numbers = F.array(*[F.lit(i).cast("bigint") for i in range(salts)])
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
+    return salted.join(right.withColumn("_salt", F.explode(numbers)), [*keys, "_salt"], how).drop("_salt")

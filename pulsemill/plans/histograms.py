@@ -49,7 +49,7 @@ def merge_digests(spark, folder):
     keys = ["series", "writer"]
     values = events.unionByName(lines).withColumn("weight", F.lit(1).cast("bigint"))
     parts = digest.compress_digest(digest.as_digest(values, keys), keys)
-    return _shown(digest.merge_digests(parts, ["series"]), "series")
+    return _shown(digest.merge_digests(parts, ["series"], split=False), "series")
 
 
 def histogram_stats(spark, folder):

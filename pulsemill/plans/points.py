@@ -27,10 +27,12 @@ def sanitize_names(spark, folder):
     """Raw texts that become the same name, and how long the name is."""
     texts = views.table(spark, folder, "documents").select(F.col("text").alias("raw")).unionByName(
         views.table(spark, folder, "pages").select(F.col("url").alias("raw")))
-    # Distinct raw texts first: equal copies must not be compared as long strings in one place.
-    named = texts.filter(~blank(F.col("raw"))).groupBy("raw").count().withColumn("name", sanitize_name(F.col("raw")))
-    return named.groupBy(F.md5("name").alias("name_md5"), F.length("name").alias("name_length")).agg(
-        F.count(F.lit(1)).alias("raw_names"), F.sum("count").alias("n_rows"))
+    # Texts are reduced to digests before the shuffle; equal copies are counted before names are compared.
+    name = sanitize_name(F.col("raw"))
+    narrow = texts.filter(~blank(F.col("raw"))).select(
+        F.md5("raw").alias("raw_md5"), F.md5(name).alias("name_md5"), F.length(name).alias("name_length"))
+    copies = narrow.groupBy("raw_md5", "name_md5", "name_length").count()
+    return copies.groupBy("name_md5", "name_length").agg(F.count(F.lit(1)).alias("raw_names"), F.sum("count").alias("n_rows"))
 
 
 def sanitize_tag_values(spark, folder):

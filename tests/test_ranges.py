@@ -71,11 +71,29 @@ def test_split_spreads_the_hot_key(skewed):
 def test_hot_group_decides(skewed):
     assert ranges.has_hot_group(skewed, ["key"], 500)
     assert not ranges.has_hot_group(skewed, ["key"], 5000)
+    assert not ranges.has_hot_group(skewed, ["id"], 500)
+    assert not ranges.has_hot_group(skewed.limit(0), ["key"], 0)
+    assert ranges.has_group_over(skewed, ["key"], 500) and not ranges.has_group_over(skewed, ["key"], 2000)
     auto = ranges.row_rank(skewed, ["key"], order(), "n", hot_rows=500)
     plain = ranges.row_rank(skewed, ["key"], order(), "n", split=False)
     assert sorted(map(tuple, auto.select("id", "n").collect())) == sorted(map(tuple, plain.select("id", "n").collect()))
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_totals_and_sizes(skewed, split):
+    got = ranges.running_sum(skewed, ["key"], order(), F.col("amount"), "run", split, total="total", size="size")
+    expected = skewed.groupBy("key").agg(F.sum("amount"), F.count(F.lit(1))).collect()
+    assert sorted(map(str, got.select("key", "total", "size").distinct().collect())) == sorted(
+        f"Row(key={r[0]!r}, total={r[1]}, size={r[2]})" for r in expected)
+
+
+def test_salted_join(skewed):
+    few = skewed.filter("key IS NOT NULL").groupBy("key").agg(F.max("id").alias("newest"))
+    plain = skewed.join(few, "key", "left").select("id", "newest")
+    salted = ranges.salted_join(skewed, few, ["key"], ["id"], "left", salts=7).select("id", "newest")
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_first_rows(skewed):
     ranks = ranges.row_rank(skewed, ["key"], order(), "n", split=False).filter("n <= 20")
     got = ranges.first_rows(skewed, ["key"], order(), 20, ["id"], spread=5)
