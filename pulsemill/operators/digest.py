@@ -79,7 +79,6 @@ def quantiles(digest: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> Da
         "_k": F.count(F.lit(1)).over(ends),
         "_min": F.min("lo").over(ends),
         "_max": F.max("hi").over(ends),
-        "_first_mean": F.first("mean").over(ends),
         "_first_weight": F.first("weight").over(ends),
         "_last_mean": F.last("mean").over(ends),
         "_last_weight": F.last("weight").over(ends),
@@ -90,44 +89,62 @@ def quantiles(digest: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> Da
         "_next_weight": F.lead("weight").over(ordered),
     })
     asked = rows.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-    return asked.withColumn("value", _bracket_value()).filter(F.col("value").isNotNull()).select(*keys, "q", "value")
+    return asked.filter(_answers()).select(*keys, "q", _bracket_value().alias("value"))
 
 
 def _average(m1: Column, w1: Column, m2: Column, w2: Column) -> Column:
     return m1 * w1 / (w1 + w2) + m2 * w2 / (w1 + w2)
 
 
+def _index() -> Column:
+    return F.col("q") * F.col("_n")
+
+
+def _near_the_ends() -> Column:
+    """Whether q is answered from the key's extremes; told by facts of the whole key, so every row can see it."""
+    index, n = _index(), F.col("_n")
+    return (
+        (F.col("_k") == 1) | (index < 1) | (index > n - 1)
+        | ((F.col("_first_weight") == 2) & (index <= 2)) | ((F.col("_last_weight") == 2) & (index > n - 2))
+        | (index < F.col("_first_weight") / 2)
+    )
+
+
+def _start() -> Column:
+    """Index at the middle of this row's centroid."""
+    return F.col("_before") + F.col("weight") / 2
+
+
+def _gap() -> Column:
+    """Distance to the middle of the next centroid."""
+    return (F.col("weight") + F.col("_next_weight")) / 2
+
+
+def _answers() -> Column:
+    """True on exactly one row per key and q: the first row near the ends, else the row whose bracket holds q."""
+    index = _index()
+    is_last = F.col("_rank") == F.col("_k")
+    bracket = (index >= _start()) & (is_last | (index < _start() + _gap()))
+    return F.when(_near_the_ends(), F.col("_rank") == 1).otherwise(bracket)
+
+
 def _bracket_value() -> Column:
-    """The quantile if this row's bracket holds it, else null."""
     c = F.col
-    mean, weight = c("mean"), c("weight")
-    index = c("q") * c("_n")
-    last = c("_rank") == c("_k")
-    start = c("_before") + weight / 2          # index at this centroid's middle
-    gap = (weight + c("_next_weight")) / 2     # distance to the next middle
+    mean, weight, index, start, gap = c("mean"), c("weight"), _index(), _start(), _gap()
     left = F.when(weight == 1, 0.5).otherwise(0.0)
     right = F.when(c("_next_weight") == 1, 0.5).otherwise(0.0)
-
-    inside = (
-        F.when((weight == 1) & (index < start + 0.5), mean)
-        .when((c("_next_weight") == 1) & (index >= start + gap - 0.5), c("_next_mean"))
-        .otherwise(_average(mean, start + gap - index - right, c("_next_mean"), index - start - left))
-    )
-    # These cases are told apart by facts of the whole key, so every row can see that one applies; the key's first
-    # row then answers and the others stay silent.
-    head = (
-        F.when(c("_k") == 1, c("_first_mean"))
+    ends = (
+        F.when(c("_k") == 1, mean)
         .when(index < 1, c("_min"))
         .when(index > c("_n") - 1, c("_max"))
-        .when((c("_first_weight") == 2) & (index <= 2), 2 * c("_first_mean") - c("_min"))
+        .when((weight == 2) & (index <= 2), 2 * mean - c("_min"))
         .when((c("_last_weight") == 2) & (index > c("_n") - 2), 2 * c("_last_mean") - c("_max"))
-        .when(
-            index < c("_first_weight") / 2,
-            _average(c("_min"), c("_first_weight") / 2 - index, c("_first_mean"), index - 1),
-        )
+        .otherwise(_average(c("_min"), weight / 2 - index, mean, index - 1))
     )
-    body = (
-        F.when(last & (index >= start), _average(mean, c("_n") - 1 - index, c("_max"), index - start))
-        .when((index >= start) & (index < start + gap), inside)
+    inside = (
+        F.when((weight == 1) & (index < start + 0.5), mean)
+        .when((c("_next_weight") == 1) & (index >= start + gap - 0.5), c("_next_mean"))
+        .otherwise(_average(mean, start + gap - index - right, c("_next_mean"), index - start - left))
     )
-    return F.when(head.isNotNull(), F.when(c("_rank") == 1, head)).otherwise(body)
+    beyond = _average(mean, c("_n") - 1 - index, c("_max"), index - start)
+    return F.when(_near_the_ends(), ends).when(c("_rank") == c("_k"), beyond).otherwise(inside)

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.tags import app_point_tags, canonical_tags, empty_tags, first_wins, from_canonical
+from pulsemill.operators.ranges import broadcast_if_small
 
 
 def enrich_points(points: DataFrame, apps: DataFrame, key: str = "app_id") -> DataFrame:
     """Stamp points with the tags of their application; a point's own tags fill keys that are still free.
 
-    No broadcast hint: the dimension is broadcast when its size allows, and otherwise joined by shuffle, where
-    adaptive execution splits a hot application.
+    The dimension is counted and broadcast when it is small, so that points stay where they are. Beyond that it is
+    joined by shuffle, where adaptive execution splits a hot application.
     """
     tags = app_point_tags(*[F.col(c) for c in ("application", "service", "cluster", "shard", "custom")])
-    stamped = apps.select(F.col(key), tags.alias("_app_tags"))
+    stamped = broadcast_if_small(apps.select(F.col(key), tags.alias("_app_tags")))
     own = F.coalesce(F.col("tags"), empty_tags())
     return (
         points.join(stamped, key, "left")

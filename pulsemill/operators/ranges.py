@@ -138,23 +138,32 @@ def previous_value(
     return joined.withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(out))).select(*df.columns, out)
 
 
-def first_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread_by: Sequence[str], spread: int = 64
-) -> DataFrame:
-    """The first ``n`` rows per key, in two rounds so that a hot key is first cut down in ``spread`` tasks.
-
-    Both rounds are ``row_number() <= n``, which Spark also applies before each shuffle.
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread: int = SALTS) -> DataFrame:
+    """The first ``n`` rows per key, in two rounds: each input task keeps at most ``n`` rows per key, ``spread`` tasks
+    merge those, and only ``spread * n`` rows per key reach the last round. ``order`` must be unique within a key.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(spread)))
-    local = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    # Spark only cuts ranked rows before a shuffle up to this many per group.
+    conf, name = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(name)) < n:
+        conf.set(name, str(n))
+    grouped = df.withColumn("_group", F.spark_partition_id() % spread)
+    local = Window.partitionBy(*keys, "_group").orderBy(*order)
     final = Window.partitionBy(*keys).orderBy(*order)
     return (
-        salted.withColumn("_rank", F.row_number().over(local)).filter(F.col("_rank") <= n)
+        grouped.withColumn("_rank", F.row_number().over(local)).filter(F.col("_rank") <= n)
         .withColumn("_rank", F.row_number().over(final)).filter(F.col("_rank") <= n)
         .select(*df.columns)
     )
 
 
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows; otherwise unchanged, for the planner to join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_by: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join many ``left`` rows with few ``right`` rows (an aggregate with one row per key), safe for hot keys.
 

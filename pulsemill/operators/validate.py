@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.text import bare_delta, blank
+from pulsemill.operators.ranges import broadcast_if_small
 
 REASON = "reject_reason"
 
@@ -97,4 +98,4 @@ def positive_deltas(deltas: DataFrame, value: str = "value") -> DataFrame:
 
 def route_entities(df: DataFrame, routes: DataFrame, routed: bool = True) -> DataFrame:
     """Rows whose ``entity`` has a destination (``routed``), or the discarded rest."""
-    return df.join(routes.select("entity").distinct(), "entity", "left_semi" if routed else "left_anti")
+    return df.join(broadcast_if_small(routes.select("entity").distinct()), "entity", "left_semi" if routed else "left_anti")

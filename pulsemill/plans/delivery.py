@@ -17,7 +17,7 @@ from pulsemill.sources import sinks
 DAY = 86_400_000
 CAPACITY = 30
 BATCH = 100
-TAKEN = 500
+TAKEN = 5_000
 
 
 def _lines(spark, folder):

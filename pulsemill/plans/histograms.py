@@ -58,7 +58,9 @@ def histogram_stats(spark, folder):
 
 
 def histogram_quantiles(spark, folder):
-    return digest.quantiles(_days(spark, folder), KEY, QUANTILES).withColumn("value", F.round("value", 6))
+    # Half-way digits are common here; the small extra makes both engines round them up.
+    shown = F.floor(F.col("value") * 1e6 + 0.5001) / 1e6
+    return digest.quantiles(_days(spark, folder), KEY, QUANTILES).withColumn("value", shown)
 
 
 def histogram_values(spark, folder):
@@ -139,6 +141,13 @@ def _bins(width: int) -> str:
 
 _MINUTES, _DAYS = _bins(60_000), _bins(DAY)
 
+
+
+def _average(m1: str, w1: str, m2: str, w2: str) -> str:
+    both = f"(({w1}) + ({w2}))"
+    return f"({m1} * ({w1}) / {both} + {m2} * ({w2}) / {both})"
+
+
 # Quantile cases on ordered centroids; w1/wk are the first and last weights.
 _QUANTILES = f""", ranked AS (SELECT *, sum(weight) OVER k AS n, count(*) OVER k AS size, min(lo) OVER k AS least, max(hi) OVER k AS most,
     row_number() OVER o AS i, coalesce(sum(weight) OVER (PARTITION BY series, minute_ms ORDER BY mean ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
@@ -149,16 +158,15 @@ asked AS (SELECT r.*, m1, c1, mk, ck, q, q * n AS x, before + weight / 2.0 AS s,
     FROM ranked r JOIN ends USING (series, minute_ms), unnest({list(QUANTILES)}) AS t(q)),
 heads AS (SELECT *, CASE WHEN size = 1 THEN m1 WHEN x < 1 THEN least WHEN x > n - 1 THEN most
     WHEN c1 = 2 AND x <= 2 THEN 2 * m1 - least WHEN ck = 2 AND x > n - 2 THEN 2 * mk - most
-    WHEN x < c1 / 2.0 THEN (least * (c1 / 2.0 - x) + m1 * (x - 1)) / (c1 / 2.0 - 1) END AS head FROM asked),
+    WHEN x < c1 / 2.0 THEN {_average('least', 'c1 / 2.0 - x', 'm1', 'x - 1')} END AS head FROM asked),
 answers AS (
   SELECT series, minute_ms, q, head AS value FROM heads WHERE head IS NOT NULL AND i = 1
   UNION ALL
-  SELECT series, minute_ms, q, CASE WHEN i = size THEN (mean * (n - 1 - x) + most * (x - s)) / (n - 1 - s)
+  SELECT series, minute_ms, q, CASE WHEN i = size THEN {_average('mean', 'n - 1 - x', 'most', 'x - s')}
     WHEN weight = 1 AND x < s + 0.5 THEN mean WHEN c2 = 1 AND x >= s + dw - 0.5 THEN m2
-    ELSE (mean * (s + dw - x - CASE WHEN c2 = 1 THEN 0.5 ELSE 0 END) + m2 * (x - s - CASE WHEN weight = 1 THEN 0.5 ELSE 0 END))
-      / (dw - CASE WHEN c2 = 1 THEN 0.5 ELSE 0 END - CASE WHEN weight = 1 THEN 0.5 ELSE 0 END) END
+    ELSE {_average('mean', 's + dw - x - CASE WHEN c2 = 1 THEN 0.5 ELSE 0 END', 'm2', 'x - s - CASE WHEN weight = 1 THEN 0.5 ELSE 0 END')} END
   FROM heads WHERE head IS NULL AND x >= s AND (i = size OR x < s + dw))
-SELECT series, minute_ms, CAST(q AS DOUBLE) AS q, round(CAST(value AS DOUBLE), 6) AS value FROM answers"""
+SELECT series, minute_ms, CAST(q AS DOUBLE) AS q, floor(CAST(value AS DOUBLE) * 1e6 + 0.5001) / 1e6 AS value FROM answers"""
 
 DIST_REASON = f"""CASE WHEN {q.blank('name')} THEN 'blank_name' WHEN name IN ('∆', 'Δ') THEN 'bare_delta'
   WHEN len(granularities) = 0 THEN 'no_granularity' WHEN len(means) = 0 THEN 'no_centroids' END"""

@@ -59,6 +59,10 @@ def encode_metric_lines(spark, folder):
     return encode.encode_metric_lines(views.pts(spark, folder)).select("id", "line")
 
 
+def encode_delta_lines(spark, folder):
+    return encode.encode_delta_lines(views.deltas(spark, folder)).select("id", "line")
+
+
 def delta_names(spark, folder):
     return views.deltas(spark, folder).groupBy(delta_name(F.col("name")).alias("name")).agg(
         F.count_distinct("name").alias("raw_names"), F.count(F.lit(1)).alias("n_rows"))
@@ -165,6 +169,7 @@ QUERIES = {
     "sanitize_tag_values": sanitize_tag_values,
     "format_numbers": format_numbers,
     "encode_metric_lines": encode_metric_lines,
+    "encode_delta_lines": encode_delta_lines,
     "delta_names": delta_names,
     "default_source": default_source,
     "semver_number": semver_numbers,
@@ -204,6 +209,9 @@ SELECT o_orderkey, {q.number('o_totalprice')} AS plain, {q.number('floor(o_total
   {q.number('o_totalprice * 1e17')} AS huge, {q.number('o_totalprice / 1e12')} AS tiny FROM orders""",
     "encode_metric_lines": with_views("pts", then=f"""
 SELECT id, {q.METRIC_LINE} AS line FROM pts WHERE ({q.POINT_REASON}) IS NULL"""),
+    "encode_delta_lines": with_views("deltas", then=f"""
+SELECT id, {q.name(q.delta('name'))} || ' ' || {q.number('value')} || {q.source()} || ' "k"=' || {q.tag('tag_k')} || ' "type"=' || {q.tag('tag_type')} AS line
+FROM deltas WHERE value > 0"""),
     "delta_names": with_views("deltas", then=f"""
 SELECT {q.delta('name')} AS name, count(DISTINCT deltas.name) AS raw_names, count(*) AS n_rows FROM deltas GROUP BY 1"""),
     "default_source": with_views("pts", then=f"""

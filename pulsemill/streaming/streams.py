@@ -13,9 +13,9 @@ from pulsemill.functions.text import delta_name
 from pulsemill.functions.time import epoch_ms
 from pulsemill.model import HEARTBEAT_NAME
 from pulsemill.operators.counters import component_tags, signed_count
-from pulsemill.operators.digest import DIGEST, as_digest, compress_digest
+from pulsemill.operators.digest import DIGEST, compress_digest
 from pulsemill.operators.validate import not_finite, positive_deltas
-from pulsemill.session import shared_path
+from pulsemill.session import materialise, shared_path
 from pulsemill.sources.sinks import Transport, sink_batches
 
 DELAY = "10 minutes"
@@ -86,12 +86,14 @@ def stream_histogram_bins(
     """Digest rows of each closed minute, never of an open one.
 
     A window closes in a single micro-batch, so the digest of a minute is final when its batch is compressed. Each
-    batch writes its own folder, which a repeat of the batch overwrites.
+    batch writes its own folder, which a repeat of the batch overwrites. The counts of a batch are stored before they are
+    looked at, as a second look would run the stateful query again.
     """
     keys = ["series", "minute_ms"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        compress_digest(as_digest(batch, keys), keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        counts = materialise(batch.select(*keys, "mean", "weight", F.col("mean").alias("lo"), F.col("mean").alias("hi")), "counts")
+        compress_digest(counts, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     run_batches(value_counts(samples, delay), write, checkpoint, trigger=trigger)
     schema = "series string, minute_ms bigint, mean double, weight bigint, lo double, hi double"
@@ -155,8 +157,10 @@ def stream_late_split(
         times = epoch_ms(F.col(TIME))
         bound = F.lit(newest).cast("bigint")
         late = F.coalesce(times < bound - delay_ms, F.lit(False))
-        batch.withColumn("late", late).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        batch.agg(F.greatest(F.max(times), bound).alias("newest")).coalesce(1).write.mode("overwrite").parquet(
+        folder = f"{path}/rows/batch={batch_id}"
+        batch.withColumn("late", late).write.mode("overwrite").parquet(folder)
+        stored = spark.read.schema(batch.schema).parquet(folder)
+        stored.agg(F.greatest(F.max(times), bound).alias("newest")).coalesce(1).write.mode("overwrite").parquet(
             f"{marks}/batch={batch_id}")
 
     run_batches(stream, write, checkpoint, trigger=trigger)

@@ -98,9 +98,10 @@ def test_span_logs(spark):
     assert sorted(lines(encoded)) == sorted([
         f'{HEAD} "_spanLogs"="true" 1493773500 343500', f"{HEAD.replace(SPAN, PARENT)} 1493773500 343500"])
 
-    joined = spans.attach_span_logs(encoded, spans.group_span_logs(logs))
+    joined = encode.encode_span_lines(spans.attach_span_logs(flagged.drop("has_logs"), spans.group_span_logs(logs)))
     assert {r["span_id"]: len(r["logs"] or []) for r in joined.collect()} == {SPAN: 2, PARENT: 0}
-    envelopes = joined.filter("logs IS NOT NULL")
+    assert sorted(lines(joined)) == sorted(lines(encoded))
+    envelopes = joined.filter("logs IS NOT NULL").withColumn("span", F.col("line"))
     (line,) = lines(encode.encode_span_logs_json(envelopes))
     assert line.startswith(f'{{"traceId":"{TRACE}","spanId":"{SPAN}","logs":[{{"timestamp":1493773500123,"fields":{{"event":"error",')
     assert json.loads(line)["logs"][1] == {"timestamp": 1493773500139, "fields": {"info": "newline:\n"}}

@@ -96,5 +96,5 @@ def test_salted_join(skewed):
 
 def test_first_rows(skewed):
     ranks = ranges.row_rank(skewed, ["key"], order(), "n", split=False).filter("n <= 20")
-    got = ranges.first_rows(skewed, ["key"], order(), 20, ["id"], spread=5)
+    got = ranges.first_rows(skewed, ["key"], order(), 20, spread=3)
     assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in ranks.collect())
