@@ -14,7 +14,7 @@ PAIR_MARK, ENTRY_MARK = "\u001e", "\u001f"
 def canonical_tags(tags: Column, pair: str = PAIR_MARK, entry: str = ENTRY_MARK) -> Column:
     """One string per tag content, whatever the map's order. The default marks are control characters."""
     return F.array_join(
-        F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit(pair), e["value"])),
+        F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit(pair), e["value"])),
         entry,
     )
 
@@ -32,7 +32,7 @@ def tags_text(tags: Column) -> Column:
 
 def tags_suffix(tags: Column) -> Column:
     """Line-protocol suffix `` "k"="v"...`` of a tag map in key order; empty for no tags."""
-    return F.coalesce(pairs_suffix(F.array_sort(F.map_entries(tags))), F.lit(""))
+    return F.coalesce(pairs_suffix(F.sort_array(F.map_entries(tags))), F.lit(""))
 
 
 def pairs_suffix(pairs: Column) -> Column:

@@ -99,7 +99,7 @@ def encode_span_logs_json(envelopes: DataFrame) -> DataFrame:
     """
     logs = F.transform("logs", lambda log: F.struct(
         log["ts_us"].alias("timestamp"),
-        F.map_from_entries(F.array_sort(F.map_entries(log["fields"]))).alias("fields"),
+        F.map_from_entries(F.sort_array(F.map_entries(log["fields"]))).alias("fields"),
     ))
     envelope = F.struct(
         F.col("trace_id").alias("traceId"), F.col("span_id").alias("spanId"), logs.alias("logs"),

@@ -132,10 +132,10 @@ def serialize_bins(bins: DataFrame, period_ms: int = GRANULARITY_MS["!D"]) -> Da
     ``timestamps`` joins the minutes with ``;``. ``centroids`` joins ``mean weight`` with ``,`` inside a minute and
     ``;`` between minutes. A period bounds the text: a day has at most 1440 minutes of a few hundred centroids.
     """
-    minute = F.transform(F.array_sort(F.collect_list(F.struct("mean", "weight"))), lambda c: F.concat(
+    minute = F.transform(F.sort_array(F.collect_list(F.struct("mean", "weight"))), lambda c: F.concat(
         number_text(c["mean"]), F.lit(" "), c["weight"].cast("string")))
     minutes = bins.groupBy("series", "minute_ms").agg(F.array_join(minute, ",").alias("_text"))
-    ordered = F.array_sort(F.collect_list(F.struct("minute_ms", "_text")))
+    ordered = F.sort_array(F.collect_list(F.struct("minute_ms", "_text")))
     return (
         minutes.withColumn("period_ms", bin_start(F.col("minute_ms"), period_ms))
         .groupBy("series", "period_ms").agg(ordered.alias("_bins"))

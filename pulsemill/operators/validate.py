@@ -41,13 +41,9 @@ def _tag_reason(reason: Column, pairs: Column, source: Column) -> Column:
     return reason.when(suspect, detail).when(_has_break(source), "newline")
 
 
-def _sorted_pairs(tags: Column) -> Column:
-    return F.array_sort(F.map_entries(tags))
-
-
 def validate_points(points: DataFrame) -> DataFrame:
     reason = _name_reason(F.col("name")).when(not_finite(F.col("value")), "non_finite")
-    return points.withColumn(REASON, _tag_reason(reason, _sorted_pairs(F.col("tags")), F.col("source")))
+    return points.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.col("source")))
 
 
 def validate_distributions(dists: DataFrame) -> DataFrame:
@@ -59,7 +55,7 @@ def validate_distributions(dists: DataFrame) -> DataFrame:
         .when(F.exists(granularities, lambda g: g.isNull()), "null_granularity")
         .when(F.exists(centroids, lambda c: not_finite(c["mean"])), "non_finite")
     )
-    return dists.withColumn(REASON, _tag_reason(reason, _sorted_pairs(F.col("tags")), F.col("source")))
+    return dists.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.col("source")))
 
 
 def validate_spans(spans: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ def tag_difference(spark, folder):
     rows = _selected_props(spark, folder)
 
     def text(difference):
-        return F.array_join(F.array_sort(F.transform(difference, lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+        return F.array_join(F.sort_array(F.transform(difference, lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
 
     return rows.select(
         "id", text(tag_fn.tag_difference(F.col("props"), F.col("second"))).alias("only_first"),
