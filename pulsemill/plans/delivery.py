@@ -44,7 +44,7 @@ def _arrivals(spark, folder):
     """Arrivals of events and order lines, with an id that is unique per entity."""
     events = views.table(spark, folder, "events").selectExpr("'points' AS entity", f"{views.ms('ts')} AS ts_ms", "CAST(event_id AS STRING) AS id")
     lines = views.table(spark, folder, "lineitem").selectExpr(
-        "'spans' AS entity", f"{views.ms('l_shipdate')} AS ts_ms", f"{views._s(views.LINE_SPAN)} AS id")
+        "'spans' AS entity", f"{views.ms('l_shipdate')} AS ts_ms", f"{views.for_spark(views.LINE_SPAN)} AS id")
     return events.unionByName(lines)
 
 
@@ -102,7 +102,7 @@ QUERIES = {f.__name__: f for f in (
 
 _ARRIVALS = f"""
 WITH arrivals AS (SELECT 'points' AS entity, epoch_us(ts) // 1000 AS ts_ms, CAST(event_id AS VARCHAR) AS id FROM events
-  UNION ALL SELECT 'spans', epoch_us(l_shipdate) // 1000, {views._d(views.LINE_SPAN)} FROM lineitem)"""
+  UNION ALL SELECT 'spans', epoch_us(l_shipdate) // 1000, {views.for_duck(views.LINE_SPAN)} FROM lineitem)"""
 
 _LINES = (
     f", metric_lines AS (SELECT {q.METRIC_LINE} AS line FROM pts WHERE ({q.POINT_REASON}) IS NULL)"

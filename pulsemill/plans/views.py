@@ -30,7 +30,8 @@ def cat(*parts: str) -> str:
     return " || ".join(p if p.startswith("'") else f"CAST({p} AS STRING)" for p in parts)
 
 
-def _s(sql: str) -> str:
+def for_spark(sql: str) -> str:
+    """Fill in the engine's mark of a group reference."""
     return sql.replace("{ref}", "$")
 
 
@@ -106,7 +107,7 @@ def dists(spark: SparkSession, folder: str) -> DataFrame:
     """One distribution per order line; its five centroids often repeat a mean next to each other."""
     mean = "named_struct('mean', {}, 'count', CAST({} AS INT))".format
     return table(spark, folder, "lineitem").selectExpr(
-        _s(LINE_ID) + " AS id",
+        for_spark(LINE_ID) + " AS id",
         "CASE WHEN l_orderkey % 83 = 0 THEN '' ELSE concat('order/lines.', lower(l_returnflag)) END AS name",
         "CASE WHEN l_partkey % 41 = 0 THEN array() ELSE array(" + ", ".join((
             mean("l_quantity", "l_linenumber"), mean("l_quantity", "2"),
@@ -127,16 +128,16 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderkey % 89 = 0 THEN ' ' ELSE concat('order/', o_orderpriority) END AS name",
         f"{ms('o_orderdate')} AS start_ms", "CAST(o_totalprice AS BIGINT) AS duration_ms",
         "concat('cust-', o_custkey) AS source",
-        f"{_s(TRACE_OF_ORDER)} AS trace_id", f"{_s(ORDER_SPAN)} AS span_id",
+        f"{for_spark(TRACE_OF_ORDER)} AS trace_id", f"{for_spark(ORDER_SPAN)} AS span_id",
         "CAST(NULL AS ARRAY<STRING>) AS parents", "CAST(NULL AS ARRAY<STRING>) AS follows_from",
         f"array({pair(chr(39) + 'status' + chr(39), 'o_orderstatus')}) AS tags")
     lines = table(spark, folder, "lineitem").selectExpr(
         "CASE WHEN l_partkey % 89 = 0 THEN '' ELSE concat('line ', l_returnflag) END AS name",
         f"{ms('l_shipdate')} AS start_ms", "CAST(l_quantity * 1000 AS BIGINT) AS duration_ms",
         "CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE concat('supp-', l_suppkey) END AS source",
-        f"{_s(TRACE_OF_LINE)} AS trace_id", f"{_s(LINE_SPAN)} AS span_id",
-        f"array({_s(ORDER_SPAN_OF_LINE)}) AS parents",
-        f"CASE WHEN l_linenumber > 1 THEN array({_s(BEFORE_LINE_SPAN)}) ELSE array() END AS follows_from",
+        f"{for_spark(TRACE_OF_LINE)} AS trace_id", f"{for_spark(LINE_SPAN)} AS span_id",
+        f"array({for_spark(ORDER_SPAN_OF_LINE)}) AS parents",
+        f"CASE WHEN l_linenumber > 1 THEN array({for_spark(BEFORE_LINE_SPAN)}) ELSE array() END AS follows_from",
         "array(" + ", ".join((
             pair("'returnflag'", "l_returnflag"), pair("'linestatus'", "l_linestatus"),
             pair("'returnflag'", "concat('line \"', l_linenumber, '\"')"))) + ") AS tags")
@@ -145,9 +146,9 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
     """Every order line logs its status; a line with a discount logs a second entry. Some name unknown spans."""
-    span = _s(f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END")
+    span = for_spark(f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END")
     base = table(spark, folder, "lineitem").selectExpr(
-        f"{_s(TRACE_OF_LINE)} AS trace_id", f"{span} AS span_id", f"{ms('l_shipdate')} * 1000 AS ts_us", "l_linenumber",
+        f"{for_spark(TRACE_OF_LINE)} AS trace_id", f"{span} AS span_id", f"{ms('l_shipdate')} * 1000 AS ts_us", "l_linenumber",
         "l_returnflag", "l_linestatus", "l_discount", "l_extendedprice")
     status = base.selectExpr("trace_id", "span_id", "ts_us + l_linenumber AS ts_us",
                              "map('event', concat('status \"', l_linestatus, '\"'), 'flag', concat(l_returnflag, '\n')) AS fields")
@@ -210,11 +211,12 @@ def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
         "lines")
 
 
-# The same views for the comparison engine. Maps become one column per key (tag_<key>), arrays stay arrays.
-def _d(sql: str) -> str:
+def for_duck(sql: str) -> str:
+    """Fill in the engine's mark of a group reference."""
     return sql.replace("{ref}", "\\")
 
 
+# The same views for the comparison engine. Maps become one column per key (tag_<key>), arrays stay arrays.
 SQL_VIEWS = {
     "pts": """
 SELECT event_id AS id, user_id AS app_id, epoch_us(ts) // 1000 AS event_ms,
@@ -242,7 +244,7 @@ UNION ALL SELECT l_returnflag || '|' || l_linestatus, epoch_us(l_shipdate) // 10
     "bulk": """
 SELECT l_returnflag AS series, epoch_us(l_shipdate) // 1000 AS minute_ms, l_quantity AS mean, count(*) AS count
 FROM lineitem GROUP BY ALL""",
-    "dists": _d(f"""
+    "dists": for_duck(f"""
 SELECT {LINE_ID} AS id,
   CASE WHEN l_orderkey % 83 = 0 THEN '' ELSE 'order/lines.' || lower(l_returnflag) END AS name,
   CASE WHEN l_partkey % 41 = 0 THEN [] ELSE [l_quantity, l_quantity, round(l_discount * 100, 0) + 0.5,
@@ -254,7 +256,7 @@ SELECT {LINE_ID} AS id,
   CASE WHEN l_suppkey % 9 = 0 THEN ' ' ELSE 'supp ' || l_suppkey END AS source,
   l_linestatus AS tag_status, ' mode ' || l_linenumber || ' ' AS tag_ship
 FROM lineitem"""),
-    "spans": _d(f"""
+    "spans": for_duck(f"""
 SELECT CASE WHEN o_orderkey % 89 = 0 THEN ' ' ELSE 'order/' || o_orderpriority END AS name,
   epoch_us(o_orderdate) // 1000 AS start_ms, CAST(trunc(o_totalprice) AS BIGINT) AS duration_ms, 'cust-' || o_custkey AS source,
   {TRACE_OF_ORDER} AS trace_id, {ORDER_SPAN} AS span_id, CAST([] AS VARCHAR[]) AS parents,
@@ -268,7 +270,7 @@ SELECT CASE WHEN l_partkey % 89 = 0 THEN '' ELSE 'line ' || l_returnflag END,
   CASE WHEN l_linenumber > 1 THEN [{BEFORE_LINE_SPAN}] ELSE [] END,
   ['returnflag', 'linestatus', 'returnflag'], [l_returnflag, l_linestatus, 'line "' || l_linenumber || '"']
 FROM lineitem"""),
-    "logs": _d(f"""
+    "logs": for_duck(f"""
 SELECT trace_id, span_id, ts_us + l_linenumber AS ts_us,
   '{{"event":' || to_json('status "' || l_linestatus || '"') || ',"flag":' || to_json(l_returnflag || chr(10)) || '}}' AS fields
 FROM (SELECT *, {TRACE_OF_LINE} AS trace_id, epoch_us(l_shipdate) // 1000 * 1000 AS ts_us,
