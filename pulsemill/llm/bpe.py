@@ -2,11 +2,11 @@
 
 A word starts as a doubly linked list of symbols. Its adjacent pairs wait in a heap by merge rank and place; the best is
 merged, its neighbours give new pairs, and entries whose symbols have changed since are skipped. Words are encoded once
-per task while they stay in a table of bounded size. Decoding joins the vocabulary strings of the ids, as the file
+per worker while they stay in a table of bounded size. Decoding joins the vocabulary strings of the ids, as the file
 names no decoder: with one space between tokens.
 
-The file's steps are followed: special tokens are cut out of the raw text first; the rest is brought to NFC, white space
-becomes one space, letters become lower case one by one; words are found by the pattern and written as byte symbols, the
+The file's steps are followed: special tokens are cut out of the raw text first; the rest is brought to NFC and letters
+become lower case one by one; words (which never hold white space, so each run between white space is taken for itself) are found by the pattern and written as byte symbols, the
 last one with the word end. Null texts count as empty: no ids and an empty decoded text. Very long words are encoded
 whole. Rows are independent of each other, so repeated rows give the same row again and an empty table none; other columns are not read.
 """
@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -25,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words whose encoding a task remembers.
-REMEMBERED = 400_000
+#: Words whose encoding a worker remembers, in each of two generations.
+REMEMBERED = 250_000
 
 # What the tokenizer's pattern language calls white space.
 WHITE = r"[\x09-\x0D\x20\x85\xA0  -     　]"
@@ -51,51 +53,81 @@ class Tokenizer:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(a, b): n for n, (a, b) in enumerate(merges)}
+        self.left = [self.ids[a] for a, _ in merges]
+        self.right = [self.ids[b] for _, b in merges]
+        self.merged = [self.ids[a + b] for a, b in merges]
+        self.ranks = {a << 32 | b: n for n, (a, b) in enumerate(zip(self.left, self.right))}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.names = {i: t for t, i in (self.ids | self.special).items()}
-        self.symbols = byte_symbols()
+        self.inner = [self.ids[x] for x in byte_symbols()]
+        self.last = [self.ids[x + self.end] for x in byte_symbols()]
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s\p{L}", WHITE[1:-1] + r"\p{L}"))
         self.white = regex.compile(WHITE + "+")
+        self.odd = re.compile("[\x1c-\x1f]")  # str.split takes these for white space, the pattern does not
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
+        self.runs: dict[str, tuple[int, str, str]] = {}
+        self.older_runs: dict[str, tuple[int, str, str]] = {}
 
     def normal(self, text: str) -> str:
-        text = self.white.sub(" ", unicodedata.normalize("NFC", text))
+        """NFC and lower case, letter by letter. White space needs no care: the pattern drops it in any form."""
+        text = unicodedata.normalize("NFC", text)
         return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
 
-    def merge(self, word: str) -> list[str]:
-        """Vocabulary strings of a word, by the lowest rank first and the leftmost among equals."""
-        text = [self.symbols[b] for b in word.encode()]
-        text[-1] += self.end
-        size, ranks = len(text), self.ranks
-        after = [*range(1, size), -1]
-        before = [*range(-1, size - 1)]
-        heap = [(rank, i, text[i], text[i + 1]) for i in range(size - 1) if (rank := ranks.get((text[i], text[i + 1]))) is not None]
+    def merge(self, word: str) -> list[int]:
+        """Ids of a word: the pair of the lowest rank is merged first, the leftmost among equals."""
+        raw = word.encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        size, rank_of, left, right = len(ids), self.ranks.get, self.left, self.right
+        after, before = [*range(1, size), -1], [*range(-1, size - 1)]
+        shift = size.bit_length()
+        # An entry of the queue is a rank over the place of the pair's left symbol.
+        heap = [r << shift | i for i in range(size - 1) if (r := rank_of(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
+        mask = (1 << shift) - 1
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            i, rank = entry & mask, entry >> shift
             j = after[i]
-            if text[i] != left or j < 0 or text[j] != right:
+            if j < 0 or ids[i] != left[rank] or ids[j] != right[rank]:
                 continue  # stale: a symbol of the pair has been merged since
-            text[i], text[j] = left + right, ""
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (rank := ranks.get((text[a], text[b]))) is not None:
-                    heapq.heappush(heap, (rank, a, text[a], text[b]))
-        return [x for x in text if x]
+            ids[i], ids[j] = self.merged[rank], -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (r := rank_of(ids[i] << 32 | ids[k])) is not None:
+                    heapq.heappush(heap, r << shift | i)
+            h = before[i]
+            if h >= 0 and (r := rank_of(ids[h] << 32 | ids[i])) is not None:
+                heapq.heappush(heap, r << shift | h)
+        return [x for x in ids if x >= 0]
 
     def word(self, word: str) -> tuple[int, str, str]:
         """(number of tokens, ids, vocabulary strings) of a word, both joined by spaces."""
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            pieces = self.merge(word)
-            found = self.known[word] = len(pieces), " ".join([str(self.ids[p]) for p in pieces]), " ".join(pieces)
+                self.known, self.older = {}, self.known
+            found = self.older.get(word)
+            if found is None:
+                pieces = self.merge(word)
+                names = self.names
+                found = len(pieces), " ".join([str(p) for p in pieces]), " ".join([names[p] for p in pieces])
+            self.known[word] = found
+        return found
+
+    def run(self, run: str) -> tuple[int, str, str]:
+        """The same for the words of a run between white space."""
+        found = self.older_runs.get(run)
+        if found is None:
+            words = [self.word(w) for w in self.words.findall(self.normal(run))]
+            found = sum(x[0] for x in words), " ".join([x[1] for x in words]), " ".join([x[2] for x in words])
+        if len(self.runs) >= REMEMBERED:
+            self.runs, self.older_runs = {}, self.runs
+        self.runs[run] = found
         return found
 
     def encode(self, text: str) -> tuple[int, str, str]:
@@ -106,7 +138,9 @@ class Tokenizer:
             if part in self.special:
                 found = [(1, str(self.special[part]), part)]
             else:
-                found = [self.known.get(w) or self.word(w) for w in self.words.findall(self.normal(part))]
+                known = self.runs.get
+                found = [known(r) or self.run(r) for r in (self.white.split(part) if self.odd.search(part) else part.split())]
+                found = [x for x in found if x[0]]
             count += sum([x[0] for x in found])
             ids += [x[1] for x in found]
             names += [x[2] for x in found]
@@ -116,6 +150,12 @@ class Tokenizer:
         return " ".join([self.names[i] for i in ids if i in self.names])
 
 
+@lru_cache(2)
+def shared(path: str) -> Tokenizer:
+    """The worker's tokenizer, kept from task to task with the words that it remembers."""
+    return Tokenizer(path)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
     """(id, n_tokens, ids, ids_sha256, decoded_sha256) of every whole text; ``ids=False`` leaves out the ids themselves."""
     return _texts(docs, path, id_col, text_col, ids, False)
@@ -132,7 +172,7 @@ def _texts(docs: DataFrame, path: str, id_col: str, text_col: str, ids: bool, de
     fields += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(path)
+        tokenizer = shared(path)
         digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -152,7 +192,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     schema = T.StructType([T.StructField(id_col, encoded.schema[id_col].dataType), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(path)
+        tokenizer = shared(path)
         for batch in batches:
             texts = [None if x.as_py() is None else tokenizer.decode(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "decoded"])

@@ -5,7 +5,7 @@ pieces it takes. Ties follow the tokenizers library's unigram model: matches are
 does not replace an earlier one. Where no one-character piece covers a character, an unknown piece of that character is
 offered after the others, at the lowest score less ten; neighbouring unknowns fuse and count as their UTF-8
 bytes (byte fallback). Words are cut before each space (written as the space mark, and put before the text), counted
-once per task while they stay in a table of bounded size.
+once per worker while they stay in a table of bounded size.
 
 A null or empty text has no tokens. Very long words are counted whole. Rows are independent, so repeated rows give the
 same count again and an empty table gives no rows; columns other than the id and the text are not read.
@@ -14,6 +14,7 @@ same count again and an empty table gives no rows; columns other than the id and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Words whose count a worker remembers, in each of two generations.
 REMEMBERED = 400_000
 
 
@@ -43,36 +45,47 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def viterbi(self, word: str) -> int:
         """Number of pieces on the best path through ``word``."""
-        size = len(word)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
-        single = [False] * size
+        size, unknown = len(word), self.unknown
+        best, count = [0.0] * (size + 1), [0] * (size + 1)
+        place, top, origin, single = 1, None, -1, False
+
+        def close() -> None:
+            """Settle ``place``: the best match that ends there, or an unknown character."""
+            if not single and (top is None or best[place - 1] + unknown > top):
+                # Fused unknowns fall back to bytes, so each character counts its own bytes either way.
+                best[place] = best[place - 1] + unknown
+                count[place] = count[place - 1] + len(word[place - 1].encode())
+            else:
+                best[place], count[place] = top, count[origin] + 1
+
+        # Matches come by their end and, for one end, from the earliest start on.
         for end, (length, score) in self.automaton.iter(word):
-            ending[end + 1].append((end + 1 - length, score))
+            while place <= end:
+                close()
+                place, top, single = place + 1, None, False
+            score += best[place - length]
+            if top is None or score > top:
+                top, origin = score, place - length
             if length == 1:
-                single[end] = True
-        best, count, loose = [0.0] + [0.0] * size, [0] * (size + 1), [False] * (size + 1)
-        for end in range(1, size + 1):
-            top, origin = None, -1
-            for start, score in sorted(ending[end]):
-                if top is None or best[start] + score > top:
-                    top, origin = best[start] + score, start
-            unknown = False
-            if not single[end - 1] and (top is None or best[end - 1] + self.unknown > top):
-                top, origin, unknown = best[end - 1] + self.unknown, end - 1, True
-            best[end], loose[end] = top, unknown
-            # Fused unknowns fall back to bytes, so each character counts its own bytes either way.
-            count[end] = count[origin] + (len(word[end - 1].encode()) if unknown else 1)
+                single = True
+        while place <= size:
+            close()
+            place, top, single = place + 1, None, False
         return count[size]
 
     def word(self, word: str) -> int:
         n = self.known.get(word)
         if n is None:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            n = self.known[word] = self.viterbi(MARK + word)
+                self.known, self.older = {}, self.known
+            n = self.older.get(word)
+            if n is None:
+                n = self.viterbi(MARK + word)
+            self.known[word] = n
         return n
 
     def text(self, text: str) -> int:
@@ -85,12 +98,18 @@ class Counter:
         return sum([known.get(w) or self.word(w) for w in words])
 
 
+@lru_cache(2)
+def shared(path: str) -> Counter:
+    """The worker's counter, kept from task to task with the words that it remembers."""
+    return Counter(vocabulary(path))
+
+
 def count(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens) of every whole text, with the pieces and scores of a sentencepiece file as a unigram vocabulary."""
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary(path))
+        counter = shared(path)
         for batch in batches:
             counts = [counter.text(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=[id_col, "n_tokens"])
