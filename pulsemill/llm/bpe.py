@@ -6,9 +6,10 @@ per worker while they stay in a table of bounded size. Decoding joins the vocabu
 names no decoder: with one space between tokens.
 
 The file's steps are followed: special tokens are cut out of the raw text first; the rest is brought to NFC and letters
-become lower case one by one; words (which never hold white space, so each run between white space is taken for itself) are found by the pattern and written as byte symbols, the
-last one with the word end. Null texts count as empty: no ids and an empty decoded text. Very long words are encoded
-whole. Rows are independent of each other, so repeated rows give the same row again and an empty table none; other columns are not read.
+become lower case one by one; words (which never hold white space, so each run between white space is taken for itself)
+are found by the pattern and written as byte symbols, the last one with the word end. Null texts count as empty: no ids
+and an empty decoded text. Very long words are encoded whole. Rows are independent of each other, so repeated rows give
+the same row again and an empty table none; other columns are not read.
 """
 
 from __future__ import annotations
