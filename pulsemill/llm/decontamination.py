@@ -201,29 +201,27 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     ``block_chars`` characters of items are held by a task; larger benchmarks are dealt into blocks by their id's hash
     and take one pass each.
     """
-    spark = docs.sparkSession
-    raw = F.coalesce(F.col(item_text), F.lit(""))
-    wanted = items.select(F.col(item_id).alias("i"), raw.alias("t"))
-    total = wanted.agg(F.sum(F.length("t"))).first()[0]
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_id, items.schema[item_id].dataType),
         T.StructField("distance", T.IntegerType()), T.StructField("item_chars", T.IntegerType()), T.StructField("word", T.IntegerType())])
-    passes = -(-(total or 0) // block_chars)
+    arrow = pa.schema([pa.field(f.name, _arrow(f.dataType)) for f in schema])
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("t"))
-    arrow = pa.schema([
-        pa.field(id_col, _arrow(schema[0].dataType)), pa.field(item_id, _arrow(schema[1].dataType)),
-        *(pa.field(n, pa.int32()) for n in ("distance", "item_chars", "word"))])
-    out = spark.createDataFrame([], schema)
+    out = docs.sparkSession.createDataFrame([], schema)
+    for held, window in _blocks(items, item_id, item_text, block_chars):
+        out = out.unionByName(source.mapInArrow(_search(held, window, max_edit, arrow), schema))
+    return out
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[tuple[list[tuple[object, str]], int]]:
+    """(items, window) of every pass over the documents; each block is of bounded size."""
+    wanted = items.select(F.col(item_id).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    passes = -(-(wanted.agg(F.sum(F.length("t"))).first()[0] or 0) // block_chars)
     for n in range(passes):
         block = wanted if passes == 1 else wanted.where(F.pmod(F.xxhash64("t"), F.lit(passes)) == n)
         held = sorted(((r["i"], _normal(r["t"])) for r in block.collect()), key=lambda x: (x[1], str(x[0])))
         held = [x for x in held if len(x[1]) >= MIN_ITEM]
-        if not held:
-            continue
-        window = min(MAX_WINDOW, 2 * min(len(x[1].encode()) for x in held) // 3)
-        out_n = source.mapInArrow(_search(held, window, max_edit, arrow), schema)
-        out = out.unionByName(out_n)
-    return out
+        if held:
+            yield held, min(MAX_WINDOW, 2 * min(len(x[1].encode()) for x in held) // 3)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -247,7 +245,23 @@ def _search(held, window, max_edit, arrow):
     return run
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item; a document without an id is compared by its null."""
-    found = leaks(docs, items, id_col, **options).select(F.col(id_col).alias("__leaked")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__leaked")), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+          max_edit: float = MAX_EDIT, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item, in narrow passes; columns stay as they are."""
+    at = docs.columns.index(text_col)
+
+    def without(held: list, window: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(held, window)
+            for batch in batches:
+                kept = np.ones(batch.num_rows, bool)
+                for row, data, offsets in arrowtext.blocks(batch.column(at)):
+                    for r, _, _, _ in _leaks(index, data, offsets, max_edit):
+                        kept[row + r] = False
+                yield batch.filter(pa.array(kept))
+
+        return run
+
+    for held, window in _blocks(items, item_id, item_text, block_chars):
+        docs = docs.mapInArrow(without(held, window), docs.schema)
+    return docs
