@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from pulsemill.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -28,7 +29,7 @@ def shown(value):
     return repr(value)
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, duck, name):
     result = entry_point.queries()[name](spark, FOLDER)
     columns = sorted(result.columns)
