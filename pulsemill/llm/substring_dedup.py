@@ -54,13 +54,13 @@ def _ranges(candidates: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _level(length: int, window: int):
-    """Per row of (row, text, [lo, hi pairs]): the hashes of one level with the candidates that they stand for."""
+    """Per row of (row, id, text, [lo, n pairs]): hashes of one level, each with the ``n`` candidates from ``lo`` on that it stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            spans = batch.column(2) if batch.num_columns > 2 else None
-            for row, data, offsets in arrowtext.blocks(batch.column(1)):
+            spans = batch.column(3) if batch.num_columns > 3 else None
+            for row, data, offsets in arrowtext.blocks(batch.column(2)):
                 starts, ends, first = arrowtext.words(data, offsets)
                 n = len(starts)
                 if n < window:
@@ -80,7 +80,7 @@ def _level(length: int, window: int):
                     base = np.repeat(first[:-1], count // 2)
                     mark = np.zeros(n + 1, np.int32)
                     np.add.at(mark, pairs[:, 0] + base, 1)
-                    np.add.at(mark, pairs[:, 1] + base + 1, -1)
+                    np.add.at(mark, pairs[:, 0] + pairs[:, 1] + base, -1)
                     wanted = np.cumsum(mark)[: len(wanted)] > 0
                 wanted &= own[: len(wanted)] == own[window - 1 :]
                 candidates = np.flatnonzero(wanted)
@@ -90,25 +90,25 @@ def _level(length: int, window: int):
                 low, high, owner = candidates[a], candidates[b], own[candidates[a]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(hashes[place[low]].view(np.int64)), pa.array(ids[row + owner], pa.int64()),
-                    pa.array((low - first[owner]).astype(np.int32)), pa.array((high - first[owner]).astype(np.int32))], names=["h", "row", "lo", "hi"])
+                    pa.array((low - first[owner]).astype(np.int32)), pa.array((high - low + 1).astype(np.int32))], names=["h", "row", "lo", "n"])
 
     return run
 
 
 def _repeated(found: DataFrame) -> DataFrame:
     """Rows of ``found`` whose hash occurs at two places or more, as (row, spans) with all spans of a row's text."""
-    again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    again = found.groupBy("h").count().where("count > 1").select("h")
     kept = found.join(again, "h", "left_semi")
-    return kept.groupBy("row").agg(F.flatten(F.collect_list(F.array("lo", "hi"))).alias("spans"))
+    return kept.groupBy("row").agg(F.flatten(F.collect_list(F.array("lo", "n"))).alias("spans"))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(row, spans): starts of the repeated windows of each text as flat (first, last) pairs; a text's spans are one row."""
-    source = _source(docs, id_col, text_col).select("row", "text")
+    """(row, spans): starts of the repeated windows of each text as flat (first, number) pairs; a text's spans are one row."""
+    source = _source(docs, id_col, text_col)  # with the id, so that all joins share one shuffle of the texts
     state = None
     for length in lengths(window):
         texts = source if state is None else source.join(state, "row")
-        state = _repeated(texts.mapInArrow(_level(length, window), "h long, row long, lo int, hi int"))
+        state = _repeated(texts.mapInArrow(_level(length, window), "h long, row long, lo int, n int"))
     return state
 
 
@@ -127,9 +127,9 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, offsets in arrowtext.blocks(batch.column(1)):
+            for row, data, offsets in arrowtext.blocks(batch.column(2)):
                 starts, ends, first = arrowtext.words(data, offsets)
-                part = batch.column(2).slice(row, len(offsets) - 1)
+                part = batch.column(3).slice(row, len(offsets) - 1)
                 n_removed, kept = [], []
                 for i, spans in enumerate(part):
                     a, b = first[i], first[i + 1]
@@ -138,7 +138,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     if spans.is_valid:
                         pairs = spans.values.to_numpy(zero_copy_only=False).reshape(-1, 2)
                         np.add.at(gone, pairs[:, 0], 1)
-                        np.add.at(gone, pairs[:, 1] + window, -1)
+                        np.add.at(gone, pairs[:, 0] + pairs[:, 1] + window - 1, -1)
                     left = np.cumsum(gone)[:size] == 0
                     n_removed.append(size - int(left.sum()))
                     text = data[offsets[i] : offsets[i + 1]].tobytes()
@@ -147,9 +147,9 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     else:
                         text = b" ".join(text.split())  # bytes split at exactly the six separators
                     kept.append(text)
-                columns = [batch.column(0).slice(row, len(kept)), pa.array(np.diff(first)), pa.array(n_removed, pa.int64())]
+                columns = [batch.column(1).slice(row, len(kept)), pa.array(np.diff(first)), pa.array(n_removed, pa.int64())]
                 columns += [pa.array([k.decode() for k in kept], pa.string())] * texts + [pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     marks = repeated_windows(docs, id_col, text_col, window)
-    return _source(docs, id_col, text_col).join(marks, "row", "left").select("id", "text", "spans").mapInArrow(run, T.StructType(fields))
+    return _source(docs, id_col, text_col).join(marks, "row", "left").mapInArrow(run, T.StructType(fields))
