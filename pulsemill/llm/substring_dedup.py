@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,52 +54,69 @@ def _ranges(candidates: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _level(length: int, window: int):
-    """Per row of (row, id, text, [lo, n pairs]): hashes of one level, each with the ``n`` candidates from ``lo`` on that it stands for."""
+    """Per row of (row, id, text, [lo, n pairs]): hashes of one level, each with the ``n`` candidates from ``lo`` on that it stands for.
+
+    ``known``: the hash occurs twice in this batch already. Only the first row of a hash then keeps it as its ``key``;
+    the others get one of their own, as they need no further comparison.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            spans = batch.column(3) if batch.num_columns > 3 else None
-            for row, data, offsets in arrowtext.blocks(batch.column(2)):
-                starts, ends, first = arrowtext.words(data, offsets)
-                n = len(starts)
-                if n < window:
-                    continue
-                hashes = arrowtext.word_hashes(data, starts, ends)
-                own = arrowtext.owners(first)
-                at = np.arange(n - length + 1)
-                hashes = arrowtext.run_hashes(hashes, at, at + length)
-                place = _least(hashes, window - length + 1)
-                wanted = np.zeros(n - window + 1, bool)
-                if spans is None:
-                    wanted[:] = True
-                else:
-                    part = spans.slice(row, len(offsets) - 1)
-                    pairs = part.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2).astype(np.int64)
-                    count = np.diff(part.offsets.to_numpy())
-                    base = np.repeat(first[:-1], count // 2)
-                    mark = np.zeros(n + 1, np.int32)
-                    np.add.at(mark, pairs[:, 0] + base, 1)
-                    np.add.at(mark, pairs[:, 0] + pairs[:, 1] + base, -1)
-                    wanted = np.cumsum(mark)[: len(wanted)] > 0
-                wanted &= own[: len(wanted)] == own[window - 1 :]
-                candidates = np.flatnonzero(wanted)
-                if not len(candidates):
-                    continue
-                a, b = _ranges(candidates + 2 * own[candidates], place[candidates])
-                low, high, owner = candidates[a], candidates[b], own[candidates[a]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashes[place[low]].view(np.int64)), pa.array(ids[row + owner], pa.int64()),
-                    pa.array((low - first[owner]).astype(np.int32)), pa.array((high - low + 1).astype(np.int32))], names=["h", "row", "lo", "n"])
+            found = [np.concatenate(c) for c in zip(*parts(batch))]
+            if found:
+                _, at, inverse, count = np.unique(found[0], return_index=True, return_inverse=True, return_counts=True)
+                key, row, lo, n = found
+                later = np.ones(len(key), bool)
+                later[at] = False
+                with np.errstate(over="ignore"):
+                    own = arrowtext.mix(row.view(np.uint64) * np.uint64(3) + lo.astype(np.uint64)).view(np.int64)
+                columns = [np.where(later, own, key), row, lo, n, count[inverse] > 1]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["key", "row", "lo", "n", "known"])
+
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        spans = batch.column(3) if batch.num_columns > 3 else None
+        for row, data, offsets in arrowtext.blocks(batch.column(2)):
+            starts, ends, first = arrowtext.words(data, offsets)
+            n = len(starts)
+            if n < window:
+                continue
+            hashes = arrowtext.word_hashes(data, starts, ends)
+            own = arrowtext.owners(first)
+            at = np.arange(n - length + 1)
+            hashes = arrowtext.run_hashes(hashes, at, at + length)
+            place = _least(hashes, window - length + 1)
+            wanted = np.zeros(n - window + 1, bool)
+            if spans is None:
+                wanted[:] = True
+            else:
+                part = spans.slice(row, len(offsets) - 1)
+                pairs = part.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2).astype(np.int64)
+                count = np.diff(part.offsets.to_numpy())
+                base = np.repeat(first[:-1], count // 2)
+                mark = np.zeros(n + 1, np.int32)
+                np.add.at(mark, pairs[:, 0] + base, 1)
+                np.add.at(mark, pairs[:, 0] + pairs[:, 1] + base, -1)
+                wanted = np.cumsum(mark)[: len(wanted)] > 0
+            wanted &= own[: len(wanted)] == own[window - 1 :]
+            candidates = np.flatnonzero(wanted)
+            if not len(candidates):
+                continue
+            a, b = _ranges(candidates + 2 * own[candidates], place[candidates])
+            low, high, owner = candidates[a], candidates[b], own[candidates[a]]
+            yield hashes[place[low]].view(np.int64), ids[row + owner], (low - first[owner]).astype(np.int32), (high - low + 1).astype(np.int32)
 
     return run
 
 
 def _repeated(found: DataFrame) -> DataFrame:
-    """Rows of ``found`` whose hash occurs at two places or more, as (row, spans) with all spans of a row's text."""
-    again = found.groupBy("h").count().where("count > 1").select("h")
-    kept = found.join(again, "h", "left_semi")
-    return kept.groupBy("row").agg(F.flatten(F.collect_list(F.array("lo", "n"))).alias("spans"))
+    """Rows of ``found`` whose hash occurs at two places or more, as (row, spans) with all spans of a row's text.
+
+    Of each hash a batch has dealt one row by the hash itself, so however common a hash is, it has no more rows in one task
+    than there are batches.
+    """
+    counted = found.withColumn("places", F.count("*").over(Window.partitionBy("key"))).where("known OR places > 1")
+    return counted.groupBy("row").agg(F.flatten(F.collect_list(F.array("lo", "n"))).alias("spans"))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -108,7 +125,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     state = None
     for length in lengths(window):
         texts = source if state is None else source.join(state, "row")
-        state = _repeated(texts.mapInArrow(_level(length, window), "h long, row long, lo int, n int"))
+        state = _repeated(texts.mapInArrow(_level(length, window), "key long, row long, lo int, n int, known boolean"))
     return state
 
 
