@@ -1,0 +1,312 @@
+"""The training-data operators against plain versions, on small tables with nulls, empty and long texts, repeats and clashing columns."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from pulsemill.llm import (
+    bpe, components, decontamination, language_id, pii, quality_classifier, quality_rules, queries, secret_scan, simhash, substring_dedup, token_counts,
+)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, fp long, row long, h long, key string, w string, t string"
+
+
+def prose(rng, n):
+    return " ".join(rng.choice("the of and to ion er on th ing ed re stone river cloud Apple é ü ñ maßen".split()) + rng.choice(["", "", "s", "ly", ".", ","]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(3)
+    long = prose(rng, 9000)
+    shared = prose(rng, 60)
+    out = [None, "", " \t\n", "one", "one two", "a b c", "same same same same", long, long, prose(rng, 80), "x" * 20_000, "🙂 é\u0085b c\x1cd"]
+    out += [shared, shared, f"{prose(rng, 30)} {shared} {prose(rng, 20)}", f"{prose(rng, 10)}\n{shared}", "word " * 200, "line a b c\nline a b c\n \nline d\nline a b c\n" * 9]
+    out += [prose(rng, rng.randrange(1, 150)) for _ in range(60)]
+    near = out[-1].split(" ") * 3
+    return out + [" ".join(near), " ".join(near[:-1] + ["other"]), out[-2], out[-2]]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, None, None, None, 7, 7, 7, "k", "w", "t") for i, t in enumerate(texts)] + [(None, "no id here", None, None, None, 1, 1, 1, None, None, None)]
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def words(t):
+    return WORD.findall(t or "")
+
+
+def test_quality_rules(docs, texts):
+    got = by_id(quality_rules.apply_policy(quality_rules.ledger(docs)))
+    for i, t in enumerate(texts):
+        w = words(t)
+        grams = list(zip(w, w[1:], w[2:]))
+        often = collections.Counter(grams)
+        covered = {k + j for k, g in enumerate(grams) if often[g] > 1 for j in range(3)}
+        lines = [x for x in (t or "").split("\n") if words(x)]
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")))
+        assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(covered))
+        assert bool(r.failed_bits & 1) == (len(w) < 50) and bool(r.failed_bits & 2) == (100 * len(covered) > 50 * len(w))
+        assert r.kept == (r.failed_bits == 0)
+    kept = {r.doc_id for r in quality_rules.accepted(docs).collect()}
+    assert kept == {i for i, r in got.items() if r.kept} and quality_rules.accepted(docs).columns == docs.columns
+
+
+def test_packed_windows_fall_back(spark, monkeypatch):
+    """With hardly any bits for the hash, clashes send texts to the exact pairs."""
+    monkeypatch.setattr(quality_rules, "PLACE", 62)
+    df = spark.createDataFrame([(1, "a b c d a b c e f g a b c"), (2, "a b c d e f g h")], "doc_id long, text string")
+    assert {i: r.n_repeat_words for i, r in by_id(quality_rules.measure(df)).items()} == {1: 9, 2: 0}
+
+
+def test_ablations(docs):
+    entries = quality_rules.ledger(docs).persist()
+    rows = entries.collect()
+    for r in quality_rules.ablations(entries).collect():
+        mask, bit = quality_rules.POLICIES[r.policy], quality_rules.BITS[r.rule]
+        assert r.rejected == sum(bool(x.failed_bits & mask) for x in rows) and r.failed == sum(bool(x.failed_bits & mask & bit) for x in rows)
+        assert r.alone == sum(x.failed_bits & mask == bit for x in rows)
+
+
+def plain_distance(item, text):
+    last = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        row = [i]
+        for j, b in enumerate(text, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a != b)))
+        last = row
+    return min(last)
+
+
+def test_edit_distance():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(lo, 20))) for lo in (1, 0))
+        assert decontamination.edit_distance_within(a, b) == plain_distance(a, b)
+
+
+def test_decontamination(spark, docs, empty):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    item = lambda: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(30))
+    items = [item() for _ in range(20)]
+    planted = []
+    for n in range(150):
+        own = list(items[n % 20].upper() if n % 3 else items[n % 20])
+        for _ in range(n % 12):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randint(0, 1)] = rng.choice(letters)
+        planted.append((1000 + n, prose(rng, rng.randrange(0, 60)) + "\n" + "".join(own) + " " + prose(rng, 9), n % 20))
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string, item long").drop("item"))
+    bench = spark.createDataFrame([*enumerate(items), (98, None), (99, ""), (100, "too short")], "item_id long, text string")
+    got = decontamination.leaks(both, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, n) for i, _, n in planted}
+    for r in got:
+        text = dict((i, t) for i, t, _ in planted)[r.doc_id]
+        exact = plain_distance(items[r.item_id], " ".join(words(text)).lower())
+        assert exact <= r.distance <= 0.2 * r.item_chars
+    split = decontamination.leaks(both, bench, block_chars=2000).collect()
+    assert sorted((r.doc_id, r.item_id) for r in split) == sorted((r.doc_id, r.item_id) for r in got)
+    assert decontamination.clean(both, bench).count() == docs.count()
+    assert decontamination.leaks(docs, bench.limit(0)).count() == 0 and decontamination.leaks(empty, bench).count() == 0
+
+
+def plain_fingerprint(t):
+    w = words("".join(c.lower() if c.isascii() else c for c in t or ""))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[k : k + 3]).encode(), 42) for k in range(max(1, len(w) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_components(values):
+    root = list(range(len(values)))
+    top = lambda x: x if root[x] == x else top(root[x])
+    for i in range(len(values)):
+        for j in range(i):
+            if (values[i] ^ values[j]).bit_count() <= 3:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(values))]
+
+
+def test_simhash(docs, texts, empty):
+    prints = [plain_fingerprint(t) for t in texts]
+    got = by_id(simhash.near_duplicates(docs))
+    assert len(got) == len(texts) + 1
+    assert [got[i].fingerprint for i in range(len(texts))] == [f"{p:016x}" for p in prints]
+    assert [got[i].component_id for i in range(len(texts))] == plain_components(prints)
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = [r.doc_id for r in simhash.keep_one(docs).collect()]
+    assert sorted(x for x in kept if x is not None) == sorted(set(plain_components(prints))) and None in kept
+
+
+@pytest.mark.parametrize("shard", [4096, 5])
+def test_simhash_links_in_split_shards(spark, shard):
+    rng = random.Random(2)
+    centre = rng.getrandbits(64)
+    values = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for _ in range(250)} | {rng.getrandbits(64) for _ in range(50)}
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    found = components.connected_components(simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), shard=shard)).collect()
+    root = {r.node: r.root for r in found}
+    plain = plain_components([v & (1 << 64) - 1 for v in signed])
+    assert [root.get(v, v) for v in signed] == [signed[p] for p in plain]
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(50)] + [(7, 7), (None, 3)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(51)}
+
+
+PII_BASE = [
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+    (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+    (r"[0-9]([\x20-]?[0-9])+", lambda s: luhn([int(c) for c in s if c.isdigit()][::-1])),
+    (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= sum(c.isdigit() for c in s) <= 15),
+]
+
+
+def luhn(d):
+    return 12 <= len(d) <= 19 and sum(v if i % 2 == 0 else sum(divmod(2 * v, 10)) for i, v in enumerate(d)) % 10 == 0
+
+
+def test_pii(spark, docs, empty):
+    rng = random.Random(2)
+    odd = ["a@b.c@d.e x@y.z_w@q.r", "1.2.3.4.5.6.7.8 256.1.1.1 0255.1.1.1", "4111 1111 1111 1111 4111-1111-1111-1112", "+1 (606) 555-7814 +12 --- +1", "a.b" * 20_000 + "@", "1 " * 20_000, "é@ü.com 🙂 a@b.co"]
+    odd += ["".join(rng.choice("ab@.1234567890-+ ()_é\n") for _ in range(rng.randrange(80))) for _ in range(800)]
+    odd += ["please call tel: (555) 123-4567 now", "order 123456789 of part", "write to mail john.doe (at) home (dot) org today"]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(5000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
+    got = by_id(pii.detect(df))
+    for i, t in enumerate(odd):
+        base = sorted((m.start(), k, m.end()) for k, (p, f) in enumerate(PII_BASE) for m in re.finditer(p, t) if f(m[0]))
+        assert [tuple(x) for x in got[5000 + i].base] == base
+        assert set(base) <= {tuple(x) for x in got[5000 + i].spans}
+    at = 5000 + len(odd) - 3
+    assert [x.kind for x in got[at].spans] == [5] and not got[at + 1].spans and [x.kind for x in got[at + 2].spans] == [4]
+    red = by_id(pii.redact(df))
+    assert red[5006].text == "é@ü.com 🙂 <EMAIL>" and red[0].text is None and red[at].text == "please call tel: <NUMBER_FORM> now"
+    assert pii.detect(empty).count() == 0
+
+
+def test_quality_classifier(spark, docs, empty):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 40) if i % 2 else " ".join(w + "***" for w in prose(rng, 40).split(" "))) for i in range(400)]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(400)] + [(1, None)], "doc_id long, quality int")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = quality_classifier.train(df, labels, fold != 0)
+    got = by_id(quality_classifier.score(df, model).withColumn("held", fold == 0))
+    held = [(i, r.score) for i, r in got.items() if r.held]
+    assert held and np.mean([(s >= 0.3) == bool(i % 2) for i, s in held]) > 0.95
+    assert np.array_equal(model, quality_classifier.train(df, labels, fold != 0))
+    assert quality_classifier.score(docs, model).count() == docs.count() and quality_classifier.score(empty, model).count() == 0
+    assert set(r.score for r in quality_classifier.score(df, quality_classifier.train(df, labels.limit(0), fold != 0)).collect()) == {0.5}
+
+
+def test_secret_scan(spark, docs, empty):
+    models = secret_scan.train(docs)
+    rng = random.Random(4)
+    keys, names = secret_scan.generated(200, 77)
+    assert np.mean([models.score(k) >= models.limit for k in keys]) > 0.9 and np.mean([models.score(n) >= models.limit for n in names]) < 0.02
+    odd = ['Password = "abcdefgh"', "token:short", "API_KEY='0123456789abcdef'", "paſſword=abcdefghij", "AKIAABCDEFGHIJKL AKIASHORT", "0123456789abcdef" * 3, "secret=secret=abcdefgh", "see " + keys[0] + "."]
+    odd += ["".join(rng.choice(["token", "=", ":", " ", "abc", "9f", '"', "AKIA", "Z9"]) for _ in range(rng.randrange(40))) for _ in range(300)]
+    got = by_id(secret_scan.scan(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), models))
+    for i, t in enumerate(odd):
+        found = [(m.start(), 0, m.end()) for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 8]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        assert got[i].base == secret_scan.written(sorted(found)) and set(filter(None, got[i].base.split(","))) <= set(got[i].spans.split(","))
+        assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == [sum(k == x[1] for x in found) for k in range(3)]
+    assert "random" in got[7].spans
+    assert secret_scan.scan(docs, models).count() == docs.count() and secret_scan.scan(empty, models).count() == 0
+
+
+def odd_texts(texts):
+    rng = random.Random(1)
+    out = [t for t in texts if t is not None] + ["ΑΣ ΣΑΣ Σ", "İstanbul ẞ ǅ", "a<|endoftext|>b <|startoftext|>", "\u0085x y　z\x1cq\x1f", "don't we'll I'M 12345 é 가나다 ₩½²", "!?" * 900, "日本語 🙂🙂👩‍👧 ​﻿", " a", "  a  b", "▁a ▁"]
+    return out + ["".join(rng.choice("ab'st \n\té1ΣßИ中🙂▁#") for _ in range(rng.randrange(60))) for _ in range(200)]
+
+
+def test_bpe(spark, docs, texts, empty):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    known = Tokenizer.from_file(path)
+    odd = odd_texts(texts)
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = by_id(bpe.round_trip(df, path))
+    for i, t in enumerate(odd):
+        ids = known.encode(t, add_special_tokens=False).ids
+        text = known.decode(ids, skip_special_tokens=False)
+        assert got[i].ids == ids and got[i].n_tokens == len(ids) and got[i].decoded == text
+        assert got[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert {i: r.decoded for i, r in by_id(bpe.decode(bpe.encode(df, path), path)).items()} == {i: r.decoded for i, r in got.items()}
+    assert by_id(bpe.encode(docs, path, ids=False))[0].n_tokens == 0 and bpe.encode(empty, path).count() == 0
+
+
+def test_token_counts(spark, docs, texts, empty):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    pieces = token_counts.vocabulary(path)
+    lowest = min(s for _, s in pieces)
+    known = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces, *((f"<0x{i:02X}>", lowest) for i in range(256))], unk_id=0, byte_fallback=True))
+    known.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    odd = odd_texts(texts)
+    got = by_id(token_counts.count(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), path))
+    assert [got[i].n_tokens for i in range(len(odd))] == [len(known.encode(t, add_special_tokens=False).ids) for t in odd]
+    ties = token_counts.Counter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁ab", -3.0)])
+    assert ties.text("ab") == 1  # an equal score does not replace the match from the earlier start
+    assert by_id(token_counts.count(docs, path))[0].n_tokens == 0 and token_counts.count(empty, path).count() == 0
+
+
+@pytest.mark.parametrize("window", [35, 7, 80])
+def test_substring_dedup(docs, texts, empty, window):
+    rows = [(i, words(t)) for i, t in [*enumerate(texts), (None, "no id here")]]
+    seen = collections.Counter(tuple(w[k : k + window]) for _, w in rows for k in range(len(w) - window + 1))
+    got = by_id(substring_dedup.remove_repeated(docs, window=window))
+    assert len(got) == len(rows)
+    for i, w in rows:
+        gone = {k + j for k in range(len(w) - window + 1) if seen[tuple(w[k : k + window])] > 1 for j in range(window)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        assert (got[i].n_words, got[i].n_removed, got[i].kept) == (len(w), len(gone), kept) and got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+    assert substring_dedup.remove_repeated(empty).count() == 0
+
+
+def test_substring_dedup_of_repeated_rows(spark):
+    text = " ".join(map(str, range(50)))
+    df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "short text")], "doc_id long, text string")
+    assert sorted((r.n_words, r.n_removed) for r in substring_dedup.remove_repeated(df).collect()) == [(2, 0), (50, 50), (50, 50), (50, 50)]
+
+
+def test_language_id(spark, docs, empty):
+    rng = random.Random(9)
+    makes = {"aa": "tik tak tok tuk", "bb": "ülm örk äsch fün", "cc": "lo la li lé"}
+    rows = [(i, " ".join(rng.choice(makes[g].split()) + rng.choice(makes[g].split()) for _ in range(rng.randint(3, 60))), g) for i in range(300) for g in [rng.choice(list(makes))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = language_id.train(df, fold != 2)
+    got = [r for r in language_id.predict(df, model).join(df.select("doc_id", "lang"), "doc_id").where(fold == 2).collect()]
+    assert got and np.mean([r.lang == r.lang_pred for r in got]) > 0.97 and all(0 <= r.score <= 1 for r in got)
+    none = by_id(language_id.predict(docs, model))
+    assert {i for i, r in none.items() if r.lang_pred == "und"} == {0, 1, 2} and none[0].score == 0.0
+    assert {r.lang_pred for r in language_id.predict(docs, language_id.train(df.limit(0), fold != 2)).collect()} == {"und"}
+    assert language_id.predict(empty, model).count() == 0
