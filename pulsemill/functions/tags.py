@@ -12,9 +12,12 @@ PAIR_MARK, ENTRY_MARK = "\u001e", "\u001f"
 
 
 def canonical_tags(tags: Column, pair: str = PAIR_MARK, entry: str = ENTRY_MARK) -> Column:
-    """One string per tag content, whatever the map's order. The default marks are control characters."""
+    """One string per tag content, whatever the map's order. The default marks are control characters.
+
+    A key without a value stands without the pair mark, apart from an empty value and from no key.
+    """
     return F.array_join(
-        F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit(pair), e["value"])),
+        F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.coalesce(F.concat(F.lit(pair), e["value"]), F.lit("")))),
         entry,
     )
 

@@ -12,7 +12,7 @@ from pulsemill.functions.time import bin_start
 from pulsemill.model import GRANULARITY_MS, RETAINED_BINS
 from pulsemill.operators.digest import as_digest, compress_digest, merge_digests
 from pulsemill.operators.ranges import has_hot_group, row_rank, salted_join, shuffle_partitions
-from pulsemill.operators.validate import not_finite
+from pulsemill.operators.validate import digest_reason, not_finite
 from pulsemill.session import materialise
 
 MINUTE_KEY = ["series", "minute_ms"]
@@ -26,7 +26,7 @@ def histogram_bins(
 
     Values are counted per distinct value first, which combines map-side; only distinct values are shuffled. Whether a
     bin is hot is asked of the raw rows, which are at least as many as its distinct values.
-    Values that are not finite are left out.
+    Values that are not finite are left out; ``rejected_samples`` gives them.
     """
     finite = samples.filter(~not_finite(F.col(value)))
     keys = ["series"] if bin_ms is None else MINUTE_KEY
@@ -37,7 +37,9 @@ def histogram_bins(
 
 
 def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), split: bool | None = None) -> DataFrame:
-    """Pre-aggregated (keys, mean, count) rows, already checked, to digest rows."""
+    """Pre-aggregated (keys, mean, count) rows to digest rows. Rows that ``digest_reason`` names are left out, as
+    ``validate_digest_input`` reports them."""
+    bulk = bulk.filter(digest_reason(F.col("mean"), F.col("count")).isNull())
     split = has_hot_group(bulk, keys) if split is None else split
     weights = bulk.select(*keys, "mean", F.col("count").cast("bigint").alias("weight"))
     return compress_digest(as_digest(weights, keys), keys, split)

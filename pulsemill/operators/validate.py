@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.text import bare_delta, blank
+from pulsemill.model import GRANULARITY_MS
 from pulsemill.operators.ranges import broadcast_if_small
 
 REASON = "reject_reason"
@@ -53,13 +54,20 @@ def validate_distributions(dists: DataFrame) -> DataFrame:
         .when(granularities.isNull() | (F.size(granularities) == 0), "no_granularity")
         .when(centroids.isNull() | (F.size(centroids) == 0), "no_centroids")
         .when(F.exists(granularities, lambda g: g.isNull()), "null_granularity")
+        .when(F.exists(granularities, lambda g: ~g.isin(*GRANULARITY_MS)), "unknown_granularity")
+        .when(F.exists(centroids, lambda c: c["count"].isNull()), "null_count")
         .when(F.exists(centroids, lambda c: not_finite(c["mean"])), "non_finite")
     )
     return dists.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.col("source")))
 
 
 def validate_spans(spans: DataFrame) -> DataFrame:
-    return spans.withColumn(REASON, _tag_reason(_name_reason(F.col("name")), F.col("tags"), F.col("source")))
+    reason = (
+        _name_reason(F.col("name"))
+        .when(F.col("trace_id").isNull() | F.col("span_id").isNull(), "missing_id")
+        .when(F.col("start_ms").isNull() | F.col("duration_ms").isNull(), "missing_time")
+    )
+    return spans.withColumn(REASON, _tag_reason(reason, F.col("tags"), F.col("source")))
 
 
 def validate_digest_input(bulk: DataFrame, means: str = "means", counts: str = "counts") -> DataFrame:
@@ -72,17 +80,23 @@ def validate_digest_input(bulk: DataFrame, means: str = "means", counts: str = "
         *[c for c in bulk.columns if c not in (means, counts)], F.posexplode(pairs).alias("pos", "_pair")
     )
     rows = rows.select("*", F.col("_pair.mean").alias("mean"), F.col("_pair.count").alias("count")).drop("_pair")
-    reason = (
-        F.when(not_finite(F.col("mean")), "non_finite")
-        .when(F.col("count").isNull() | (F.col("count") <= 0), "weight_not_positive")
-    )
-    return rows.withColumn(REASON, reason)
+    return rows.withColumn(REASON, digest_reason(F.col("mean"), F.col("count")))
+
+
+def digest_reason(mean: Column, count: Column) -> Column:
+    """Why a weighted value may not enter a digest, or null."""
+    return F.when(not_finite(mean), "non_finite").when(count.isNull() | (count <= 0), "weight_not_positive")
 
 
 def valid(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REASON).isNull()).drop(REASON)
 
 
+def rejected_samples(samples: DataFrame, value: str = "value") -> DataFrame:
+    """The samples that ``histogram_bins`` leaves out, with their reason."""
+    return samples.filter(not_finite(F.col(value))).withColumn(REASON, F.lit("non_finite"))
+
+
 def rejected(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REASON).isNotNull())
 

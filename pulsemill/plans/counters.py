@@ -37,7 +37,7 @@ def heartbeats(spark, folder):
 QUERIES = {f.__name__: f for f in (delta_sums, counter_totals, counter_deltas, registry_report, heartbeats)}
 
 _SIGNED = "CASE op WHEN 'inc' THEN n WHEN 'dec' THEN -n ELSE 0 END"
-BEAT_TAGS = ("'application=' || application || ',cluster=' || coalesce(cluster, 'none') || ',component=' || component || ',env=' || custom_env"
+BEAT_TAGS = ("'application=' || application || ',cluster=' || coalesce(cluster, 'none') || ',component=' || component || coalesce(',env=' || custom_env, '')"
              " || ',service=' || service || ',shard=' || coalesce(shard, 'none')")
 
 SQL = {

@@ -24,7 +24,7 @@ def _lines(spark, folder):
     """All encoded lines of all four kinds."""
     return delivery.union_lines(
         point_plans.encode_metric_lines(spark, folder), histogram_plans.encode_histogram_lines(spark, folder),
-        span_plans.encode_span_lines(spark, folder), span_plans.encode_span_logs_json(spark, folder))
+        span_plans.encode_span_lines(spark, folder), span_plans.admitted_envelopes(spark, folder))
 
 
 def _records(spark, folder):
@@ -108,7 +108,7 @@ _LINES = (
     f", metric_lines AS (SELECT {q.METRIC_LINE} AS line FROM pts WHERE ({q.POINT_REASON}) IS NULL)"
     + histogram_plans.HISTOGRAM_LINES + span_plans.SPAN_LINES + span_plans.SPAN_LOG_LINES + """,
 lines AS (SELECT 'metric' AS format, line FROM metric_lines UNION ALL SELECT 'histogram', line FROM histogram_lines
-  UNION ALL SELECT 'trace', line FROM span_lines UNION ALL SELECT 'spanLogs', line FROM span_log_lines)""")
+  UNION ALL SELECT 'trace', line FROM span_lines UNION ALL SELECT 'spanLogs', line FROM span_log_lines WHERE admitted)""")
 _ALL = ("pts", "dists", "spans", "logs")
 
 SQL = {

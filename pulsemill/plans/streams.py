@@ -52,7 +52,7 @@ def stream_tag_dedup(spark, folder):
 def stream_heartbeats(spark, folder):
     """The stream is joined with the table of applications."""
     beats = _timed(spark, folder).withColumn("component", F.col("event_type")).join(
-        views.apps(spark, folder), F.col("user_id") == F.col("app_id"))
+        views.apps(spark, folder), F.col("user_id") == F.col("app_id"), "left").fillna({"application": "unknown", "service": "unknown"})
     sent = streams.run_to_table(streams.stream_heartbeats(beats), "stream-beats")
     return sent.select("name", "value", "window_ms", _tags("canonical"))
 

@@ -193,7 +193,8 @@ def beats(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").selectExpr(
         "user_id", f"{ms('ts')} AS ts_ms", "event_type AS component",
         "CASE WHEN event_type = 'signup' THEN map('k', regexp_extract(props, '([0-9]+)', 1), 'kind', event_type) END AS reported_tags")
-    return events.join(apps(spark, folder), events.user_id == F.col("app_id")).drop("user_id", "app_id")
+    known = events.join(apps(spark, folder), events.user_id == F.col("app_id"), "left").drop("user_id", "app_id")
+    return known.fillna({"application": "unknown", "service": "unknown"})
 
 
 def routes(spark: SparkSession) -> DataFrame:
@@ -296,8 +297,9 @@ SELECT p_partkey AS id,
     || (CASE WHEN p_partkey % 3 = 0 THEN '-SNAPSHOT' ELSE '' END) END AS version FROM part""",
     "beats": """
 SELECT epoch_us(ts) // 1000 AS ts_ms, ts, event_type AS component,
-  CASE WHEN event_type = 'signup' THEN regexp_extract(props, '[0-9]+') END AS reported_k, apps.*
-FROM events JOIN apps ON user_id = app_id""",
+  CASE WHEN event_type = 'signup' THEN regexp_extract(props, '[0-9]+') END AS reported_k,
+  apps.* REPLACE (coalesce(application, 'unknown') AS application, coalesce(service, 'unknown') AS service)
+FROM events LEFT JOIN apps ON user_id = app_id""",
     "delivery_log": """
 SELECT event_id // 100 AS batch_id, count(*) AS lines,
   ['points', 'histograms', 'spans', 'span_logs'][batch_id % 4 + 1] AS entity,

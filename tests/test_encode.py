@@ -98,10 +98,10 @@ def test_span_logs(spark):
     assert sorted(lines(encoded)) == sorted([
         f'{HEAD} "_spanLogs"="true" 1493773500 343500', f"{HEAD.replace(SPAN, PARENT)} 1493773500 343500"])
 
-    joined = encode.encode_span_lines(spans.attach_span_logs(flagged.drop("has_logs"), spans.group_span_logs(logs)))
-    assert {r["span_id"]: len(r["logs"] or []) for r in joined.collect()} == {SPAN: 2, PARENT: 0}
+    joined = encode.encode_span_lines(spans.attach_span_logs(flagged.drop("has_logs"), logs))
+    assert {r["span_id"]: r["n_logs"] for r in joined.collect()} == {SPAN: 2, PARENT: 0}
     assert sorted(lines(joined)) == sorted(lines(encoded))
-    envelopes = joined.filter("logs IS NOT NULL").withColumn("span", F.col("line"))
+    envelopes = joined.join(spans.group_span_logs(logs), spans.SPAN_KEY).withColumn("span", F.col("line"))
     (line,) = lines(encode.encode_span_logs_json(envelopes))
     assert line.startswith(f'{{"traceId":"{TRACE}","spanId":"{SPAN}","logs":[{{"timestamp":1493773500123,"fields":{{"event":"error",')
     assert json.loads(line)["logs"][1] == {"timestamp": 1493773500139, "fields": {"info": "newline:\n"}}
@@ -121,6 +121,10 @@ def test_hot_span_gets_several_complete_envelopes(spark):
     assert max(len(r["logs"]) for r in chunks) == 30
     for name in ("hot", "cold"):
         assert [e for r in chunks if r["span_id"] == name for e in r["logs"]] == whole[name]
+    sent = spans.attach_span_logs(spark.createDataFrame([span(trace_id="t", span_id="hot")], model.SPANS), logs)
+    assert [r["n_logs"] for r in encode.encode_span_lines(sent).collect()] == [200]  # one line, however many envelopes
+    parted = spans.group_span_logs(logs, max_logs=30, split=True).collect()
+    assert sorted(parted, key=lambda r: (r["span_id"], r["chunk"])) == chunks
 
 
 def test_admitted_logs_and_edges(spark):
@@ -157,3 +161,13 @@ def test_validate_digest_input(spark):
     got = [(r["series"], r["mean"], r["count"], r["reject_reason"]) for r in checked.orderBy("series", "pos").collect()]
     assert [(g[0], g[2], g[3]) for g in got] == [
         ("a", 1, None), ("a", -1, "weight_not_positive"), ("b", 0, "weight_not_positive"), ("b", 1, "non_finite")]
+
+
+def test_incomplete_spans_and_distributions_are_rejected(spark):
+    rows = [span(), span(trace_id=None), span(span_id=None), span(start_ms=None), span(duration_ms=None)]
+    got = [r["reject_reason"] for r in validate.validate_spans(spark.createDataFrame(rows, model.SPANS)).collect()]
+    assert got == [None, "missing_id", "missing_id", "missing_time", "missing_time"]
+    dists = [("a", c, g, 1, "s", None) for c, g in (
+        ([(1.0, 2)], ["!M"]), ([(1.0, 2)], ["!M", "!X"]), ([(1.0, None)], ["!M"]), ([(1.0, 1), None], ["!M"]))]
+    got = [r["reject_reason"] for r in validate.validate_distributions(spark.createDataFrame(dists, model.DISTRIBUTIONS)).collect()]
+    assert got == [None, "unknown_granularity", "null_count", "null_count"]

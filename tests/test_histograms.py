@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemill.operators import digest, histograms
+from pulsemill.operators import digest, histograms, validate
 
 POWERS = [(0.1, 1), (1.0, 1), (10.0, 2), (100.0, 1), (1000.0, 1), (10000.0, 2), (100000.0, 1)]
 
@@ -187,3 +187,10 @@ def test_heavy_centroid_is_expanded_in_blocks(spark, monkeypatch):
     rows = spark.createDataFrame([("s", 1.0, 1234), ("s", 2.0, 1), ("s", 3.0, 100)], "series string, mean double, weight bigint")
     counts = histograms.histogram_values(rows, ["series"]).groupBy("value").count().collect()
     assert {r["value"]: r["count"] for r in counts} == {1.0: 1234, 2.0: 1, 3.0: 100}
+
+
+def test_bulk_leaves_out_weights_that_are_not_positive(spark):
+    rows = spark.createDataFrame([("s", 0, 1.0, 1), ("s", 0, 2.0, -1), ("s", 0, 3.0, None), ("s", 0, float("nan"), 2)], "series string, minute_ms bigint, mean double, count int")
+    (only,) = histograms.histogram_bulk(rows).collect()
+    assert only["mean"] == 1.0
+    assert validate.rejected_samples(rows.withColumnRenamed("mean", "value")).count() == 1
