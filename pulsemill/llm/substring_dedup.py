@@ -109,23 +109,26 @@ def _level(length: int, window: int):
     return run
 
 
-def _repeated(found: DataFrame) -> DataFrame:
-    """Rows of ``found`` whose hash occurs at two places or more, as (row, spans) with all spans of a row's text.
+def _repeated(found: DataFrame, last: bool) -> DataFrame:
+    """Rows of ``found`` whose hash occurs at two places or more, as (row, spans) with all (lo, n) pairs of a row's text.
+
+    On the last level every ``n`` is one, and ``spans`` holds the ``lo`` alone.
 
     Of each hash a batch has dealt one row by the hash itself, so however common a hash is, it has no more rows in one task
     than there are batches.
     """
     counted = found.withColumn("places", F.count("*").over(Window.partitionBy("key"))).where("known OR places > 1")
-    return counted.groupBy("row").agg(F.flatten(F.collect_list(F.array("lo", "n"))).alias("spans"))
+    spans = F.collect_list("lo") if last else F.flatten(F.collect_list(F.array("lo", "n")))
+    return counted.groupBy("row").agg(spans.alias("spans"))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(row, spans): starts of the repeated windows of each text as flat (first, number) pairs; a text's spans are one row."""
+    """(row, spans): the first words of the repeated windows of each text, in one row."""
     source = _source(docs, id_col, text_col)  # with the id, so that all joins share one shuffle of the texts
     state = None
     for length in lengths(window):
         texts = source if state is None else source.join(state, "row")
-        state = _repeated(texts.mapInArrow(_level(length, window), "key long, row long, lo int, n int, known boolean"))
+        state = _repeated(texts.mapInArrow(_level(length, window), "key long, row long, lo int, n int, known boolean"), length == window)
     return state
 
 
@@ -153,9 +156,9 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     size = int(b - a)
                     gone = np.zeros(size + 1, np.int32)
                     if spans.is_valid:
-                        pairs = spans.values.to_numpy(zero_copy_only=False).reshape(-1, 2)
-                        np.add.at(gone, pairs[:, 0], 1)
-                        np.add.at(gone, pairs[:, 0] + pairs[:, 1] + window - 1, -1)
+                        at = spans.values.to_numpy(zero_copy_only=False)
+                        np.add.at(gone, at, 1)
+                        np.add.at(gone, at + window, -1)
                     left = np.cumsum(gone)[:size] == 0
                     n_removed.append(size - int(left.sum()))
                     text = data[offsets[i] : offsets[i + 1]].tobytes()
