@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words whose encoding a worker remembers, in each of two generations.
-REMEMBERED = 250_000
+#: Words, and runs between white space, whose encoding a worker remembers, in each of two generations.
+REMEMBERED_WORDS, REMEMBERED_RUNS = 80_000, 160_000
 
 # What the tokenizer's pattern language calls white space.
 WHITE = r"[\x09-\x0D\x20\x85\xA0  -     　]"
@@ -110,7 +110,7 @@ class Tokenizer:
         """(number of tokens, ids, vocabulary strings) of a word, both joined by spaces."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= REMEMBERED:
+            if len(self.known) >= REMEMBERED_WORDS:
                 self.known, self.older = {}, self.known
             found = self.older.get(word)
             if found is None:
@@ -126,7 +126,7 @@ class Tokenizer:
         if found is None:
             words = [self.word(w) for w in self.words.findall(self.normal(run))]
             found = sum(x[0] for x in words), " ".join([x[1] for x in words]), " ".join([x[2] for x in words])
-        if len(self.runs) >= REMEMBERED:
+        if len(self.runs) >= REMEMBERED_RUNS:
             self.runs, self.older_runs = {}, self.runs
         self.runs[run] = found
         return found
