@@ -116,57 +116,52 @@ class BKTree:
         return found
 
 
-def _forest(own: list[int], guests: list[int], radius: int) -> Iterator[tuple[int, int]]:
-    """Links (value, root) that span the components among the shard's own values and the guests' links to them."""
-    tree = BKTree()
-    root = list(range(len(own) + len(guests)))
+class Shard:
+    """A shard's tree and the components of its values. Its own fingerprints come first, then the guests stream through, so
+    memory is bounded by the shard however many guests a hot key sends."""
 
-    def top(x: int) -> int:
+    def __init__(self, radius: int) -> None:
+        self.tree, self.root, self.radius = BKTree(), [], radius
+
+    def _top(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
-    for i, value in enumerate(own):
-        for j in tree.within(value, radius):
-            root[top(j)] = top(i)
-        tree.add(value)
-    for i, value in enumerate(guests, len(own)):
-        for j in tree.within(value, radius):
-            root[top(j)] = top(i)
-    everyone = own + guests
-    for i, value in enumerate(everyone):
-        if (t := top(i)) != i:
-            yield value, everyone[t]
+    def feed(self, value: int, guest: bool) -> list[tuple[int, int]]:
+        """Links from ``value`` to one member of each component it meets; these are one component from then on."""
+        found, own, links = self.tree.within(value, self.radius), None, []
+        if not guest:
+            own = self.tree.add(value)
+            self.root.append(own)
+        for i in found:
+            top = self._top(i)
+            if top != own:
+                links.append((value, self.tree.values[top]))
+                if own is None:
+                    own = top
+                self.root[top] = own
+        return links
 
 
 def _shards(radius: int):
-    def close(group: np.ndarray) -> Iterator[tuple[int, int]]:
-        guest = group["guest"].astype(bool)
-        yield from _forest(group["fp"][~guest].tolist(), group["fp"][guest].tolist(), radius)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = np.dtype([("key", np.int64), ("shard", np.int64), ("guest", np.int8), ("fp", np.uint64)])
-        held = np.zeros(0, kind)
-
-        def links(rows: np.ndarray, cut: np.ndarray) -> pa.RecordBatch:
-            found = [x for a, b in zip(cut[:-1], cut[1:]) if b - a > 1 for x in close(rows[a:b])]
-            pairs = np.array(found, np.uint64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].view(np.int64)), pa.array(pairs[:, 1].view(np.int64))], names=["u", "v"])
-
+        at, shard = None, Shard(radius)
         for batch in batches:
-            rows = np.empty(batch.num_rows, kind)
-            for i, name in enumerate(("key", "shard", "guest")):
-                rows[name] = batch.column(i).to_numpy(zero_copy_only=False)
-            rows["fp"] = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
-            rows = np.concatenate([held, rows])
-            new = np.flatnonzero((rows["key"][1:] != rows["key"][:-1]) | (rows["shard"][1:] != rows["shard"][:-1])) + 1
-            cut = np.concatenate([[0], new])
-            held = rows[cut[-1] :]  # the last group may go on in the next batch
-            if len(cut) > 1:
-                yield links(rows, cut)
-        if len(held):
-            yield links(held, np.array([0, len(held)]))
+            key, part, guest, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            # The groups at both ends of a batch may go on in the next one; between them, a single row has no link.
+            new = np.zeros(len(key) + 1, bool)
+            new[1:-1] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+            rows = np.flatnonzero(~(new[:-1] & new[1:]))
+            pairs = []
+            for k, p, g, value in zip(*(x[rows].tolist() for x in (key, part, guest, fp.view(np.uint64)))):
+                if (k, p) != at:
+                    at, shard = (k, p), Shard(radius)
+                pairs += shard.feed(value, bool(g))
+            found = np.array(pairs, np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, i].view(np.int64)) for i in range(2)], names=["u", "v"])
 
     return run
 
