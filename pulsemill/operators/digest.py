@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemill.model import ACCURACY, MAX_CENTROIDS
-from pulsemill.operators.ranges import running_sum
+from pulsemill.operators.ranges import has_hot_group, running_sum
 
 DIGEST = ["mean", "weight", "lo", "hi"]
 
@@ -59,8 +59,10 @@ def _cluster(ranked: DataFrame, keys: Sequence[str], max_centroids: int, accurac
 def merge_digests(parts: DataFrame, keys: Sequence[str], split: bool | None = None) -> DataFrame:
     """Partial digests (one per writer) to one digest per key.
 
-    A digest has a few hundred rows, so ``split=False`` is right for up to some thousand writers per key.
+    A digest has a few hundred rows, so ``split=False`` is right for up to some thousand writers per key. Whether a key is
+    hot is asked of the parts, so their aggregation runs once.
     """
+    split = has_hot_group(parts, keys) if split is None else split
     return compress_digest(as_digest(parts.select(*keys, *DIGEST), keys), keys, split)
 
 

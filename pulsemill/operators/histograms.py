@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pulsemill.functions.text import number_text
 from pulsemill.functions.time import bin_start
 from pulsemill.model import GRANULARITY_MS, RETAINED_BINS
-from pulsemill.operators.digest import as_digest, compress_digest, merge_digests
-from pulsemill.operators.ranges import has_hot_group, row_rank, salted_join, shuffle_partitions
+from pulsemill.operators.digest import DIGEST, as_digest, compress_digest, merge_digests
+from pulsemill.operators.ranges import has_hot_group, row_rank, shuffle_partitions
 from pulsemill.operators.validate import digest_reason, not_finite
 from pulsemill.session import materialise
 
@@ -48,12 +48,14 @@ def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), spl
 def histogram_rollup(minute_bins: DataFrame) -> DataFrame:
     """Minute digests to minute, hour and day digests in one pass over the (small) minute digests.
 
-    A day merges at most 1440 digests of a few hundred rows, which bounds every group.
+    Minutes are final and pass through; hours and days are clustered. A day merges at most 1440 digests of a few hundred
+    rows, which bounds every group.
     """
-    spread = minute_bins.withColumn("granularity", F.explode(F.array(*[F.lit(g) for g in GRANULARITY_MS])))
+    minutes = minute_bins.select("series", F.lit("!M").alias("granularity"), F.col("minute_ms").alias("start_ms"), *DIGEST)
+    spread = minute_bins.withColumn("granularity", F.explode(F.array(*[F.lit(g) for g in GRANULARITY_MS if g != "!M"])))
     width = F.create_map(*[F.lit(x) for g, ms in GRANULARITY_MS.items() for x in (g, ms)])[F.col("granularity")]
     starts = spread.withColumn("start_ms", bin_start(F.col("minute_ms"), width.cast("bigint")))
-    return merge_digests(starts, ["series", "granularity", "start_ms"], split=False)
+    return minutes.unionByName(merge_digests(starts, ["series", "granularity", "start_ms"], split=False))
 
 
 def histogram_stats(digest: DataFrame, keys: Sequence[str], all_keys: DataFrame | None = None) -> DataFrame:
@@ -111,8 +113,7 @@ def retain_recent_bins(bins: DataFrame, keep: int = RETAINED_BINS) -> DataFrame:
         minutes.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= keep)
         .groupBy("series").agg(F.min("minute_ms").alias("_from"))
     )
-    joined = salted_join(bins, cutoffs, ["series"], ["minute_ms", "mean"])
-    return joined.filter(F.col("minute_ms") >= F.col("_from")).select(*bins.columns)
+    return bins.join(cutoffs, "series").filter(F.col("minute_ms") >= F.col("_from")).select(*bins.columns)
 
 
 def closed_bins(bins: DataFrame, now_ms: int) -> DataFrame:

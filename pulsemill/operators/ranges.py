@@ -25,22 +25,17 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """False only if no group of ``keys`` is larger than ``hot_rows`` or, on large data, a task's fair share of rows.
+    """Whether a group of ``keys`` has more than ``hot_rows`` rows: a bound that does not grow with the data.
 
-    Rows are counted per hash bucket of the keys, four buckets to a task. A bucket is at least as large as each of its
-    groups, so this finds every hot group without shuffling the keys themselves.
+    Rows are first counted per hash bucket of the keys, four buckets to a task, without shuffling the keys themselves. A bucket
+    is at least as large as each of its groups, so only if one is over the bound the groups are counted, combined map-side.
     """
-    tasks = shuffle_partitions(df)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * tasks)).alias("_bucket")
-    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
-    row = sizes.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
-    return (row["largest"] or 0) > max(hot_rows, (row["total"] or 0) // tasks)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * shuffle_partitions(df)))
 
+    def over(*by) -> bool:
+        return not df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).isEmpty()
 
-def has_group_over(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether any group of ``keys`` has more than ``limit`` rows, exactly."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return not sizes.filter(F.col("_rows") > limit).isEmpty()
+    return over(bucket.alias("_bucket")) and over(*keys)
 
 
 def _decide(df: DataFrame, keys: Sequence[str], split: bool | None, hot_rows: int) -> bool:
@@ -156,20 +151,11 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
     )
 
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows; otherwise unchanged, for the planner to join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_by: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join many ``left`` rows with few ``right`` rows (an aggregate with one row per key), safe for hot keys.
-
-    ``right`` is repeated once per salt, so a hot key of ``left`` meets it in ``salts`` tasks. When ``right`` is small
-    enough at run time the join is a broadcast and nothing is skewed at all.
-    """
-    numbers = F.array(*[F.lit(i).cast("bigint") for i in range(salts)])
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    return salted.join(right.withColumn("_salt", F.explode(numbers)), [*keys, "_salt"], how).drop("_salt")
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, written as JSON, have at most ``max_bytes``; otherwise unchanged, for the planner
+    to join. No column has to be short for this bound."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

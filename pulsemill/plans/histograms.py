@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.model import GRANULARITY_MS
 from pulsemill.operators import digest, encode, histograms, validate
+from pulsemill.operators.ranges import has_hot_group
 from pulsemill.plans import sqltext as q
 from pulsemill.plans import views
 from pulsemill.plans.views import with_views
@@ -48,7 +49,7 @@ def merge_digests(spark, folder):
         "l_returnflag AS series", "l_partkey % 4 AS writer", "l_extendedprice AS mean")
     keys = ["series", "writer"]
     values = events.unionByName(lines).withColumn("weight", F.lit(1).cast("bigint"))
-    parts = digest.compress_digest(digest.as_digest(values, keys), keys)
+    parts = digest.compress_digest(digest.as_digest(values, keys), keys, has_hot_group(values, keys))
     return _shown(digest.merge_digests(parts, ["series"], split=False), "series")
 
 
@@ -212,9 +213,9 @@ FROM bins JOIN whole USING (series, minute_ms) GROUP BY series, minute_ms"""),
 SELECT series, minute_ms, round(mean, 6) AS value FROM bins, unnest(range(weight)) AS t(i)"""),
     "histogram_rollup": with_views("samples", then=f"""{_MINUTES},
 spread AS (SELECT series, granularity, minute_ms // width * width AS start_ms, mean, weight, lo, hi
-  FROM bins, (VALUES ('!M', 60000), ('!H', 3600000), ('!D', 86400000)) AS g(granularity, width)),
+  FROM bins, (VALUES ('!H', 3600000), ('!D', 86400000)) AS g(granularity, width)),
 {compress_sql('rolled', 'spread', 'series, granularity, start_ms')}
-SELECT series, granularity, start_ms, {_SHOWN} FROM rolled"""),
+SELECT series, granularity, start_ms, {_SHOWN} FROM rolled UNION ALL SELECT series, '!M', minute_ms, {_SHOWN} FROM bins"""),
     "retain_recent_bins": with_views("samples", then=f"""{_MINUTES}
 SELECT series, minute_ms, {_SHOWN} FROM bins QUALIFY dense_rank() OVER (PARTITION BY series ORDER BY minute_ms DESC) <= 11"""),
     "flush_order": with_views("samples", then=f"""{_MINUTES}

@@ -51,28 +51,35 @@ def stream_tag_dedup(spark, folder):
 
 def stream_heartbeats(spark, folder):
     """The stream is joined with the table of applications."""
-    beats = _timed(spark, folder).withColumn("component", F.col("event_type")).join(
-        views.apps(spark, folder), F.col("user_id") == F.col("app_id"), "left").fillna({"application": "unknown", "service": "unknown"})
+    beats = views.beats_of(_events(spark, folder), views.apps(spark, folder))
     sent = streams.run_to_table(streams.stream_heartbeats(beats), "stream-beats")
-    return sent.select("name", "value", "window_ms", _tags("canonical"))
+    return sent.select("name", "value", "window_ms", "source", "kind", _tags("canonical"))
 
 
 def stream_registry(spark, folder):
     """Totals and last gauge values after the whole stream, and the delta counters of each closed interval."""
     path = shared_path(prepare(spark), "stream-registry")
     observed = views.observations_of(_events(spark, folder))
-    totals = streams.run_complete(streams.stream_registry_totals(observed), f"{path}/totals", f"{path}/totals-checkpoint")
+    totals = streams.run_complete(streams.stream_registry_totals(observed, "app"), f"{path}/totals", f"{path}/totals-checkpoint")
     deltas = streams.run_to_table(
-        streams.stream_registry_deltas(views.observations_of(_events(spark, folder))), "deltas", f"{path}/deltas", f"{path}/deltas-checkpoint")
+        streams.stream_registry_deltas(views.observations_of(_events(spark, folder)), "app"), "deltas", f"{path}/deltas", f"{path}/deltas-checkpoint")
     none = F.lit(None).cast("bigint")
-    return totals.select("kind", "name", none.alias("report_ms"), F.round("value", 6).alias("value")).unionByName(
-        deltas.select(F.lit("delta").alias("kind"), "name", "report_ms", "value"))
+    return totals.select("kind", "name", "source", _tags("series_tags"), none.alias("report_ms"), F.round("value", 6).alias("value")).unionByName(
+        deltas.select(F.lit("delta").alias("kind"), "name", "source", _tags("series_tags"), "report_ms", "value"))
+
+
+#: The third in which an event arrives: each spans the whole time, so the later two hold late rows.
+ARRIVAL = "event_id % 3"
 
 
 def stream_late_split(spark, folder):
+    """The events arrive in three parts, each as a batch of its own."""
     path = shared_path(prepare(spark), "stream-late")
-    rows = _timed(spark, folder).select("event_id", "event_type", TIME)
-    split = streams.stream_late_split(rows, path, f"{path}/checkpoint")
+    events = views.table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias(TIME))
+    for part in range(3):
+        events.filter(F.expr(ARRIVAL) == part).write.mode("append").parquet(f"{path}/in")
+        arrived = streams.read_stream(spark, f"{path}/in", "*.parquet", events.schema)
+        split = streams.stream_late_split(arrived, f"{path}/out", f"{path}/checkpoint")
     return split.select("event_id", "event_type", "late")
 
 
@@ -108,15 +115,19 @@ FROM kept WHERE {_closed(q.bin_start('ts_ms'), 60000, 'kept')} GROUP BY 1, 2, 3,
 SELECT {q.bin_start('event_ms', 300_000)} AS window_ms, 'k=' || tag_k || ',type=' || tag_type AS tags, count(*) AS n_rows
 FROM pts WHERE {_closed(q.bin_start('event_ms', 300_000), 300_000, 'pts', 'event_ms')} GROUP BY 1, 2"""),
     "stream_heartbeats": with_views("beats", then=f"""
-SELECT DISTINCT '~component.heartbeat' AS name, CAST(1 AS DOUBLE) AS value, {q.bin_start('ts_ms', 300_000)} AS window_ms, {BEAT_TAGS} AS tags
-FROM beats WHERE {_closed(q.bin_start('ts_ms', 300_000), 300_000, 'beats')}"""),
+SELECT DISTINCT '~component.heartbeat' AS name, CAST(1 AS DOUBLE) AS value, {q.bin_start('ts_ms', 300_000)} AS window_ms, source, 'component' AS kind, {BEAT_TAGS} AS tags
+FROM beats WHERE {_closed(q.bin_start('ts_ms', 300_000), 300_000, 'beats')}
+UNION ALL SELECT DISTINCT '~component.heartbeat', CAST(1 AS DOUBLE), {q.bin_start('ts_ms', 300_000)}, source, 'custom', 'k=' || reported_k || ',kind=signup'
+FROM beats WHERE reported_k IS NOT NULL AND {_closed(q.bin_start('ts_ms', 300_000), 300_000, 'beats')}"""),
     "stream_registry": with_views("observations", then=f""", signed AS (SELECT *, CASE op WHEN 'inc' THEN n WHEN 'dec' THEN -n ELSE 0 END AS change FROM observations),
 deltas AS (SELECT * FROM signed WHERE kind = 'delta')
-SELECT kind, name, CAST(NULL AS BIGINT) AS report_ms, CASE kind WHEN 'gauge' THEN round(arg_max(value, (ts_ms, id)), 6) ELSE CAST(sum(change) AS DOUBLE) END AS value
-FROM signed WHERE kind <> 'delta' GROUP BY kind, name
+SELECT kind, 'app.' || name || CASE kind WHEN 'gauge' THEN '' ELSE '.count' END AS name, source, tags, CAST(NULL AS BIGINT) AS report_ms, CASE kind WHEN 'gauge' THEN round(arg_max(value, (ts_ms, id)), 6) ELSE CAST(sum(change) AS DOUBLE) END AS value
+FROM signed WHERE kind <> 'delta' GROUP BY kind, signed.name, source, tags
 UNION ALL
-SELECT 'delta', name, {q.bin_start('ts_ms')} + 60000, CAST(sum(change) AS DOUBLE) FROM deltas
-WHERE {_closed(q.bin_start('ts_ms'), 60000, 'deltas')} GROUP BY name, 3 HAVING sum(change) > 0"""),
-    "stream_late_split": "SELECT event_id, event_type, false AS late FROM events",
+SELECT 'delta', '∆app.' || name || '.count', source, tags, {q.bin_start('ts_ms')} + 60000, CAST(sum(change) AS DOUBLE) FROM deltas
+WHERE {_closed(q.bin_start('ts_ms'), 60000, 'deltas')} GROUP BY name, source, tags, 5 HAVING sum(change) > 0"""),
+    "stream_late_split": f"""
+WITH parts AS (SELECT {ARRIVAL} AS part, max(ts) AS newest FROM events GROUP BY 1)
+SELECT event_id, event_type, coalesce(epoch_ms(ts) < (SELECT max(epoch_ms(newest)) FROM parts WHERE part < {ARRIVAL}) - 600000, false) AS late FROM events""",
     "stream_sink": with_views("pts", then=f"\nSELECT 'metric' AS format, 202 AS status, count(*) AS n_lines FROM pts WHERE ({q.POINT_REASON}) IS NULL"),
 }

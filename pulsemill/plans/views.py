@@ -83,7 +83,8 @@ def observations_of(events: DataFrame) -> DataFrame:
         "event_id AS id", "event_type AS name",
         "CASE event_id % 3 WHEN 0 THEN 'gauge' WHEN 1 THEN 'counter' ELSE 'delta' END AS kind",
         "CASE WHEN event_id % 20 = 0 THEN 'clear' WHEN event_id % 20 <= 3 THEN 'dec' ELSE 'inc' END AS op",
-        "event_id % 10 + 1 AS n", "value", f"{ms('ts')} AS ts_ms", "CAST(ts AS TIMESTAMP) AS event_time")
+        "event_id % 10 + 1 AS n", "value", f"{ms('ts')} AS ts_ms", "CAST(ts AS TIMESTAMP) AS event_time",
+        "concat('user-', user_id % 10) AS source", "map('shard', CAST(user_id % 3 AS STRING)) AS tags")
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,11 +191,16 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def beats(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").selectExpr(
-        "user_id", f"{ms('ts')} AS ts_ms", "event_type AS component",
+    return beats_of(table(spark, folder, "events"), apps(spark, folder))
+
+
+def beats_of(events: DataFrame, known: DataFrame) -> DataFrame:
+    """Beats of event rows, also of a stream; events of unknown applications stay."""
+    rows = events.selectExpr(
+        "user_id", f"{ms('ts')} AS ts_ms", "CAST(ts AS TIMESTAMP) AS event_time", "event_type AS component", "concat('user-', user_id % 10) AS source",
         "CASE WHEN event_type = 'signup' THEN map('k', regexp_extract(props, '([0-9]+)', 1), 'kind', event_type) END AS reported_tags")
-    known = events.join(apps(spark, folder), events.user_id == F.col("app_id"), "left").drop("user_id", "app_id")
-    return known.fillna({"application": "unknown", "service": "unknown"})
+    joined = rows.join(known, rows.user_id == known.app_id, "left").drop("user_id", "app_id")
+    return joined.fillna({"application": "unknown", "service": "unknown"})
 
 
 def routes(spark: SparkSession) -> DataFrame:
@@ -238,7 +244,7 @@ SELECT event_id AS id, event_type AS name, epoch_us(ts) // 1000 AS ts_ms, (event
 SELECT event_id AS id, event_type AS name,
   CASE event_id % 3 WHEN 0 THEN 'gauge' WHEN 1 THEN 'counter' ELSE 'delta' END AS kind,
   CASE WHEN event_id % 20 = 0 THEN 'clear' WHEN event_id % 20 <= 3 THEN 'dec' ELSE 'inc' END AS op,
-  event_id % 10 + 1 AS n, value, epoch_us(ts) // 1000 AS ts_ms FROM events""",
+  event_id % 10 + 1 AS n, value, epoch_us(ts) // 1000 AS ts_ms, 'user-' || (user_id % 10) AS source, 'shard=' || (user_id % 3) AS tags FROM events""",
     "samples": """
 SELECT event_type AS series, epoch_us(ts) // 1000 AS ts_ms, value FROM events
 UNION ALL SELECT l_returnflag || '|' || l_linestatus, epoch_us(l_shipdate) // 1000, l_extendedprice FROM lineitem""",
@@ -296,7 +302,7 @@ SELECT p_partkey AS id,
   ELSE (CASE WHEN p_partkey % 5 = 0 THEN 'v' ELSE '' END) || p_size || '.' || (p_partkey % 12) || '.' || (p_partkey % 120)
     || (CASE WHEN p_partkey % 3 = 0 THEN '-SNAPSHOT' ELSE '' END) END AS version FROM part""",
     "beats": """
-SELECT epoch_us(ts) // 1000 AS ts_ms, ts, event_type AS component,
+SELECT epoch_us(ts) // 1000 AS ts_ms, ts, event_type AS component, 'user-' || (user_id % 10) AS source,
   CASE WHEN event_type = 'signup' THEN regexp_extract(props, '[0-9]+') END AS reported_k,
   apps.* REPLACE (coalesce(application, 'unknown') AS application, coalesce(service, 'unknown') AS service)
 FROM events LEFT JOIN apps ON user_id = app_id""",

@@ -12,10 +12,10 @@ from pulsemill.functions.tags import canonical_tags
 from pulsemill.functions.text import delta_name
 from pulsemill.functions.time import epoch_ms
 from pulsemill.model import HEARTBEAT_NAME
-from pulsemill.operators.counters import component_tags, signed_count
+from pulsemill.operators.counters import SERIES, beat_sets, report_name, signed_count, with_series
 from pulsemill.operators.digest import DIGEST, compress_digest
 from pulsemill.operators.validate import not_finite, positive_deltas
-from pulsemill.session import materialise, shared_path
+from pulsemill.session import shared_path
 from pulsemill.sources.sinks import Transport, sink_batches
 
 DELAY = "10 minutes"
@@ -56,11 +56,17 @@ def run_batches(
 
 
 def run_complete(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
-    """Run a ``complete`` stream; every batch stores the whole result, and the newest is returned."""
+    """Run a ``complete`` stream and return the whole result of its newest batch.
+
+    Batches write two folders in turn, so two results are kept at most, and a batch that fails leaves the one before.
+    """
     spark = stream.sparkSession
-    run_batches(stream, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}"),
-                checkpoint, "complete", trigger)
-    stored = spark.read.schema(stream.schema.add("batch", "integer")).parquet(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+
+    run_batches(stream, write, checkpoint, "complete", trigger)
+    stored = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(path).drop("slot")
     newest = stored.agg(F.max("batch")).first()[0]
     return stored.filter(F.col("batch") == newest).drop("batch")
 
@@ -87,12 +93,14 @@ def stream_histogram_bins(
 
     A window closes in a single micro-batch, so the digest of a minute is final when its batch is compressed. Each
     batch writes its own folder, which a repeat of the batch overwrites. The counts of a batch are stored before they are
-    looked at, as a second look would run the stateful query again.
+    looked at, as a second look would run the stateful query again; the next batch writes over them.
     """
     keys = ["series", "minute_ms"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = materialise(batch.select(*keys, "mean", "weight", F.col("mean").alias("lo"), F.col("mean").alias("hi")), "counts")
+        rows = batch.select(*keys, "mean", "weight", F.col("mean").alias("lo"), F.col("mean").alias("hi"))
+        rows.write.mode("overwrite").parquet(f"{path}-counts")
+        counts = batch.sparkSession.read.schema(rows.schema).parquet(f"{path}-counts")
         compress_digest(counts, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     run_batches(value_counts(samples, delay), write, checkpoint, trigger=trigger)
@@ -117,25 +125,27 @@ def stream_tag_dedup(tagged: DataFrame, width: str = "5 minutes", delay: str = D
 
 
 def stream_heartbeats(beats: DataFrame, width: str = "5 minutes", delay: str = DELAY) -> DataFrame:
-    """One beat of 1.0 per closed cycle and active component tag set."""
-    tagged = beats.filter(F.col("component").isNotNull()).withColumn("canonical", canonical_tags(component_tags()))
-    marked, window = _window(tagged, width, delay)
-    return marked.groupBy(window, "canonical").agg(F.lit(1.0).alias("value")).select(
-        F.lit(HEARTBEAT_NAME).alias("name"), "value", _start().alias("window_ms"), "canonical")
+    """One beat of 1.0 per closed cycle, source and active tag set of a component or of the user."""
+    marked, window = _window(beat_sets(beats), width, delay)
+    return marked.groupBy(window, "source", "kind", "canonical").agg(F.lit(1.0).alias("value")).select(
+        F.lit(HEARTBEAT_NAME).alias("name"), "value", _start().alias("window_ms"), "source", "kind", "canonical")
 
 
-def stream_registry_totals(observations: DataFrame) -> DataFrame:
-    """Running counter totals and last gauge values per name, for the ``complete`` output mode."""
-    return observations.filter(F.col("kind") != "delta").groupBy("kind", "name").agg(
+def stream_registry_totals(observations: DataFrame, prefix: str = "") -> DataFrame:
+    """Running counter totals and last gauge values per series under their reported names, for the ``complete`` output mode."""
+    rows = with_series(observations.filter(F.col("kind") != "delta"))
+    return rows.groupBy("kind", *SERIES).agg(
         F.max_by("value", F.struct(TIME, "id")).alias("_last"), F.sum(signed_count()).alias("_total")).select(
-        "kind", "name", F.when(F.col("kind") == "gauge", F.col("_last")).otherwise(F.col("_total").cast("double")).alias("value"))
+        "kind", report_name(prefix).alias("name"), "source", "series_tags",
+        F.when(F.col("kind") == "gauge", F.col("_last")).otherwise(F.col("_total").cast("double")).alias("value"))
 
 
-def stream_registry_deltas(observations: DataFrame, width: str = "60 seconds", delay: str = DELAY) -> DataFrame:
-    """Delta counters per closed interval, positive changes only, stamped at the interval's end."""
-    marked, window = _window(observations.filter(F.col("kind") == "delta"), width, delay)
-    sums = marked.groupBy(window, "name").agg(F.sum(signed_count()).cast("double").alias("value"))
-    return sums.filter(F.col("value") > 0).select("name", epoch_ms(F.col("_window.end")).alias("report_ms"), "value")
+def stream_registry_deltas(observations: DataFrame, prefix: str = "", width: str = "60 seconds", delay: str = DELAY) -> DataFrame:
+    """Delta counters per series and closed interval, positive changes only, stamped at the interval's end."""
+    marked, window = _window(with_series(observations.filter(F.col("kind") == "delta")), width, delay)
+    sums = marked.groupBy(window, "kind", *SERIES).agg(F.sum(signed_count()).cast("double").alias("value"))
+    return sums.filter(F.col("value") > 0).select(
+        report_name(prefix).alias("name"), "source", "series_tags", epoch_ms(F.col("_window.end")).alias("report_ms"), "value")
 
 
 def stream_late_split(

@@ -5,23 +5,37 @@ from pyspark.sql import functions as F
 from pulsemill.functions.tags import tags_text
 from pulsemill.operators import counters
 
-OBS = "name string, kind string, op string, n bigint, value double, ts_ms bigint, id bigint"
+OBS = "name string, kind string, op string, n bigint, value double, ts_ms bigint, id bigint, source string, tags map<string,string>"
+SERIES = ("s", {"k": "1"})
 
 
 def test_counter_totals(spark):
     script = [("c", op, n) for op, n in (("inc", 1), ("inc", 2), ("clear", 0), ("inc", 5), ("dec", 1), ("dec", 2))]
     script += [("never", "inc", 3), ("gone", "inc", 9), ("gone", "clear", 0)]
-    rows = spark.createDataFrame([(name, op, n, i // 2, i) for i, (name, op, n) in enumerate(script)], "name string, op string, n bigint, ts_ms bigint, id bigint")
+    rows = spark.createDataFrame([(name, op, n, i // 2, i, *SERIES) for i, (name, op, n) in enumerate(script)],
+                                 "name string, op string, n bigint, ts_ms bigint, id bigint, source string, tags map<string,string>")
     assert {r["name"]: r["total"] for r in counters.counter_totals(rows).collect()} == {"c": 2, "never": 3, "gone": 0}
 
 
+def test_counters_of_other_sources_and_tags_are_others(spark):
+    schema = "name string, op string, n bigint, ts_ms bigint, id bigint, source string, tags map<string,string>"
+    rows = spark.createDataFrame([
+        ("c", "inc", 1, 0, 1, "a", {"k": "1", "j": "2"}), ("c", "inc", 2, 1, 2, "a", {"j": "2", "k": "1"}), ("c", "inc", 4, 2, 3, "b", {"k": "1"}),
+        ("c", "inc", 8, 3, 4, None, None), ("c", "clear", 0, 4, 5, None, {}), ("c", "inc", 16, 5, 6, None, {}), ("c", "clear", 0, 6, 7, "b", {"k": "1"}),
+    ], schema)
+    assert sorted((r["source"] or "", r["total"]) for r in counters.counter_totals(rows).collect()) == [("", 16), ("a", 3), ("b", 0)]
+    report = counters.registry_report(rows.withColumns({"kind": F.lit("counter"), "value": F.lit(None).cast("double")}), "p")
+    assert sorted((r["source"] or "", r["name"], r["value"]) for r in report.collect()) == [
+        ("", "p.c.count", 24.0), ("a", "p.c.count", 3.0), ("b", "p.c.count", 4.0)]
+
+
 def observations(spark):
-    return spark.createDataFrame([
+    return spark.createDataFrame([(*row, *SERIES) for row in [
         ("g", "gauge", None, None, 1.5, 0, 1), ("g", "gauge", None, None, 2.5, 59_000, 2), ("g", "gauge", None, None, 4.0, 180_000, 3),
         ("c", "counter", "inc", 2, None, 10, 4), ("c", "counter", "dec", 1, None, 20, 5), ("c", "counter", "inc", 5, None, 180_001, 6),
         ("d", "delta", "inc", 5, None, 30, 7), ("d", "delta", "dec", 1, None, 40, 8), ("d", "delta", "dec", 1, None, 60_000, 9),
         ("∆e", "delta", "inc", 1, None, 60_001, 10),
-    ], OBS)
+    ]], OBS)
 
 
 def shown(report):
@@ -68,11 +82,13 @@ def test_heartbeats(spark):
         (299_999, "app", "svc", None, "s1", "web", {"env": "p"}, {"k": "1", "j": "2"}),
         (10, "app", "svc", None, "s1", "db", None, {"j": "2", "k": "1"}),
         (300_000, "app", "svc", "c", "s1", "web", {"env": "p"}, None),
+        (300_001, None, None, None, None, None, None, {"j": "3"}),
     ], "ts_ms bigint, application string, service string, cluster string, shard string, component string, custom map<string,string>, "
-       "reported_tags map<string,string>")
+       "reported_tags map<string,string>").withColumn("source", F.when(F.col("component").isNull(), "s1").otherwise("s0"))
     beats = counters.heartbeats(rows).withColumn("text", tags_text(F.col("tags"))).collect()
     assert {(r["name"], r["value"]) for r in beats} == {("~component.heartbeat", 1.0)}
     base = "application=app,cluster={},component={}{},service=svc,shard=s1".format
     assert sorted((r["window_ms"], r["kind"], r["text"]) for r in beats) == [
         (0, "component", base("none", "db", "")), (0, "component", base("none", "web", ",env=p")), (0, "custom", "j=2,k=1"),
-        (300_000, "component", base("c", "web", ",env=p"))]
+        (300_000, "component", base("c", "web", ",env=p")), (300_000, "custom", "j=3")]
+    assert {(r["source"], r["text"]) for r in beats if r["kind"] == "custom"} == {("s0", "j=2,k=1"), ("s1", "j=3")}

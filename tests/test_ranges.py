@@ -73,7 +73,7 @@ def test_hot_group_decides(skewed):
     assert not ranges.has_hot_group(skewed, ["key"], 5000)
     assert not ranges.has_hot_group(skewed, ["id"], 500)
     assert not ranges.has_hot_group(skewed.limit(0), ["key"], 0)
-    assert ranges.has_group_over(skewed, ["key"], 500) and not ranges.has_group_over(skewed, ["key"], 2000)
+    assert ranges.has_hot_group(skewed, ["key"], 500) and not ranges.has_hot_group(skewed, ["key"], 2000)
     auto = ranges.row_rank(skewed, ["key"], order(), "n", hot_rows=500)
     plain = ranges.row_rank(skewed, ["key"], order(), "n", split=False)
     assert sorted(map(tuple, auto.select("id", "n").collect())) == sorted(map(tuple, plain.select("id", "n").collect()))
@@ -87,14 +87,14 @@ def test_totals_and_sizes(skewed, split):
         f"Row(key={r[0]!r}, total={r[1]}, size={r[2]})" for r in expected)
 
 
-def test_salted_join(skewed):
-    few = skewed.filter("key IS NOT NULL").groupBy("key").agg(F.max("id").alias("newest"))
-    plain = skewed.join(few, "key", "left").select("id", "newest")
-    salted = ranges.salted_join(skewed, few, ["key"], ["id"], "left", salts=7).select("id", "newest")
-    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
-
-
 def test_first_rows(skewed):
     ranks = ranges.row_rank(skewed, ["key"], order(), "n", split=False).filter("n <= 20")
     got = ranges.first_rows(skewed, ["key"], order(), 20, spread=3)
     assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in ranks.collect())
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    rows = spark.createDataFrame([(i, {"k": "x" * 100}) for i in range(20)], "id int, tags map<string,string>")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(ranges.broadcast_if_small(rows)) and "broadcast" not in plan(ranges.broadcast_if_small(rows, 1000))
+    assert "broadcast" in plan(ranges.broadcast_if_small(rows.limit(0)))

@@ -87,18 +87,19 @@ def test_registry_continues_after_restart(feed, tmp_path):
     def observed():
         kinds = F.split("series", ":")
         return feed.stream().withColumns({
-            "kind": kinds[0], "name": kinds[1], "op": F.when(F.col("value") < 0, "dec").otherwise("inc"), "n": F.abs("value").cast("bigint")})
+            "kind": kinds[0], "name": kinds[1], "op": F.when(F.col("value") < 0, "dec").otherwise("inc"), "n": F.abs("value").cast("bigint"),
+            "source": F.lit("s"), "tags": F.create_map(F.lit("k"), kinds[1])})
 
     def totals():
         rows = streams.run_complete(streams.stream_registry_totals(observed()), str(tmp_path / "t"), str(tmp_path / "tcp")).collect()
         return {(r["kind"], r["name"]): r["value"] for r in rows}
 
     feed.add([(at(0), "counter:c", 2.0, 1), (at(0, 1), "counter:c", -1.0, 2), (at(0, 2), "gauge:g", 4.5, 3), (at(0, 3), "delta:d", 3.0, 4)])
-    assert totals() == {("counter", "c"): 1.0, ("gauge", "g"): 4.5}
+    assert totals() == {("counter", "c.count"): 1.0, ("gauge", "g"): 4.5}
     feed.add([(at(1), "counter:c", 10.0, 5), (at(0, 1), "gauge:g", 9.0, 6), (at(30), "delta:d", 1.0, 7)])
-    assert totals() == {("counter", "c"): 11.0, ("gauge", "g"): 4.5}
+    assert totals() == {("counter", "c.count"): 11.0, ("gauge", "g"): 4.5}
     deltas = streams.run_to_table(streams.stream_registry_deltas(observed()), "deltas").collect()
-    assert [(r["name"], r["report_ms"] - 1704067200000, r["value"]) for r in deltas] == [("d", 60_000, 3.0)]
+    assert [(r["name"], r["report_ms"] - 1704067200000, r["value"]) for r in deltas] == [("∆d.count", 60_000, 3.0)]
 
 
 def test_late_rows_are_reported(feed, tmp_path):
