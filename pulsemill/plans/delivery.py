@@ -76,13 +76,20 @@ def sink_lines(spark, folder):
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value").cast("bigint")).alias("n_chars"))
 
 
+#: What the receiver answers: the batches of one format are put back, those of another are lost.
+ANSWERS = {"histogram": 503, "trace": 401}
+
+
 def sink_batches(spark, folder):
-    """Deliver every line to files, keep the outcome of each batch, and report the lines per format and status."""
+    """Deliver every line to files, keep the outcomes, and hold the stored bodies and the requeued lines against them."""
     path = shared_path(prepare(spark), "delivered")
-    outcomes = sinks.sink_batches(_lines(spark, folder), sinks.FileTransport(f"{path}/bodies"), 10_000)
-    outcomes.write.parquet(f"{path}/outcomes")
-    stored = spark.read.schema(sinks.OUTCOMES).parquet(f"{path}/outcomes")
-    return stored.groupBy("format", "status").agg(F.sum("n").alias("n_lines"), (F.max("n") <= 10_000).alias("within_size"))
+    sinks.sink_batches(_lines(spark, folder), sinks.FileTransport(f"{path}/bodies", ANSWERS), 10_000).write.parquet(f"{path}/outcomes")
+    outcomes = spark.read.schema(sinks.OUTCOMES).parquet(f"{path}/outcomes")
+    stored = spark.read.schema("line string, format string").text(f"{path}/bodies")
+    sent = outcomes.select("format", F.lit("sent").alias("part"), F.col("n").cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("chars"))
+    kept = [rows.select("format", F.lit(part).alias("part"), F.lit(1).cast("bigint").alias("n"), F.length("line").cast("bigint").alias("chars"))
+            for part, rows in (("stored", stored), ("requeued", sinks.requeued_lines(outcomes)))]
+    return sent.unionByName(kept[0]).unionByName(kept[1]).groupBy("format", "part").agg(F.sum("n").alias("n_lines"), F.sum("chars").alias("n_chars"))
 
 
 def entity_ledger(spark, folder):
@@ -121,7 +128,10 @@ SELECT entity, day_ms, batch, count(*) AS n, arg_min(id, (ts_ms, id)) AS first_i
     "take_batch": f"{_ARRIVALS}\nSELECT entity, ts_ms, id FROM arrivals QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts_ms, id) <= {TAKEN}",
     "union_lines": with_views(*_ALL, then=f"{_LINES}\nSELECT format, line FROM lines"),
     "sink_lines": with_views(*_ALL, then=f"{_LINES}\nSELECT format, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM lines GROUP BY format"),
-    "sink_batches": with_views(*_ALL, then=f"{_LINES}\nSELECT format, 202 AS status, count(*) AS n_lines, true AS within_size FROM lines GROUP BY format"),
+    "sink_batches": with_views(*_ALL, then=f"""{_LINES}
+SELECT format, 'sent' AS part, count(*) AS n_lines, CAST(NULL AS BIGINT) AS n_chars FROM lines GROUP BY format
+UNION ALL SELECT format, CASE format WHEN 'histogram' THEN 'requeued' ELSE 'stored' END, count(*), CAST(sum(length(line)) AS BIGINT)
+FROM lines WHERE format <> 'trace' GROUP BY format"""),
     "entity_ledger": with_views(*_ALL, then=f""",
 logged AS (SELECT DISTINCT trace_id, span_id FROM logs),
 records AS (SELECT 'points' AS entity, event_ms AS ts_ms, CAST(id AS VARCHAR) AS id, ({q.POINT_REASON}) IS NULL AS ok, false AS has_logs FROM pts

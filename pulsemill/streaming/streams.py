@@ -16,7 +16,7 @@ from pulsemill.operators.counters import SERIES, beat_sets, report_name, signed_
 from pulsemill.operators.digest import DIGEST, compress_digest
 from pulsemill.operators.validate import not_finite, positive_deltas
 from pulsemill.session import shared_path
-from pulsemill.sources.sinks import Transport, sink_batches
+from pulsemill.sources.sinks import OUTCOMES, Transport, sink_batches
 
 DELAY = "10 minutes"
 AVAILABLE_NOW = {"availableNow": True}
@@ -197,5 +197,4 @@ def stream_sink(
         outcomes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     run_batches(stream, write, checkpoint, trigger=trigger)
-    schema = "format string, part int, seq int, n int, status int, batch int"
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(f"{OUTCOMES}, batch int").parquet(path)
