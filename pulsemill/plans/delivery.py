@@ -44,7 +44,7 @@ def _arrivals(spark, folder):
     """Arrivals of events and order lines, with an id that is unique per entity."""
     events = views.table(spark, folder, "events").selectExpr("'points' AS entity", f"{views.ms('ts')} AS ts_ms", "CAST(event_id AS STRING) AS id")
     lines = views.table(spark, folder, "lineitem").selectExpr(
-        "'spans' AS entity", f"{views.ms('l_shipdate')} AS ts_ms", f"{views.for_spark(views.LINE_SPAN)} AS id")
+        "'spans' AS entity", f"{views.ms('l_shipdate')} AS ts_ms", f"{views.LINE_SPAN} AS id")
     return events.unionByName(lines)
 
 

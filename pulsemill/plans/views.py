@@ -19,10 +19,19 @@ def ms(column: str) -> str:
     return f"unix_millis(CAST({column} AS TIMESTAMP))"
 
 
+# How each engine puts an md5 into the 8-4-4-4-12 form, with one digest an id.
+UUID_HERE = ("overlay(overlay(overlay(overlay(", ", '-', 21, 0), '-', 17, 0), '-', 13, 0), '-', 9, 0)")
+UUID_THERE = ("CAST(CAST(", " AS UUID) AS STRING)")
+
+
 def uuid_text(text: str) -> str:
-    """SQL: md5 of ``text`` in the 8-4-4-4-12 form. ``{ref}`` stands for the engine's mark of a group reference."""
-    groups = "-".join(f"{{ref}}{i}" for i in range(1, 6))
-    return f"regexp_replace(md5({text}), '^(........)(....)(....)(....)(............)$', '{groups}')"
+    """SQL: md5 of ``text`` in the 8-4-4-4-12 form, in Spark's words."""
+    return f"{UUID_HERE[0]}md5({text}){UUID_HERE[1]}"
+
+
+def for_duck(sql: str) -> str:
+    """``sql`` with its ids in the comparison engine's words."""
+    return sql.replace(UUID_HERE[0], UUID_THERE[0]).replace(UUID_HERE[1], UUID_THERE[1])
 
 
 def cat(*parts: str) -> str:
@@ -30,11 +39,6 @@ def cat(*parts: str) -> str:
     return " || ".join(p if p.startswith("'") else f"CAST({p} AS STRING)" for p in parts)
 
 
-def for_spark(sql: str) -> str:
-    """Fill in the engine's mark of a group reference."""
-    return sql.replace("{ref}", "$")
-
-
 LINE_ID = cat("'l'", "l_orderkey", "'-'", "l_partkey", "'-'", "l_suppkey", "'-'", "l_linenumber")
 TRACE_OF_LINE = uuid_text(cat("'t'", "l_orderkey"))
 TRACE_OF_ORDER = uuid_text(cat("'t'", "o_orderkey"))
@@ -108,7 +112,7 @@ def dists(spark: SparkSession, folder: str) -> DataFrame:
     """One distribution per order line; its five centroids often repeat a mean next to each other."""
     mean = "named_struct('mean', {}, 'count', CAST({} AS INT))".format
     return table(spark, folder, "lineitem").selectExpr(
-        for_spark(LINE_ID) + " AS id",
+        f"{LINE_ID} AS id",
         "CASE WHEN l_orderkey % 83 = 0 THEN '' ELSE concat('order/lines.', lower(l_returnflag)) END AS name",
         "CASE WHEN l_partkey % 41 = 0 THEN array() ELSE array(" + ", ".join((
             mean("l_quantity", "l_linenumber"), mean("l_quantity", "2"),
@@ -129,16 +133,16 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderkey % 89 = 0 THEN ' ' ELSE concat('order/', o_orderpriority) END AS name",
         f"{ms('o_orderdate')} AS start_ms", "CAST(o_totalprice AS BIGINT) AS duration_ms",
         "concat('cust-', o_custkey) AS source",
-        f"{for_spark(TRACE_OF_ORDER)} AS trace_id", f"{for_spark(ORDER_SPAN)} AS span_id",
+        f"{TRACE_OF_ORDER} AS trace_id", f"{ORDER_SPAN} AS span_id",
         "CAST(NULL AS ARRAY<STRING>) AS parents", "CAST(NULL AS ARRAY<STRING>) AS follows_from",
         f"array({pair(chr(39) + 'status' + chr(39), 'o_orderstatus')}) AS tags")
     lines = table(spark, folder, "lineitem").selectExpr(
         "CASE WHEN l_partkey % 89 = 0 THEN '' ELSE concat('line ', l_returnflag) END AS name",
         f"{ms('l_shipdate')} AS start_ms", "CAST(l_quantity * 1000 AS BIGINT) AS duration_ms",
         "CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE concat('supp-', l_suppkey) END AS source",
-        f"{for_spark(TRACE_OF_LINE)} AS trace_id", f"{for_spark(LINE_SPAN)} AS span_id",
-        f"array({for_spark(ORDER_SPAN_OF_LINE)}) AS parents",
-        f"CASE WHEN l_linenumber > 1 THEN array({for_spark(BEFORE_LINE_SPAN)}) ELSE array() END AS follows_from",
+        f"{TRACE_OF_LINE} AS trace_id", f"{LINE_SPAN} AS span_id",
+        f"array({ORDER_SPAN_OF_LINE}) AS parents",
+        f"CASE WHEN l_linenumber > 1 THEN array({BEFORE_LINE_SPAN}) ELSE array() END AS follows_from",
         "array(" + ", ".join((
             pair("'returnflag'", "l_returnflag"), pair("'linestatus'", "l_linestatus"),
             pair("'returnflag'", "concat('line \"', l_linenumber, '\"')"))) + ") AS tags")
@@ -147,15 +151,13 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
     """Every order line logs its status; a line with a discount logs a second entry. Some name unknown spans."""
-    span = for_spark(f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END")
-    base = table(spark, folder, "lineitem").selectExpr(
-        f"{for_spark(TRACE_OF_LINE)} AS trace_id", f"{span} AS span_id", f"{ms('l_shipdate')} * 1000 AS ts_us", "l_linenumber",
-        "l_returnflag", "l_linestatus", "l_discount", "l_extendedprice")
-    status = base.selectExpr("trace_id", "span_id", "ts_us + l_linenumber AS ts_us",
-                             "map('event', concat('status \"', l_linestatus, '\"'), 'flag', concat(l_returnflag, '\n')) AS fields")
-    discount = base.filter("l_discount > 0").selectExpr(
-        "trace_id", "span_id", "ts_us + 1000 AS ts_us", "map('price', CAST(CAST(l_extendedprice AS BIGINT) AS STRING)) AS fields")
-    return status.unionByName(discount)
+    span = f"CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat(chr(39) + 'x' + chr(39), 'l_orderkey'))} ELSE {LINE_SPAN} END"
+    at, entry = f"{ms('l_shipdate')} * 1000", "named_struct('ts_us', {}, 'fields', {})".format
+    status = entry(f"{at} + l_linenumber", "map('event', concat('status \"', l_linestatus, '\"'), 'flag', concat(l_returnflag, '\n'))")
+    discount = entry(f"{at} + 1000", "map('price', CAST(CAST(l_extendedprice AS BIGINT) AS STRING))")
+    return table(spark, folder, "lineitem").selectExpr(
+        f"{TRACE_OF_LINE} AS trace_id", f"{span} AS span_id",
+        f"inline(CASE WHEN l_discount > 0 THEN array({status}, {discount}) ELSE array({status}) END)")
 
 
 def apps(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,11 +220,6 @@ def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
         "lines")
 
 
-def for_duck(sql: str) -> str:
-    """Fill in the engine's mark of a group reference."""
-    return sql.replace("{ref}", "\\")
-
-
 # The same views for the comparison engine. Maps become one column per key (tag_<key>), arrays stay arrays.
 SQL_VIEWS = {
     "pts": """
@@ -251,7 +248,7 @@ UNION ALL SELECT l_returnflag || '|' || l_linestatus, epoch_us(l_shipdate) // 10
     "bulk": """
 SELECT l_returnflag AS series, epoch_us(l_shipdate) // 1000 AS minute_ms, l_quantity AS mean, count(*) AS count
 FROM lineitem GROUP BY ALL""",
-    "dists": for_duck(f"""
+    "dists": f"""
 SELECT {LINE_ID} AS id,
   CASE WHEN l_orderkey % 83 = 0 THEN '' ELSE 'order/lines.' || lower(l_returnflag) END AS name,
   CASE WHEN l_partkey % 41 = 0 THEN [] ELSE [l_quantity, l_quantity, round(l_discount * 100, 0) + 0.5,
@@ -262,8 +259,8 @@ SELECT {LINE_ID} AS id,
   CASE WHEN l_linenumber = 7 THEN NULL ELSE epoch_us(l_shipdate) // 1000 END AS ts_ms, epoch_us(l_shipdate) // 1000 AS event_ms,
   CASE WHEN l_suppkey % 9 = 0 THEN ' ' ELSE 'supp ' || l_suppkey END AS source,
   l_linestatus AS tag_status, ' mode ' || l_linenumber || ' ' AS tag_ship
-FROM lineitem"""),
-    "spans": for_duck(f"""
+FROM lineitem""",
+    "spans": f"""
 SELECT CASE WHEN o_orderkey % 89 = 0 THEN ' ' ELSE 'order/' || o_orderpriority END AS name,
   epoch_us(o_orderdate) // 1000 AS start_ms, CAST(trunc(o_totalprice) AS BIGINT) AS duration_ms, 'cust-' || o_custkey AS source,
   {TRACE_OF_ORDER} AS trace_id, {ORDER_SPAN} AS span_id, CAST([] AS VARCHAR[]) AS parents,
@@ -276,17 +273,14 @@ SELECT CASE WHEN l_partkey % 89 = 0 THEN '' ELSE 'line ' || l_returnflag END,
   {TRACE_OF_LINE}, {LINE_SPAN}, [{ORDER_SPAN_OF_LINE}],
   CASE WHEN l_linenumber > 1 THEN [{BEFORE_LINE_SPAN}] ELSE [] END,
   ['returnflag', 'linestatus', 'returnflag'], [l_returnflag, l_linestatus, 'line "' || l_linenumber || '"']
-FROM lineitem"""),
-    "logs": for_duck(f"""
-SELECT trace_id, span_id, ts_us + l_linenumber AS ts_us,
-  '{{"event":' || to_json('status "' || l_linestatus || '"') || ',"flag":' || to_json(l_returnflag || chr(10)) || '}}' AS fields
-FROM (SELECT *, {TRACE_OF_LINE} AS trace_id, epoch_us(l_shipdate) // 1000 * 1000 AS ts_us,
-    CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat("'x'", 'l_orderkey'))} ELSE {LINE_SPAN} END AS span_id FROM lineitem)
-UNION ALL
-SELECT trace_id, span_id, ts_us + 1000, '{{"price":"' || CAST(trunc(l_extendedprice) AS BIGINT) || '"}}'
+FROM lineitem""",
+    "logs": f"""
+SELECT trace_id, span_id, ts_us + CASE k WHEN 0 THEN l_linenumber ELSE 1000 END AS ts_us,
+  CASE k WHEN 0 THEN '{{"event":' || to_json('status "' || l_linestatus || '"') || ',"flag":' || to_json(l_returnflag || chr(10)) || '}}'
+    ELSE '{{"price":"' || CAST(trunc(l_extendedprice) AS BIGINT) || '"}}' END AS fields
 FROM (SELECT *, {TRACE_OF_LINE} AS trace_id, epoch_us(l_shipdate) // 1000 * 1000 AS ts_us,
-    CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat("'x'", 'l_orderkey'))} ELSE {LINE_SPAN} END AS span_id FROM lineitem)
-WHERE l_discount > 0"""),
+    CASE WHEN l_orderkey % 50 = 0 THEN {uuid_text(cat("'x'", 'l_orderkey'))} ELSE {LINE_SPAN} END AS span_id,
+    unnest(CASE WHEN l_discount > 0 THEN [0, 1] ELSE [0] END) AS k FROM lineitem)""",
     "apps": """
 SELECT s_suppkey AS app_id, r_name AS application, n_name AS service,
   CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE 'cluster-' || n_nationkey END AS cluster,
@@ -323,4 +317,4 @@ def with_views(*names: str, then: str) -> str:
         for n in (*NEEDS.get(name, ()), name):
             if n not in wanted:
                 wanted.append(n)
-    return "WITH " + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in wanted) + then
+    return for_duck("WITH " + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in wanted) + then)
