@@ -198,8 +198,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """(id, item id, distance, item_chars, word): every document and benchmark item that it holds.
 
     The items are a stated set and documents are searched for them in one narrow pass, without a shuffle. At most
-    ``block_chars`` characters of items are held by a task; larger benchmarks are dealt into blocks by their id's hash
-    and take one pass each.
+    ``block_chars`` characters of items are held by a task; larger benchmarks are dealt into blocks by the hash of
+    id and text and take one pass each.
     """
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_id, items.schema[item_id].dataType),
@@ -213,11 +213,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def _blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[tuple[list[tuple[object, str]], int]]:
-    """(items, window) of every pass over the documents; each block is of bounded size."""
-    wanted = items.select(F.col(item_id).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    """(items, window) of every pass over the documents. Blocks are dealt by id and text, so copies of one text under many ids
+    spread over them and each block is of bounded size."""
+    wanted = items.select(F.col(item_id).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).distinct()
     passes = -(-(wanted.agg(F.sum(F.length("t"))).first()[0] or 0) // block_chars)
     for n in range(passes):
-        block = wanted if passes == 1 else wanted.where(F.pmod(F.xxhash64("t"), F.lit(passes)) == n)
+        block = wanted if passes == 1 else wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == n)
         held = sorted(((r["i"], _normal(r["t"])) for r in block.collect()), key=lambda x: (x[1], str(x[0])))
         held = [x for x in held if len(x[1]) >= MIN_ITEM]
         if held:

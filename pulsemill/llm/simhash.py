@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the row whose id is the component's. Rows without an id stay."""
+    """``docs`` with one row of each component: the row whose id is the component's. Rows without an id stay, and ids are taken
+    to name a document: rows that share an id stay or go together."""
     found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **options)
     dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__copy")).distinct()
     return docs.join(dropped, F.col(id_col) == F.col("__copy"), "left_anti")

@@ -129,6 +129,12 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.leaks(docs, bench.limit(0)).count() == 0 and decontamination.leaks(empty, bench).count() == 0
 
 
+def test_decontamination_blocks_of_a_repeated_item(spark):
+    rows = [(n, "one passage that stands under very many ids of the benchmark") for n in range(300)] * 2
+    blocks = [held for held, _ in decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000)]
+    assert max(map(len, blocks)) < 100 and sorted(i for b in blocks for i, _ in b) == list(range(300))
+
+
 def plain_fingerprint(t):
     w = words("".join(c.lower() if c.isascii() else c for c in t or ""))
     if not w:
