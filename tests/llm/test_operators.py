@@ -129,6 +129,24 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.leaks(docs, bench.limit(0)).count() == 0 and decontamination.leaks(empty, bench).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.15, 0.18, 0.2])
+def test_decontamination_recall_up_to_the_bound(spark, share):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(30)) for _ in range(60)]
+    planted = []
+    for n in range(180):
+        own = list(items[n % 60])
+        for _ in range(int(share * len(own))):
+            at, kind = rng.randrange(len(own)), rng.randrange(3)
+            own[at : at + (kind != 2)] = rng.choice(letters + "   ") if kind else ""
+        planted.append((n, prose(rng, rng.randrange(0, 40)) + " " + "".join(own) + " " + prose(rng, 9)))
+    got = decontamination.leaks(
+        spark.createDataFrame(planted, "doc_id long, text string"), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()
+    assert all(r.distance <= 0.2 * r.item_chars for r in got)
+    assert len({r.doc_id for r in got if r.item_id == r.doc_id % 60}) >= 0.98 * len(planted)
+
+
 def test_decontamination_blocks_of_a_repeated_item(spark):
     rows = [(n, "one passage that stands under very many ids of the benchmark") for n in range(300)] * 2
     blocks = [held for held, _ in decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000)]
