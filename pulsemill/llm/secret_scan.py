@@ -3,7 +3,9 @@
 Two character bigram models, one of random strings and one of ordinary words and identifiers, give a log-likelihood ratio per
 character of every long token. Tokens over the learned limit are added to the base spans as kind ``random``, unless they
 overlap one. Both models are trained from labelled samples: random strings are base matches of a bounded sample of
-documents and generated keys; ordinary ones are the other tokens of these documents and generated identifiers.
+documents and generated keys; ordinary ones are the other tokens of these documents and generated identifiers. Documents hold keys that no
+base pattern knows: tokens that models of the generated strings alone take for random are left out of the ordinary ones, and the limit follows
+a quantile of the ordinary tokens, so that a few keys among them do not raise it above their own kind.
 
 Spans are in code points, end exclusive. Null texts count as empty and have no spans. Rows are independent, so repeated rows
 give the same row again, an empty table none; columns other than the id and the text are not read. Whole texts are searched.
@@ -30,8 +32,11 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE_DOCS = 1000
 GENERATED = 3000
-#: Ordinary training tokens must stay this far below the limit.
+#: This share of the ordinary training tokens, each as often as it occurs, must stay this far below the limit.
+USUAL = 0.999
 MARGIN = 0.35
+#: Ordinary tokens from this size on count for the limit, and may be keys.
+LONG = 12
 
 _INDEX = np.full(128, len(SYMBOLS), np.int64)
 _INDEX[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
@@ -52,11 +57,12 @@ def _codes(token: str) -> np.ndarray:
 class Models:
     """Log-likelihood ratios of the character pairs and the limit per character."""
 
-    def __init__(self, random: list[str], ordinary: list[str]):
+    def __init__(self, random: list[str], ordinary: list[str], counts: list[int] | None = None):
         self.ratio = self._pairs(random) - self._pairs(ordinary)
-        usual = [self.score(t) for t in ordinary if len(t) >= 12]
+        usual = sorted((self.score(t), n) for t, n in zip(ordinary, counts or [1] * len(ordinary)) if len(t) >= LONG)
         keys = sorted(self.score(t) for t in random if len(t) >= 20)
-        low = max(usual, default=0.0) + MARGIN
+        seen = np.cumsum([n for _, n in usual])
+        low = (usual[int(np.searchsorted(seen, USUAL * seen[-1]))][0] if usual else 0.0) + MARGIN
         self.limit = max(low, keys[len(keys) // 50]) if keys else low
 
     @staticmethod
@@ -96,7 +102,6 @@ def generated(n: int = GENERATED, seed: int = 6) -> tuple[list[str], list[str]]:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Models:
     """Models from generated tokens and those of the ``sample_docs`` documents of least id hash."""
-    keys, ordinary = generated()
     sample = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull())
     chosen = sample.select("k").orderBy(F.xxhash64("k"), "k").limit(sample_docs)
     rows = sample.join(F.broadcast(chosen.distinct()), "k")  # sample_docs ids at most
@@ -116,7 +121,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
 
     # The commonest tokens of a bounded sample: bounded too.
     found = rows.select("t").mapInArrow(run, schema).groupBy("label", "token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label", "token").limit(100_000).collect()
-    return Models(keys + [r["token"] for r in found if r["label"] == 1], ordinary + [r["token"] for r in found if r["label"] == 0])
+    return fitted([r["token"] for r in found if r["label"] == 1], {r["token"]: r["n"] for r in found if r["label"] == 0})
+
+
+def fitted(random: list[str], ordinary: dict[str, int]) -> Models:
+    """Models from generated tokens, random strings and ordinary tokens with their counts; unlabelled keys among these are left out."""
+    keys, names = generated()
+    first = Models(keys, names)
+    usual = {t: n for t, n in ordinary.items() if len(t) < LONG or first.score(t) < first.limit}
+    return Models(keys + random, names + list(usual), [1] * len(names) + list(usual.values()))
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

@@ -269,6 +269,19 @@ def odd_texts(texts):
     return out + ["".join(rng.choice("ab'st \n\té1ΣßИ中🙂▁#") for _ in range(rng.randrange(60))) for _ in range(200)]
 
 
+@pytest.mark.parametrize("planted", [1, 60])
+def test_secret_models_with_unlabelled_keys(spark, planted):
+    rng, secrets = random.Random(12), random.Random(13)
+    alphabets = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEF", "".join(map(chr, [*range(65, 91), *range(97, 123), *range(48, 58)]))]
+    key = lambda i: "".join(secrets.choice(alphabets[i % 4]) for _ in range(31))
+    rows = [(i, prose(rng, 60) + (f" see {key(i)} there" if i < planted else "")) for i in range(300)]
+    models = secret_scan.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    keys, names = secret_scan.generated(400, 77)
+    for kind in range(4):
+        assert np.mean([models.score(k) >= models.limit for k in keys[kind::4]]) > 0.85, kind
+    assert np.mean([models.score(n) >= models.limit for n in names]) < 0.02
+
+
 def test_bpe(spark, docs, texts, empty):
     from tokenizers import Tokenizer
 
