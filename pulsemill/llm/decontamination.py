@@ -4,7 +4,8 @@ A CGK walk reads a string with a pointer and writes one character per step; a ra
 the character decides whether the pointer moves. Strings a few edits apart fall back into step, so edit distance becomes
 Hamming distance, and characters sampled at fixed steps agree with good probability. Windows start at every word of a
 document and, for items, at every character from which a full window remains; a window has two
-thirds of the shortest item's size (``MAX_WINDOW`` bytes at most), so every item has several. Every table has a walk of its own, and windows
+thirds of the shortest item's size (``MAX_WINDOW`` bytes at most), so every item has several. In runs without white space, as in Chinese, Thai or code,
+windows of a document start at every character from ``Index.gap`` bytes on, so any copy of an item holds a start. Every table has a walk of its own, and windows
 are short, so that a passage with ``max_edit`` edits still has a window that is nearly whole. One agreeing sample anywhere in a passage
 proposes it. Parts of 64 characters are compared first: their distances add up to no more than the item's, so this loses nothing; an exact semi-global
 edit distance between the whole item and that place of the document decides.
@@ -111,6 +112,8 @@ class Index:
     def __init__(self, items: list[tuple[object, str]], window: int):
         self.items = items
         self.walk = Walk(window)
+        #: Bytes at the start of a run without white space in which no further window of a document starts.
+        self.gap = max(1, min(window, min(len(text.encode()) for _, text in items) - window))
         self.size = np.array([len(text) for _, text in items])
         self.part = np.cumsum(np.append(0, -(-self.size // 64)))
         #: Bits of the characters' last bytes, for each 64 characters of an item.
@@ -183,17 +186,29 @@ class Index:
         return best
 
 
+def _starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: int) -> np.ndarray:
+    """Starts of the windows: the words', and the characters of each word from ``gap`` bytes on."""
+    more = np.maximum(ends - starts - gap, 0)
+    if not more.any():
+        return starts
+    long = np.flatnonzero(more)
+    more = more[long]
+    inner = np.repeat(starts[long] + gap - np.cumsum(more) + more, more) + np.arange(more.sum())
+    return np.sort(np.concatenate([starts, inner[(data[inner] & 0xC0) != 0x80]]))
+
+
 def _leaks(index: Index, data: np.ndarray, offsets: np.ndarray, max_edit: float) -> Iterator[tuple[int, int, int, int]]:
     """(row, item number, distance, word) of one block of texts."""
     data, offsets = arrowtext.compact(data, offsets)
-    starts, _, first = arrowtext.words(data, offsets)
+    starts, ends, first = arrowtext.words(data, offsets)
+    windows = _starts(data, starts, ends, index.gap)
     padded = np.concatenate([data, np.zeros(index.walk.steps + 1, np.uint8)])
     # From here on, places are numbers of characters.
     character, last = _characters(data)
     bounds, at = np.searchsorted(character, offsets), np.searchsorted(character, starts)
-    rows = arrowtext.owners(first)
+    rows, number = np.searchsorted(offsets, windows, "right") - 1, np.searchsorted(character, windows)
     slacks = (max_edit * index.size).astype(np.int64)
-    found = [np.stack([rows[window], item, at[window] - offset]) for item, window, offset in index.proposals(padded, starts)]
+    found = [np.stack([rows[window], item, number[window] - offset]) for item, window, offset in index.proposals(padded, windows)]
     if not found:
         return
     row, item, begin = np.unique(np.concatenate(found, 1), axis=1)

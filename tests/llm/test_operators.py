@@ -147,6 +147,18 @@ def test_decontamination_recall_up_to_the_bound(spark, share):
     assert len({r.doc_id for r in got if r.item_id == r.doc_id % 60}) >= 0.98 * len(planted)
 
 
+def test_decontamination_without_white_space(spark):
+    rng = random.Random(9)
+    run = lambda n, low, high: "".join(chr(rng.randrange(low, high)) for _ in range(n))
+    kinds = [(0x4E00, 0x9000), (0x0E01, 0x0E2F), (0x3042, 0x3094), (0x61, 0x7B)]
+    items = [run(60, *kinds[n % 4]) for n in range(24)]
+    texts = [run(rng.randrange(0, 70), *kinds[n % 4]) + items[n % 24] + run(rng.randrange(0, 70), *kinds[n % 4]) for n in range(72)]
+    texts += [t[: len(t) // 2] + "x" + t[len(t) // 2 + 1 :] for t in texts] + ["x" * 20_000]
+    got = decontamination.leaks(
+        spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(n, n % 72 % 24) for n in range(144)}
+
+
 def test_decontamination_blocks_of_a_repeated_item(spark):
     rows = [(n, "one passage that stands under very many ids of the benchmark") for n in range(300)] * 2
     blocks = [held for held, _ in decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000)]
