@@ -159,6 +159,15 @@ def test_decontamination_without_white_space(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(n, n % 72 % 24) for n in range(144)}
 
 
+def test_decontamination_of_a_cut_head_behind_short_rows(spark):
+    rng = random.Random(10)
+    item = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(30))
+    rows = [(n, t) for n, t in enumerate(["a b", "", "c", "", "d", "", item[20:]])]
+    got = decontamination.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.distance) for r in got] == [(6, 20)]
+
+
 def test_decontamination_blocks_of_a_repeated_item(spark):
     rows = [(n, "one passage that stands under very many ids of the benchmark") for n in range(300)] * 2
     blocks = [held for held, _ in decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000)]
