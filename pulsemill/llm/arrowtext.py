@@ -35,12 +35,12 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarra
         row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, first word of each row) of the maximal runs of bytes other than space and \\t \\n \\v \\f \\r.
+def words(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first word of each row) of the maximal runs of bytes other than ``outside``: space and \\t \\n \\v \\f \\r.
 
     The third array has one entry more than there are rows.
     """
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     before = np.empty(len(inside), bool)
     before[:1] = True
     np.logical_not(inside[:-1], out=before[1:])

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.llm import (
-    bpe, decontamination, language_id, pii, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_counts,
+    alignment, bpe, decontamination, language_id, lexical_search, multi_index, pii, quality_classifier, quality_rules, secret_scan, simhash,
+    substring_dedup, token_counts,
 )
 
 
@@ -81,9 +82,21 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_and_count(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_decontamination, op3_simhash, op4_pii, op5_quality_classifier, op6_secret_scan, op7_token_counts, op8_bpe,
-    op9_substring_dedup, op10_language_id)}
+    op9_substring_dedup, op10_language_id, op11_alignment, op12_lexical_search, op13_multi_index)}
 
 SQL = {
     "op1_quality_rules": r"""
@@ -117,4 +130,18 @@ k AS (SELECT doc_id, ws[i] AS word, i FROM (SELECT doc_id, ws, unnest(range(1, l
 l AS (SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.i) AS kept, count(*) AS n FROM k ANTI JOIN c ON c.doc_id = k.doc_id AND c.i = k.i GROUP BY k.doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(l.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(l.kept, '')) AS kept_sha256
 FROM w LEFT JOIN l ON l.doc_id = w.doc_id""",
+    "op12_lexical_search": r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+d AS (SELECT doc_id, ts, len(ts) AS n FROM low WHERE len(ts) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+f AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM f GROUP BY t), s),
+p AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // terms))))) AS BIGINT) AS score
+  FROM i JOIN f USING (t) JOIN w USING (t), s GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
