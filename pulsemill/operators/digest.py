@@ -5,19 +5,34 @@ values stays exact. Above that, a value at quantile q joins cluster floor(8 ln(q
 that scale hold about N q(1-q) / 8 values, the size bound of accuracy 1/32, so clusters are small in the
 tails and a digest never has more than a few hundred rows whatever N is (scale functions of the published
 t-digest work by Dunning and Ertl). ``lo`` and ``hi`` carry the exact extremes of each cluster.
+
+``reduce_digests`` clusters inside each task before anything is shuffled, at twice that accuracy. The middle of a cluster lies in
+the step of its members, and steps of the finer scale nest in those of the coarser one, so clustering again changes nothing: a key
+whose rows lie in one task gets the same digest as without partial digests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsemill.model import ACCURACY, MAX_CENTROIDS
-from pulsemill.operators.ranges import has_hot_group, running_sum
+from pulsemill.operators.ranges import SALTS, running_sum
 
 DIGEST = ["mean", "weight", "lo", "hi"]
+#: A task keeps so many distinct values of a key as they are, and clusters more of them twice as finely as the result.
+PARTIAL_CENTROIDS = 4 * MAX_CENTROIDS
+PARTIAL_ACCURACY = ACCURACY / 2
+#: Rows that a task holds before it clusters them.
+HELD_ROWS = 1 << 19
+_DIGEST_SCHEMA = [T.StructField("mean", T.DoubleType()), T.StructField("weight", T.LongType()), T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())]
 
 
 def as_digest(weights: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,10 +49,13 @@ def compress_digest(
     max_centroids: int = MAX_CENTROIDS,
     accuracy: float = ACCURACY,
 ) -> DataFrame:
-    """Cluster every key that has more than ``max_centroids`` rows; input rows must have distinct means per key.
+    """Cluster every key that has more than ``max_centroids`` rows.
 
-    ``split`` spreads a key over many tasks (see ``ranges``); by default it is decided by group size.
+    By default through partial digests. ``split`` forces a way without them, for rows with distinct means per key: one window per key,
+    or a key spread over many tasks (see ``ranges``).
     """
+    if split is None:
+        return reduce_digests(digest, keys, max_centroids, accuracy)
     ranked = running_sum(digest, keys, [F.col("mean")], F.col("weight"), "_cum", split, total="_n", size="_size")
     return _cluster(ranked, keys, max_centroids, accuracy)
 
@@ -59,11 +77,103 @@ def _cluster(ranked: DataFrame, keys: Sequence[str], max_centroids: int, accurac
 def merge_digests(parts: DataFrame, keys: Sequence[str], split: bool | None = None) -> DataFrame:
     """Partial digests (one per writer) to one digest per key.
 
-    A digest has a few hundred rows, so ``split=False`` is right for up to some thousand writers per key. Whether a key is
-    hot is asked of the parts, so their aggregation runs once.
+    By default writers that a task reads are merged there first. A digest has a few hundred rows, so ``split=False``, which merges
+    all writers of a key at once, is right for up to some thousand of them.
+    """
+    parts = parts.select(*keys, *DIGEST)
+    return reduce_digests(parts, keys) if split is None else compress_digest(as_digest(parts, keys), keys, split)
+
+
+def reduce_digests(rows: DataFrame, keys: Sequence[str], max_centroids: int = MAX_CENTROIDS, accuracy: float = ACCURACY) -> DataFrame:
+    """Rows of (keys, mean[, weight][, lo, hi]) to one digest per key, whatever the number of rows and distinct values of a key.
+
+    Each task sends its own digest of a key, some hundred rows. These are merged in two rounds, so that no round sees
+    more than a fraction of the tasks' digests of one key: every shuffle is bounded by keys and tasks, and nothing has to be known about hot keys.
+    """
+    parts = partial_digests(rows, keys)
+    fine = _merge_round(parts, [*keys, "_task"], PARTIAL_CENTROIDS, min(PARTIAL_ACCURACY, accuracy / 2))
+    return _merge_round(fine, keys, max_centroids, accuracy)
+
+
+def _merge_round(parts: DataFrame, keys: Sequence[str], max_centroids: int, accuracy: float) -> DataFrame:
+    """One shuffle: equal means, the order and the clusters of a key all use the same partitioning."""
+    return compress_digest(as_digest(parts.repartition(*keys), keys), keys, False, max_centroids, accuracy)
+
+
+def partial_digests(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, digest columns, _task): the digest of each task's own rows, without a shuffle.
+
+    A task holds ``HELD_ROWS`` rows and the digests so far; if there are so many keys that their digests alone fill half of
+    that, they are sent on and the task starts afresh. Rows without a weight count once. Means are finite.
     """
-    split = has_hot_group(parts, keys) if split is None else split
-    return compress_digest(as_digest(parts.select(*keys, *DIGEST), keys), keys, split)
+    names = [c for c in DIGEST if c in rows.columns]
+    if "lo" not in names:
+        names = [c for c in names if c != "hi"]
+    schema = T.StructType([*[rows.schema[k] for k in keys], *_DIGEST_SCHEMA, T.StructField("_task", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, n = TaskContext.get().partitionId() % SALTS, [], 0
+
+        def sent(digest: pa.Table) -> list[pa.RecordBatch]:
+            return digest.append_column("_task", pa.array(np.full(len(digest), task, np.int32))).to_batches()
+
+        for batch in batches:
+            held.append(digest_columns(batch, keys))
+            n += batch.num_rows
+            if n >= HELD_ROWS:
+                digest = cluster_rows(pa.Table.from_batches(held), keys)
+                if len(digest) > HELD_ROWS // 2:
+                    yield from sent(digest)
+                    digest = digest.slice(0, 0)
+                held, n = digest.to_batches(), len(digest)
+        if held:
+            yield from sent(cluster_rows(pa.Table.from_batches(held), keys))
+
+    return rows.select(*keys, *names).mapInArrow(run, schema)
+
+
+def digest_columns(batch: pa.RecordBatch, keys: Sequence[str]) -> pa.RecordBatch:
+    """``batch`` with all columns of a digest."""
+    mean = batch.column("mean").cast(pa.float64())
+    weight = batch.column("weight").cast(pa.int64()) if "weight" in batch.schema.names else pa.array(np.ones(len(mean), np.int64))
+    ends = [batch.column(c).cast(pa.float64()) for c in ("lo", "hi")] if "lo" in batch.schema.names else [mean, mean]
+    return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], mean, weight, *ends], names=[*keys, *DIGEST])
+
+
+def cluster_rows(rows: pa.Table, keys: Sequence[str], max_centroids: int = PARTIAL_CENTROIDS, accuracy: float = PARTIAL_ACCURACY) -> pa.Table:
+    """The digest of each key of ``rows``, all keys at once: what ``compress_digest`` does, for the rows of one task."""
+    if not len(rows):
+        return rows
+    rows = rows.combine_chunks()
+    group = np.zeros(len(rows), np.int64)
+    for k in keys:
+        codes = pc.fill_null(rows.column(k).chunk(0).dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = np.unique(group * (codes.max() + 2) + codes + 1, return_inverse=True)[1]
+    mean, weight, lo, hi = (rows.column(c).to_numpy() for c in DIGEST)
+    order = np.lexsort((mean, group))
+    group, mean, weight, lo, hi = group[order], mean[order] + 0.0, weight[order], lo[order], hi[order]
+
+    def starts(*columns: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.append(True, np.any([np.diff(c) != 0 for c in columns], axis=0)))
+
+    at = starts(group, mean)
+    first, group, mean = order[at], group[at], mean[at]
+    weight, lo, hi = np.add.reduceat(weight, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
+
+    heads = starts(group)
+    size = np.diff(np.append(heads, len(group)))
+    upto = np.cumsum(weight)
+    upto = upto - np.repeat(upto[heads] - weight[heads], size)
+    q = (upto - weight / 2) / np.repeat(np.add.reduceat(weight, heads), size)
+    step = np.floor(1.0 / (4.0 * accuracy) * np.log(q / (1 - q)))
+    at = starts(group, np.where(np.repeat(size, size) <= max_centroids, upto, step))
+    members = np.diff(np.append(at, len(group)))
+    total = np.add.reduceat(weight, at)
+    centre = np.where(members == 1, mean[at], np.add.reduceat(mean * weight, at) / total)
+    kept = rows.select(list(keys)).take(pa.array(first[at]))
+    for name, column in zip(DIGEST, (centre, total, np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at))):
+        kept = kept.append_column(name, pa.array(column))
+    return kept
 
 
 def quantiles(digest: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pulsemill.functions.text import number_text
 from pulsemill.functions.time import bin_start
 from pulsemill.model import GRANULARITY_MS, RETAINED_BINS
-from pulsemill.operators.digest import DIGEST, as_digest, compress_digest, merge_digests
-from pulsemill.operators.ranges import has_hot_group, row_rank, shuffle_partitions
+from pulsemill.operators.digest import DIGEST, as_digest, compress_digest, merge_digests, reduce_digests
+from pulsemill.operators.ranges import row_rank, shuffle_partitions
 from pulsemill.operators.validate import digest_reason, not_finite
 from pulsemill.session import materialise
 
@@ -24,25 +24,26 @@ def histogram_bins(
 ) -> DataFrame:
     """Raw values to digest rows per (series, minute), or per series when ``bin_ms`` is None.
 
-    Values are counted per distinct value first, which combines map-side; only distinct values are shuffled. Whether a
-    bin is hot is asked of the raw rows, which are at least as many as its distinct values.
+    Every task makes a digest of its own rows, and only these digests, a few hundred rows per key and task, are shuffled and
+    merged. ``split`` forces a way without partial digests: distinct values are counted and clustered by a window, plain or split.
     Values that are not finite are left out; ``rejected_samples`` gives them.
     """
     finite = samples.filter(~not_finite(F.col(value)))
     keys = ["series"] if bin_ms is None else MINUTE_KEY
     binned = finite if bin_ms is None else finite.withColumn("minute_ms", bin_start(F.col(ts), bin_ms))
-    split = has_hot_group(binned, keys) if split is None else split
-    weights = binned.select(*keys, F.col(value).alias("mean"), F.lit(1).cast("bigint").alias("weight"))
-    return compress_digest(as_digest(weights, keys), keys, split)
+    values = binned.select(*keys, F.col(value).cast("double").alias("mean"))
+    return _digest_of(values.withColumn("weight", F.lit(1).cast("bigint")) if split is not None else values, keys, split)
+
+
+def _digest_of(rows: DataFrame, keys: Sequence[str], split: bool | None) -> DataFrame:
+    return reduce_digests(rows, keys) if split is None else compress_digest(as_digest(rows, keys), keys, split)
 
 
 def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), split: bool | None = None) -> DataFrame:
     """Pre-aggregated (keys, mean, count) rows to digest rows. Rows that ``digest_reason`` names are left out, as
     ``validate_digest_input`` reports them."""
     bulk = bulk.filter(digest_reason(F.col("mean"), F.col("count")).isNull())
-    split = has_hot_group(bulk, keys) if split is None else split
-    weights = bulk.select(*keys, "mean", F.col("count").cast("bigint").alias("weight"))
-    return compress_digest(as_digest(weights, keys), keys, split)
+    return _digest_of(bulk.select(*keys, "mean", F.col("count").cast("bigint").alias("weight")), keys, split)
 
 
 def histogram_rollup(minute_bins: DataFrame) -> DataFrame:

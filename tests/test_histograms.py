@@ -194,3 +194,44 @@ def test_bulk_leaves_out_weights_that_are_not_positive(spark):
     (only,) = histograms.histogram_bulk(rows).collect()
     assert only["mean"] == 1.0
     assert validate.rejected_samples(rows.withColumnRenamed("mean", "value")).count() == 1
+
+
+def test_tasks_send_digests_and_not_values(spark):
+    """Half a million distinct doubles under three keys, one with most rows: a few hundred rows per key and task leave a task."""
+    rows = spark.range(0, 500_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 2).cast("string"))).alias("series"),
+        F.lit(0).cast("bigint").alias("ts_ms"), (F.rand(7) * 1000).alias("value"))
+    values = rows
+    sent = digest.partial_digests(values.select("series", F.col("value").alias("mean")), ["series"])
+    per = sent.groupBy("series", F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert 100 < per[0] < 600 and per[1] < 3 * 8 * 600
+    bins = histograms.histogram_bins(values, bin_ms=None)
+    plan = bins._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.index("Exchange") and "Exchange" not in plan[plan.index("MapInArrow"):]
+    sizes = {r["series"]: (r["n"], r["size"]) for r in bins.groupBy("series").agg(F.sum("weight").alias("n"), F.count("*").alias("size")).collect()}
+    assert {k: n for k, (n, _) in sizes.items()} == {"hot": 400_000, "s0": 50_000, "s1": 50_000} and all(s < 300 for _, s in sizes.values())
+    hot = sorted(r["value"] for r in values.where("series = 'hot'").collect())
+    for q, value in digest.quantiles(bins.where("series = 'hot'"), ["series"], [0.001, 0.1, 0.5, 0.9, 0.999]).select("q", "value").collect():
+        rank = sum(v <= value for v in hot) / len(hot)
+        assert abs(rank - q) < 0.15 * min(q, 1 - q)
+
+
+def test_partial_digests_of_one_task_change_nothing(spark):
+    """A key in one task gets the digest that it gets without partial digests, also when the task clusters several times."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1), float(rng.randrange(40)), -0.0, 0.0])) for _ in range(6000)]
+    table = spark.createDataFrame(rows, "series string, value double").withColumn("ts_ms", F.lit(5).cast("bigint")).coalesce(1)
+
+    def shown(df):
+        return sorted((r["series"] or "", round(r["mean"], 9) + 0.0, r["weight"], r["lo"] + 0.0, r["hi"] + 0.0) for r in df.collect())
+
+    assert shown(histograms.histogram_bins(table)) == shown(histograms.histogram_bins(table, split=False))
+
+
+def test_a_task_with_many_keys_holds_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(digest, "HELD_ROWS", 700)
+    rows = spark.range(0, 20_000, 1, 2).select((F.col("id") % 3000).cast("string").alias("series"), F.lit(0).cast("bigint").alias("ts_ms"), F.col("id").cast("double").alias("value"))
+    bins = histograms.histogram_bins(rows, bin_ms=None)
+    assert bins.agg(F.sum("weight"), F.countDistinct("series"), F.min("lo"), F.max("hi")).first()[:] == (20_000, 3000, 0.0, 19_999.0)
+    empty = histograms.histogram_bins(rows.limit(0))
+    assert empty.count() == 0 and empty.columns == ["series", "minute_ms", "mean", "weight", "lo", "hi"]
