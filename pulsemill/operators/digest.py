@@ -149,7 +149,16 @@ def cluster_rows(rows: pa.Table, keys: Sequence[str], max_centroids: int = PARTI
     for k in keys:
         codes = pc.fill_null(rows.column(k).chunk(0).dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.unique(group * (codes.max() + 2) + codes + 1, return_inverse=True)[1]
-    mean, weight, lo, hi = (rows.column(c).to_numpy() for c in DIGEST)
+    first, *columns = cluster(group, *(rows.column(c).to_numpy() for c in DIGEST), max_centroids, accuracy)
+    kept = rows.select(list(keys)).take(pa.array(first))
+    for name, column in zip(DIGEST, columns):
+        kept = kept.append_column(name, pa.array(column))
+    return kept
+
+
+def cluster(group: np.ndarray, mean: np.ndarray, weight: np.ndarray, lo: np.ndarray, hi: np.ndarray, max_centroids: int,
+            accuracy: float) -> tuple[np.ndarray, ...]:
+    """(a row of the group, mean, weight, lo, hi) of the clusters of every group, groups and means ascending."""
     order = np.lexsort((mean, group))
     group, mean, weight, lo, hi = group[order], mean[order] + 0.0, weight[order], lo[order], hi[order]
 
@@ -170,10 +179,7 @@ def cluster_rows(rows: pa.Table, keys: Sequence[str], max_centroids: int = PARTI
     members = np.diff(np.append(at, len(group)))
     total = np.add.reduceat(weight, at)
     centre = np.where(members == 1, mean[at], np.add.reduceat(mean * weight, at) / total)
-    kept = rows.select(list(keys)).take(pa.array(first[at]))
-    for name, column in zip(DIGEST, (centre, total, np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at))):
-        kept = kept.append_column(name, pa.array(column))
-    return kept
+    return first[at], centre, total, np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
 
 
 def quantiles(digest: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -49,23 +49,26 @@ def stream_tag_dedup(spark, folder):
     return sets.select("window_ms", _tags("canonical"), "n_rows")
 
 
+def stream_tag_first_sight(spark, folder):
+    """Each tag set of a cycle, reported at once; cycles still open count too."""
+    tagged = _timed(spark, folder).selectExpr(TIME, f"{views.POINT_COLUMNS['tags']} AS tags", "event_id", "event_type", "props")
+    return streams.run_to_table(streams.stream_first_sight(tagged.select(TIME, "tags")), "first-sight").select("window_ms", _tags("canonical"))
+
+
+IDLE_CYCLES = 2
+
+
 def stream_heartbeats(spark, folder):
-    """The stream is joined with the table of applications."""
+    """The stream is joined with the table of applications; components beat for two more cycles without an event."""
     beats = views.beats_of(_events(spark, folder), views.apps(spark, folder))
-    sent = streams.run_to_table(streams.stream_heartbeats(beats), "stream-beats")
+    sent = streams.stream_heartbeats(beats, idle_cycles=IDLE_CYCLES)
     return sent.select("name", "value", "window_ms", "source", "kind", _tags("canonical"))
 
 
 def stream_registry(spark, folder):
-    """Totals and last gauge values after the whole stream, and the delta counters of each closed interval."""
-    path = shared_path(prepare(spark), "stream-registry")
-    observed = views.observations_of(_events(spark, folder))
-    totals = streams.run_complete(streams.stream_registry_totals(observed, "app"), f"{path}/totals", f"{path}/totals-checkpoint")
-    deltas = streams.run_to_table(
-        streams.stream_registry_deltas(views.observations_of(_events(spark, folder)), "app"), "deltas", f"{path}/deltas", f"{path}/deltas-checkpoint")
-    none = F.lit(None).cast("bigint")
-    return totals.select("kind", "name", "source", _tags("series_tags"), none.alias("report_ms"), F.round("value", 6).alias("value")).unionByName(
-        deltas.select(F.lit("delta").alias("kind"), "name", "source", _tags("series_tags"), "report_ms", "value"))
+    """Reports of every closed interval: gauges, counters with their clears, delta counters."""
+    reports = streams.stream_registry(views.observations_of(_events(spark, folder)), prefix="app")
+    return reports.select("report_ms", "kind", "name", "source", _tags("series_tags"), F.round("value", 6).alias("value"))
 
 
 #: The third in which an event arrives: each spans the whole time, so the later two hold late rows.
@@ -94,7 +97,7 @@ def stream_sink(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_histogram_bins, stream_delta_sums, stream_tag_dedup, stream_heartbeats, stream_registry, stream_late_split, stream_sink)}
+    stream_histogram_bins, stream_delta_sums, stream_tag_dedup, stream_tag_first_sight, stream_heartbeats, stream_registry, stream_late_split, stream_sink)}
 
 
 def _closed(start: str, width: int, source: str, ts: str = "ts_ms") -> str:
@@ -114,18 +117,21 @@ FROM kept WHERE {_closed(q.bin_start('ts_ms'), 60000, 'kept')} GROUP BY 1, 2, 3,
     "stream_tag_dedup": with_views("pts", then=f"""
 SELECT {q.bin_start('event_ms', 300_000)} AS window_ms, 'k=' || tag_k || ',type=' || tag_type AS tags, count(*) AS n_rows
 FROM pts WHERE {_closed(q.bin_start('event_ms', 300_000), 300_000, 'pts', 'event_ms')} GROUP BY 1, 2"""),
-    "stream_heartbeats": with_views("beats", then=f"""
-SELECT DISTINCT '~component.heartbeat' AS name, CAST(1 AS DOUBLE) AS value, {q.bin_start('ts_ms', 300_000)} AS window_ms, source, 'component' AS kind, {BEAT_TAGS} AS tags
-FROM beats WHERE {_closed(q.bin_start('ts_ms', 300_000), 300_000, 'beats')}
-UNION ALL SELECT DISTINCT '~component.heartbeat', CAST(1 AS DOUBLE), {q.bin_start('ts_ms', 300_000)}, source, 'custom', 'k=' || reported_k || ',kind=signup'
-FROM beats WHERE reported_k IS NOT NULL AND {_closed(q.bin_start('ts_ms', 300_000), 300_000, 'beats')}"""),
-    "stream_registry": with_views("observations", then=f""", signed AS (SELECT *, CASE op WHEN 'inc' THEN n WHEN 'dec' THEN -n ELSE 0 END AS change FROM observations),
-deltas AS (SELECT * FROM signed WHERE kind = 'delta')
-SELECT kind, 'app.' || name || CASE kind WHEN 'gauge' THEN '' ELSE '.count' END AS name, source, tags, CAST(NULL AS BIGINT) AS report_ms, CASE kind WHEN 'gauge' THEN round(arg_max(value, (ts_ms, id)), 6) ELSE CAST(sum(change) AS DOUBLE) END AS value
-FROM signed WHERE kind <> 'delta' GROUP BY kind, signed.name, source, tags
-UNION ALL
-SELECT 'delta', '∆app.' || name || '.count', source, tags, {q.bin_start('ts_ms')} + 60000, CAST(sum(change) AS DOUBLE) FROM deltas
-WHERE {_closed(q.bin_start('ts_ms'), 60000, 'deltas')} GROUP BY name, source, tags, 5 HAVING sum(change) > 0"""),
+    "stream_tag_first_sight": with_views("pts", then=f"""
+SELECT DISTINCT {q.bin_start('event_ms', 300_000)} AS window_ms, 'k=' || tag_k || ',type=' || tag_type AS tags FROM pts"""),
+    "stream_heartbeats": with_views("beats", then=f""",
+seen AS (SELECT DISTINCT {q.bin_start('ts_ms', 300_000)} AS start_ms, source, 'component' AS kind, {BEAT_TAGS} AS tags FROM beats),
+clocked AS (SELECT DISTINCT start_ms + 300000 * k AS window_ms, source, kind, tags FROM seen, range({IDLE_CYCLES + 1}) AS t(k)
+  UNION ALL SELECT DISTINCT {q.bin_start('ts_ms', 300_000)}, source, 'custom', 'k=' || reported_k || ',kind=signup' FROM beats WHERE reported_k IS NOT NULL)
+SELECT '~component.heartbeat' AS name, CAST(1 AS DOUBLE) AS value, window_ms, source, kind, tags FROM clocked WHERE {_closed('window_ms', 300_000, 'beats')}"""),
+    "stream_registry": with_views("observations", then=f""",
+signed AS (SELECT *, CASE op WHEN 'inc' THEN n WHEN 'dec' THEN -n ELSE 0 END AS change, {q.bin_start('ts_ms')} + 60000 AS report_ms,
+    count(*) FILTER (WHERE op = 'clear') OVER (PARTITION BY kind, name, source, tags ORDER BY ts_ms) AS clears FROM observations),
+running AS (SELECT *, sum(change) OVER (PARTITION BY kind, name, source, tags, clears ORDER BY ts_ms) AS total FROM signed),
+reports AS (SELECT report_ms, kind, name, source, tags, arg_max(value, (ts_ms, id)) AS last, arg_max(total, ts_ms) AS total, sum(change) AS change FROM running GROUP BY ALL)
+SELECT report_ms, kind, CASE kind WHEN 'gauge' THEN 'app.' || name WHEN 'counter' THEN 'app.' || name || '.count' ELSE '∆app.' || name || '.count' END AS name, source, tags,
+  round(CAST(CASE kind WHEN 'gauge' THEN last WHEN 'counter' THEN total ELSE change END AS DOUBLE), 6) AS value
+FROM reports WHERE (kind <> 'delta' OR change > 0) AND report_ms <= (SELECT max(ts_ms) FROM observations) - 600000"""),
     "stream_late_split": f"""
 WITH parts AS (SELECT {ARRIVAL} AS part, max(ts) AS newest FROM events GROUP BY 1)
 SELECT event_id, event_type, coalesce(epoch_ms(ts) < (SELECT max(epoch_ms(newest)) FROM parts WHERE part < {ARRIVAL}) - 600000, false) AS late FROM events""",

@@ -1,4 +1,4 @@
-"""Streaming twins: event-time windows with a watermark; a window is emitted once, after it has closed."""
+"""Streaming twins: event-time windows with a watermark; a window is emitted once, after it has closed. Keyed state is in ``state``."""
 
 from __future__ import annotations
 
@@ -11,12 +11,10 @@ from pyspark.sql import types as T
 from pulsemill.functions.tags import canonical_tags
 from pulsemill.functions.text import delta_name
 from pulsemill.functions.time import epoch_ms
-from pulsemill.model import HEARTBEAT_NAME
-from pulsemill.operators.counters import SERIES, beat_sets, report_name, signed_count, with_series
-from pulsemill.operators.digest import DIGEST, compress_digest
-from pulsemill.operators.validate import not_finite, positive_deltas
+from pulsemill.operators.validate import positive_deltas
 from pulsemill.session import shared_path
 from pulsemill.sources.sinks import OUTCOMES, Transport, sink_batches
+from pulsemill.streaming import state
 
 DELAY = "10 minutes"
 AVAILABLE_NOW = {"availableNow": True}
@@ -55,22 +53,6 @@ def run_batches(
         **(trigger or AVAILABLE_NOW)).start().awaitTermination()
 
 
-def run_complete(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
-    """Run a ``complete`` stream and return the whole result of its newest batch.
-
-    Batches write two folders in turn, so two results are kept at most, and a batch that fails leaves the one before.
-    """
-    spark = stream.sparkSession
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
-
-    run_batches(stream, write, checkpoint, "complete", trigger)
-    stored = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(path).drop("slot")
-    newest = stored.agg(F.max("batch")).first()[0]
-    return stored.filter(F.col("batch") == newest).drop("batch")
-
-
 def _window(stream: DataFrame, width: str, delay: str) -> tuple[DataFrame, Column]:
     return stream.withWatermark(TIME, delay), F.window(TIME, width).alias("_window")
 
@@ -79,33 +61,11 @@ def _start() -> Column:
     return epoch_ms(F.col("_window.start"))
 
 
-def value_counts(samples: DataFrame, delay: str = DELAY) -> DataFrame:
-    """(series, value) counts of each closed minute, as rows for the digest operators."""
-    marked, window = _window(samples.filter(~not_finite(F.col("value"))), "1 minute", delay)
-    counts = marked.groupBy(window, "series", "value").agg(F.count(F.lit(1)).alias("weight"))
-    return counts.select("series", _start().alias("minute_ms"), F.col("value").alias("mean"), "weight")
-
-
 def stream_histogram_bins(
     samples: DataFrame, path: str, checkpoint: str, delay: str = DELAY, trigger: dict | None = None
 ) -> DataFrame:
-    """Digest rows of each closed minute, never of an open one.
-
-    A window closes in a single micro-batch, so the digest of a minute is final when its batch is compressed. Each
-    batch writes its own folder, which a repeat of the batch overwrites. The counts of a batch are stored before they are
-    looked at, as a second look would run the stateful query again; the next batch writes over them.
-    """
-    keys = ["series", "minute_ms"]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*keys, "mean", "weight", F.col("mean").alias("lo"), F.col("mean").alias("hi"))
-        rows.write.mode("overwrite").parquet(f"{path}-counts")
-        counts = batch.sparkSession.read.schema(rows.schema).parquet(f"{path}-counts")
-        compress_digest(counts, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    run_batches(value_counts(samples, delay), write, checkpoint, trigger=trigger)
-    schema = "series string, minute_ms bigint, mean double, weight bigint, lo double, hi double"
-    return samples.sparkSession.read.schema(schema).parquet(path).select(*keys, *DIGEST)
+    """Digest rows of each closed minute, never of an open one; the state of an open minute is its digest so far."""
+    return run_to_table(state.closed_digests(samples, TIME, delay), "bins", path, checkpoint, trigger)
 
 
 def stream_delta_sums(deltas: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -124,28 +84,28 @@ def stream_tag_dedup(tagged: DataFrame, width: str = "5 minutes", delay: str = D
         _start().alias("window_ms"), "canonical", "n_rows")
 
 
-def stream_heartbeats(beats: DataFrame, width: str = "5 minutes", delay: str = DELAY) -> DataFrame:
-    """One beat of 1.0 per closed cycle, source and active tag set of a component or of the user."""
-    marked, window = _window(beat_sets(beats), width, delay)
-    return marked.groupBy(window, "source", "kind", "canonical").agg(F.lit(1.0).alias("value")).select(
-        F.lit(HEARTBEAT_NAME).alias("name"), "value", _start().alias("window_ms"), "source", "kind", "canonical")
+def stream_first_sight(tagged: DataFrame, width: str = "5 minutes", delay: str = DELAY) -> DataFrame:
+    """Each tag content as soon as it is first seen in a heartbeat cycle; what was seen is forgotten when the cycle closes."""
+    marked = tagged.withColumn("canonical", canonical_tags(F.col("tags"))).withWatermark(TIME, delay)
+    return marked.withColumn("_window", F.window(TIME, width)).dropDuplicates(["_window", "canonical"]).select(_start().alias("window_ms"), "canonical")
 
 
-def stream_registry_totals(observations: DataFrame, prefix: str = "") -> DataFrame:
-    """Running counter totals and last gauge values per series under their reported names, for the ``complete`` output mode."""
-    rows = with_series(observations.filter(F.col("kind") != "delta"))
-    return rows.groupBy("kind", *SERIES).agg(
-        F.max_by("value", F.struct(TIME, "id")).alias("_last"), F.sum(signed_count()).alias("_total")).select(
-        "kind", report_name(prefix).alias("name"), "source", "series_tags",
-        F.when(F.col("kind") == "gauge", F.col("_last")).otherwise(F.col("_total").cast("double")).alias("value"))
+def stream_heartbeats(
+    beats: DataFrame, path: str | None = None, checkpoint: str | None = None, idle_cycles: int = 0, delay: str = DELAY, trigger: dict | None = None
+) -> DataFrame:
+    """One beat of 1.0 per closed cycle of five minutes, source and tag set. A component goes on beating by the clock for
+    ``idle_cycles`` cycles without an event; a reported tag set beats in the cycles of its reports."""
+    with state.rocks_state(beats.sparkSession):
+        return run_to_table(state.clocked_heartbeats(beats, idle_cycles, TIME, delay), "beats", path, checkpoint, trigger)
 
 
-def stream_registry_deltas(observations: DataFrame, prefix: str = "", width: str = "60 seconds", delay: str = DELAY) -> DataFrame:
-    """Delta counters per series and closed interval, positive changes only, stamped at the interval's end."""
-    marked, window = _window(with_series(observations.filter(F.col("kind") == "delta")), width, delay)
-    sums = marked.groupBy(window, "kind", *SERIES).agg(F.sum(signed_count()).cast("double").alias("value"))
-    return sums.filter(F.col("value") > 0).select(
-        report_name(prefix).alias("name"), "source", "series_tags", epoch_ms(F.col("_window.end")).alias("report_ms"), "value")
+def stream_registry(
+    observations: DataFrame, path: str | None = None, checkpoint: str | None = None, prefix: str = "", delay: str = DELAY,
+    idle_ms: int | None = None, trigger: dict | None = None
+) -> DataFrame:
+    """What a registry reports every 60 seconds: the series that changed in the interval, each once when it closes (see ``RegistryProcessor``)."""
+    with state.rocks_state(observations.sparkSession):
+        return run_to_table(state.registry_reports(observations, prefix, TIME, delay, idle_ms=idle_ms), "registry", path, checkpoint, trigger)
 
 
 def stream_late_split(

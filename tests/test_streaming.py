@@ -83,23 +83,104 @@ def test_delta_sums_and_tag_sets(feed, tmp_path):
     assert [(r["canonical"], r["n_rows"]) for r in sets] == [("k\u001ehits", 4)]
 
 
-def test_registry_continues_after_restart(feed, tmp_path):
-    def observed():
-        kinds = F.split("series", ":")
-        return feed.stream().withColumns({
-            "kind": kinds[0], "name": kinds[1], "op": F.when(F.col("value") < 0, "dec").otherwise("inc"), "n": F.abs("value").cast("bigint"),
-            "source": F.lit("s"), "tags": F.create_map(F.lit("k"), kinds[1])})
-
-    def totals():
-        rows = streams.run_complete(streams.stream_registry_totals(observed()), str(tmp_path / "t"), str(tmp_path / "tcp")).collect()
-        return {(r["kind"], r["name"]): r["value"] for r in rows}
-
-    feed.add([(at(0), "counter:c", 2.0, 1), (at(0, 1), "counter:c", -1.0, 2), (at(0, 2), "gauge:g", 4.5, 3), (at(0, 3), "delta:d", 3.0, 4)])
-    assert totals() == {("counter", "c.count"): 1.0, ("gauge", "g"): 4.5}
-    feed.add([(at(1), "counter:c", 10.0, 5), (at(0, 1), "gauge:g", 9.0, 6), (at(30), "delta:d", 1.0, 7)])
-    assert totals() == {("counter", "c.count"): 11.0, ("gauge", "g"): 4.5}
-    deltas = streams.run_to_table(streams.stream_registry_deltas(observed()), "deltas").collect()
-    assert [(r["name"], r["report_ms"] - 1704067200000, r["value"]) for r in deltas] == [("∆d.count", 60_000, 3.0)]
+def observed(feed):
+    """Series ``kind:name``; a value below zero counts down, 1000 clears."""
+    kinds = F.split("series", ":")
+    return feed.stream().withColumns({
+        "kind": kinds[0], "name": kinds[1], "op": F.when(F.col("value") == 1000, "clear").when(F.col("value") < 0, "dec").otherwise("inc"),
+        "n": F.abs("value").cast("bigint"), "source": F.lit("s"), "tags": F.create_map(F.lit("k"), kinds[1])})
+
+
+def reported(feed, tmp_path, **options):
+    rows = streams.stream_registry(observed(feed), str(tmp_path / "r"), str(tmp_path / "rcp"), **options).collect()
+    return sorted(((r["report_ms"] - 1704067200000) // 60_000, r["name"], r["value"]) for r in rows)
+
+
+def test_registry_reports_changed_series_once_across_restarts(feed, tmp_path):
+    feed.add([(at(0), "counter:c", 2.0, 1), (at(0, 1), "counter:c", -1.0, 2), (at(0, 2), "gauge:g", 4.5, 3), (at(0, 3), "delta:d", 3.0, 4), (at(1), "delta:d", -3.0, 5)])
+    assert reported(feed, tmp_path) == []
+    # The clear comes late, but its interval is open, so what was counted before it is gone.
+    feed.add([(at(1, 30), "counter:c", 5.0, 6), (at(1, 10), "counter:c", 7.0, 7), (at(0, 1), "gauge:g", 9.0, 8), (at(11, 30), "gauge:g", 1.0, 9)])
+    assert reported(feed, tmp_path) == [(1, "c.count", 1.0), (1, "g", 4.5), (1, "∆d.count", 3.0)]
+    feed.add([(at(1, 20), "counter:c", 1000.0, 10), (at(5), "counter:c", 1.0, 11), (at(0), "counter:c", 50.0, 12)])
+    feed.add([(at(30), "delta:other", 1.0, 13)])
+    first = [(1, "c.count", 1.0), (1, "g", 4.5), (1, "∆d.count", 3.0)]
+    # Minute 2 is cleared at 1:20 and counts 5 after it; the idle minutes 3 to 5 report nothing; the row of minute 0 is too late.
+    assert reported(feed, tmp_path) == sorted([*first, (2, "c.count", 5.0), (6, "c.count", 6.0), (12, "g", 1.0)])
+    feed.add([(at(70), "delta:other", 1.0, 14)])
+    assert (31, "∆other.count", 1.0) in reported(feed, tmp_path)
+
+
+def test_clear_comes_first_in_its_millisecond(feed, tmp_path):
+    feed.add([(at(0), "counter:c", 3.0, 1), (at(0, 5), "counter:c", 4.0, 2), (at(0, 5), "counter:c", 1000.0, 3), (at(0, 6), "counter:c", 2.0, 4), (at(40), "gauge:x", 0.0, 5)])
+    assert reported(feed, tmp_path) == [(1, "c.count", 6.0)]
+
+
+def test_idle_series_are_forgotten(feed, tmp_path):
+    feed.add([(at(0), "counter:c", 3.0, 1), (at(0), "counter:kept", 3.0, 2)])
+    for minute in (10, 30, 50, 70):
+        feed.add([(at(minute), "counter:kept", 1.0, minute), (at(minute), "gauge:clock", 0.0, minute)])
+        reported(feed, tmp_path, idle_ms=1_800_000)
+    feed.add([(at(75), "counter:c", 2.0, 100), (at(120), "gauge:clock", 0.0, 101)])
+    got = reported(feed, tmp_path, idle_ms=1_800_000)
+    assert (76, "c.count", 2.0) in got and (71, "kept.count", 7.0) in got
+
+
+def test_components_beat_by_the_clock(feed, tmp_path):
+    def beat(idle):
+        rows = feed.stream().withColumns({
+            "source": F.lit("s"), **{c: F.lit("x") for c in ("application", "service", "cluster", "shard")},
+            "component": F.when(~F.col("series").startswith("custom"), F.col("series")), "custom": F.lit(None).cast("map<string,string>"),
+            "reported_tags": F.when(F.col("series").startswith("custom"), F.create_map(F.lit("k"), F.col("series")))})
+        sent = streams.stream_heartbeats(rows, str(tmp_path / f"b{idle}"), str(tmp_path / f"cp{idle}"), idle).collect()
+        return sorted(((r["window_ms"] - 1704067200000) // 300_000, r["canonical"].split("\u001e")[-1] if r["kind"] == "custom" else "component") for r in sent)
+
+    feed.add([(at(1), "api", 0.0, 1), (at(2), "api", 0.0, 2), (at(1), "custom-a", 0.0, 3)])
+    assert beat(2) == [] == beat(0)
+    feed.add([(at(21), "custom-b", 0.0, 4)])
+    assert beat(2) == [(0, "component"), (0, "custom-a"), (1, "component")] and beat(0) == [(0, "component"), (0, "custom-a")]
+    feed.add([(at(46), "api", 0.0, 5)])
+    # Two more cycles after the first, then silence; the reported set beats only where it was reported.
+    assert beat(2) == [(0, "component"), (0, "custom-a"), (1, "component"), (2, "component"), (4, "custom-b")]
+    assert beat(0) == [(0, "component"), (0, "custom-a"), (4, "custom-b")]
+    feed.add([(at(100), "custom-c", 0.0, 6)])
+    assert beat(2)[-3:] == [(9, "component"), (10, "component"), (11, "component")]
+    assert beat(0)[-1] == (9, "component")
+
+
+def test_tag_sets_are_reported_when_first_seen(feed, tmp_path):
+    def seen():
+        tagged = feed.stream().withColumn("tags", F.create_map(F.lit("k"), F.col("series")))
+        rows = streams.run_to_table(streams.stream_first_sight(tagged), "sight", str(tmp_path / "s"), str(tmp_path / "scp")).collect()
+        return sorted(((r["window_ms"] - 1704067200000) // 300_000, r["canonical"][2:]) for r in rows)
+
+    feed.add([(at(0), "a", 1.0, 1), (at(1), "a", 1.0, 2), (at(2), "b", 1.0, 3)])
+    assert seen() == [(0, "a"), (0, "b")]
+    feed.add([(at(3), "a", 1.0, 4), (at(6), "a", 1.0, 5)])
+    assert seen() == [(0, "a"), (0, "b"), (1, "a")]
+
+
+def test_state_of_open_minutes_does_not_grow_with_their_values(spark, feed, tmp_path):
+    from pulsemill.operators.digest import quantiles
+    from pulsemill.streaming import state
+
+    values = list(range(1, 1001))
+    bins, checkpoint, sizes = str(tmp_path / "bins"), str(tmp_path / "cp"), []
+    for n in range(6):  # a thousand values come in six files, each of one hundred and sixty-odd
+        feed.add([(at(0, v % 60), "s", float(v), v) for v in values[n::6]])
+        query = state.closed_digests(feed.stream(), streams.TIME, streams.DELAY).writeStream.format("parquet").option("path", bins).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert set(sizes) == {1}
+    feed.add([(at(0, 1 + i % 50), "many", i + 0.5, i) for i in range(20_000)])
+    feed.add([(at(60), "clock", 0.0, 0)])
+    rows = streams.stream_histogram_bins(feed.stream(), bins, checkpoint).cache()
+    got = {r["q"]: r["value"] for r in quantiles(rows.where("series = 's'"), ["series"], [0.5, 0.75, 0.95, 0.98, 0.99, 0.999]).collect()}
+    bounds = {0.5: (490.5, 510.5), 0.75: (745.5, 755.5), 0.95: (949, 952), 0.98: (980, 981), 0.99: (990, 991), 0.999: (999, 1000)}
+    assert all(low <= got[q] <= high for q, (low, high) in bounds.items())
+    assert rows.where("series = 'many'").agg(F.sum("weight"), F.min("lo"), F.max("hi")).first()[:] == (20_000, 0.5, 19_999.5)
+    assert rows.where("series = 'many'").count() < 300
 
 
 def test_late_rows_are_reported(feed, tmp_path):
