@@ -83,8 +83,7 @@ ANSWERS = {"histogram": 503, "trace": 401}
 def sink_batches(spark, folder):
     """Deliver every line to files, keep the outcomes, and hold the stored bodies and the requeued lines against them."""
     path = shared_path(prepare(spark), "delivered")
-    sinks.sink_batches(_lines(spark, folder), sinks.FileTransport(f"{path}/bodies", ANSWERS), 10_000).write.parquet(f"{path}/outcomes")
-    outcomes = spark.read.schema(sinks.OUTCOMES).parquet(f"{path}/outcomes")
+    outcomes = sinks.sink_batches(_lines(spark, folder), sinks.FileTransport(f"{path}/bodies", ANSWERS), 10_000, log=f"{path}/log")
     stored = spark.read.schema("line string, format string").text(f"{path}/bodies")
     sent = outcomes.select("format", F.lit("sent").alias("part"), F.col("n").cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("chars"))
     kept = [rows.select("format", F.lit(part).alias("part"), F.lit(1).cast("bigint").alias("n"), F.length("line").cast("bigint").alias("chars"))
@@ -96,12 +95,29 @@ def entity_ledger(spark, folder):
     return delivery.entity_ledger(_records(spark, folder), views.routes(spark), CAPACITY, DAY)
 
 
+#: A receiver that answers by the bucket of a batch, and how the lines are dealt to it.
+STATUSES = (200, 202, 401, 403, 406, 429, 500, 503, -1, 600)
+LINES_A_BATCH = 1_000
+
+
+def _by_bucket(fmt, key):
+    return STATUSES[sinks.key_numbers(key)[0] % len(STATUSES)]
+
+
+def _delivery_log(spark, folder):
+    """The outcomes of a delivery of every line, as the audit reads them."""
+    path = shared_path(prepare(spark), "audited")
+    outcomes = sinks.sink_batches(
+        _lines(spark, folder), sinks.FileTransport(f"{path}/bodies", _by_bucket), LINES_A_BATCH, log=f"{path}/log", buckets=len(STATUSES))
+    return delivery.outcome_log(outcomes)
+
+
 def delivery_outcomes(spark, folder):
-    return delivery.delivery_outcomes(views.delivery_log(spark, folder))
+    return delivery.delivery_outcomes(_delivery_log(spark, folder))
 
 
 def failure_counts(spark, folder):
-    return delivery.failure_counts(views.delivery_log(spark, folder)).withColumn("entity", F.coalesce("entity", F.lit("total")))
+    return delivery.failure_counts(_delivery_log(spark, folder)).withColumn("entity", F.coalesce("entity", F.lit("total")))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -117,6 +133,14 @@ _LINES = (
 lines AS (SELECT 'metric' AS format, line FROM metric_lines UNION ALL SELECT 'histogram', line FROM histogram_lines
   UNION ALL SELECT 'trace', line FROM span_lines UNION ALL SELECT 'spanLogs', line FROM span_log_lines WHERE admitted)""")
 _ALL = ("pts", "dists", "spans", "logs")
+#: Batches and lines of each bucket, with the answer that they got.
+_LOG = f""",
+parts AS (SELECT format, line, n, unnest(range((n - 1) // {LINES_A_BATCH} + 1)) AS part FROM (SELECT format, line, count(*) AS n FROM lines GROUP BY ALL)),
+dealt AS (SELECT format, least({LINES_A_BATCH}, n - part * {LINES_A_BATCH}) AS copies,
+    CAST('0x' || substr(md5(part || ' ' || line), 1, 15) AS BIGINT) % {len(STATUSES)} AS bucket FROM parts),
+delivery_log AS (SELECT CASE format WHEN 'metric' THEN 'points' WHEN 'histogram' THEN 'histograms' WHEN 'trace' THEN 'spans' ELSE 'span_logs' END AS entity,
+    [{', '.join(map(str, STATUSES))}][bucket + 1] AS status, CAST(sum(copies) AS BIGINT) AS lines, (CAST(sum(copies) AS BIGINT) + {LINES_A_BATCH - 1}) // {LINES_A_BATCH} AS batches
+  FROM dealt GROUP BY format, bucket)"""
 
 SQL = {
     "rate_limit": f"""{_ARRIVALS}
@@ -148,9 +172,9 @@ parts AS (SELECT entity, 0 AS valid, count(*) FILTER (WHERE entity <> 'histogram
   UNION ALL SELECT 'span_logs', count(*), 0, count(*) FILTER (WHERE NOT taken), 0 FROM log_queue)
 SELECT entity, CAST(sum(valid) AS BIGINT) AS valid, CAST(sum(invalid) AS BIGINT) AS invalid, CAST(sum(dropped) AS BIGINT) AS dropped,
   CAST(sum(discarded) AS BIGINT) AS discarded FROM parts GROUP BY entity"""),
-    "delivery_outcomes": with_views("delivery_log", then="""
+    "delivery_outcomes": with_views(*_ALL, then=f"""{_LINES}{_LOG}
 SELECT entity, status, CASE WHEN status IN (401, 403) THEN 'discarded' WHEN status BETWEEN 400 AND 599 OR status = -1 THEN 'requeued' ELSE 'delivered' END AS outcome,
-  count(*) AS batches, CAST(sum(lines) AS BIGINT) AS lines FROM delivery_log GROUP BY ALL"""),
-    "failure_counts": with_views("delivery_log", then="""
-SELECT coalesce(entity, 'total') AS entity, count(*) FILTER (WHERE status = -1) AS failures FROM delivery_log GROUP BY ROLLUP (entity)"""),
+  CAST(sum(batches) AS BIGINT) AS batches, CAST(sum(lines) AS BIGINT) AS lines FROM delivery_log GROUP BY ALL"""),
+    "failure_counts": with_views(*_ALL, then=f"""{_LINES}{_LOG}
+SELECT coalesce(entity, 'total') AS entity, CAST(coalesce(sum(batches) FILTER (WHERE status = -1), 0) AS BIGINT) AS failures FROM delivery_log GROUP BY ROLLUP (entity)"""),
 }

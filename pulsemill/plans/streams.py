@@ -12,7 +12,7 @@ from pulsemill.plans import views
 from pulsemill.plans.counters import BEAT_TAGS
 from pulsemill.plans.views import with_views
 from pulsemill.session import prepare, shared_path
-from pulsemill.sources.sinks import FileTransport
+from pulsemill.sources.sinks import FileTransport, key_numbers
 from pulsemill.streaming import streams
 
 TIME = streams.TIME
@@ -86,14 +86,19 @@ def stream_late_split(spark, folder):
     return split.select("event_id", "event_type", "late")
 
 
+def _third_time(fmt, key):
+    """A receiver that is down for the first two attempts of every batch."""
+    return 503 if key_numbers(key)[2] < 2 else 202
+
+
 def stream_sink(spark, folder):
-    """Encode and deliver the points of the stream; lines per format and status."""
+    """Encode and deliver the points of the stream to a receiver that puts every line back twice; lines per attempt and status."""
     path = shared_path(prepare(spark), "stream-sink")
     points = views.points_of(_events(spark, folder))
     outcomes = streams.stream_sink(
-        points, lambda batch: delivery.union_lines(encode.encode_metric_lines(batch)), FileTransport(f"{path}/bodies"),
-        f"{path}/outcomes", f"{path}/checkpoint")
-    return outcomes.groupBy("format", "status").agg(F.sum("n").alias("n_lines"))
+        points, lambda batch: delivery.union_lines(encode.encode_metric_lines(batch)), FileTransport(f"{path}/bodies", _third_time),
+        f"{path}/log", f"{path}/checkpoint")
+    return outcomes.groupBy("format", "attempt", "status").agg(F.sum("n").alias("n_lines"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -135,5 +140,7 @@ FROM reports WHERE (kind <> 'delta' OR change > 0) AND report_ms <= (SELECT max(
     "stream_late_split": f"""
 WITH parts AS (SELECT {ARRIVAL} AS part, max(ts) AS newest FROM events GROUP BY 1)
 SELECT event_id, event_type, coalesce(epoch_ms(ts) < (SELECT max(epoch_ms(newest)) FROM parts WHERE part < {ARRIVAL}) - 600000, false) AS late FROM events""",
-    "stream_sink": with_views("pts", then=f"\nSELECT 'metric' AS format, 202 AS status, count(*) AS n_lines FROM pts WHERE ({q.POINT_REASON}) IS NULL"),
+    "stream_sink": with_views("pts", then=f"""
+SELECT 'metric' AS format, CAST(a AS INTEGER) AS attempt, CASE WHEN a < 2 THEN 503 ELSE 202 END AS status, count(*) AS n_lines
+FROM pts, range(3) AS t(a) WHERE ({q.POINT_REASON}) IS NULL GROUP BY ALL"""),
 }

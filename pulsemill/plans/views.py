@@ -210,16 +210,6 @@ def routes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("points",), ("spans",), ("span_logs",)], "entity string")
 
 
-def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Batches of 100 events with a status from a fixed cycle."""
-    return table(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 100).alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("lines")).selectExpr(
-        "batch_id",
-        "element_at(array('points', 'histograms', 'spans', 'span_logs'), CAST(batch_id % 4 + 1 AS INT)) AS entity",
-        "element_at(array(200, 202, 401, 403, 406, 429, 500, 503, -1, 600), CAST(batch_id % 10 + 1 AS INT)) AS status",
-        "lines")
-
-
 # The same views for the comparison engine. Maps become one column per key (tag_<key>), arrays stay arrays.
 SQL_VIEWS = {
     "pts": """
@@ -300,11 +290,6 @@ SELECT epoch_us(ts) // 1000 AS ts_ms, ts, event_type AS component, 'user-' || (u
   CASE WHEN event_type = 'signup' THEN regexp_extract(props, '[0-9]+') END AS reported_k,
   apps.* REPLACE (coalesce(application, 'unknown') AS application, coalesce(service, 'unknown') AS service)
 FROM events LEFT JOIN apps ON user_id = app_id""",
-    "delivery_log": """
-SELECT event_id // 100 AS batch_id, count(*) AS lines,
-  ['points', 'histograms', 'spans', 'span_logs'][batch_id % 4 + 1] AS entity,
-  [200, 202, 401, 403, 406, 429, 500, 503, -1, 600][batch_id % 10 + 1] AS status
-FROM events GROUP BY event_id // 100""",
 }
 
 NEEDS = {"beats": ["apps"]}

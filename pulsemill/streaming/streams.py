@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from pulsemill.functions.text import delta_name
 from pulsemill.functions.time import epoch_ms
 from pulsemill.operators.validate import positive_deltas
 from pulsemill.session import shared_path
-from pulsemill.sources.sinks import OUTCOMES, Transport, sink_batches
+from pulsemill.sources.sinks import OUTCOMES, Transport, place, read_log, requeued_lines, sink_batches
 from pulsemill.streaming import state
 
 DELAY = "10 minutes"
@@ -145,16 +147,47 @@ def stream_sink(
     checkpoint: str,
     batch_size: int = 10_000,
     trigger: dict | None = None,
+    max_attempts: int = 5,
 ) -> DataFrame:
-    """Encode and deliver each micro-batch; outcome rows go to one folder per batch, overwritten by a repeat.
+    """Encode and deliver each micro-batch together with the lines that came back from the one before.
 
-    ``encode`` turns a batch into (format, line) rows. The usual live trigger is ``{"processingTime": "1 second"}``.
+    The queue between micro-batches is the delivery log of the last one, below ``path``: a line whose batch has to be sent again waits there with the number
+    of its next attempt, up to ``max_attempts``. A repeat of a micro-batch reads the same queue and sends nothing
+    that has an entry in its log. When the stream has ended, the queue is sent in further rounds until it is empty.
+
+    Returns the outcomes (``OUTCOMES`` with ``batch`` and ``round``); ``delivery.line_account`` adds them up. ``encode`` turns a batch
+    into (format, line) rows. The usual live trigger is ``{"processingTime": "1 second"}``.
     """
     spark = stream.sparkSession
 
+    def waiting(folder: str) -> DataFrame:
+        return requeued_lines(read_log(spark, folder)).filter(F.col("attempt") < max_attempts)
+
+    def deliver(lines: DataFrame, batch_id: int, turn: int) -> None:
+        sink_batches(lines, transport, batch_size, run=f"batch{batch_id}.{turn}", log=f"{path}/batch={batch_id}/round={turn}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        outcomes = sink_batches(encode(batch), transport, batch_size, run=f"batch{batch_id}")
-        outcomes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        lines = encode(batch).select("format", "line", F.lit(0).alias("attempt"))
+        last = _last_round(path, batch_id - 1)
+        deliver(lines if last is None else lines.unionByName(waiting(last[2])), batch_id, 0)
 
     run_batches(stream, write, checkpoint, trigger=trigger)
-    return spark.read.schema(f"{OUTCOMES}, batch int").parquet(path)
+    while (last := _last_round(path)) is not None and not (left := waiting(last[2])).isEmpty():
+        deliver(left, last[0], last[1] + 1)
+    at = [F.regexp_extract("_metadata.file_path", r"batch=(\d+)/round=(\d+)/", n).cast("int").alias(c) for n, c in ((1, "batch"), (2, "round"))]
+    return spark.read.schema(OUTCOMES).option("recursiveFileLookup", "true").option("pathGlobFilter", "*-*.json").json(path).select("*", *at)
+
+
+def _numbers(folder: str, name: str) -> list[int]:
+    """The numbers of the folders ``name=<number>`` in a folder."""
+    files, base = place(folder)
+    found = [re.fullmatch(rf"{name}=(\d+)", f.base_name) for f in files.get_file_info(fs.FileSelector(base, allow_not_found=True))]
+    return sorted(int(m[1]) for m in found if m)
+
+
+def _last_round(path: str, batch_id: int | None = None) -> tuple[int, int, str] | None:
+    """(batch, round, log) of the newest delivery, or of the newest of ``batch_id`` and before."""
+    for batch in reversed([n for n in _numbers(path, "batch") if batch_id is None or n <= batch_id]):
+        for turn in _numbers(f"{path}/batch={batch}", "round")[-1:]:
+            return batch, turn, f"{path}/batch={batch}/round={turn}"
+    return None

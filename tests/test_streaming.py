@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsemill.operators import delivery, encode
-from pulsemill.sources.sinks import FileTransport
+from pulsemill.sources.sinks import FileTransport, key_numbers
 from pulsemill.streaming import streams
 
 START = dt.datetime(2024, 1, 1)
@@ -191,18 +191,77 @@ def test_late_rows_are_reported(feed, tmp_path):
     assert {r["id"]: r["late"] for r in rows.collect()} == {1: False, 2: False, 3: True, 4: False, 5: False, 6: True, 7: False}
 
 
+def metric_lines(batch):
+    points = batch.select(F.col("series").alias("name"), "value", F.lit(None).cast("bigint").alias("ts_ms"),
+                          F.lit("h").alias("source"), F.create_map().cast("map<string,string>").alias("tags"))
+    return delivery.union_lines(encode.encode_metric_lines(points))
+
+
 def test_stream_sink_delivers_every_line(feed, tmp_path):
     feed.add([(at(0), "a b", 1.0, 1), (at(1), " ", 1.0, 2)])
     feed.add([(at(2), "c", 2.5, 3)])
 
-    def lines(batch):
-        points = batch.select(F.col("series").alias("name"), "value", F.lit(None).cast("bigint").alias("ts_ms"),
-                              F.lit("h").alias("source"), F.create_map().cast("map<string,string>").alias("tags"))
-        return delivery.union_lines(encode.encode_metric_lines(points))
-
     bodies = str(tmp_path / "bodies")
     outcomes = streams.stream_sink(
-        feed.stream(maxFilesPerTrigger="1"), lines, FileTransport(bodies), str(tmp_path / "out"), str(tmp_path / "cp"))
+        feed.stream(maxFilesPerTrigger="1"), metric_lines, FileTransport(bodies), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted((r["batch"], r["n"], r["status"]) for r in outcomes.collect()) == [(0, 1, 202), (1, 1, 202)]
     sent = [t for f in glob.glob(f"{bodies}/*/*.gz") for t in gzip.open(f, "rt").read().splitlines()]
     assert sorted(sent) == ['"a-b" 1 source="h"', '"c" 2.5 source="h"']
+
+
+def answers(*statuses):
+    """The status of each attempt; the last one stays."""
+    def status(fmt, key):
+        return statuses[min(key_numbers(key)[2], len(statuses) - 1)]
+
+    return status
+
+
+def test_lines_that_come_back_wait_for_the_next_batch(feed, tmp_path):
+    feed.add([(at(0), "a", 1.0, 1), (at(0), "b", 1.0, 2)])
+    feed.add([(at(1), "c", 1.0, 3), (at(1), "a", 1.0, 4)])
+    bodies, out, checkpoint = (str(tmp_path / n) for n in ("bodies", "out", "cp"))
+
+    def run():
+        return streams.stream_sink(feed.stream(maxFilesPerTrigger="1"), metric_lines, FileTransport(bodies, answers(503, 503, 202)), out, checkpoint)
+
+    outcomes = run()
+    sent = sorted((r["batch"], r["round"], r["attempt"], r["status"], r["n"]) for r in outcomes.groupBy("batch", "round", "attempt", "status").agg(F.sum("n").alias("n")).collect())
+    # Batch 1 also sends what batch 0 got back; two more rounds empty the queue.
+    assert sent == [(0, 0, 0, 503, 2), (1, 0, 0, 503, 2), (1, 0, 1, 503, 2), (1, 1, 1, 503, 2), (1, 1, 2, 202, 2), (1, 2, 2, 202, 2)]
+    stored = sorted(t for f in glob.glob(f"{bodies}/*/*.gz") for t in gzip.open(f, "rt").read().splitlines())
+    assert stored == ['"a" 1 source="h"'] * 2 + ['"b" 1 source="h"', '"c" 1 source="h"']
+    assert delivery.line_account(outcomes, 5).first()[:] == ("metric", 4, 4, 0, 0)
+    # A restart has nothing to send but the new line.
+    feed.add([(at(2), "d", 1.0, 5)])
+    assert delivery.line_account(run(), 5).first()[:] == ("metric", 5, 5, 0, 0)
+
+
+def test_lines_are_given_up_after_the_last_attempt(feed, tmp_path):
+    feed.add([(at(0), "a", 1.0, 1), (at(0), "b", 1.0, 2)])
+    outcomes = streams.stream_sink(feed.stream(), metric_lines, FileTransport(str(tmp_path / "b"), answers(503, -1)), str(tmp_path / "out"), str(tmp_path / "cp"), max_attempts=3)
+    assert delivery.line_account(outcomes, 3).first()[:] == ("metric", 2, 0, 2, 0)
+    assert sorted({r["attempt"] for r in outcomes.collect()}) == [0, 1, 2]
+
+
+def test_a_repeated_micro_batch_sends_nothing_again(feed, tmp_path):
+    """The receiver dies in the middle of a batch; the restarted stream sends the rest of it."""
+    feed.add([(at(0), f"m{i}", 1.0, i) for i in range(40)])
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def send(fmt, body, key):
+        if len(list(calls.iterdir())) == 3 and not (tmp_path / "died").exists():
+            (tmp_path / "died").write_text("x")
+            raise RuntimeError("gone")
+        note = calls / key
+        note.write_bytes((note.read_bytes() if note.exists() else b"") + gzip.decompress(body))
+        return 202
+
+    def run():
+        return streams.stream_sink(feed.stream(), metric_lines, send, str(tmp_path / "out"), str(tmp_path / "cp"), batch_size=5)
+
+    with pytest.raises(Exception, match="gone"):
+        run()
+    assert sum(r["n"] for r in run().collect()) == 40
+    assert sorted(t for f in calls.iterdir() for t in f.read_text().splitlines()) == sorted(f'"m{i}" 1 source="h"' for i in range(40))
