@@ -161,7 +161,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
         return spark.createDataFrame([], out)
     budget = _budget(entries, books, sizes, trials, k, recall)
     n_tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = Blocks(sizes, int(min(block, max(1024, sizes.sum() // n_tasks))))
+    blocks = Blocks(sizes, int(min(block, max(256, sizes.sum() // n_tasks))))
     # The share of the queries that visits the most wanted block, seen in the trial queries.
     seen = np.zeros(blocks.count)
     for t in range(len(trials)):
@@ -173,7 +173,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     dealt = dealt.repartition(blocks.count * copies_of, "block", "part").sortWithinPartitions("block", "part", "is_visit")
     found = _search(dealt, dim, k, kind)
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "i")
-    lists = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).groupBy("h1", "h2").agg(
+    lists = found.select("h1", "h2", F.inline(F.arrays_zip(F.col("ids").alias("i"), F.col("scores").alias("score")))).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).groupBy("h1", "h2").agg(
         F.sort_array(F.collect_list(F.struct("n", "i", "score"))).alias("top"))
     members = pairs.where("q").select(F.col("i").alias("query_id"), *_hashes())
     own = F.slice(F.filter("top", lambda x: x["i"] != F.col("query_id")), 1, k)
@@ -323,8 +323,9 @@ class _Block:
 
 
 def _search(dealt: DataFrame, dim: int, k: int, kind: T.DataType) -> DataFrame:
-    """(h1, h2, i, score): the ``k + 1`` best ids of every query in every block."""
-    schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("i", kind), T.StructField("score", T.DoubleType())])
+    """(h1, h2, ids, scores): the ``k + 1`` best ids of every query in every block that it visits."""
+    schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
+                           T.StructField("scores", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, ready = None, [], None
@@ -347,7 +348,8 @@ def _search(dealt: DataFrame, dim: int, k: int, kind: T.DataType) -> DataFrame:
                 for start in range(0, rows.num_rows, step):
                     some = rows.slice(start, step)
                     query, ids, score = ready.top(_vectors(some.column("v"), dim), some.column("cells"), k + 1)
-                    named = some.take(pa.array(query))
-                    yield pa.RecordBatch.from_arrays([named.column("h1"), named.column("h2"), ids, pa.array(score)], names=schema.names)
+                    ends = pa.array(np.searchsorted(query, np.arange(some.num_rows + 1)).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column("h1"), some.column("h2"), pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, pa.array(score))], names=schema.names)
 
     return dealt.mapInArrow(run, schema)
