@@ -1,45 +1,60 @@
 """Ordered calculations and joins per key that no single key can overload.
 
-A window partitioned by a hot key would sort that key's rows in one task. Each ordered helper first asks whether
-any key is that large (one pass over the key columns whose shuffle is a few numbers per task). If none is, the plain
-window is used: one shuffle, one sort. If one is, the rows are range-partitioned by key *and* order, so a hot key
-spreads over many partitions, and small per-partition totals carry the state across the seams. Both ways give the
-same rows; ``split`` forces one of them and saves the question.
+A window partitioned by a hot key would sort that key's rows in one task. Each ordered helper first names the keys that are that large, with a
+frequent-items sketch of some thousand counters per task. Their rows alone are range-partitioned by key *and* order, so a hot key
+spreads over many partitions, and small per-partition totals carry the state across the seams; the rows of all other keys take the plain
+window: one shuffle, one sort. Both ways give the same rows; ``split`` forces one of them for all keys and saves the question.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsemill.session import materialise
 
 HOT_ROWS = 2_000_000
 SALTS = 64
+#: Rows of a key that one window may sort to find a place among them.
+WINDOW_ROWS = 100_000
+#: Counters of a task's sketch of frequent keys.
+TRACKED = 4096
 
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether a group of ``keys`` has more than ``hot_rows`` rows: a bound that does not grow with the data.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """The hashes (``xxhash64``) of the groups of ``keys`` that may have more than ``hot_rows`` rows.
 
-    Rows are first counted per hash bucket of the keys, four buckets to a task, without shuffling the keys themselves. A bucket
-    is at least as large as each of its groups, so only if one is over the bound the groups are counted, combined map-side.
+    One pass over the key columns: each task keeps ``TRACKED`` counters, sketches are merged in two rounds, and nothing but sketches is
+    shuffled. A group with over ``hot_rows`` rows is named unless it has less than 2 / ``TRACKED`` of all rows, so beyond some billion
+    rows a group that stays in one task is at most that share of the whole. A table that has no more than ``hot_rows`` rows is not looked at.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(4 * shuffle_partitions(df)))
+    if df.count() <= hot_rows:
+        return []
+    sketches = df.select(F.xxhash64(*keys).alias("k")).groupBy((F.spark_partition_id() % SALTS).alias("_round")).agg(
+        F.expr(f"approx_top_k_accumulate(k, {TRACKED})").alias("s"))
+    # Grouped by a key that is the same for all: a task without sketches cannot combine anything.
+    top = sketches.groupBy(F.col("_round") < 0).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {TRACKED // 2})").alias("top")).first()
+    return [r["item"] for r in top["top"] if r["count"] > hot_rows] if top else []
 
-    def over(*by) -> bool:
-        return not df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).isEmpty()
 
-    return over(bucket.alias("_bucket")) and over(*keys)
-
-
-def _decide(df: DataFrame, keys: Sequence[str], split: bool | None, hot_rows: int) -> bool:
-    return has_hot_group(df, keys, hot_rows) if split is None else split
+def _by_heat(
+    df: DataFrame, keys: Sequence[str], split: bool | None, hot_rows: int, plain: Callable[[DataFrame], DataFrame], spread: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``plain`` for the rows of cold keys and ``spread`` for those of hot ones, or one of them for all rows."""
+    if split is not None:
+        return spread(df) if split else plain(df)
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot:
+        return plain(df)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    return plain(df.filter(~is_hot)).unionByName(spread(df.filter(is_hot)))
 
 
 def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -75,7 +90,8 @@ def running_sum(
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
     extra = [c for c in (total, size) if c]
-    if not _decide(df, keys, split, hot_rows):
+
+    def plain(rows: DataFrame) -> DataFrame:
         ordered = Window.partitionBy(*keys).orderBy(*order)
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         columns = {out: F.sum(amount).over(ordered.rowsBetween(*upto))}
@@ -83,18 +99,21 @@ def running_sum(
             columns[total] = F.sum(amount).over(whole)
         if size:
             columns[size] = F.count(F.lit(1)).over(whole)
-        return df.withColumns(columns)
+        return rows.withColumns(columns)
 
-    parts = _range_parts(df.withColumn("_amount", amount), keys, order)
-    sums = parts.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    key = Window.partitionBy(*keys)
-    earlier = key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(
-        *keys, "_part", F.sum("_sum").over(earlier).alias("_carried"),
-        *([F.sum("_sum").over(key).alias(total)] if total else []), *([F.sum("_rows").over(key).alias(size)] if size else []))
-    within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*upto)
-    summed = _join_parts(parts.withColumn(out, F.sum("_amount").over(within)), carried, keys)
-    return summed.withColumn(out, F.col(out) + F.coalesce(F.col("_carried"), F.lit(0))).select(*df.columns, out, *extra)
+    def spread(rows: DataFrame) -> DataFrame:
+        parts = _range_parts(rows.withColumn("_amount", amount), keys, order)
+        sums = parts.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
+        key = Window.partitionBy(*keys)
+        earlier = key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        carried = sums.select(
+            *keys, "_part", F.sum("_sum").over(earlier).alias("_carried"),
+            *([F.sum("_sum").over(key).alias(total)] if total else []), *([F.sum("_rows").over(key).alias(size)] if size else []))
+        within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*upto)
+        summed = _join_parts(parts.withColumn(out, F.sum("_amount").over(within)), carried, keys)
+        return summed.withColumn(out, F.col(out) + F.coalesce(F.col("_carried"), F.lit(0))).select(*df.columns, out, *extra)
+
+    return _by_heat(df, keys, split, hot_rows, plain, spread)
 
 
 def row_rank(
@@ -119,36 +138,92 @@ def previous_value(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``value`` of the row before, per key; null on a key's first row. ``order`` must be unique within a key."""
-    if not _decide(df, keys, split, hot_rows):
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    parts = _range_parts(df.withColumns({f"_order{i}": o for i, o in enumerate(order)}), keys, order)
-    ordering = [F.col(f"_order{i}") for i in range(len(order))]
-    lasts = parts.groupBy(*keys, "_part").agg(F.max_by(F.struct(value), F.struct(*ordering)).alias("_last"))
-    seam = Window.partitionBy(*keys).orderBy("_part")
-    carried = lasts.select(*keys, "_part", F.lag(f"_last.{value}").over(seam).alias("_carried"))
-    within = Window.partitionBy(*keys, "_part").orderBy(*ordering)
-    lagged = parts.withColumns({"_first": F.row_number().over(within) == 1, out: F.lag(value).over(within)})
-    joined = _join_parts(lagged, carried, keys)
-    return joined.withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(out))).select(*df.columns, out)
-
-
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread: int = SALTS) -> DataFrame:
-    """The first ``n`` rows per key, in two rounds: each input task keeps at most ``n`` rows per key, ``spread`` tasks
-    merge those, and only ``spread * n`` rows per key reach the last round. ``order`` must be unique within a key.
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        parts = _range_parts(rows.withColumns({f"_order{i}": o for i, o in enumerate(order)}), keys, order)
+        ordering = [F.col(f"_order{i}") for i in range(len(order))]
+        lasts = parts.groupBy(*keys, "_part").agg(F.max_by(F.struct(value), F.struct(*ordering)).alias("_last"))
+        seam = Window.partitionBy(*keys).orderBy("_part")
+        carried = lasts.select(*keys, "_part", F.lag(f"_last.{value}").over(seam).alias("_carried"))
+        within = Window.partitionBy(*keys, "_part").orderBy(*ordering)
+        lagged = parts.withColumns({"_first": F.row_number().over(within) == 1, out: F.lag(value).over(within)})
+        joined = _join_parts(lagged, carried, keys)
+        return joined.withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(out))).select(*df.columns, out)
+
+    return _by_heat(df, keys, split, hot_rows, plain, spread)
+
+
+def _hex(order: Column, kind: T.DataType) -> Column:
+    """``order`` as hexadecimal text in the same order; null comes first, as in an ordering."""
+    if isinstance(kind, T.IntegralType):
+        signed = order.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))
+        text = F.lpad(F.hex(signed), 16, "0")
+    else:
+        text = F.hex(F.encode(order.cast("string"), "UTF-8"))
+    return F.coalesce(F.concat(F.lit("1"), text), F.lit("0"))
+
+
+def cutoffs(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """(keys, _cut): the ``n``-th row of each key that has more than ``n`` rows, by (``ts``, ``tie``), which ``_cut`` holds.
+
+    No key is sorted. Each round counts the rows of the undecided keys by the next few digits of their order, combined map-side: the
+    digits in which the ``n``-th row lies stay, with the number of rows still to take from them. As soon as what is left of
+    each key has at most ``window_rows`` rows, a window over just these finds the row.
     """
-    # Spark only cuts ranked rows before a shuffle up to this many per group.
-    conf, name = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(name)) < n:
-        conf.set(name, str(n))
-    grouped = df.withColumn("_group", F.spark_partition_id() % spread)
-    local = Window.partitionBy(*keys, "_group").orderBy(*order)
-    final = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        grouped.withColumn("_rank", F.row_number().over(local)).filter(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(final)).filter(F.col("_rank") <= n)
-        .select(*df.columns)
-    )
+    kinds = [df.schema[c].dataType for c in (ts, tie)]
+    # The time has a fixed width, so the digits of time and tie can stand in one text.
+    digits = F.concat(_hex(F.col(ts), kinds[0]), _hex(F.col(tie), kinds[1]))
+    rows = df.select(*keys, F.col(ts).alias("_ts"), F.col(tie).alias("_tie"), digits.alias("_digits"))
+    whole = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_digits").alias("_low"), F.max("_digits").alias("_high")).filter(F.col("_n") > n)
+    left = materialise(whole.select(*keys, F.lit(n).cast("bigint").alias("_need"), "_n", _common("_low", "_high").alias("_prefix"), (F.col("_low") != F.col("_high")).alias("_open")), "cutoffs")
+
+    def undecided(found: DataFrame) -> DataFrame:
+        named = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_need", "_prefix")
+        match = F.lit(True)
+        for k in keys:
+            match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        return rows.join(broadcast_if_small(named), match).filter(F.col("_digits").startswith(F.col("_prefix"))).drop(*[f"_k_{k}" for k in keys])
+
+    while True:
+        if left.filter(F.col("_open") & (F.col("_n") > window_rows)).isEmpty():
+            break
+        here = [*keys, "_need", "_prefix"]
+        counts = undecided(left).groupBy(*here, F.expr("substring(_digits, length(_prefix) + 1, 3)").alias("_next")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_digits").alias("_low"), F.max("_digits").alias("_high"))
+        # A key has at most 4096 next digits.
+        before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        inside = counts.withColumn("_before", before).filter((F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_n")))
+        left = materialise(inside.select(
+            *keys, (F.col("_need") - F.col("_before")).alias("_need"), "_n", _common("_low", "_high").alias("_prefix"), (F.col("_low") != F.col("_high")).alias("_open")), "cutoffs")
+    place, cut = F.row_number().over(Window.partitionBy(*keys).orderBy("_ts", "_tie")), F.struct("_ts", "_tie").alias("_cut")
+    found = undecided(left.filter("_open")).withColumn("_place", place).filter(F.col("_place") == F.col("_need")).select(*keys, cut)
+    equal = left.filter(~F.col("_open"))  # nothing but equal rows is left, so each of them is the one
+    return found if equal.isEmpty() else found.unionByName(undecided(equal).groupBy(*keys).agg(F.min(cut).alias("_cut")))
+
+
+def _common(low: str, high: str) -> Column:
+    """The digits that all texts from ``low`` to ``high`` start with."""
+    same = F.expr(f"try_element_at(filter(sequence(0, length({low})), i -> substring({low}, 1, i) <> substring({high}, 1, i)), 1)")
+    return F.substring(F.col(low), F.lit(1), F.coalesce(same - 1, F.length(low)))
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """The rows up to each key's ``n``-th by (``ts``, ``tie``): one comparison per row with the key's cutoff. The order must be unique within a key."""
+    return within_cutoff(df, cutoffs(df, keys, ts, tie, n, window_rows), keys, ts, tie, "_within").filter("_within").drop("_within")
+
+
+def within_cutoff(df: DataFrame, cuts: DataFrame, keys: Sequence[str], ts: str, tie: str, out: str) -> DataFrame:
+    """``df`` with ``out``: whether a row is one of its key's first. ``cuts`` has a row for each key with more rows."""
+    named = materialise(cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_cut"), "cuts")
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = df.join(broadcast_if_small(named), match, "left")
+    inside = F.col("_cut").isNull() | (F.struct(F.col(ts).alias("_ts"), F.col(tie).alias("_tie")) <= F.col("_cut"))
+    return joined.withColumn(out, inside).select(*df.columns, out)
 
 
 BROADCAST_BYTES = 64 << 20

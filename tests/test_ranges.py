@@ -68,15 +68,29 @@ def test_split_spreads_the_hot_key(skewed):
     assert len(hot) >= 2
 
 
-def test_hot_group_decides(skewed):
-    assert ranges.has_hot_group(skewed, ["key"], 500)
-    assert not ranges.has_hot_group(skewed, ["key"], 5000)
-    assert not ranges.has_hot_group(skewed, ["id"], 500)
-    assert not ranges.has_hot_group(skewed.limit(0), ["key"], 0)
-    assert ranges.has_hot_group(skewed, ["key"], 500) and not ranges.has_hot_group(skewed, ["key"], 2000)
+def names_of(spark, df, keys, hashes):
+    return {r["key"] for r in df.select("key", F.xxhash64(*keys).alias("h")).distinct().collect() if r["h"] in set(hashes)}
+
+
+def test_only_hot_keys_are_named(spark, skewed):
+    assert names_of(spark, skewed, ["key"], ranges.hot_keys(skewed, ["key"], 500)) == {"hot", None}
+    assert ranges.hot_keys(skewed, ["key"], 5000) == [] == ranges.hot_keys(skewed, ["id"], 500) == ranges.hot_keys(skewed.limit(0), ["key"], 0)
+    # Among two hundred thousand keys, the three that hold two hundredths of the rows each stand out.
+    many = spark.range(0, 200_000, 1, 9).select(F.when(F.col("id") % 50 < 3, F.col("id") % 50).otherwise(F.col("id")).cast("string").alias("key"))
+    assert names_of(spark, many, ["key"], ranges.hot_keys(many, ["key"], 3000)) == {"0", "1", "2"}
+
+
+def test_cold_keys_take_the_plain_window(skewed):
     auto = ranges.row_rank(skewed, ["key"], order(), "n", hot_rows=500)
     plain = ranges.row_rank(skewed, ["key"], order(), "n", split=False)
     assert sorted(map(tuple, auto.select("id", "n").collect())) == sorted(map(tuple, plain.select("id", "n").collect()))
+    lagged = ranges.previous_value(skewed, ["key"], order(), "amount", "before", hot_rows=500)
+    plain = ranges.previous_value(skewed, ["key"], order(), "amount", "before", split=False)
+    assert sorted(map(str, lagged.select("id", "before").collect())) == sorted(map(str, plain.select("id", "before").collect()))
+    # What was range-partitioned and written holds the rows of the hot keys alone.
+    spread = []
+    assert ranges._by_heat(skewed, ["key"], None, 500, lambda df: df, lambda df: spread.append(df) or df).count() == 3000
+    assert {r["key"] for r in spread[0].select("key").distinct().collect()} == {"hot", None}
 
 
 @pytest.mark.parametrize("split", [False, True])
@@ -87,10 +101,37 @@ def test_totals_and_sizes(skewed, split):
         f"Row(key={r[0]!r}, total={r[1]}, size={r[2]})" for r in expected)
 
 
-def test_first_rows(skewed):
-    ranks = ranges.row_rank(skewed, ["key"], order(), "n", split=False).filter("n <= 20")
-    got = ranges.first_rows(skewed, ["key"], order(), 20, spread=3)
-    assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in ranks.collect())
+@pytest.mark.parametrize("window_rows", [100_000, 40, 1])
+def test_first_rows(spark, skewed, window_rows):
+    before = dict(spark.conf.getAll)
+    for n in (1, 20, 700, 5000):
+        ranks = ranges.row_rank(skewed, ["key"], order(), "n", split=False).filter(F.col("n") <= n)
+        got = ranges.first_rows(skewed, ["key"], "ts", "id", n, window_rows)
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in ranks.collect())
+        if window_rows < 100:
+            break
+    assert dict(spark.conf.getAll) == before
+
+
+@pytest.mark.parametrize("window_rows", [100_000, 3])
+def test_cutoffs_follow_the_order_of_texts_and_numbers(spark, window_rows):
+    rng = random.Random(4)
+    texts = ["", "a", "aa", "aé", "b", "é", "漢", "id-0001", "id-0002", "id-00020", "z" * 70, "z" * 70 + "a", None]
+    rows = [(k, rng.choice([-(10**12), -1, 0, 5, 10**15, None]), t, i) for k in ("x", None) for i, t in enumerate(texts * 3)]
+    table = spark.createDataFrame([(k, ts, t, i * (-1) ** i * 10**9) for k, ts, t, i in rows], "key string, ts bigint, text string, number bigint")
+    for tie in ("text", "number"):
+        for n in (1, 7, 20):
+            marked = ranges.within_cutoff(table, ranges.cutoffs(table, ["key"], "ts", tie, n, window_rows), ["key"], "ts", tie, "in")
+            for key in ("x", None):
+                held = [(r["ts"], r[tie], r["in"]) for r in marked.collect() if r["key"] == key]
+                rank = lambda x: tuple((v is not None, v.encode() if isinstance(v, str) else v or 0) for v in x[:2])
+                cut = rank(sorted(held, key=rank)[n - 1])
+                assert all(inside == (rank((ts, t)) <= cut) for ts, t, inside in held)
+
+
+def test_cutoffs_of_equal_rows(spark):
+    table = spark.range(50).select(F.lit("k").alias("key"), F.lit(1).cast("bigint").alias("ts"), F.lit("same").alias("id"))
+    assert [r["_cut"][:] for r in ranges.cutoffs(table, ["key"], "ts", "id", 10, 5).collect()] == [(1, "same")]
 
 
 def test_broadcast_is_bounded_by_bytes(spark):
