@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from pulsemill.functions.tags import pairs_suffix, tags_suffix
 from pulsemill.functions.text import delta_name, number_text, sanitize_name, sanitize_tag_value, with_default_source
 from pulsemill.model import GRANULARITY_MS, SPAN_LOGS_TAG, UNKNOWN_SOURCE
 from pulsemill.operators.validate import (
-    positive_deltas, valid, validate_distributions, validate_points, validate_spans,
+    REASON, positive_deltas, valid, validate_distributions, validate_points, validate_spans,
 )
 
 
@@ -25,13 +27,18 @@ def _repeat(label: str, ids: str) -> Column:
     return F.coalesce(F.array_join(F.transform(ids, lambda i: F.concat(F.lit(f" {label}="), i)), ""), F.lit(""))
 
 
+def _accepted(records: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The valid ones of ``records``; records that come with a verdict are not checked again."""
+    return valid(records if REASON in records.columns else check(records))
+
+
 def encode_metric_lines(points: DataFrame, default_source: str = UNKNOWN_SOURCE) -> DataFrame:
     """``"name" value [ts] source="s" "k"="v"...`` for every valid point, as column ``line``."""
     line = F.concat(
         sanitize_name(F.col("name")), F.lit(" "), number_text(F.col("value")), _optional(F.col("ts_ms")),
         _source_part(default_source), tags_suffix(F.col("tags")),
     )
-    return valid(validate_points(points)).withColumn("line", line)
+    return _accepted(points, validate_points).withColumn("line", line)
 
 
 def encode_delta_lines(deltas: DataFrame, default_source: str = UNKNOWN_SOURCE) -> DataFrame:
@@ -72,7 +79,7 @@ def encode_histogram_lines(dists: DataFrame, default_source: str = UNKNOWN_SOURC
         ), ""),
         sanitize_name(F.col("name")), _source_part(default_source), tags_suffix(F.col("tags")),
     )
-    bodies = valid(validate_distributions(dists)).withColumn("_body", body)
+    bodies = _accepted(dists, validate_distributions).withColumn("_body", body)
     wanted = F.filter(order, lambda g: F.array_contains("granularities", g))
     exploded = bodies.select("*", F.explode(wanted).alias("granularity"))
     return exploded.withColumn("line", F.concat("granularity", "_body")).drop("_body")
@@ -89,7 +96,7 @@ def encode_span_lines(spans: DataFrame, default_source: str = UNKNOWN_SOURCE) ->
         F.coalesce(pairs_suffix(F.col("tags")), F.lit("")), flag,
         F.lit(" "), F.col("start_ms").cast("string"), F.lit(" "), F.col("duration_ms").cast("string"),
     )
-    return valid(validate_spans(spans)).withColumn("line", line)
+    return _accepted(spans, validate_spans).withColumn("line", line)
 
 
 def encode_span_logs_json(envelopes: DataFrame) -> DataFrame:

@@ -120,8 +120,26 @@ def failure_counts(spark, folder):
     return delivery.failure_counts(_delivery_log(spark, folder)).withColumn("entity", F.coalesce("entity", F.lit("total")))
 
 
+def delivery_account(spark, folder):
+    """Points, distributions and spans checked, encoded and delivered in one run. Valid and invalid records are counted on the way to the
+    receiver, which loses the lines of spans; what became of the lines comes from the delivery's log."""
+    path, checks = shared_path(prepare(spark), "account"), {
+        "points": (validate.validate_points(views.pts(spark, folder)), encode.encode_metric_lines),
+        "histograms": (validate.validate_distributions(views.dists(spark, folder)), encode.encode_histogram_lines),
+        "spans": (validate.validate_spans(views.spans(spark, folder).withColumn("has_logs", F.lit(False))), encode.encode_span_lines)}
+    counts, lines = {}, []
+    for entity, (checked, encoder) in checks.items():
+        rows, counts[entity] = delivery.observed(checked, f"{entity}-{path[-8:]}")
+        lines.append(encoder(rows))
+    outcomes = sinks.sink_batches(
+        delivery.union_lines(*lines), sinks.FileTransport(f"{path}/bodies", {"trace": 401}), LINES_A_BATCH, log=f"{path}/log")
+    verdicts = spark.createDataFrame([(e, c.get["valid"], c.get["invalid"]) for e, c in counts.items()], "entity string, valid bigint, invalid bigint")
+    account = delivery.line_account(outcomes).withColumn("entity", F.expr("CASE format WHEN 'metric' THEN 'points' WHEN 'trace' THEN 'spans' ELSE 'histograms' END"))
+    return verdicts.join(account.drop("format"), "entity")
+
+
 QUERIES = {f.__name__: f for f in (
-    rate_limit, assign_batches, take_batch, union_lines, sink_lines, sink_batches, entity_ledger, delivery_outcomes, failure_counts)}
+    rate_limit, assign_batches, take_batch, union_lines, sink_lines, sink_batches, entity_ledger, delivery_outcomes, failure_counts, delivery_account)}
 
 _ARRIVALS = f"""
 WITH arrivals AS (SELECT 'points' AS entity, epoch_us(ts) // 1000 AS ts_ms, CAST(event_id AS VARCHAR) AS id FROM events
@@ -177,4 +195,11 @@ SELECT entity, status, CASE WHEN status IN (401, 403) THEN 'discarded' WHEN stat
   CAST(sum(batches) AS BIGINT) AS batches, CAST(sum(lines) AS BIGINT) AS lines FROM delivery_log GROUP BY ALL"""),
     "failure_counts": with_views(*_ALL, then=f"""{_LINES}{_LOG}
 SELECT coalesce(entity, 'total') AS entity, CAST(coalesce(sum(batches) FILTER (WHERE status = -1), 0) AS BIGINT) AS failures FROM delivery_log GROUP BY ROLLUP (entity)"""),
+    "delivery_account": with_views(*_ALL, then=f"""{_LINES},
+verdicts AS (SELECT 'points' AS entity, 'metric' AS format, count(*) FILTER (WHERE ({q.POINT_REASON}) IS NULL) AS valid, count(*) AS n FROM pts
+  UNION ALL SELECT 'histograms', 'histogram', count(*) FILTER (WHERE ({histogram_plans.DIST_REASON}) IS NULL), count(*) FROM dists
+  UNION ALL SELECT 'spans', 'trace', count(*) FILTER (WHERE ({span_plans.SPAN_REASON}) IS NULL), count(*) FROM spans)
+SELECT entity, valid, n - valid AS invalid, sent, CASE format WHEN 'trace' THEN 0 ELSE sent END AS delivered, CASE format WHEN 'trace' THEN sent ELSE 0 END AS discarded,
+  CAST(0 AS BIGINT) AS waiting
+FROM verdicts JOIN (SELECT format, count(*) AS sent FROM lines GROUP BY format) USING (format)"""),
 }

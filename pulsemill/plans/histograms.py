@@ -102,8 +102,26 @@ def encode_histogram_lines(spark, folder):
     return encode.encode_histogram_lines(views.dists(spark, folder)).select("id", "line")
 
 
+#: Every hundred-and-first order has a fault of its own kind.
+FAULT = "CAST(regexp_extract(id, '^l([0-9]+)', 1) AS BIGINT) % 101"
+
+
+def faulty_dists(dists):
+    """Distributions with a fault of each kind that a check knows."""
+    centroid = "transform(centroids, c -> named_struct('mean', {}, 'count', {}))".format
+    return dists.withColumn("fault", F.expr(FAULT)).withColumns({c: F.expr(e) for c, e in {
+        "name": "CASE fault WHEN 1 THEN '∆' ELSE name END",
+        "granularities": "CASE fault WHEN 2 THEN NULL WHEN 3 THEN array('!M', NULL) WHEN 4 THEN array('!M', '!Q') ELSE granularities END",
+        "centroids": f"CASE fault WHEN 5 THEN NULL WHEN 6 THEN {centroid('c.mean', 'CAST(NULL AS INT)')} "
+                     f"WHEN 7 THEN {centroid('double(chr(78) || chr(97) || chr(78))', 'c.count')} "
+                     f"WHEN 12 THEN {centroid('CAST(NULL AS DOUBLE)', 'c.count')} ELSE centroids END",
+        "source": "CASE fault WHEN 8 THEN concat('a', char(10)) ELSE source END",
+        "tags": "CASE fault WHEN 9 THEN map('ship', ' ') WHEN 10 THEN map(' ', 'v') WHEN 11 THEN map('ship', concat('a', char(13))) ELSE tags END",
+    }.items()})
+
+
 def validate_distributions(spark, folder):
-    checked = validate.validate_distributions(views.dists(spark, folder))
+    checked = validate.validate_distributions(faulty_dists(views.dists(spark, folder)))
     return checked.groupBy(F.coalesce(validate.REASON, F.lit("valid")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -230,7 +248,13 @@ SELECT series, {q.bin_start('minute_ms', DAY)} AS period_ms, string_agg(CAST(min
     "compact_centroids": with_views("dists", then=f"""{_RUNS}
 SELECT id, CAST(run - 1 AS INTEGER) AS pos, mean, count FROM runs"""),
     "encode_histogram_lines": with_views("dists", then=f"{HISTOGRAM_LINES}\nSELECT id, line FROM histogram_lines"),
-    "validate_distributions": with_views("dists", then=f"\nSELECT coalesce({DIST_REASON}, 'valid') AS verdict, count(*) AS n FROM dists GROUP BY 1"),
+    "validate_distributions": with_views("dists", then=f""",
+faults AS (SELECT *, CAST(regexp_extract(id, '^l([0-9]+)', 1) AS BIGINT) % 101 AS fault FROM dists)
+SELECT CASE WHEN fault = 1 THEN 'bare_delta' WHEN {q.blank('name')} THEN 'blank_name'
+  WHEN fault = 2 OR fault NOT IN (3, 4) AND len(granularities) = 0 THEN 'no_granularity' WHEN fault = 5 OR len(means) = 0 THEN 'no_centroids'
+  WHEN fault = 3 THEN 'null_granularity' WHEN fault = 4 THEN 'unknown_granularity' WHEN fault = 6 THEN 'null_count' WHEN fault IN (7, 12) THEN 'non_finite'
+  WHEN fault = 9 THEN 'blank_tag_value' WHEN fault = 10 THEN 'blank_tag_key' WHEN fault IN (8, 11) THEN 'newline' ELSE 'valid' END AS verdict, count(*) AS n
+FROM faults GROUP BY 1"""),
     "validate_digest_input": """
 WITH pairs AS (SELECT l_returnflag AS series, l_quantity AS mean, l_linenumber - 1 AS count FROM lineitem
   UNION ALL SELECT l_returnflag, l_extendedprice, 2 FROM lineitem)
