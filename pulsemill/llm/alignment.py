@@ -22,12 +22,14 @@ count are all best. Ids of tokens are written in decimal.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +78,8 @@ class Encoders:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)]
         #: Whether no piece goes from other characters on into a space, so that B may be cut there.
         self.cuts = all("▁" not in p.lstrip("▁") for p in pieces)
+        #: Byte symbols for all bytes and no normaliser: tokens of A always give back their text's bytes.
+        self.exact_a = spec.get("normalizer") is None and all(s in names for s in symbol)
         self.size_a, self.size_b = (np.array([len(x) for x in xs], np.int64) for xs in (self.bytes_a, self.bytes_b))
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
@@ -85,8 +89,11 @@ class Encoders:
         """``texts`` lack the leading space, which the tokenizer adds."""
         return self.b.encode(texts, out_type=int, num_threads=1)
 
-    def equal(self, ids: list[int], table: list[bytes], raw: bytes) -> bool:
-        return b"".join([table[n] for n in ids]) == raw
+    def restores(self, a: list[int], raw_a: bytes, b: list[int], raw_b: bytes) -> bool:
+        """Whether the tokens give back the bytes that they stand for."""
+        if b"".join([self.bytes_b[n] for n in b]) != raw_b:
+            return False
+        return self.exact_a or b"".join([self.bytes_a[n] for n in a]) == raw_a
 
 
 @lru_cache(2)
@@ -183,48 +190,69 @@ def groups(tokens: Tokens) -> Closed:
 
 
 _SHIFT = 32
-_DIGITS = 10 ** np.arange(9, -1, -1, dtype=np.int64)
+
+
+@lru_cache(4)
+def _decimals(size: int) -> np.ndarray:
+    """The decimal digits of 0 to ``size - 1`` as bytes, zero bytes in front, with room for a mark behind."""
+    width = len(str(size - 1))
+    value = np.arange(size, dtype=np.int64)[:, None]
+    power = 10 ** np.arange(width - 1, -1, -1, dtype=np.int64)
+    out = np.zeros((size, width + 1), np.uint8)
+    out[:, :width] = np.where((value >= power) | (power == 1), value // power % 10 + ord("0"), 0)
+    return out
 
 
 class Aligned:
     """Many texts aligned at once: tokens one after the other, ``ends`` the last byte of each text, in order."""
 
     def __init__(self, tokens: Tokens, ends: np.ndarray):
-        a_end, b_end = tokens.a_end, tokens.b_end
-        common = tokens.common_ends()
+        base = min(tokens.a_end[0], tokens.b_end[0]) if len(tokens.a) and len(tokens.b) else 0
+        last = max(tokens.a_end[-1], tokens.b_end[-1]) if len(tokens.a) and len(tokens.b) else -1
+        flag = np.zeros(last - base + 1, np.uint8)
+        flag[tokens.a_end - base] = 1
+        flag[tokens.b_end - base] += 2
+        at = np.flatnonzero(flag)
+        flag = flag[at]
+        is_a, is_b, is_common = (flag & 1).astype(bool), flag > 1, flag == 3
+        upto_a, upto_b, upto = np.cumsum(is_a), np.cumsum(is_b), np.cumsum(is_common)
         self.ends = ends
-        #: Per text: tokens of A, of B, and groups before its end.
-        self.a_bound, self.b_bound, self.group_bound = (np.append(0, np.searchsorted(x, ends, "right")) for x in (a_end, b_end, common))
+        bound = np.append(0, np.searchsorted(at, ends - base, "right"))
+        #: Per text: tokens of A, of B, groups and links before its end.
+        self.a_bound, self.b_bound, self.group_bound = (np.append(0, x)[bound] for x in (upto_a, upto_b, upto))
+        self.link_bound = bound
         # Between two neighbouring ends lies the overlap of exactly one token of A and one of B.
-        cuts = np.union1d(a_end, b_end)
-        a, b = np.searchsorted(a_end, cuts), np.searchsorted(b_end, cuts)
-        self.link_bound = np.append(0, np.searchsorted(cuts, ends, "right"))
-        pair = tokens.a[a] << _SHIFT | tokens.b[b]
-        names, number = np.unique(pair, return_inverse=True)
-        row = np.repeat(np.arange(len(ends)), np.diff(self.link_bound))
-        key, self.links = np.unique(row * max(1, len(names)) + number, return_counts=True)
-        self.pairs = names[key % max(1, len(names))] if len(names) else EMPTY.a
-        self.pair_bound = np.searchsorted(key, np.arange(len(ends) + 1) * max(1, len(names)))
-        self.text, self.text_bound = self._text(tokens, common)
-
-    def _text(self, tokens: Tokens, common: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """All groups as text, and where each text's groups start in it."""
-        a_upto, b_upto = (np.append(0, np.searchsorted(x, common, "right")) for x in (tokens.a_end, tokens.b_end))
-        a_group, b_group = np.searchsorted(common, tokens.a_end), np.searchsorted(common, tokens.b_end)
-        n_a, n_b = len(tokens.a), len(tokens.b)
-        a_place, b_place = np.arange(n_a) + b_upto[a_group], np.arange(n_b) + a_upto[b_group + 1]
-        value, mark = np.empty(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
+        a, b = tokens.a[upto_a - is_a], tokens.b[upto_b - is_b]
+        row = np.repeat(np.arange(len(ends)), np.diff(bound))
+        bits = [max(1, int(x.max(initial=0)).bit_length()) for x in (row, a, b)]
+        if sum(bits) > 63:
+            raise ValueError("token ids are too large")
+        key = np.sort(row << (bits[1] + bits[2]) | a << bits[2] | b)
+        heads = np.flatnonzero(np.append(np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))
+        self.links, key = np.diff(np.append(heads, len(key))), key[heads]
+        self.pairs = (key >> bits[2] & ((1 << bits[1]) - 1)) << _SHIFT | key & ((1 << bits[2]) - 1)
+        self.pair_bound = np.searchsorted(key, np.arange(len(ends) + 1) << (bits[1] + bits[2]))
+        # The groups as text: all tokens of A of a group, then those of B.
+        group = upto - is_common
+        a_upto, b_upto = np.append(0, upto_a[is_common]), np.append(0, upto_b[is_common])
+        a_place, b_place = np.arange(len(tokens.a)) + b_upto[group[is_a]], np.arange(len(tokens.b)) + a_upto[group[is_b] + 1]
+        value = np.empty(len(tokens.a) + len(tokens.b), np.int64)
         value[a_place], value[b_place] = tokens.a, tokens.b
-        mark[a_place[a_upto[1:] - 1]] = ord("|")
-        mark[b_place[b_upto[1:] - 1]] = ord(";")
-        width = max(1, len(str(int(value.max(initial=0)))))
-        digits = np.empty((len(value), width + 1), np.uint8)
-        digits[:, :width] = value[:, None] // _DIGITS[-width:] % 10 + ord("0")
-        digits[:, width] = mark
-        size = 1 + np.maximum(1, np.searchsorted(10 ** np.arange(1, 10, dtype=np.int64), value, "right") + 1)
-        shown = np.arange(width + 1) >= (width + 1 - size)[:, None]
-        bounds = np.append(0, np.cumsum(size))
-        return digits[shown].tobytes(), bounds[self.a_bound + self.b_bound]
+        shown = _decimals(1 << int(value.max(initial=1)).bit_length())[value]
+        shown[:, -1] = ord(",")
+        shown[a_place[a_upto[1:] - 1], -1] = ord("|")
+        shown[b_place[b_upto[1:] - 1], -1] = ord(";")
+        size = np.append(0, np.cumsum(np.count_nonzero(shown, axis=1)))
+        shown = shown.ravel()
+        self.text, self.text_bound = shown[shown > 0].tobytes(), size[self.a_bound + self.b_bound]
+
+    def columns(self, digests: bool) -> list[pa.Array]:
+        """The result columns of all texts."""
+        bounds = self.text_bound.tolist()
+        texts = [self.text[low:high] for low, high in zip(bounds, bounds[1:])]
+        lists = [pa.ListArray.from_arrays(pa.array(self.pair_bound.astype(np.int32)), pa.array(x.astype(np.int64))) for x in (self.pairs, self.links)]
+        counts = [pa.array(np.diff(x).astype(np.int64)) for x in (self.a_bound, self.b_bound, self.group_bound, self.link_bound)]
+        return [pa.array([digest(t) for t in texts], pa.string()) if digests else pa.array(texts, pa.binary()), *counts, *lists]
 
     def closed(self, n: int) -> Closed:
         counts = [int(x[n + 1] - x[n]) for x in (self.a_bound, self.b_bound, self.group_bound, self.link_bound)]
@@ -233,23 +261,22 @@ class Aligned:
 
 
 def _tokens(ids_a: list[list[int]], ids_b: list[list[int]], enc: Encoders, start_a: int = 0, start_b: int = 0) -> Tokens:
-    a, b = (np.array([n for ids in x for n in ids], np.int64) for x in (ids_a, ids_b))
+    a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in (ids_a, ids_b))
     return Tokens(a, start_a + np.cumsum(enc.size_a[a]), b, start_b + np.cumsum(enc.size_b[b]))
 
 
-def align_texts(texts: list[str | None], enc: Encoders) -> list[Closed]:
-    """The groups of whole texts, all aligned in one go."""
+def align_texts(texts: list[str | None], enc: Encoders) -> Aligned:
+    """Whole texts, all aligned in one go."""
     raw = [" " + (t or "") for t in texts]
     ids_a, ids_b = enc.encode_a(raw), enc.encode_b([t or "" for t in texts])
     sizes = np.zeros(len(texts), np.int64)
     for n, (text, a, b) in enumerate(zip(raw, ids_a, ids_b)):
         written = text.encode()
-        if len(text) > 1 and enc.equal(a, enc.bytes_a, written) and enc.equal(b, enc.bytes_b, written):
+        if len(text) > 1 and enc.restores(a, written, b, written):
             sizes[n] = len(written)
         else:
             ids_a[n], ids_b[n] = [], []
-    whole = Aligned(_tokens(ids_a, ids_b, enc), np.cumsum(sizes))
-    return [whole.closed(n) for n in range(len(texts))]
+    return Aligned(_tokens(ids_a, ids_b, enc), np.cumsum(sizes))
 
 
 def cuts(text: str, size: int, enc: Encoders) -> list[tuple[int, int]]:
@@ -270,7 +297,7 @@ def chunk_fragment(text: str, a: tuple[int, int], b: tuple[int, int], start: int
     tokens do not give back their bytes."""
     part_a, part_b = text[slice(*a)], text[slice(*b)]
     ids_a, ids_b = enc.encode_a([part_a]), enc.encode_b([part_b[1:]])
-    if not (enc.equal(ids_a[0], enc.bytes_a, part_a.encode()) and enc.equal(ids_b[0], enc.bytes_b, part_b.encode())):
+    if not enc.restores(ids_a[0], part_a.encode(), ids_b[0], part_b.encode()):
         return None
     return fragment(_tokens(ids_a, ids_b, enc, start + len(text[: a[0]].encode()), start + len(text[: b[0]].encode())))
 
@@ -280,6 +307,11 @@ _CLOSED = [("groups", T.BinaryType()), ("n_a", T.LongType()), ("n_b", T.LongType
 _OPEN = [f"{part}_{name}" for part in ("head", "tail") for name in ("a", "a_end", "b", "b_end")]
 
 
+def digest(text: bytes) -> str:
+    """What names the groups of a text: the hash of their text without its last mark, or nothing if there are none."""
+    return hashlib.sha256(text[:-1]).hexdigest() if text else ""
+
+
 def _closed_row(c: Closed) -> list:
     return [c.text, c.n_a, c.n_b, c.n_groups, c.n_links, c.pairs, c.links]
 
@@ -303,14 +335,14 @@ def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield low, len(sizes)
 
 
-def _whole(path_a: str, path_b: str, schema: T.StructType):
+def _whole(path_a: str, path_b: str, schema: T.StructType, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoders(path_a, path_b)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for low, high in _slices([len(t or "") for t in texts], BLOCK):
-                rows = [_closed_row(c) for c in align_texts(texts[low:high], enc)]
-                yield _record(list(zip(*rows)), [batch.column(0).slice(low, high - low)], schema)
+                columns = align_texts(texts[low:high], enc).columns(digests)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *columns], names=schema.names)
 
     return run
 
@@ -373,38 +405,40 @@ def _compose(schema: T.StructType):
     return run
 
 
-def _finish(schema: T.StructType):
+def _finish(schema: T.StructType, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, values in enumerate(batch.to_pylist()):
                 found = _fragment_of(values).finish() if values["whole"] else groups(EMPTY)
-                yield _record([[x] for x in _closed_row(found)], [batch.column("d").slice(row, 1)], schema)
+                first = digest(found.text) if digests else found.text
+                yield _record([[x] for x in (first, *_closed_row(found)[1:])], [batch.column("d").slice(row, 1)], schema)
 
     return run
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, digests: bool = False) -> DataFrame:
     """(d, groups, n_a, n_b, n_groups, n_links, pairs, links) of each document; ``groups`` is the text ``a1,a2|b1;a3|b2,b3;``, ``pairs``
-    its distinct linked ids as ``a << 32 | b``, ``links`` how often each is linked."""
+    its distinct linked ids as ``a << 32 | b``, ``links`` how often each is linked. With ``digests``, ``groups_sha256`` stands in place of ``groups``."""
     source = docs.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("t"))
     kind = docs.schema[id_col].dataType
     named = T.StructField("d", kind)
-    schema = T.StructType([named, *[T.StructField(n, t) for n, t in _CLOSED]])
+    parts_schema = [T.StructField(n, t) for n, t in _CLOSED]
+    schema = T.StructType([named, T.StructField("groups_sha256", T.StringType()) if digests else parts_schema[0], *parts_schema[1:]])
     is_long = F.coalesce(F.char_length("t") > chunk, F.lit(False))
-    short = source.where(~is_long).mapInArrow(_whole(path_a, path_b, schema), schema)
+    short = source.where(~is_long).mapInArrow(_whole(path_a, path_b, schema, digests), schema)
     chunk_schema = T.StructType([named, T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("chunk", T.StringType()),
                                  T.StructField("start", T.LongType()), T.StructField("bounds", T.ArrayType(T.IntegerType()))])
     # Written once, as a second run would name the texts anew.
     chunks = materialise(source.where(is_long).mapInArrow(_cut(path_a, path_b, chunk_schema, chunk), chunk_schema), "chunks")
     most = (chunks.agg(F.max("n")).first()[0] or 0) + 1
-    held = T.StructType([named, *chunk_schema.fields[1:3], T.StructField("whole", T.BooleanType()), *schema.fields[1:],
+    held = T.StructType([named, *chunk_schema.fields[1:3], T.StructField("whole", T.BooleanType()), *parts_schema,
                          *[T.StructField(c, T.ArrayType(T.LongType())) for c in _OPEN]])
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = chunks.repartition(tasks, "key", "n").mapInArrow(_fragments(path_a, path_b, held), held)
     while most > 1:
         parts = parts.groupBy("key", F.floor(F.col("n") / FAN)).applyInArrow(_compose(held), held)
         most = -(-most // FAN)
-    return short.unionByName(parts.mapInArrow(_finish(schema), schema))
+    return short.unionByName(parts.mapInArrow(_finish(schema, digests), schema))
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -417,9 +451,8 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 def align_and_count(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
                     hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each document."""
-    aligned = align(docs, path_a, path_b, id_col, text_col, chunk)
-    hashed = F.when(F.length("groups") > 0, F.sha2(F.expr("substring(groups, 1, length(groups) - 1)"), 256)).otherwise("")
-    rows = materialise(aligned.withColumn("groups_sha256", hashed).drop("groups").withColumn("row", F.monotonically_increasing_id()), "aligned")
+    aligned = align(docs, path_a, path_b, id_col, text_col, chunk, digests=True)
+    rows = materialise(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
     counts = materialise(pair_counts(rows), "pairs")
     linked = rows.select("row", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("links").alias("links"))))
     # Counts are put into classes of an eighth of a power of two; whole classes are broadcast while they fit.
