@@ -256,3 +256,11 @@ def test_blocks_are_bounded():
 def test_queries_run_on_the_given_tables(spark, name):
     rows = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert rows.count() > 0
+
+
+def test_group_texts_and_their_digests(docs, texts):
+    """The operator's own output is the group text; chunked texts give the same."""
+    got = collections.Counter((r["d"], bytes(r["groups"]).decode()) for r in alignment.align(docs, *PATHS, chunk=60).collect())
+    every = [(i, t) for i, t in enumerate(texts)] + [(None, "no id here"), (3, "id again")]
+    shown = [(i, plain_alignment(t)[2]) for i, t in every]
+    assert got == collections.Counter((i, s + ";" if s else "") for i, s in shown)
