@@ -2,13 +2,13 @@
 
 A word starts as a doubly linked list of symbols. Its adjacent pairs wait in a heap by merge rank and place; the best is
 merged, its neighbours give new pairs, and entries whose symbols have changed since are skipped. Words are encoded once
-per worker while they stay in a table of bounded size. Decoding joins the vocabulary strings of the ids, as the file
+per worker while they stay in a table of bounded bytes. Decoding joins the vocabulary strings of the ids, as the file
 names no decoder: with one space between tokens.
 
 The file's steps are followed: special tokens are cut out of the raw text first; the rest is brought to NFC and letters
-become lower case one by one; words (which never hold white space, so each run between white space is taken for itself)
+become lower case one by one; words, which never hold white space,
 are found by the pattern and written as byte symbols, the last one with the word end. Null texts count as empty: no ids
-and an empty decoded text. Very long words are encoded whole. Rows are independent of each other, so repeated rows give
+and an empty decoded text. Very long texts are encoded piece by piece between white space, very long words whole. Rows are independent of each other, so repeated rows give
 the same row again and an empty table none; other columns are not read.
 """
 
@@ -19,6 +19,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words, and runs between white space, whose encoding a worker remembers, in each of two generations.
-REMEMBERED_WORDS, REMEMBERED_RUNS = 80_000, 160_000
+from pulsemill.llm.wordtable import WordTable
+
+#: Characters of a text that are encoded at a time, up to the next white space.
+PIECE = 1 << 18
 
 # What the tokenizer's pattern language calls white space.
 WHITE = r"[\x09-\x0D\x20\x85\xA0  -     　]"
@@ -64,13 +67,12 @@ class Tokenizer:
         self.last = [self.ids[x + self.end] for x in byte_symbols()]
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s\p{L}", WHITE[1:-1] + r"\p{L}"))
-        self.white = regex.compile(WHITE + "+")
-        self.odd = re.compile("[\x1c-\x1f]")  # str.split takes these for white space, the pattern does not
+        self.gap = re.compile("[\t\n\r ]")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
-        self.runs: dict[str, tuple[int, str, str]] = {}
-        self.older_runs: dict[str, tuple[int, str, str]] = {}
+        size = max(self.names) + 1
+        self.decimal = [str(n) for n in range(size)]
+        self.strings = [self.names.get(n) for n in range(size)]
+        self.table = WordTable()
 
     def normal(self, text: str) -> str:
         """NFC and lower case, letter by letter. White space needs no care: the pattern drops it in any form."""
@@ -106,46 +108,36 @@ class Tokenizer:
                 heapq.heappush(heap, r << shift | h)
         return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """(number of tokens, ids, vocabulary strings) of a word, both joined by spaces."""
-        found = self.known.get(word)
+    def word(self, word: str) -> bytes:
+        """Ids of a word that is not in the table's young generation, four bytes each."""
+        found = self.table.earlier(word)
         if found is None:
-            if len(self.known) >= REMEMBERED_WORDS:
-                self.known, self.older = {}, self.known
-            found = self.older.get(word)
-            if found is None:
-                pieces = self.merge(word)
-                names = self.names
-                found = len(pieces), " ".join([str(p) for p in pieces]), " ".join([names[p] for p in pieces])
-            self.known[word] = found
+            found = array("i", self.merge(word)).tobytes()
+            self.table.add(word, found)
         return found
 
-    def run(self, run: str) -> tuple[int, str, str]:
-        """The same for the words of a run between white space."""
-        found = self.older_runs.get(run)
-        if found is None:
-            words = [self.word(w) for w in self.words.findall(self.normal(run))]
-            found = sum(x[0] for x in words), " ".join([x[1] for x in words]), " ".join([x[2] for x in words])
-        if len(self.runs) >= REMEMBERED_RUNS:
-            self.runs, self.older_runs = {}, self.runs
-        self.runs[run] = found
-        return found
-
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """(number of tokens, ids, decoded text), both joined by spaces."""
-        parts = self.cut.split(text) if self.cut else [text]
-        count, ids, names = 0, [], []
-        for part in parts:
+    def pieces(self, text: str) -> Iterator[str]:
+        """``text`` cut before white space into pieces of about ``PIECE`` characters."""
+        at = 0
+        while len(text) - at > PIECE:
+            gap = self.gap.search(text, at + PIECE)
+            if gap is None:
+                break
+            yield text[at : gap.start()]
+            at = gap.start()
+        yield text[at:] if at else text
+
+    def encode(self, text: str) -> Iterator[list[int]]:
+        """The ids of ``text``, piece by piece."""
+        known, word = self.table.known.get, self.word
+        for part in self.cut.split(text) if any(s in text for s in self.special) else [text]:
             if part in self.special:
-                found = [(1, str(self.special[part]), part)]
-            else:
-                known = self.runs.get
-                found = [known(r) or self.run(r) for r in (self.white.split(part) if self.odd.search(part) else part.split())]
-                found = [x for x in found if x[0]]
-            count += sum([x[0] for x in found])
-            ids += [x[1] for x in found]
-            names += [x[2] for x in found]
-        return count, " ".join(ids), " ".join(names)
+                yield [self.special[part]]
+                continue
+            for piece in self.pieces(part):
+                words = self.words.findall(self.normal(piece))
+                if words:
+                    yield array("i", b"".join([known(w) or word(w) for w in words])).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.names[i] for i in ids if i in self.names])
@@ -172,18 +164,30 @@ def _texts(docs: DataFrame, path: str, id_col: str, text_col: str, ids: bool, de
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids + [T.StructField("decoded", T.StringType())] * decoded
     fields += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
+    def encoded(tokenizer: Tokenizer, text: str) -> list:
+        """One row: number of ids, ids, decoded text, and both digests, made piece by piece."""
+        count, kept, strings, digests = 0, [], [], (hashlib.sha256(), hashlib.sha256())
+        for piece in tokenizer.encode(text):
+            names = " ".join([tokenizer.strings[n] for n in piece])
+            for digest, shown in zip(digests, (" ".join([tokenizer.decimal[n] for n in piece]), names)):
+                digest.update((" " + shown if count else shown).encode())
+            count += len(piece)
+            if ids:
+                kept += piece
+            if decoded:
+                strings.append(names)
+        return [count, *[kept] * ids, *[" ".join(strings)] * decoded, *[d.hexdigest() for d in digests]]
+
+    kinds = [pa.int64(), *[pa.list_(pa.int32())] * ids, *[pa.string()] * (decoded + 2)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared(path)
-        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                rows = [tokenizer.encode(t.as_py() or "") for t in part.column(1)]
-                columns = [part.column(0), pa.array([n for n, _, _ in rows], pa.int64())]
-                columns += [pa.array([[int(x) for x in i.split()] for _, i, _ in rows], pa.list_(pa.int32()))] * ids
-                columns += [pa.array([d for _, _, d in rows], pa.string())] * decoded
-                columns += [pa.array([digest(i) for _, i, _ in rows]), pa.array([digest(d) for _, _, d in rows])]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+                rows = [encoded(tokenizer, t.as_py() or "") for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]], names=[f.name for f in fields])
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("t")).mapInArrow(run, T.StructType(fields))
 

@@ -5,7 +5,7 @@ pieces it takes. Ties follow the tokenizers library's unigram model: matches are
 does not replace an earlier one. Where no one-character piece covers a character, an unknown piece of that character is
 offered after the others, at the lowest score less ten; neighbouring unknowns fuse and count as their UTF-8
 bytes (byte fallback). Words are cut before each space (written as the space mark, and put before the text), counted
-once per worker while they stay in a table of bounded size.
+once per worker while they stay in a table of bounded bytes.
 
 A null or empty text has no tokens. Very long words are counted whole. Rows are independent, so repeated rows give the
 same count again and an empty table gives no rows; columns other than the id and the text are not read.
@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.llm.wordtable import WordTable
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words whose count a worker remembers, in each of two generations.
-REMEMBERED = 400_000
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -44,8 +44,7 @@ class Counter:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
-        self.known: dict[str, int] = {}
-        self.older: dict[str, int] = {}
+        self.table = WordTable()
 
     def viterbi(self, word: str) -> int:
         """Number of pieces on the best path through ``word``."""
@@ -78,14 +77,11 @@ class Counter:
         return count[size]
 
     def word(self, word: str) -> int:
-        n = self.known.get(word)
+        """The count of a word that is not in the table's young generation."""
+        n = self.table.earlier(word)
         if n is None:
-            if len(self.known) >= REMEMBERED:
-                self.known, self.older = {}, self.known
-            n = self.older.get(word)
-            if n is None:
-                n = self.viterbi(MARK + word)
-            self.known[word] = n
+            n = self.viterbi(MARK + word)
+            self.table.add(word, n)
         return n
 
     def text(self, text: str) -> int:
@@ -94,8 +90,8 @@ class Counter:
         words = text.replace(MARK, " ").split(" ")
         if len(words) > 1 and not words[0]:
             words = words[1:]  # the text brings its own first mark
-        known = self.known
-        return sum([known.get(w) or self.word(w) for w in words])
+        known, word = self.table.known.get, self.word
+        return sum([known(w) or word(w) for w in words])
 
 
 @lru_cache(2)
