@@ -9,28 +9,44 @@ trees. A shard gives a spanning forest of its links, never all pairs.
 
 A text without words (also a null or empty one) has the fingerprint zero and is linked like any other. Repeated rows and
 exact copies share one fingerprint, which is searched once. Rows without an id take part; a component's id is the
-smallest id in it (null if none has one). Columns other than the id and the text are not read. An empty table gives no rows.
+smallest id in it (null if none has one). Columns other than the id and the text are not read. An empty table gives no rows. Very long
+texts are hashed whole, one by itself.
+
+``similar_texts`` is for near copies by Jaccard similarity, which lie further apart than any radius that keys can serve.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemill.llm import arrowtext
 from pulsemill.llm.components import connected_components
+from pulsemill.operators.ranges import broadcast_if_small
 from pulsemill.session import materialise
 
 RADIUS = 3
 SHINGLE = 3
 SHARD = 4096
 _VOTES = 1 << 15
+#: Word shingles, similarity and samples of ``similar_texts``.
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+SAMPLES, SAMPLE = 16, 6
+#: Rounds in which neighbouring components of a group are compared.
+ROUNDS = 2
+_SIGNATURE = 64
+#: Texts with so many shingles are compared by their signatures first, at the similarity less four standard errors.
+_ESTIMATED, _SLACK = 256, 0.2
+#: Ids that are broadcast, as text; more are joined by shuffle.
+DROPPED_BYTES = 16 << 20
 
 
 def _fingerprint(hashes: np.ndarray) -> int:
@@ -197,5 +213,171 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with one row of each component: the row whose id is the component's. Rows without an id stay, and ids are taken
     to name a document: rows that share an id stay or go together."""
     found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **options)
-    dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__copy")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("__copy"), "left_anti")
+    return _without(docs, id_col, found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("c")))
+
+
+def _without(docs: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``dropped(c)``; their texts are only shuffled if the ids are too many to broadcast."""
+    named = f"dropped_{uuid.uuid4().hex}"
+    dropped = materialise(dropped.distinct().withColumnRenamed("c", named), "dropped")
+    return docs.join(broadcast_if_small(dropped, DROPPED_BYTES), F.col(id_col) == F.col(named), "left_anti")
+
+
+def _shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row) of the distinct word shingles of a block, rows and hashes ascending, and a hash of each row's words. A shorter
+    text has one shingle, its words; a text without words none."""
+    data, offsets = arrowtext.compact(data, offsets)
+    starts, ends, first = arrowtext.words(data, offsets)
+    words, n = arrowtext.word_hashes(data, starts, ends), np.diff(first)
+    row = np.repeat(np.arange(len(n)), np.where(n > 0, np.maximum(1, n - size + 1), 0))
+    begin = first[row] + np.arange(len(row)) - np.searchsorted(row, row, "left")
+    hashes = arrowtext.run_hashes(words, begin, np.minimum(begin + size, first[row + 1]))
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    new = np.append(np.ones(min(1, len(row)), bool), (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1]))
+    return hashes[new], row[new], arrowtext.run_hashes(words, first[:-1], first[1:])
+
+
+def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The SimHash of each run of hashes."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    out, bounds = np.empty(len(starts), np.uint64), np.append(starts, len(hashes))
+    # Runs are taken some at a time, as a hash becomes 64 counters.
+    step = np.searchsorted(bounds, np.arange(0, len(hashes), _VOTES), "right") - 1
+    for low, high in zip(np.unique(step), [*np.unique(step)[1:], len(starts)]):
+        part = hashes[bounds[low] : bounds[high]].astype("<u8").view(np.uint8).reshape(-1, 8)
+        votes = np.add.reduceat(np.unpackbits(part, axis=1, bitorder="little"), bounds[low:high] - bounds[low], axis=0, dtype=np.int32)
+        out[low:high] = np.packbits(2 * votes > np.diff(bounds[low : high + 1])[:, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
+def _sketches(size: int, samples: int, sample: int, schema: T.StructType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, offsets in arrowtext.blocks(batch.column(1)):
+                hashes, row, words = _shingles(data, offsets, size)
+                rows = np.arange(len(words))
+                bounds = np.searchsorted(row, np.arange(len(rows) + 1))
+                filled = np.flatnonzero(np.diff(bounds))
+                prints = np.zeros(len(rows), np.uint64)
+                prints[filled] = _majority(hashes, bounds[filled])
+                # The least hashes of each part of the hash range are the same in two texts unless one of them differs.
+                part = (hashes >> np.uint64(32)) * np.uint64(samples) >> np.uint64(32)
+                slot = row * samples + part.astype(np.int64)
+                taken = np.flatnonzero(np.arange(len(slot)) - np.searchsorted(slot, slot, "left") < sample)
+                slot = slot[taken]
+                heads = np.flatnonzero(np.append(np.ones(min(1, len(slot)), bool), slot[1:] != slot[:-1]))
+                views, slot = _majority(hashes[taken], heads), slot[heads]
+                # The part's number is mixed in, so that one column names both.
+                views = arrowtext.mix(views ^ arrowtext.mix((slot % samples).astype(np.uint64) + np.uint64(1)))
+                ends = pa.array(np.searchsorted(slot, np.arange(len(rows) + 1) * samples).astype(np.int32))
+                # The least hash of each of 64 parts of another order, as a signature that estimates the similarity.
+                other = arrowtext.mix(hashes)
+                least = np.full((len(rows), _SIGNATURE), np.iinfo(np.int32).max, np.int32)
+                np.minimum.at(least, (row, (other & np.uint64(_SIGNATURE - 1)).astype(np.int64)), (other >> np.uint64(33)).astype(np.int32))
+                signature = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * _SIGNATURE), pa.array(least.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(rows)), pa.array(words.view(np.int64)), pa.array(np.diff(bounds)), pa.array(prints.view(np.int64)),
+                     pa.ListArray.from_arrays(ends, pa.array(views.view(np.int64))), signature], names=schema.names)
+
+    return run
+
+
+def _sets(size: int, schema: T.StructType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, offsets in arrowtext.blocks(batch.column(1)):
+                hashes, row, _ = _shingles(data, offsets, size)
+                bounds = np.searchsorted(row, np.arange(len(offsets))).tolist()
+                sets = [hashes[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array(sets, pa.binary())], names=schema.names)
+
+    return run
+
+
+def _verify(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for one, other in zip(batch.column("one"), batch.column("other")):
+                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, other))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                kept.append(common >= similarity * (len(a) + len(b) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY,
+                  samples: int = SAMPLES, sample: int = SAMPLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """(id, component_id): every named row with the smallest id that links of Jaccard ``similarity`` and more reach.
+
+    At a similarity of 0.8 whole-text fingerprints differ in some ten bits, which no set of keys finds at scale. So besides fingerprints within
+    ``radius`` bits (the BK-trees above), pairs are proposed whose SimHash of a consistent sample is equal: the least ``sample`` shingles
+    of each of ``samples`` parts of the hash range. Two texts of similarity J agree in a part with probability J ** sample, so one of sixteen
+    parts of six agrees in 99 % of the pairs at 0.8. Each text is proposed with the first text of its group; then, in ``ROUNDS`` rounds, one text of each
+    component in a group with those of its two neighbours. So groups of any size give a few times as many pairs as members. Sizes and a signature of 64 least hashes
+    leave out what cannot be near, and the exact Jaccard similarity of the distinct shingles decides. Equal word sequences are one text; texts without words are equal.
+    """
+    kind = docs.schema[id_col].dataType
+    named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
+    schema = T.StructType([T.StructField("i", kind), *[T.StructField(c, T.LongType()) for c in ("words", "n", "fp")],
+                           T.StructField("views", T.ArrayType(T.LongType())), T.StructField("signature", T.ArrayType(T.IntegerType()))])
+    sketches = materialise(named.mapInArrow(_sketches(shingle, samples, sample, schema), schema), "sketches")
+    text = ["words", "n", "fp"]
+    classes = materialise(sketches.groupBy(*text).agg(
+        F.min("i").alias("c"), F.first("views").alias("views"), F.first("signature").alias("signature")), "classes")
+
+    def verified(proposed: DataFrame) -> DataFrame:
+        """The pairs of near texts among ``proposed(a, b)``, as (u, v)."""
+        pairs = proposed.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+        for side in ("u", "v"):
+            pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}")), side)
+        larger = F.greatest("n_u", "n_v")
+        # More than this share of the larger set cannot be common, so a long text never goes to many short ones.
+        pairs = pairs.where((F.least("n_u", "n_v") >= similarity * larger) & ((larger < _ESTIMATED) | (_estimate("s_u", "s_v") >= similarity - _SLACK)))
+        pairs = materialise(pairs.select("u", "v"), "proposed")
+        wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct(), "wanted")
+        held = T.StructType([T.StructField("i", kind), T.StructField("set", T.BinaryType())])
+        sets = materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
+        both = pairs.join(sets.select(F.col("i").alias("u"), F.col("set").alias("one")), "u").join(sets.select(F.col("i").alias("v"), F.col("set").alias("other")), "v")
+        edge = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+        return materialise(both.select("u", "v", "one", "other").mapInArrow(_verify(similarity), edge), "near")
+
+    # Fingerprints within the radius, by the first text of each.
+    prints = materialise(classes.groupBy("fp").agg(F.min("c").alias("first")), "distinct-fingerprints")
+    near = links(prints, radius, shard)
+    of = prints.select(F.col("fp").alias("v"), F.col("first").alias("b"))
+    proposed = near.join(prints.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(of, "v").select("a", "b").unionByName(
+        classes.join(prints, "fp").select(F.col("first").alias("a"), F.col("c").alias("b")))
+    # Equal samples, by the first text of each.
+    seen = classes.select("c", F.explode("views").alias("view"))
+    groups = materialise(seen.groupBy("view").agg(F.min("c").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1"), "groups")
+    found = verified(proposed.unionByName(seen.join(groups, "view").select("a", F.col("c").alias("b"))))
+    for _ in range(ROUNDS):
+        roots = connected_components(found).select(F.col("node").alias("c"), "root")
+        held = seen.join(groups.select("view", "size"), "view").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        # One text of each component in a group, another one in each group.
+        chance = F.xxhash64("c", "view")
+        parts = held.groupBy("view", "size", "root").agg(F.min_by("c", chance).alias("c"))
+        around = Window.partitionBy("view", F.pmod(F.xxhash64("root"), F.ceil(F.col("size") / shard))).orderBy(F.xxhash64("root", "view"))
+        neighbours = parts.select("c", F.lag("c", 1).over(around).alias("x"), F.lag("c", 2).over(around).alias("y")).select("c", F.explode(F.array("x", "y")).alias("b"))
+        found = materialise(found.unionByName(verified(neighbours.where("b is not null").select(F.col("c").alias("a"), "b"))), "near")
+    found = connected_components(found)
+    roots = classes.join(found.select(F.col("node").alias("c"), "root"), "c", "left").select(*text, F.coalesce("root", "c").alias("component_id"))
+    return sketches.join(roots, text).select(F.col("i").alias(id_col), "component_id")
+
+
+def _estimate(one: str, other: str) -> Column:
+    """Share of the signatures' filled places that are equal."""
+    empty = (1 << 31) - 1
+    both = F.zip_with(one, other, lambda x, y: F.when((x == empty) & (y == empty), None).when(x == y, 1).otherwise(0))
+    filled = F.filter(both, lambda x: x.isNotNull())
+    return F.size(F.filter(filled, lambda x: x == 1)) / F.greatest(F.size(filled), F.lit(1))
+
+
+def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, as ``keep_one`` does with fingerprints."""
+    found = similar_texts(docs, id_col, text_col, **options)
+    return _without(docs, id_col, found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("c")))
