@@ -170,10 +170,50 @@ def test_decontamination_of_a_cut_head_behind_short_rows(spark):
 
 def test_decontamination_blocks_of_a_repeated_item(spark):
     rows = [(n, "one passage that stands under very many ids of the benchmark") for n in range(300)] * 2
-    blocks = [held for held, _ in decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000)]
+    blocks = list(decontamination._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 2000))
     assert max(map(len, blocks)) < 100 and sorted(i for b in blocks for i, _ in b) == list(range(300))
 
 
+def test_short_items_are_found_as_exact_copies_at_borders(spark):
+    items = [(1, "Short answer  42"), (2, "答案は四十二です"), (3, "seven77"), (4, "short answer 42"), (5, None), (6, "x = f(y);")]
+    texts = ["see Short\nANSWER 42.", "short answer 421", "ashort answer 42", "問題の答案は四十二ですね", "", None, "a x = f(y); b x = f(y);", "seven77 seven77", "short answer 42 short answer 42"]
+    docs = spark.createDataFrame([(i, t, 1, "w") for i, t in enumerate(texts)], "doc_id long, text string, word int, item_id string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.word) for r in decontamination.leaks(docs.select("doc_id", "text"), bench).collect())
+    assert got == [(0, 1, 0, 1), (0, 4, 0, 1), (3, 2, 0, 0), (6, 6, 0, 1), (8, 1, 0, 0), (8, 4, 0, 0)]
+    left = decontamination.clean(docs, bench)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2, 4, 5, 7] and left.columns == docs.columns
+
+
+def test_an_item_does_not_change_the_search_for_others():
+    rng = random.Random(6)
+    items = [(i, prose(rng, 30)) for i in range(20)]
+    alone, among = decontamination.Block(items), decontamination.Block([*items, (99, "sixteen letters!"), (100, "tiny one")])
+    first, second = alone.searches[0], among.searches[0]
+    assert first.gap == second.gap and first.walk.drawn == second.walk.drawn and [np.array_equal(a[0], b[0]) for a, b in zip(first.tables, second.tables)]
+    assert [type(x).__name__ for x in among.searches] == ["Index", "Index", "Exact"] and among.searches[1].numbers == [20] and len(alone.searches) == 1
+
+
+@pytest.mark.parametrize("size, share, least", [(30, 0.1, 0.97), (30, 0.2, 0.9), (60, 0.2, 0.97), (81, 0.2, 0.95), (20, 0.1, 0.9)])
+def test_recall_of_small_items(size, share, least):
+    """Against all items of a size class with random edits, up to the bound itself."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, 40)[:size].strip().lower()) for i in range(150)]
+    items = [(i, decontamination._normal(t)) for i, t in items]
+    block, found, could = decontamination.Block(items), 0, 0
+    for n, (_, text) in enumerate(items):
+        own = list(text)
+        for _ in range(int(share * len(text))):
+            at, kind = rng.randrange(len(own)), rng.randrange(3)
+            own[at : at + (kind != 2)] = rng.choice("abcdefgh ") if kind else ""
+        raw = f"some words {''.join(own)} and more".encode()
+        data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+        if plain_distance(text, decontamination._normal(raw.decode())) <= 0.2 * len(text):
+            could += 1
+            found += n in {item for _, item, _, _ in block.leaks(data, offsets, 0.2)}
+    assert found >= least * could and could > 100
+
+
 def plain_fingerprint(t):
     w = words("".join(c.lower() if c.isascii() else c for c in t or ""))
     if not w:
