@@ -3,23 +3,28 @@
 A CGK walk reads a string with a pointer and writes one character per step; a random bit that depends on the step and
 the character decides whether the pointer moves. Strings a few edits apart fall back into step, so edit distance becomes
 Hamming distance, and characters sampled at fixed steps agree with good probability. Windows start at every word of a
-document and, for items, at every character from which a full window remains; a window has two
-thirds of the shortest item's size (``MAX_WINDOW`` bytes at most), so every item has several. In runs without white space, as in Chinese, Thai or code,
-windows of a document start at every character from ``Index.gap`` bytes on, so any copy of an item holds a start. Every table has a walk of its own, and windows
-are short, so that a passage with ``max_edit`` edits still has a window that is nearly whole. One agreeing sample anywhere in a passage
+document and, for items, at every character from which a full window remains. Items are put into size classes (``SHAPES``), each with an index of its own whose
+window, walks and samples are fixed numbers: what is found of an item, and at what cost, does not depend on the other items. Windows are far
+shorter than items, so a passage with ``max_edit`` edits still has some that are nearly whole, and every table has a walk of its own. In runs without white space, as in Chinese, Thai or code,
+windows of a document start at every character from ``Index.gap`` bytes on, so any copy of an item holds a start. One agreeing sample anywhere in a passage
 proposes it. Parts of 64 characters are compared first: their distances add up to no more than the item's, so this loses nothing; an exact semi-global
-edit distance between the whole item and that place of the document decides.
+edit distance between the whole item and that place of the document decides. Items below the least class are searched as they are, by an
+Aho-Corasick automaton; such a copy must not go on in letters or digits on either side.
 
 Texts are compared with A-Z in lower case and runs of white space as one space. A passage is a leak at an edit distance of at
-most ``max_edit`` times the item's length. Null or empty texts have no leaks; null, empty and shorter items than
-``MIN_ITEM`` characters are left out, as they cannot be told from chance. Repeated documents and repeated items are
-reported each for itself, a pair once, with its best place (the first one in ties). Empty tables give an empty result.
+most ``max_edit`` times the item's length, a short item (below ``MIN_ITEM`` characters) only as an exact copy. Null or empty texts have no leaks; null, empty and shorter items than
+``LEAST_EXACT`` characters are left out, as they cannot be told from chance. Repeated documents and repeated items are
+reported each for itself, a pair once, with its best place (the first one in ties). Very long texts are read whole, one by itself. Only the named columns are read, and ``clean`` keeps all
+columns whatever their names. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,13 +32,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemill.llm import arrowtext
+from pulsemill.session import materialise
 
 MAX_EDIT = 0.2
 MIN_ITEM = 16
-#: Windows, walks and samples are set for a recall of 0.98 and more at MAX_EDIT itself (README has the figures).
-MAX_WINDOW = 20
-TABLES = 10
-SAMPLES = 12
+LEAST_EXACT = 8
+
+
+@dataclass(frozen=True)
+class Shape:
+    """A size class: items of ``least`` characters and more. A walk of ``steps`` steps reads about half as many bytes, the window."""
+
+    least: int
+    steps: int
+    tables: int
+    samples: int
+
+    @property
+    def window(self) -> int:
+        return self.steps // 2
+
+
+#: Walks and samples are set for the recall at MAX_EDIT itself (README has the figures).
+SHAPES = (Shape(72, 30, 8, 15), Shape(MIN_ITEM, 14, 5, 9))
 SEED = 20
 #: Text of items that one pass holds in each task; more items take more passes over the documents.
 BLOCK_CHARS = 2_000_000
@@ -50,11 +71,13 @@ def _normal(text: str | None) -> str:
 class Walk:
     """The random walks' bits and the sampled steps, a walk for each table, the same for documents and items."""
 
-    def __init__(self, window: int, tables: int = TABLES, samples: int = SAMPLES, seed: int = SEED):
+    def __init__(self, shape: Shape, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.steps, self.tables = 2 * window, tables
-        self.moves = rng.integers(0, 2, (tables, self.steps, 256), dtype=np.uint8).astype(np.int64)
-        self.drawn = [set(rng.choice(self.steps, min(samples, self.steps), replace=False).tolist()) for _ in range(tables)]
+        self.steps, self.tables = shape.steps, shape.tables
+        self.moves = rng.integers(0, 2, (self.tables, self.steps, 256), dtype=np.uint8).astype(np.int64)
+        # One step from each of ``samples`` parts of the walk, so that every key says something of the whole window.
+        edges = np.linspace(0, self.steps, shape.samples + 1).astype(int)
+        self.drawn = [{int(rng.integers(low, max(low + 1, high))) for low, high in zip(edges, edges[1:])} for _ in range(self.tables)]
 
     def keys(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """(tables, windows) sampled keys of the windows at ``starts``; ``data`` is padded by ``steps`` bytes."""
@@ -66,7 +89,7 @@ class Walk:
                     seen = data.take(place, mode="clip")
                     if step in drawn:
                         key *= _MULTIPLIER
-                        key += seen + np.uint64(1)
+                        key += seen
                     if step < last:
                         place += moves[step].take(seen, mode="clip")
         return arrowtext.mix(out)
@@ -107,13 +130,13 @@ def edit_distance_within(item: str, text: str) -> int:
 
 
 class Index:
-    """Sampled keys of all windows of a block of items."""
+    """Sampled keys of all windows of the items of one size class; ``numbers`` are their places in the block."""
 
-    def __init__(self, items: list[tuple[object, str]], window: int):
-        self.items = items
-        self.walk = Walk(window)
+    def __init__(self, items: list[tuple[object, str]], numbers: list[int], shape: Shape):
+        self.items, self.numbers = items, numbers
+        self.walk, window = Walk(shape), shape.window
         #: Bytes at the start of a run without white space in which no further window of a document starts.
-        self.gap = max(1, min(window, min(len(text.encode()) for _, text in items) - window))
+        self.gap = max(1, min(window, shape.least - window))
         self.size = np.array([len(text) for _, text in items])
         self.part = np.cumsum(np.append(0, -(-self.size // 64)))
         #: Bits of the characters' last bytes, for each 64 characters of an item.
@@ -197,9 +220,74 @@ def _starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: int) ->
     return np.sort(np.concatenate([starts, inner[(data[inner] & 0xC0) != 0x80]]))
 
 
+class Exact:
+    """Short items, searched as they are."""
+
+    def __init__(self, items: list[tuple[object, str]], numbers: list[int]):
+        self.automaton = ahocorasick.Automaton()
+        found: dict[str, list[int]] = {}
+        for (_, text), number in zip(items, numbers):
+            found.setdefault(text, []).append(number)
+        for text, held in found.items():
+            self.automaton.add_word(text, (text, held))
+        self.automaton.make_automaton()
+
+    def leaks(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item number, 0, word) of every item that stands in a text of a compacted block."""
+        def goes_on(one: str, other: str) -> bool:
+            return one.isascii() and one.isalnum() and other.isascii() and other.isalnum()
+
+        bounds = offsets.tolist()
+        for row, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            text, seen = data[low:high].tobytes().decode(), set()
+            for last, (item, numbers) in self.automaton.iter(text):
+                start, end = last - len(item) + 1, last + 1
+                if item in seen or start and goes_on(text[start - 1], text[start]) or end < len(text) and goes_on(text[last], text[end]):
+                    continue
+                seen.add(item)
+                for number in numbers:
+                    yield row, number, 0, text.count(" ", 0, start)
+
+
+class Block:
+    """All that a pass over the documents searches for."""
+
+    def __init__(self, held: list[tuple[object, str]]):
+        self.held, self.searches = held, []
+        above = None
+        for shape in SHAPES:
+            of = [n for n, (_, t) in enumerate(held) if shape.least <= len(t) and (above is None or len(t) < above)]
+            if of:
+                self.searches.append(Index([held[n] for n in of], of, shape))
+            above = shape.least
+        short = [n for n, (_, t) in enumerate(held) if len(t) < MIN_ITEM]
+        if short:
+            self.searches.append(Exact([held[n] for n in short], short))
+
+    def leaks(self, data: np.ndarray, offsets: np.ndarray, max_edit: float) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item number, distance, word) of one block of texts."""
+        data, offsets = arrowtext.compact(data, offsets)
+        for search in self.searches:
+            if isinstance(search, Exact):
+                yield from search.leaks(data, offsets)
+            else:
+                for row, item, distance, word in _leaks(search, data, offsets, max_edit):
+                    yield row, search.numbers[item], distance, word
+
+
+_ready: dict[str, Block] = {}
+
+
+def _shared(name: str, held: list[tuple[object, str]]) -> Block:
+    """The worker's block, kept from task to task; it holds one at a time."""
+    if name not in _ready:
+        _ready.clear()
+        _ready[name] = Block(held)
+    return _ready[name]
+
+
 def _leaks(index: Index, data: np.ndarray, offsets: np.ndarray, max_edit: float) -> Iterator[tuple[int, int, int, int]]:
-    """(row, item number, distance, word) of one block of texts."""
-    data, offsets = arrowtext.compact(data, offsets)
+    """(row, item number in the index, distance, word) of one compacted block of texts."""
     starts, ends, first = arrowtext.words(data, offsets)
     windows = _starts(data, starts, ends, index.gap)
     padded = np.concatenate([data, np.zeros(index.walk.steps + 1, np.uint8)])
@@ -250,22 +338,22 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     arrow = pa.schema([pa.field(f.name, _arrow(f.dataType)) for f in schema])
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("t"))
     out = docs.sparkSession.createDataFrame([], schema)
-    for held, window in _blocks(items, item_id, item_text, block_chars):
-        out = out.unionByName(source.mapInArrow(_search(held, window, max_edit, arrow), schema))
+    for held in _blocks(items, item_id, item_text, block_chars):
+        out = out.unionByName(source.mapInArrow(_search(held, max_edit, arrow), schema))
     return out
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[tuple[list[tuple[object, str]], int]]:
-    """(items, window) of every pass over the documents. Blocks are dealt by id and text, so copies of one text under many ids
+def _blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[list[tuple[object, str]]]:
+    """The items of every pass over the documents. Blocks are dealt by id and text, so copies of one text under many ids
     spread over them and each block is of bounded size."""
     wanted = items.select(F.col(item_id).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).distinct()
     passes = -(-(wanted.agg(F.sum(F.length("t"))).first()[0] or 0) // block_chars)
     for n in range(passes):
         block = wanted if passes == 1 else wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == n)
         held = sorted(((r["i"], _normal(r["t"])) for r in block.collect()), key=lambda x: (x[1], str(x[0])))
-        held = [x for x in held if len(x[1]) >= MIN_ITEM]
+        held = [x for x in held if len(x[1]) >= LEAST_EXACT]
         if held:
-            yield held, min(MAX_WINDOW, 2 * min(len(x[1].encode()) for x in held) // 3)
+            yield held
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -274,14 +362,16 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _search(held, window, max_edit, arrow):
+def _search(held, max_edit, arrow):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(held, window)
+        block = _shared(name, held)
         for batch in batches:
             ids = batch.column(0)
             columns: list[list] = [[], [], [], [], []]
             for row, data, offsets in arrowtext.blocks(batch.column(1)):
-                for r, item, distance, word in _leaks(index, data, offsets, max_edit):
+                for r, item, distance, word in block.leaks(data, offsets, max_edit):
                     for column, value in zip(columns, (ids[row + r].as_py(), held[item][0], distance, len(held[item][1]), word)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
@@ -291,21 +381,25 @@ def _search(held, window, max_edit, arrow):
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
           max_edit: float = MAX_EDIT, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no item, in narrow passes; columns stay as they are."""
+    """The rows of ``docs`` that hold no item, in one narrow pass for each block of items; columns stay as they are."""
     at = docs.columns.index(text_col)
 
-    def without(held: list, window: int):
+    def without(held: list):
+        name = uuid.uuid4().hex
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held, window)
+            block = _shared(name, held)
             for batch in batches:
                 kept = np.ones(batch.num_rows, bool)
                 for row, data, offsets in arrowtext.blocks(batch.column(at)):
-                    for r, _, _, _ in _leaks(index, data, offsets, max_edit):
+                    for r, _, _, _ in block.leaks(data, offsets, max_edit):
                         kept[row + r] = False
                 yield batch.filter(pa.array(kept))
 
         return run
 
-    for held, window in _blocks(items, item_id, item_text, block_chars):
-        docs = docs.mapInArrow(without(held, window), docs.schema)
+    for n, held in enumerate(_blocks(items, item_id, item_text, block_chars)):
+        if n:  # the pass before ends here, so a worker holds one block at a time
+            docs = materialise(docs, "clean")
+        docs = docs.mapInArrow(without(held), docs.schema)
     return docs
