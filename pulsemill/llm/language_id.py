@@ -5,9 +5,10 @@ hashed into buckets. The product of embeddings and softmax weights is one small
 table rows. A temperature fitted on held-back rows calibrates the probabilities, and a limit on them gives ``accepted``:
 predictions below it are kept but marked as rejected.
 
-Training takes the ``MAX_TRAIN`` rows of least id hash that may be used and have a language. A null text or one without a
+Training takes the ``MAX_TRAIN`` rows of least hash of id and text that may be used and have a language, repeated ones once. A null text or one without a
 letter gets ``und`` with score 0. Without training rows every text gets ``und``. Repeated rows are predicted row by row; columns
-other than the id, the text and the language are not read, and an empty table gives no rows.
+other than the id, the text and the language are not read, and an empty table gives no rows. Of equal probabilities the first language in order of
+names is predicted. Very long texts are read whole, one by itself.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemill.llm import arrowtext
+from pulsemill.session import materialise
 
 BITS = 15
 SIZE = 16
 MAX_TRAIN = 4000
+#: Features of the training rows that the driver holds, eight bytes each.
+MAX_VALUES = 8_000_000
 EPOCHS = 3
 STEP = 0.5
 #: Accuracy on held-back rows that accepted predictions must reach.
@@ -73,6 +77,7 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray, int]], n: int) -> tuple[np.nda
     steps = EPOCHS * len(rows)
     for step, i in enumerate(np.concatenate([rng.permutation(len(rows)) for _ in range(EPOCHS)])):
         index, share, label = rows[i]
+        share = share.astype(float)
         mean = share @ embed[index]
         logits = mean @ out + bias
         p = np.exp(logits - logits.max())
@@ -86,12 +91,14 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray, int]], n: int) -> tuple[np.nda
     return embed, out, bias
 
 
-def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN) -> Model | None:
-    """A model of at most ``max_train`` rows that fulfil ``usable``, a condition on the id; None without rows."""
+def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN,
+          max_values: int = MAX_VALUES) -> Model | None:
+    """A model of at most ``max_train`` rows that fulfil ``usable``, a condition on the id, and at most ``max_values`` features of them (or one row); None without rows."""
     known = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = known.select(F.col(id_col).alias("k"), F.col(lang_col).cast("string").alias("y"), F.col(text_col).cast("string").alias("t"))
-    chosen = rows.select("k").orderBy(F.xxhash64("k"), "k").limit(max_train).distinct()
-    sample = rows.join(F.broadcast(chosen), "k")  # max_train ids at most
+    rows = known.select(F.col(id_col).alias("k"), F.col(lang_col).cast("string").alias("y"), F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
+    chosen = rows.select("k", "h").orderBy(F.xxhash64("k"), "k", "h").limit(max_train).distinct()
+    # Repeated rows are one row; max_train pairs of numbers at most are broadcast.
+    sample = rows.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h", "y"]).select("k", "y", "t")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,14 +109,20 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
                     own = np.concatenate([code[cuts[i] : cuts[i + 1]], word[first[i] : first[i + 1]]])
                     index, count = np.unique(own[own < 1 << BITS], return_counts=True)
                     found.append((index.astype("<i4").tobytes(), (count / max(1, count.sum())).astype("<f4").tobytes(), batch.column(1)[row + i].as_py(), batch.column(0)[row + i].as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.string()), pa.array([str(f[3]) for f in found], pa.string())], names=["i", "v", "y", "k"])
-
-    # max_train rows at most; a row holds no more than the number of buckets.
-    got = sorted(sample.mapInArrow(described, "i binary, v binary, y string, k string").collect(), key=lambda r: (r["k"], r["y"], bytes(r["i"])))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.string()),
+                pa.array([str(f[3]) for f in found], pa.string()), pa.array([len(f[0]) // 4 for f in found], pa.int64())], names=["i", "v", "y", "k", "size"])
+
+    features = materialise(sample.mapInArrow(described, "i binary, v binary, y string, k string, size long").withColumn("h", F.xxhash64("i", "v")), "features")
+    # What the driver fits is bounded in rows and in numbers: rows in the order of their hashes while these are not used up.
+    order = sorted((r["h"], r["k"], r["y"], r["size"]) for r in features.select("h", "k", "y", "size").collect())
+    fitting = int(np.searchsorted(np.cumsum([size for *_, size in order]), max_values, "right"))
+    last = order[max(0, fitting - 1)][0] if order else 0
+    got = sorted(features.where(F.col("h") <= last).select("i", "v", "y", "k").collect(), key=lambda r: (r["k"], r["y"], bytes(r["i"])))
     if not got:
         return None
     languages = sorted({r["y"] for r in got})
-    data = [(np.frombuffer(r["i"], "<i4"), np.frombuffer(r["v"], "<f4").astype(float), languages.index(r["y"])) for r in got]
+    data = [(np.frombuffer(r["i"], "<i4"), np.frombuffer(r["v"], "<f4"), languages.index(r["y"])) for r in got]
     fit, held = [x for i, x in enumerate(data) if i % 5] or data, data[::5]
     embed, out, bias = _fit(fit, len(languages))
     table = embed @ out

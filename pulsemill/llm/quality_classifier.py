@@ -4,9 +4,10 @@ Features are hashed single words, word pairs, word shapes (letters, capitals and
 one for triples of words that the text has had before; each view as frequencies within the text. Training takes a bounded sample of labelled rows, deals it to a few tasks that
 run FTRL over their rows, and averages their weights. A score is the sparse dot product of weights and frequencies.
 
-The sample is the ``MAX_TRAIN`` labelled rows of least id hash, without the held-out fold. Null and empty texts have no features
+The sample is the ``MAX_TRAIN`` labelled rows of least id and text hash, without the held-out fold, repeated rows once. Null and empty texts have no features
 and get the score of the intercept. Null labels are not learned from; without any label every score is 0.5. Repeated documents
-are scored row by row; columns other than the ids, the text and the label are not read.
+are scored row by row; columns other than the ids, the text and the label are not read. Several labels of an id are averaged. A text with equal chances
+of both labels gets the score 0.5. Very long texts are read whole, one by itself.
 """
 
 from __future__ import annotations
@@ -95,7 +96,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     sample = labels.where(usable & F.col(label_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(label_col).cast("double").alias("y")).groupBy("k").agg(
         F.avg("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(max_train)
     texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(sample), "k").withColumn("part", F.pmod(F.xxhash64("k"), F.lit(TRAINERS)))  # max_train ids at most
+    labelled = texts.join(F.broadcast(sample), "k").withColumn("h", F.xxhash64("t"))  # max_train ids at most
+    # An id may stand on many rows: max_train of them at most are taken, repeated ones once.
+    chosen = labelled.select("k", "h").orderBy(F.xxhash64("k"), "k", "h").limit(max_train).distinct()
+    rows = labelled.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h"]).withColumn("part", F.pmod(F.xxhash64("k", "h"), F.lit(TRAINERS)))
     dealt = rows.repartition(TRAINERS, "part").sortWithinPartitions(F.xxhash64("k", F.lit(1)), "t").select("t", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
                 for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
                     index, at = np.unique(bucket[a:b], return_inverse=True)
                     value = np.bincount(at, weight[a:b], len(index))
-                    held.append((np.append(index, BUCKETS), np.append(value, 1.0), float(target[row + i])))
+                    held.append((np.append(index, BUCKETS).astype(np.int32), np.append(value, 1.0).astype(np.float32), float(target[row + i])))
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([_learn(held).astype("<f4").tobytes()]), pa.array([len(held)])], names=["w", "n"])
 

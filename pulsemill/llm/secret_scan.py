@@ -3,7 +3,7 @@
 Two character bigram models, one of random strings and one of ordinary words and identifiers, give a log-likelihood ratio per
 character of every long token. Tokens over the learned limit are added to the base spans as kind ``random``, unless they
 overlap one. Both models are trained from labelled samples: random strings are base matches of a bounded sample of
-documents and generated keys; ordinary ones are the other tokens of these documents and generated identifiers. Documents hold keys that no
+documents (all of their tokens) and generated keys; ordinary ones are the other tokens of these documents and generated identifiers. Documents hold keys that no
 base pattern knows: tokens that models of the generated strings alone take for random are left out of the ordinary ones, and the limit follows
 a quantile of the ordinary tokens, so that a few keys among them do not raise it above their own kind.
 
@@ -14,7 +14,7 @@ give the same row again, an empty table none; columns other than the id and the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.session import materialise
+
 # The base patterns, in the order of their kinds. A run that is too short has no long enough part either.
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -37,6 +39,8 @@ USUAL = 0.999
 MARGIN = 0.35
 #: Ordinary tokens from this size on count for the limit, and may be keys.
 LONG = 12
+#: Scores are counted in steps of this size.
+STEP = 0.001
 
 _INDEX = np.full(128, len(SYMBOLS), np.int64)
 _INDEX[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
@@ -54,25 +58,24 @@ def _codes(token: str) -> np.ndarray:
     return _INDEX[np.frombuffer(token.encode("ascii", "replace"), np.uint8) & 127]
 
 
+_SIDE = len(SYMBOLS) + 1
+
+
+def _pairs(tokens: Iterable[str]) -> np.ndarray:
+    """How often each character pair occurs in the tokens."""
+    counts = np.zeros((_SIDE, _SIDE))
+    for token in tokens:
+        c = _codes(token)
+        np.add.at(counts, (c[:-1], c[1:]), 1)
+    return counts
+
+
 class Models:
-    """Log-likelihood ratios of the character pairs and the limit per character."""
-
-    def __init__(self, random: list[str], ordinary: list[str], counts: list[int] | None = None):
-        self.ratio = self._pairs(random) - self._pairs(ordinary)
-        usual = sorted((self.score(t), n) for t, n in zip(ordinary, counts or [1] * len(ordinary)) if len(t) >= LONG)
-        keys = sorted(self.score(t) for t in random if len(t) >= 20)
-        seen = np.cumsum([n for _, n in usual])
-        low = (usual[int(np.searchsorted(seen, USUAL * seen[-1]))][0] if usual else 0.0) + MARGIN
-        self.limit = max(low, keys[len(keys) // 50]) if keys else low
-
-    @staticmethod
-    def _pairs(tokens: list[str]) -> np.ndarray:
-        n = len(SYMBOLS) + 1
-        counts = np.full((n, n), 0.5)
-        for token in tokens:
-            c = _codes(token)
-            np.add.at(counts, (c[:-1], c[1:]), 1)
-        return np.log(counts / counts.sum(1, keepdims=True))
+    """Log-likelihood ratios of the character pairs, from their counts in random and ordinary strings, and the limit per character."""
+
+    def __init__(self, random: np.ndarray, ordinary: np.ndarray, limit: float = 0.0):
+        share = lambda counts: np.log((counts + 0.5) / (counts + 0.5).sum(1, keepdims=True))
+        self.ratio, self.limit = share(random) - share(ordinary), limit
 
     def score(self, token: str) -> float:
         """Mean log-likelihood ratio of a character pair: above the limit, a random string."""
@@ -101,35 +104,76 @@ def generated(n: int = GENERATED, seed: int = 6) -> tuple[list[str], list[str]]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Models:
-    """Models from generated tokens and those of the ``sample_docs`` documents of least id hash."""
-    sample = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull())
-    chosen = sample.select("k").orderBy(F.xxhash64("k"), "k").limit(sample_docs)
-    rows = sample.join(F.broadcast(chosen.distinct()), "k")  # sample_docs ids at most
-    schema = "label int, token string, n long"
+    """Models from generated tokens and those of the ``sample_docs`` rows of least hash of id and text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The tokens stay in Spark: what comes to the driver is the counts of character pairs and of scores, whose number does not
+    depend on the texts, so no token of either kind is left out.
+    """
+    sample = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull()).withColumn("h", F.xxhash64("t"))
+    chosen = sample.select(F.col("k").alias("own"), F.col("h").alias("hash")).orderBy(F.xxhash64("own"), "own", "hash").limit(sample_docs).distinct()
+    # Repeated rows are one row; sample_docs pairs of numbers at most are broadcast.
+    rows = sample.join(F.broadcast(chosen), F.col("k").eqNullSafe(F.col("own")) & (F.col("h") == F.col("hash"))).dropDuplicates(["k", "h"])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for t in batch.column(0):
                 text = t.as_py()
                 found = base_spans(text)
-                out += [(1, m) for a, k, b in found for m in TOKEN.findall(text[a:b])]
+                out = [(1, m) for a, _, b in found for m in TOKEN.findall(text[a:b])]
                 for a, _, b in reversed(found):
                     text = text[:a] + " " + text[b:]
                 out += [(0, m) for m in re.findall(r"[A-Za-z0-9+/_=-]{6,}", text)]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.string()), pa.array([1] * len(out), pa.int64())], names=["label", "token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.string())], names=["label", "token"])
 
-    # The commonest tokens of a bounded sample: bounded too.
-    found = rows.select("t").mapInArrow(run, schema).groupBy("label", "token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label", "token").limit(100_000).collect()
-    return fitted([r["token"] for r in found if r["label"] == 1], {r["token"]: r["n"] for r in found if r["label"] == 0})
+    found = materialise(rows.select("t").mapInArrow(tokens, "label int, token string").groupBy("label", "token").agg(F.count(F.lit(1)).alias("n")), "tokens")
+    return _fitted(found)
 
 
-def fitted(random: list[str], ordinary: dict[str, int]) -> Models:
-    """Models from generated tokens, random strings and ordinary tokens with their counts; unlabelled keys among these are left out."""
+def _fitted(found: DataFrame) -> Models:
+    """Models from generated tokens and the distinct (label, token, n) of documents; unlabelled keys among these are left out."""
     keys, names = generated()
-    first = Models(keys, names)
-    usual = {t: n for t, n in ordinary.items() if len(t) < LONG or first.score(t) < first.limit}
-    return Models(keys + random, names + list(usual), [1] * len(names) + list(usual.values()))
+    first = Models(_pairs(keys), _pairs(names))
+    first.limit = _limit(first, keys, [(first.score(t), 1) for t in names if len(t) >= LONG], [])
+
+    def kept(label: int, token: str) -> bool:
+        return label == 1 or len(token) < LONG or first.score(token) < first.limit
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, _SIDE, _SIDE))
+        for batch in batches:
+            rows = [(x, t) for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if kept(x, t)]
+            for label in (0, 1):
+                total[label] += _pairs(t for x, t in rows if x == label)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total.ravel()[cell])], names=["cell", "n"])
+
+    total = np.zeros((2, _SIDE, _SIDE))
+    for r in found.select("label", "token").mapInArrow(pairs, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total.reshape(-1)[r["cell"]] = r["n"]
+    models = Models(_pairs(keys) + total[1], _pairs(names) + total[0])
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(x, round(models.score(t) / STEP), n if x == 0 else 1) for x, t, n in zip(*(c.to_pylist() for c in batch.columns)) if len(t) >= (LONG, 20)[x] and kept(x, t)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["label", "score", "n"])
+
+    # Scores are rounded, so their number is bounded.
+    counted = found.select("label", "token", "n").mapInArrow(scores, "label int, score long, n long").groupBy("label", "score").agg(F.sum("n").alias("n")).collect()
+    usual = [(models.score(t), 1) for t in names if len(t) >= LONG] + [(r["score"] * STEP, r["n"]) for r in counted if r["label"] == 0]
+    models.limit = _limit(models, keys, usual, [(r["score"] * STEP, r["n"]) for r in counted if r["label"] == 1])
+    return models
+
+
+def _limit(models: Models, keys: list[str], usual: list[tuple[float, int]], labelled: list[tuple[float, int]]) -> float:
+    """A margin over the quantile of the ordinary scores, and not below the least scores of keys."""
+    def quantile(scores: list[tuple[float, int]], share: float) -> float:
+        scores = sorted(scores)
+        seen = np.cumsum([n for _, n in scores])
+        return scores[min(len(scores) - 1, int(np.searchsorted(seen, share * seen[-1])))][0]
+
+    low = (quantile(usual, USUAL) if usual else 0.0) + MARGIN
+    known = [(models.score(t), 1) for t in keys if len(t) >= 20] + labelled
+    return max(low, quantile(known, 0.02)) if known else low
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
