@@ -13,6 +13,7 @@ SPACES = (
 )
 # What a name may not contain, and the marks it may start with.
 ILLEGAL = r"[^,\-.0-9A-Za-z_]"
+LEGAL = r"\A[,\-.0-9A-Za-z_]*\z"
 BEYOND_BMP = r"[\x{10000}-\x{10FFFF}]"
 TILDE = "~"
 
@@ -30,8 +31,12 @@ def trim_space(text: Column) -> Column:
 def sanitize_name(name: Column) -> Column:
     """Quoted metric name or tag key; each illegal UTF-16 unit becomes one ``-``.
 
-    A leading delta sign, tilde, or delta sign plus tilde is kept.
+    A leading delta sign, tilde, or delta sign plus tilde is kept. Most names are legal as they are, which one match tells.
     """
+    return F.when(name.rlike(LEGAL), F.concat(F.lit('"'), name, F.lit('"'))).otherwise(_with_dashes(name))
+
+
+def _with_dashes(name: Column) -> Column:
     delta_tilde = name.startswith(DELTA_PREFIX + TILDE) | name.startswith(DELTA_PREFIX_ALT + TILDE)
     one_mark = name.startswith(TILDE) | name.startswith(DELTA_PREFIX) | name.startswith(DELTA_PREFIX_ALT)
     marks = F.when(delta_tilde, 2).when(one_mark, 1).otherwise(0)
