@@ -243,6 +243,8 @@ def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     out, bounds = np.empty(len(starts), np.uint64), np.append(starts, len(hashes))
+    if np.diff(bounds).max() > _VOTES:  # a very long text by itself
+        return np.array([_fingerprint(hashes[low:high]) for low, high in zip(bounds, bounds[1:])], np.uint64)
     # Runs are taken some at a time, as a hash becomes 64 counters.
     step = np.searchsorted(bounds, np.arange(0, len(hashes), _VOTES), "right") - 1
     for low, high in zip(np.unique(step), [*np.unique(step)[1:], len(starts)]):
@@ -290,21 +292,8 @@ def _sets(size: int, schema: T.StructType):
             for at, data, offsets in arrowtext.blocks(batch.column(1)):
                 hashes, row, _ = _shingles(data, offsets, size)
                 bounds = np.searchsorted(row, np.arange(len(offsets))).tolist()
-                sets = [hashes[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array(sets, pa.binary())], names=schema.names)
-
-    return run
-
-
-def _verify(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for one, other in zip(batch.column("one"), batch.column("other")):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, other))
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append(common >= similarity * (len(a) + len(b) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+                sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), sets], names=schema.names)
 
     return run
 
@@ -339,11 +328,12 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = pairs.where((F.least("n_u", "n_v") >= similarity * larger) & ((larger < _ESTIMATED) | (_estimate("s_u", "s_v") >= similarity - _SLACK)))
         pairs = materialise(pairs.select("u", "v"), "proposed")
         wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct(), "wanted")
-        held = T.StructType([T.StructField("i", kind), T.StructField("set", T.BinaryType())])
+        held = T.StructType([T.StructField("i", kind), T.StructField("set", T.ArrayType(T.LongType()))])
         sets = materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
         both = pairs.join(sets.select(F.col("i").alias("u"), F.col("set").alias("one")), "u").join(sets.select(F.col("i").alias("v"), F.col("set").alias("other")), "v")
-        edge = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
-        return materialise(both.select("u", "v", "one", "other").mapInArrow(_verify(similarity), edge), "near")
+        # The sets never leave the JVM, whose memory is bounded whatever their size.
+        common, whole = F.size(F.array_intersect("one", "other")), F.size("one") + F.size("other")
+        return materialise(both.where(common >= similarity * (whole - common)).select("u", "v"), "near")
 
     # Fingerprints within the radius, by the first text of each.
     prints = materialise(classes.groupBy("fp").agg(F.min("c").alias("first")), "distinct-fingerprints")
