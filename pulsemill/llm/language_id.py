@@ -87,7 +87,7 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray, int]], n: int) -> tuple[np.nda
         back = out @ p
         out -= rate * np.outer(mean, p)
         bias -= 0.1 * rate * p
-        embed[index] -= rate * np.outer(share, back) * min(100.0, 1 / float(share @ share))
+        embed[index] -= rate * np.outer(share, back) * min(100.0, 1 / max(1e-9, float(share @ share)))
     return embed, out, bias
 
 

@@ -4,7 +4,8 @@ Every rule is evaluated once per document. The ledger keeps the measurements and
 policies (named masks with a version) and ablations are bitwise arithmetic on the ledger, without reading texts again.
 
 Null and empty texts have no words and fail ``few_words``. Repeated rows are judged row by row; an empty table gives
-an empty ledger. Columns other than the id and the text are not read, so their names cannot clash.
+an empty ledger. Columns other than the id and the text are not read, so their names cannot clash. Very long texts are read whole; those
+whose places do not fit beside a window's hash take the same steps on pairs of hash and place. Rules have no ties: a measurement at its bound does not fail.
 """
 
 from __future__ import annotations
