@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemill.llm import arrowtext
+from pulsemill.llm.sampling import least
 from pulsemill.session import materialise
 
 BITS = 15
@@ -96,7 +97,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     """A model of at most ``max_train`` rows that fulfil ``usable``, a condition on the id, and at most ``max_values`` features of them (or one row); None without rows."""
     known = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = known.select(F.col(id_col).alias("k"), F.col(lang_col).cast("string").alias("y"), F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
-    chosen = rows.select("k", "h").orderBy(F.xxhash64("k"), "k", "h").limit(max_train).distinct()
+    chosen = least(rows.select("k", "h"), [F.xxhash64("k"), F.col("k"), F.col("h")], max_train).distinct()
     # Repeated rows are one row; max_train pairs of numbers at most are broadcast.
     sample = rows.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h", "y"]).select("k", "y", "t")
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.llm.sampling import least
 from pulsemill.session import materialise
 
 RECALL = 0.96
@@ -147,7 +148,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     asked = pairs.where("q").select("v").distinct()
 
     def chosen(df: DataFrame, n: int) -> np.ndarray:
-        held = df.select("v").orderBy(F.xxhash64("v"), "v").limit(min(n, max(1, FIT_VALUES // dim))).toArrow()
+        held = least(df.select("v"), [F.xxhash64("v"), F.col("v")], min(n, max(1, FIT_VALUES // dim))).toArrow()
         return _vectors(held.column(0).combine_chunks(), dim) if held.num_rows else np.zeros((0, dim))
 
     sample = chosen(pairs, fit_rows)

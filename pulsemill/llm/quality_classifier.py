@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemill.llm import arrowtext
+from pulsemill.llm.sampling import least
 
 BUCKETS = 1 << 18
 MAX_TRAIN = 12_000
@@ -93,12 +94,12 @@ def _learn(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_train: int = MAX_TRAIN) -> np.ndarray:
     """Weights learned from at most ``max_train`` labelled rows that fulfil ``usable``, a condition on the id."""
-    sample = labels.where(usable & F.col(label_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(label_col).cast("double").alias("y")).groupBy("k").agg(
-        F.avg("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(max_train)
+    known = labels.where(usable & F.col(label_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(label_col).cast("double").alias("y"))
+    sample = least(known.groupBy("k").agg(F.avg("y").alias("y")), [F.xxhash64("k"), F.col("k")], max_train)
     texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     labelled = texts.join(F.broadcast(sample), "k").withColumn("h", F.xxhash64("t"))  # max_train ids at most
     # An id may stand on many rows: max_train of them at most are taken, repeated ones once.
-    chosen = labelled.select("k", "h").orderBy(F.xxhash64("k"), "k", "h").limit(max_train).distinct()
+    chosen = least(labelled.select("k", "h"), [F.xxhash64("k"), F.col("k"), F.col("h")], max_train).distinct()
     rows = labelled.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h"]).withColumn("part", F.pmod(F.xxhash64("k", "h"), F.lit(TRAINERS)))
     dealt = rows.repartition(TRAINERS, "part").sortWithinPartitions(F.xxhash64("k", F.lit(1)), "t").select("t", "y")
 

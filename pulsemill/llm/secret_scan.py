@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.llm.sampling import least
 from pulsemill.session import materialise
 
 # The base patterns, in the order of their kinds. A run that is too short has no long enough part either.
@@ -110,7 +111,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     depend on the texts, so no token of either kind is left out.
     """
     sample = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull()).withColumn("h", F.xxhash64("t"))
-    chosen = sample.select(F.col("k").alias("own"), F.col("h").alias("hash")).orderBy(F.xxhash64("own"), "own", "hash").limit(sample_docs).distinct()
+    chosen = least(sample.select(F.col("k").alias("own"), F.col("h").alias("hash")), [F.xxhash64("own"), F.col("own"), F.col("hash")], sample_docs).distinct()
     # Repeated rows are one row; sample_docs pairs of numbers at most are broadcast.
     rows = sample.join(F.broadcast(chosen), F.col("k").eqNullSafe(F.col("own")) & (F.col("h") == F.col("hash"))).dropDuplicates(["k", "h"])
 
