@@ -237,3 +237,14 @@ def test_queries_keep_their_contract(spark, name):
         for r in got:
             base = [s for s in r.spans.split(",") if s.split(":")[0] in ("email", "ip", "card", "phone")]
             assert len(base) == r.n_email + r.n_ip + r.n_card + r.n_phone and hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
+
+
+def test_samples_of_least_hash(spark):
+    from pulsemill.llm.sampling import least
+
+    table = spark.range(20_000).withColumn("id", F.when(F.col("id") < 9000, F.lit(5)).otherwise(F.col("id")))
+    order = [F.xxhash64("id"), F.col("id")]
+    for n in (1, 50, 900, 3000, 30_000):
+        assert [r.id for r in least(table, order, n).collect()] == [r.id for r in table.orderBy(*order).limit(n).collect()]
+    same = spark.range(5000).select(F.lit(3).alias("id"))
+    assert least(same, [F.xxhash64("id")], 10).count() == 10 and least(same.limit(0), [F.xxhash64("id")], 10).count() == 0
