@@ -24,7 +24,8 @@ def _source_part(default_source: str) -> Column:
 
 
 def _repeat(label: str, ids: str) -> Column:
-    return F.coalesce(F.array_join(F.transform(ids, lambda i: F.concat(F.lit(f" {label}="), i)), ""), F.lit(""))
+    known = F.array_compact(ids)
+    return F.when(F.size(known) > 0, F.concat(F.lit(f" {label}="), F.array_join(known, f" {label}="))).otherwise("")
 
 
 def _accepted(records: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.functions.text import bare_delta, blank
+from pulsemill.functions.text import SPACES, bare_delta, blank
 from pulsemill.model import GRANULARITY_MS
 from pulsemill.operators.ranges import broadcast_if_small
 
@@ -28,23 +28,32 @@ def _name_reason(name: Column) -> Column:
     return F.when(blank(name), "blank_name").when(bare_delta(name), "bare_delta")
 
 
-def _tag_reason(reason: Column, pairs: Column, source: Column) -> Column:
+#: Between joined keys or values; where one of them holds it itself, the exact look behind it decides.
+_MARK = "\u0001"
+_BLANK_OR_BREAK = f"(?:\\A|{_MARK})[{SPACES}]*(?:{_MARK}|\\z)|[\n\r]"
+
+
+def _tag_reason(reason: Column, pairs: Column, keys: Column, values: Column, source: Column) -> Column:
     """Continue a ``when`` chain: the first bad pair of the list decides between key and value.
 
-    Good rows pay for one pass over the pairs; the details are only looked at behind it.
+    Good rows pay for one match over all keys and one over all values; the pairs are only looked at behind it.
     """
     def bad_pair(e: Column) -> Column:
         return blank(e["key"]) | blank(e["value"])
 
-    suspect = F.exists(pairs, lambda e: bad_pair(e) | _has_break(e["value"]))
+    def doubtful(texts: Column) -> Column:
+        return F.array_join(texts, _MARK, "").rlike(_BLANK_OR_BREAK)
+
     bad = F.try_element_at(F.filter(pairs, bad_pair), F.lit(1))
-    detail = F.when(bad.isNull(), "newline").when(blank(bad["key"]), "blank_tag_key").otherwise("blank_tag_value")
-    return reason.when(suspect, detail).when(_has_break(source), "newline")
+    broken = F.exists(pairs, lambda e: _has_break(e["value"]))
+    detail = F.when(blank(bad["key"]) & bad.isNotNull(), "blank_tag_key").when(bad.isNotNull(), "blank_tag_value").when(broken, "newline")
+    found = F.when((F.size(keys) > 0) & (doubtful(keys) | doubtful(values)), detail)
+    return F.coalesce(reason, found, F.when(_has_break(source), "newline"))
 
 
 def validate_points(points: DataFrame) -> DataFrame:
     reason = _name_reason(F.col("name")).when(not_finite(F.col("value")), "non_finite")
-    return points.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.col("source")))
+    return points.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.map_keys("tags"), F.map_values("tags"), F.col("source")))
 
 
 def validate_distributions(dists: DataFrame) -> DataFrame:
@@ -58,7 +67,7 @@ def validate_distributions(dists: DataFrame) -> DataFrame:
         .when(F.exists(centroids, lambda c: c["count"].isNull()), "null_count")
         .when(F.exists(centroids, lambda c: not_finite(c["mean"])), "non_finite")
     )
-    return dists.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.col("source")))
+    return dists.withColumn(REASON, _tag_reason(reason, F.map_entries("tags"), F.map_keys("tags"), F.map_values("tags"), F.col("source")))
 
 
 def validate_spans(spans: DataFrame) -> DataFrame:
@@ -67,7 +76,7 @@ def validate_spans(spans: DataFrame) -> DataFrame:
         .when(F.col("trace_id").isNull() | F.col("span_id").isNull(), "missing_id")
         .when(F.col("start_ms").isNull() | F.col("duration_ms").isNull(), "missing_time")
     )
-    return spans.withColumn(REASON, _tag_reason(reason, F.col("tags"), F.col("source")))
+    return spans.withColumn(REASON, _tag_reason(reason, F.col("tags"), F.col("tags.key"), F.col("tags.value"), F.col("source")))
 
 
 def validate_digest_input(bulk: DataFrame, means: str = "means", counts: str = "counts") -> DataFrame:
