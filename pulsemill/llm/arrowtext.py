@@ -7,9 +7,11 @@ bytes, or one text if that is longer, so memory follows the longest text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 BLOCK = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -35,6 +37,18 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarra
         row = end
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Fewer texts at a time between Spark and Python, for passes that are written while this holds; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first word of each row) of the maximal runs of bytes other than ``outside``: space and \\t \\n \\v \\f \\r.
 

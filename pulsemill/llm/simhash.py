@@ -43,6 +43,8 @@ SAMPLES, SAMPLE = 16, 6
 #: Rounds in which neighbouring components of a group are compared.
 ROUNDS = 2
 _SIGNATURE = 64
+#: Bytes of text that a pass over the documents takes at a time.
+_BLOCK = 1 << 18
 #: Texts with so many shingles are compared by their signatures first, at the similarity less four standard errors.
 _ESTIMATED, _SLACK = 256, 0.2
 #: Ids that are broadcast, as text; more are joined by shuffle.
@@ -257,7 +259,7 @@ def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def _sketches(size: int, samples: int, sample: int, schema: T.StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in arrowtext.blocks(batch.column(1)):
+            for at, data, offsets in arrowtext.blocks(batch.column(1), _BLOCK):
                 hashes, row, words = _shingles(data, offsets, size)
                 rows = np.arange(len(words))
                 bounds = np.searchsorted(row, np.arange(len(rows) + 1))
@@ -289,7 +291,7 @@ def _sketches(size: int, samples: int, sample: int, schema: T.StructType):
 def _sets(size: int, schema: T.StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in arrowtext.blocks(batch.column(1)):
+            for at, data, offsets in arrowtext.blocks(batch.column(1), _BLOCK):
                 hashes, row, _ = _shingles(data, offsets, size)
                 bounds = np.searchsorted(row, np.arange(len(offsets))).tolist()
                 sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
@@ -313,7 +315,9 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
     schema = T.StructType([T.StructField("i", kind), *[T.StructField(c, T.LongType()) for c in ("words", "n", "fp")],
                            T.StructField("views", T.ArrayType(T.LongType())), T.StructField("signature", T.ArrayType(T.IntegerType()))])
-    sketches = materialise(named.mapInArrow(_sketches(shingle, samples, sample, schema), schema), "sketches")
+    spark = docs.sparkSession
+    with arrowtext.small_batches(spark):
+        sketches = materialise(named.mapInArrow(_sketches(shingle, samples, sample, schema), schema), "sketches")
     text = ["words", "n", "fp"]
     classes = materialise(sketches.groupBy(*text).agg(
         F.min("i").alias("c"), F.first("views").alias("views"), F.first("signature").alias("signature")), "classes")
@@ -329,7 +333,8 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = materialise(pairs.select("u", "v"), "proposed")
         wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct(), "wanted")
         held = T.StructType([T.StructField("i", kind), T.StructField("set", T.ArrayType(T.LongType()))])
-        sets = materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
+        with arrowtext.small_batches(spark):
+            sets = materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
         both = pairs.join(sets.select(F.col("i").alias("u"), F.col("set").alias("one")), "u").join(sets.select(F.col("i").alias("v"), F.col("set").alias("other")), "v")
         # The sets never leave the JVM, whose memory is bounded whatever their size.
         common, whole = F.size(F.array_intersect("one", "other")), F.size("one") + F.size("other")
