@@ -176,9 +176,8 @@ def cutoffs(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, windo
     # The time has a fixed width, so the digits of time and tie can stand in one text.
     digits = F.concat(_hex(F.col(ts), kinds[0]), _hex(F.col(tie), kinds[1]))
     rows = df.select(*keys, F.col(ts).alias("_ts"), F.col(tie).alias("_tie"), digits.alias("_digits"))
-    whole = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_digits").alias("_low"), F.max("_digits").alias("_high")).filter(F.col("_n") > n)
-    left = materialise(whole.select(*keys, F.lit(n).cast("bigint").alias("_need"), "_n", _common("_low", "_high").alias("_prefix"), (F.col("_low") != F.col("_high")).alias("_open")), "cutoffs")
+    whole = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > n)
+    left = materialise(whole.select(*keys, F.lit(n).cast("bigint").alias("_need"), "_n", F.lit("").alias("_prefix"), F.lit(True).alias("_open")), "cutoffs")
 
     def undecided(found: DataFrame) -> DataFrame:
         named = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_need", "_prefix")
@@ -211,8 +210,21 @@ def _common(low: str, high: str) -> Column:
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """The rows up to each key's ``n``-th by (``ts``, ``tie``): one comparison per row with the key's cutoff. The order must be unique within a key."""
-    return within_cutoff(df, cutoffs(df, keys, ts, tie, n, window_rows), keys, ts, tie, "_within").filter("_within").drop("_within")
+    """The rows up to each key's ``n``-th by (``ts``, ``tie``). The order must be unique within a key."""
+    return flag_first(df, keys, ts, tie, n, "_within", window_rows).filter("_within").drop("_within")
+
+
+def flag_first(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, out: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """``df`` with ``out``: whether a row is among its key's first ``n`` by (``ts``, ``tie``).
+
+    Groups are counted first. If none has more than ``window_rows`` rows, a plain window ranks them; else the large ones'
+    cutoffs are found by counting, and one comparison per row tells.
+    """
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > window_rows)
+    if large.isEmpty():
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(ts, tie))
+        return df.withColumn(out, rank <= n)
+    return within_cutoff(df, cutoffs(df, keys, ts, tie, n, window_rows), keys, ts, tie, out)
 
 
 def within_cutoff(df: DataFrame, cuts: DataFrame, keys: Sequence[str], ts: str, tie: str, out: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pulsemill.operators.digest import DIGEST, PARTIAL_ACCURACY, PARTIAL_CENTROI
 from pulsemill.operators.validate import not_finite
 
 CLOSES = "closes"
-MINUTE_MS, HOUR_MS = 60_000, 3_600_000
+MINUTE_MS, DAY_MS = 60_000, 86_400_000
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,7 +63,7 @@ def _compressed(rows: np.ndarray, max_centroids: int, accuracy: float) -> np.nda
 
 
 def _hold_minutes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The state of a series and hour is the digests of its open minutes: some hundred rows each, however many values they stand for."""
+    """The state of a series and day is the digests of its open minutes: some hundred rows each, however many values they stand for."""
     held = np.frombuffer(state.get[0], _ROW) if state.exists else np.empty(0, _ROW)
     if state.hasTimedOut:
         closed = held["minute_ms"] + MINUTE_MS <= state.getCurrentWatermarkMs()
@@ -88,7 +88,7 @@ def closed_digests(samples: DataFrame, time: str, delay: str) -> DataFrame:
     minute = bin_start(epoch_ms(F.col(time))).alias("minute_ms")
     values = samples.filter(~not_finite(F.col("value"))).select("series", minute, F.col("value").cast("double").alias("mean"))
     parts = with_closing(partial_digests(values, ["series", "minute_ms"]).drop("_task"), "minute_ms", MINUTE_MS, delay)
-    return parts.withColumn("hour_ms", bin_start(F.col("minute_ms"), HOUR_MS)).groupBy("series", "hour_ms").applyInPandasWithState(
+    return parts.withColumn("day_ms", bin_start(F.col("minute_ms"), DAY_MS)).groupBy("series", "day_ms").applyInPandasWithState(
         _hold_minutes, "series string, minute_ms long, mean double, weight long, lo double, hi double", "rows binary", "append",
         GroupStateTimeout.EventTimeTimeout).select("series", "minute_ms", *DIGEST)
 
