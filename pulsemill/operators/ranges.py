@@ -238,6 +238,21 @@ def within_cutoff(df: DataFrame, cuts: DataFrame, keys: Sequence[str], ts: str,
     return joined.withColumn(out, inside).select(*df.columns, out)
 
 
+DEALT_ROWS = 200_000
+
+
+def dealt(df: DataFrame, least_rows: int = DEALT_ROWS) -> DataFrame:
+    """``df``, a scan, dealt to all cores if it has fewer tasks than there are cores and enough rows to be worth it.
+
+    One large row group is one task however many rows it has, and all work on its rows up to the next shuffle would be that task's. Tables
+    of many files or row groups have enough tasks and stay as they are. Columns that nothing reads are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and df.count() >= least_rows:
+        return df.repartition(cores)
+    return df
+
+
 BROADCAST_BYTES = 64 << 20
 
 

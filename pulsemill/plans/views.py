@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsemill.operators.ranges import dealt
 from pulsemill.session import prepare
 
 
@@ -111,7 +112,7 @@ def bulk(spark: SparkSession, folder: str) -> DataFrame:
 def dists(spark: SparkSession, folder: str) -> DataFrame:
     """One distribution per order line; its five centroids often repeat a mean next to each other."""
     mean = "named_struct('mean', {}, 'count', CAST({} AS INT))".format
-    return table(spark, folder, "lineitem").selectExpr(
+    return dealt(table(spark, folder, "lineitem")).selectExpr(
         f"{LINE_ID} AS id",
         "CASE WHEN l_orderkey % 83 = 0 THEN '' ELSE concat('order/lines.', lower(l_returnflag)) END AS name",
         "CASE WHEN l_partkey % 41 = 0 THEN array() ELSE array(" + ", ".join((
@@ -136,7 +137,7 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
         f"{TRACE_OF_ORDER} AS trace_id", f"{ORDER_SPAN} AS span_id",
         "CAST(NULL AS ARRAY<STRING>) AS parents", "CAST(NULL AS ARRAY<STRING>) AS follows_from",
         f"array({pair(chr(39) + 'status' + chr(39), 'o_orderstatus')}) AS tags")
-    lines = table(spark, folder, "lineitem").selectExpr(
+    lines = dealt(table(spark, folder, "lineitem")).selectExpr(
         "CASE WHEN l_partkey % 89 = 0 THEN '' ELSE concat('line ', l_returnflag) END AS name",
         f"{ms('l_shipdate')} AS start_ms", "CAST(l_quantity * 1000 AS BIGINT) AS duration_ms",
         "CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE concat('supp-', l_suppkey) END AS source",
@@ -155,7 +156,7 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
     at, entry = f"{ms('l_shipdate')} * 1000", "named_struct('ts_us', {}, 'fields', {})".format
     status = entry(f"{at} + l_linenumber", "map('event', concat('status \"', l_linestatus, '\"'), 'flag', concat(l_returnflag, '\n'))")
     discount = entry(f"{at} + 1000", "map('price', CAST(CAST(l_extendedprice AS BIGINT) AS STRING))")
-    return table(spark, folder, "lineitem").selectExpr(
+    return dealt(table(spark, folder, "lineitem")).selectExpr(
         f"{TRACE_OF_LINE} AS trace_id", f"{span} AS span_id",
         f"inline(CASE WHEN l_discount > 0 THEN array({status}, {discount}) ELSE array({status}) END)")
 
