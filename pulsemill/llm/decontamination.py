@@ -153,7 +153,7 @@ class Index:
             owner.append(np.full(len(number), n, np.int32))
             offset.append(number.astype(np.int32))
         self.owner, self.offset, keys = np.concatenate(owner), np.concatenate(offset), np.concatenate(keys, 1)
-        self.bits = min(24, max(16, int(len(self.owner)).bit_length() + 8))
+        self.bits = min(23, max(16, int(len(self.owner)).bit_length() + 4))
         self.tables = []
         for row in keys:
             order = np.argsort(row, kind="stable").astype(np.int32)
