@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 #: Bytes that a table may hold in each of its two generations, and the longest word that it takes.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 32 << 20
 LONGEST = 64
 #: Bytes of an entry besides its characters: key, value and place in the table.
 ENTRY_BYTES = 240
