@@ -60,7 +60,6 @@ SEED = 20
 BLOCK_CHARS = 2_000_000
 _CHUNK = 1 << 14
 _PLACES = 1 << 12
-_MULTIPLIER = np.uint64(0x100000001B3)
 
 
 def _normal(text: str | None) -> str:
@@ -81,17 +80,24 @@ class Walk:
 
     def keys(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """(tables, windows) sampled keys of the windows at ``starts``; ``data`` is padded by ``steps`` bytes."""
-        out = np.zeros((self.tables, len(starts)), np.uint64)
+        out = np.empty((self.tables, len(starts)), np.uint64)
+        width = -(-max(len(drawn) for drawn in self.drawn) // 8)
+        sampled = np.zeros((len(starts), 8 * width), np.uint8)
         with np.errstate(over="ignore"):
             for key, moves, drawn in zip(out, self.moves, self.drawn):
-                place, last = starts.astype(np.int64), max(drawn)
+                place, last, column = starts.astype(np.int64), max(drawn), 0
+                sampled[:, len(drawn) :] = 0
                 for step in range(last + 1):
                     seen = data.take(place, mode="clip")
                     if step in drawn:
-                        key *= _MULTIPLIER
-                        key += seen
+                        sampled[:, column] = seen
+                        column += 1
                     if step < last:
                         place += moves[step].take(seen, mode="clip")
+                words = sampled.view("<u8")
+                key[:] = words[:, 0]
+                for n in range(1, width):
+                    key[:] = arrowtext.mix(key) + words[:, n]
         return arrowtext.mix(out)
 
 
@@ -153,20 +159,22 @@ class Index:
             owner.append(np.full(len(number), n, np.int32))
             offset.append(number.astype(np.int32))
         self.owner, self.offset, keys = np.concatenate(owner), np.concatenate(offset), np.concatenate(keys, 1)
-        self.bits = min(23, max(16, int(len(self.owner)).bit_length() + 4))
+        self.bits = min(24, max(16, int(len(self.owner)).bit_length() + 8))
         self.tables = []
         for row in keys:
             order = np.argsort(row, kind="stable").astype(np.int32)
             known = np.zeros(1 << self.bits, bool)
             known[row >> np.uint64(64 - self.bits)] = True
-            self.tables.append((row[order], order, known))
+            # A bit for each place, as workers keep the index.
+            self.tables.append((row[order], order, np.packbits(known, bitorder="little")))
 
     def proposals(self, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(item number, number of the window, the window's character in the item) of windows that share a sampled key with the item."""
         for at in range(0, len(starts), _CHUNK):
             part = starts[at : at + _CHUNK]
             for row, (keys, order, known) in zip(self.walk.keys(data, part), self.tables):
-                hit = np.flatnonzero(known[row >> np.uint64(64 - self.bits)])
+                place = (row >> np.uint64(64 - self.bits)).astype(np.int64)
+                hit = np.flatnonzero(known.take(place >> 3) >> (place & 7).astype(np.uint8) & 1)
                 low, high = np.searchsorted(keys, row[hit], "left"), np.searchsorted(keys, row[hit], "right")
                 count = high - low
                 if count.any():
