@@ -6,7 +6,7 @@ bytes, or one text if that is longer, so memory follows the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -37,6 +37,17 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarra
         row = end
 
 
+#: What a worker keeps from task to task, by name: one object, as a worker that goes on with another operator has no use for the last one's.
+held: dict[object, object] = {}
+
+
+def keep(name: object, build: Callable[[], object]) -> object:
+    if name not in held:
+        held.clear()
+        held[name] = build()
+    return held[name]
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Fewer texts at a time between Spark and Python, for passes that are written while this holds; the session's setting comes back."""

@@ -21,7 +21,6 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.llm import arrowtext
 from pulsemill.llm.wordtable import WordTable
 
 #: Characters of a text that are encoded at a time, up to the next white space.
@@ -143,10 +143,9 @@ class Tokenizer:
         return " ".join([self.names[i] for i in ids if i in self.names])
 
 
-@lru_cache(2)
 def shared(path: str) -> Tokenizer:
     """The worker's tokenizer, kept from task to task with the words that it remembers."""
-    return Tokenizer(path)
+    return arrowtext.keep(("bpe", path), lambda: Tokenizer(path))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:

@@ -283,15 +283,9 @@ class Block:
                     yield row, search.numbers[item], distance, word
 
 
-_ready: dict[str, Block] = {}
-
-
 def _shared(name: str, held: list[tuple[object, str]]) -> Block:
     """The worker's block, kept from task to task; it holds one at a time."""
-    if name not in _ready:
-        _ready.clear()
-        _ready[name] = Block(held)
-    return _ready[name]
+    return arrowtext.keep(("items", name), lambda: Block(held))
 
 
 def _leaks(index: Index, data: np.ndarray, offsets: np.ndarray, max_edit: float) -> Iterator[tuple[int, int, int, int]]:

@@ -258,6 +258,7 @@ def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _sketches(size: int, samples: int, sample: int, schema: T.StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrowtext.held.clear()
         for batch in batches:
             for at, data, offsets in arrowtext.blocks(batch.column(1), _BLOCK):
                 hashes, row, words = _shingles(data, offsets, size)
@@ -308,7 +309,7 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``radius`` bits (the BK-trees above), pairs are proposed whose SimHash of a consistent sample is equal: the least ``sample`` shingles
     of each of ``samples`` parts of the hash range. Two texts of similarity J agree in a part with probability J ** sample, so one of sixteen
     parts of six agrees in 99 % of the pairs at 0.8. Each text is proposed with the first text of its group; then, in ``ROUNDS`` rounds, one text of each
-    component in a group with those of its two neighbours. So groups of any size give a few times as many pairs as members. Sizes and a signature of 64 least hashes
+    least neighbour in a group with those of the next two. So groups of any size give a few times as many pairs as members. Sizes and a signature of 64 least hashes
     leave out what cannot be near, and the exact Jaccard similarity of the distinct shingles decides. Equal word sequences are one text; texts without words are equal.
     """
     kind = docs.schema[id_col].dataType
@@ -351,7 +352,9 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = materialise(seen.groupBy("view").agg(F.min("c").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1"), "groups")
     found = verified(proposed.unionByName(seen.join(groups, "view").select("a", F.col("c").alias("b"))))
     for _ in range(ROUNDS):
-        roots = connected_components(found).select(F.col("node").alias("c"), "root")
+        # The least neighbour stands for the component here: one aggregate instead of all components in every round.
+        both = found.select(F.col("u").alias("c"), F.col("v").alias("x")).unionByName(found.select(F.col("v").alias("c"), F.col("u").alias("x")))
+        roots = both.groupBy("c").agg(F.least("c", F.min("x")).alias("root"))
         held = seen.join(groups.select("view", "size"), "view").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
         # One text of each component in a group, another one in each group.
         chance = F.xxhash64("c", "view")
