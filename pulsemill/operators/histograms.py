@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulsemill.functions.text import number_text
 from pulsemill.functions.time import bin_start
 from pulsemill.model import GRANULARITY_MS, RETAINED_BINS
-from pulsemill.operators.digest import DIGEST, as_digest, compress_digest, merge_digests, reduce_digests
+from pulsemill.operators.digest import DIGEST, as_digest, compress_digest, exact_digests, merge_digests, reduce_digests
 from pulsemill.operators.ranges import row_rank, shuffle_partitions
 from pulsemill.operators.validate import digest_reason, not_finite
 from pulsemill.session import materialise
@@ -20,30 +20,33 @@ REPEAT_BLOCK = 10_000
 
 
 def histogram_bins(
-    samples: DataFrame, ts: str = "ts_ms", value: str = "value", bin_ms: int | None = 60_000, split: bool | None = None
+    samples: DataFrame, ts: str = "ts_ms", value: str = "value", bin_ms: int | None = 60_000, split: bool | None = None, exact: bool = False
 ) -> DataFrame:
     """Raw values to digest rows per (series, minute), or per series when ``bin_ms`` is None.
 
     Every task makes a digest of its own rows, and only these digests, a few hundred rows per key and task, are shuffled and
     merged. ``split`` forces a way without partial digests: distinct values are counted and clustered by a window, plain or split.
+    ``exact`` counts distinct values too and spreads hot keys only: the digests do not depend on how tasks are cut (see ``exact_digests``).
     Values that are not finite are left out; ``rejected_samples`` gives them.
     """
     finite = samples.filter(~not_finite(F.col(value)))
     keys = ["series"] if bin_ms is None else MINUTE_KEY
     binned = finite if bin_ms is None else finite.withColumn("minute_ms", bin_start(F.col(ts), bin_ms))
     values = binned.select(*keys, F.col(value).cast("double").alias("mean"))
-    return _digest_of(values.withColumn("weight", F.lit(1).cast("bigint")) if split is not None else values, keys, split)
+    return _digest_of(values.withColumn("weight", F.lit(1).cast("bigint")) if split is not None else values, keys, split, exact)
 
 
-def _digest_of(rows: DataFrame, keys: Sequence[str], split: bool | None) -> DataFrame:
+def _digest_of(rows: DataFrame, keys: Sequence[str], split: bool | None, exact: bool) -> DataFrame:
+    if exact:
+        return exact_digests(rows, keys)
     return reduce_digests(rows, keys) if split is None else compress_digest(as_digest(rows, keys), keys, split)
 
 
-def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), split: bool | None = None) -> DataFrame:
+def histogram_bulk(bulk: DataFrame, keys: Sequence[str] = tuple(MINUTE_KEY), split: bool | None = None, exact: bool = False) -> DataFrame:
     """Pre-aggregated (keys, mean, count) rows to digest rows. Rows that ``digest_reason`` names are left out, as
     ``validate_digest_input`` reports them."""
     bulk = bulk.filter(digest_reason(F.col("mean"), F.col("count")).isNull())
-    return _digest_of(bulk.select(*keys, "mean", F.col("count").cast("bigint").alias("weight")), keys, split)
+    return _digest_of(bulk.select(*keys, "mean", F.col("count").cast("bigint").alias("weight")), keys, split, exact)
 
 
 def histogram_rollup(minute_bins: DataFrame) -> DataFrame:

@@ -235,3 +235,19 @@ def test_a_task_with_many_keys_holds_a_bounded_number_of_rows(spark, monkeypatch
     assert bins.agg(F.sum("weight"), F.countDistinct("series"), F.min("lo"), F.max("hi")).first()[:] == (20_000, 3000, 0.0, 19_999.0)
     empty = histograms.histogram_bins(rows.limit(0))
     assert empty.count() == 0 and empty.columns == ["series", "minute_ms", "mean", "weight", "lo", "hi"]
+
+
+def test_a_digest_does_not_depend_on_how_tasks_are_cut(spark):
+    """Rows of a key in many tasks, some values in several of them, give the digest of all its distinct values."""
+    rows = spark.range(0, 6000, 1, 7).select(F.lit("a").alias("series"), F.expr("double(id * 7919 % 4001) / 100").alias("mean"), F.expr("id % 3 + 1").alias("weight"))
+    keys = ["series"]
+
+    def shown(digest_rows):
+        return sorted((round(r["mean"], 9), r["weight"], r["lo"], r["hi"]) for r in digest_rows.collect())
+
+    wanted = shown(digest.compress_digest(digest.as_digest(rows, keys), keys, False))
+    assert shown(digest.exact_digests(rows, keys)) == shown(digest.exact_digests(rows.coalesce(1), keys)) == wanted
+    assert sum(r[1] for r in wanted) == 12000
+    samples = rows.withColumns({"ts_ms": F.lit(0).cast("bigint"), "value": F.col("mean")})
+    bins = histograms.histogram_bins(samples.select("series", "ts_ms", "value"), exact=True)
+    assert shown(bins) == shown(digest.compress_digest(digest.as_digest(rows.withColumn("weight", F.lit(1)), keys), keys, False))
