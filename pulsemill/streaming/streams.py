@@ -105,7 +105,7 @@ def stream_registry(
     observations: DataFrame, path: str | None = None, checkpoint: str | None = None, prefix: str = "", delay: str = DELAY,
     idle_ms: int | None = None, trigger: dict | None = None
 ) -> DataFrame:
-    """What a registry reports every 60 seconds: the series that changed in the interval, each once when it closes (see ``RegistryProcessor``)."""
+    """What a registry reports every 60 seconds: the series that changed in the interval, each once when it closes (see ``state``)."""
     with state.rocks_state(observations.sparkSession):
         return run_to_table(state.registry_reports(observations, prefix, TIME, delay, idle_ms=idle_ms), "registry", path, checkpoint, trigger)
 

@@ -126,6 +126,21 @@ def test_idle_series_are_forgotten(feed, tmp_path):
     assert (76, "c.count", 2.0) in got and (71, "kept.count", 7.0) in got
 
 
+def test_registry_of_many_intervals_in_one_batch(feed, tmp_path):
+    """Work per series follows its rows; once every closing interval read all open ones."""
+    import time
+
+    n = 8000
+    feed.add([(at(m), f"{kind}:x", float(m % 7 + 1) if m % 100 else 1000.0, m) for m in range(n) for kind in ("counter", "delta", "gauge")] + [(at(n + 20), "gauge:clock", 0.0, n)])
+    begin = time.perf_counter()
+    got, want, total = reported(feed, tmp_path), [], 0
+    for m in range(n):
+        change = m % 7 + 1 if m % 100 else 0
+        total = total + change if m % 100 else 0
+        want += [(m + 1, "x.count", float(total)), (m + 1, "x", m % 7 + 1.0 if m % 100 else 1000.0)] + ([(m + 1, "∆x.count", float(change))] if change else [])
+    assert got == sorted(want) and time.perf_counter() - begin < 60
+
+
 def test_components_beat_by_the_clock(feed, tmp_path):
     def beat(idle):
         rows = feed.stream().withColumns({
