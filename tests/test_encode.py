@@ -171,3 +171,36 @@ def test_incomplete_spans_and_distributions_are_rejected(spark):
         ([(1.0, 2)], ["!M"]), ([(1.0, 2)], ["!M", "!X"]), ([(1.0, None)], ["!M"]), ([(1.0, 1), None], ["!M"]))]
     got = [r["reject_reason"] for r in validate.validate_distributions(spark.createDataFrame(dists, model.DISTRIBUTIONS)).collect()]
     assert got == [None, "unknown_granularity", "null_count", "null_count"]
+
+
+def test_packed_ids_tell_all_texts_apart(spark):
+    from pulsemill.operators import spans
+
+    usual = "0123abcd-4567-89ab-cdef-0123456789ab"
+    texts = [None, "", "a", usual, usual.upper(), usual[:-1], usual + "0", usual.replace("-", ""), "x" * 15, "x" * 16, "x" * 17, "x" * 15 + "\0", "x" * 16 + "\0", "é" * 8, "漢字"]
+    texts.append(bytes.fromhex(usual.replace("-", "")).decode("latin-1"))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(2)
+    packed = rows.withColumn("p", spans.packed_id(F.col("t"))).withColumn("back", spans.unpacked_id(F.col("p"))).collect()
+    assert all(r.t == r.back for r in packed) and len({r.p and bytes(r.p) for r in packed if r.t is not None}) == len(texts) - 1
+    assert [len(r.p) for r in packed if r.t == usual] == [16]
+
+
+def test_span_and_log_lines_by_one_join(spark):
+    """The same lines as by two joins, and spans and logs go through one exchange each, with packed ids."""
+    from pulsemill.operators import spans
+
+    ids = [f"{i:08x}-0000-4000-8000-{i:012x}" for i in range(6)] + ["short"]
+    rows = [(" " if i == 3 else f"n {i}", 5, 1, None, s, s, [ids[0], "p"] if i else None, [], [("k", "v")]) for i, s in enumerate(ids)]
+    table = spark.createDataFrame(rows, "name string, start_ms long, duration_ms long, source string, trace_id string, span_id string, parents array<string>, "
+                                        "follows_from array<string>, tags array<struct<key:string,value:string>>")
+    logs = spark.createDataFrame(
+        [(s, s, t, {"e": str(t)}) for i, s in enumerate([*ids, "unknown"]) if i != 2 for t in range(i + 1)], "trace_id string, span_id string, ts_us long, fields map<string,string>")
+    got = encode.span_and_log_lines(table, logs)
+    lines = encode.encode_span_lines(spans.flag_spans(table, logs))
+    envelopes = spans.group_span_logs(logs).join(lines.select(*spans.SPAN_KEY, F.col("line").alias("span")), spans.SPAN_KEY)
+    want = [("trace", r.line) for r in lines.collect()] + [("spanLogs", r.line) for r in encode.encode_span_logs_json(envelopes).collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) == 6 + 5
+    every = encode.encode_span_envelopes(table, logs, "right").collect()
+    assert len(every) == 7 and sum(r.span is None for r in every) == 2 and all(r.line for r in every)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "unhex" in plan
