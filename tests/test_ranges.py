@@ -129,6 +129,13 @@ def test_cutoffs_follow_the_order_of_texts_and_numbers(spark, window_rows):
                 assert all(inside == (rank((ts, t)) <= cut) for ts, t, inside in held)
 
 
+def test_cutoffs_sort_no_rows_of_a_task(spark, skewed, monkeypatch):
+    plans, write = [], ranges.materialise
+    monkeypatch.setattr(ranges, "materialise", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    ranges.cutoffs(skewed, ["key"], "ts", "id", 20, 1).collect()
+    assert len(plans) > 1 and not any("SortAggregate" in p for p in plans)
+
+
 def test_cutoffs_of_equal_rows(spark):
     table = spark.range(50).select(F.lit("k").alias("key"), F.lit(1).cast("bigint").alias("ts"), F.lit("same").alias("id"))
     assert [r["_cut"][:] for r in ranges.cutoffs(table, ["key"], "ts", "id", 10, 5).collect()] == [(1, "same")]
