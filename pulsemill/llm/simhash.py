@@ -40,8 +40,10 @@ _VOTES = 1 << 15
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLES, SAMPLE = 16, 6
-#: Rounds in which neighbouring components of a group are compared.
+#: Rounds in which neighbouring components of a group are compared before the rest is.
 ROUNDS = 2
+#: Shingles of a block of texts that is compared with another one.
+BLOCK = 1 << 17
 _SIGNATURE = 64
 #: Bytes of text that a pass over the documents takes at a time.
 _BLOCK = 1 << 18
@@ -301,16 +303,70 @@ def _sets(size: int, schema: T.StructType):
     return run
 
 
+def _blocks(similarity: float, schema: T.StructType):
+    """One near pair (u, v) of any two components that meet in two blocks, from rows sorted by (view, low, high)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in (b for b in batches if b.num_rows):
+            view, low, high = (batch.column(i).to_numpy() for i in range(3))
+            heads = np.flatnonzero(np.append(True, (np.diff(view) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)))
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), batch.num_rows]):
+                if held and (view[a], low[a], high[a]) != at:
+                    yield _near(held, at[1] == at[2], similarity, schema)
+                    held = []
+                at = view[a], low[a], high[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield _near(held, at[1] == at[2], similarity, schema)
+
+    return run
+
+
+def _near(held: list[pa.RecordBatch], is_one: bool, similarity: float, schema: T.StructType) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(held).combine_chunks()
+    name, sets = rows.column("c").chunk(0), rows.column("set").chunk(0)
+    root = rows.column("root").chunk(0).dictionary_encode().indices.to_numpy()
+    n = np.diff(sets.offsets.to_numpy())
+    row = np.repeat(np.arange(len(n)), n)
+    # Shingles of two texts and more are the columns of a table of bits.
+    _, code, holders = np.unique(sets.flatten().to_numpy().view(np.uint64), return_inverse=True, return_counts=True)
+    shared = holders[code] > 1
+    row, code = row[shared], (np.cumsum(holders > 1) - 1)[code[shared]]
+    words = int(code.max(initial=0)) // 64 + 1
+    bits = np.zeros(len(n) * words, np.uint64)
+    place = row * words + code // 64
+    if len(place):
+        heads = np.flatnonzero(np.append(True, np.diff(place) != 0))
+        bits[place[heads]] = np.bitwise_or.reduceat(np.uint64(1) << (code % 64).astype(np.uint64), heads)
+    bits = bits.reshape(len(n), words)
+    is_left = rows.column("is_left").chunk(0).to_numpy(zero_copy_only=False)
+    right = np.arange(len(n)) if is_one else np.flatnonzero(~is_left)
+    pairs, met = [], set()
+    for a in (range(len(n)) if is_one else np.flatnonzero(is_left).tolist()):
+        others = right[(root[right] != root[a]) & ((right > a) if is_one else True)]
+        # More than this share of the larger set cannot be common.
+        others = others[np.minimum(n[others], n[a]) >= similarity * np.maximum(n[others], n[a])]
+        common = np.bitwise_count(bits[a] & bits[others]).sum(1, dtype=np.int64)
+        for b in others[common >= similarity * (n[a] + n[others] - common)].tolist():
+            if (root[a], root[b]) not in met:
+                met |= {(root[a], root[b]), (root[b], root[a])}
+                pairs.append((a, b))
+    u, v = np.array(pairs, np.int64).reshape(-1, 2).T
+    return pa.RecordBatch.from_arrays([name.take(pa.array(x)) for x in (u, v)], schema=pa.schema([(f, name.type) for f in schema.names]))
+
+
 def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY,
-                  samples: int = SAMPLES, sample: int = SAMPLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+                  samples: int = SAMPLES, sample: int = SAMPLE, radius: int = RADIUS, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(id, component_id): every named row with the smallest id that links of Jaccard ``similarity`` and more reach.
 
     At a similarity of 0.8 whole-text fingerprints differ in some ten bits, which no set of keys finds at scale. So besides fingerprints within
     ``radius`` bits (the BK-trees above), pairs are proposed whose SimHash of a consistent sample is equal: the least ``sample`` shingles
     of each of ``samples`` parts of the hash range. Two texts of similarity J agree in a part with probability J ** sample, so one of sixteen
     parts of six agrees in 99 % of the pairs at 0.8. Each text is proposed with the first text of its group; then, in ``ROUNDS`` rounds, one text of each
-    least neighbour in a group with those of the next two. So groups of any size give a few times as many pairs as members. Sizes and a signature of 64 least hashes
-    leave out what cannot be near, and the exact Jaccard similarity of the distinct shingles decides. Equal word sequences are one text; texts without words are equal.
+    least neighbour in a group with those of the next two. Sizes and a signature of 64 least hashes leave out what is hardly near, and the exact Jaccard similarity of
+    the distinct shingles decides. In groups that are not one component then, all pairs of different components are compared exactly, whatever the signatures
+    estimate: in blocks of some ``block`` shingles, so that no task holds a group. So no pair that a group proposes is lost; the work is quadratic only in groups of texts
+    that are not near. Equal word sequences are one text; texts without words are equal.
     """
     kind = docs.schema[id_col].dataType
     named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
@@ -323,19 +379,30 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = materialise(sketches.groupBy(*text).agg(
         F.min("i").alias("c"), F.first("views").alias("views"), F.first("signature").alias("signature")), "classes")
 
-    def verified(proposed: DataFrame) -> DataFrame:
-        """The pairs of near texts among ``proposed(a, b)``, as (u, v)."""
+    # More than this share of the larger set cannot be common, so a long text never goes to many short ones.
+    sizes = F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")
+    tested = []
+
+    def likely(proposed: DataFrame) -> DataFrame:
+        """The pairs of ``proposed(a, b)`` that may be near by their signatures, as (u, v)."""
         pairs = proposed.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
         for side in ("u", "v"):
             pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}")), side)
-        larger = F.greatest("n_u", "n_v")
-        # More than this share of the larger set cannot be common, so a long text never goes to many short ones.
-        pairs = pairs.where((F.least("n_u", "n_v") >= similarity * larger) & ((larger < _ESTIMATED) | (_estimate("s_u", "s_v") >= similarity - _SLACK)))
-        pairs = materialise(pairs.select("u", "v"), "proposed")
-        wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct(), "wanted")
+        return pairs.where(sizes & ((F.greatest("n_u", "n_v") < _ESTIMATED) | (_estimate("s_u", "s_v") >= similarity - _SLACK))).select("u", "v")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(i, set): the distinct shingles of the texts ``wanted(i)``."""
         held = T.StructType([T.StructField("i", kind), T.StructField("set", T.ArrayType(T.LongType()))])
         with arrowtext.small_batches(spark):
-            sets = materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
+            return materialise(named.join(broadcast_if_small(wanted, DROPPED_BYTES), "i", "left_semi").mapInArrow(_sets(shingle, held), held), "sets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs of near texts among ``pairs(u, v)`` that were not looked at before."""
+        for before in tested:
+            pairs = pairs.join(before, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "proposed")
+        tested.append(pairs)
+        sets = sets_of(materialise(pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct(), "wanted"))
         both = pairs.join(sets.select(F.col("i").alias("u"), F.col("set").alias("one")), "u").join(sets.select(F.col("i").alias("v"), F.col("set").alias("other")), "v")
         # The sets never leave the JVM, whose memory is bounded whatever their size.
         common, whole = F.size(F.array_intersect("one", "other")), F.size("one") + F.size("other")
@@ -343,14 +410,16 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Fingerprints within the radius, by the first text of each.
     prints = materialise(classes.groupBy("fp").agg(F.min("c").alias("first")), "distinct-fingerprints")
-    near = links(prints, radius, shard)
+    near = materialise(links(prints, radius, shard), "fingerprint-links")
     of = prints.select(F.col("fp").alias("v"), F.col("first").alias("b"))
     proposed = near.join(prints.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(of, "v").select("a", "b").unionByName(
         classes.join(prints, "fp").select(F.col("first").alias("a"), F.col("c").alias("b")))
-    # Equal samples, by the first text of each.
-    seen = classes.select("c", F.explode("views").alias("view"))
+    # Equal samples, by the first text of each. The fingerprints that links reach are a group like those of a sample.
+    reached = connected_components(near).select(F.col("node").alias("fp"), "root")
+    kin = classes.join(reached, "fp", "left").select("c", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("view"))
+    seen = classes.select("c", F.explode("views").alias("view")).unionByName(kin)
     groups = materialise(seen.groupBy("view").agg(F.min("c").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1"), "groups")
-    found = verified(proposed.unionByName(seen.join(groups, "view").select("a", F.col("c").alias("b"))))
+    found = verified(likely(proposed.unionByName(seen.join(groups, "view").select("a", F.col("c").alias("b")))))
     for _ in range(ROUNDS):
         # The least neighbour stands for the component here: one aggregate instead of all components in every round.
         both = found.select(F.col("u").alias("c"), F.col("v").alias("x")).unionByName(found.select(F.col("v").alias("c"), F.col("u").alias("x")))
@@ -361,8 +430,22 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         parts = held.groupBy("view", "size", "root").agg(F.min_by("c", chance).alias("c"))
         around = Window.partitionBy("view", F.pmod(F.xxhash64("root"), F.ceil(F.col("size") / shard))).orderBy(F.xxhash64("root", "view"))
         neighbours = parts.select("c", F.lag("c", 1).over(around).alias("x"), F.lag("c", 2).over(around).alias("y")).select("c", F.explode(F.array("x", "y")).alias("b"))
-        found = materialise(found.unionByName(verified(neighbours.where("b is not null").select(F.col("c").alias("a"), "b"))), "near")
-    found = connected_components(found)
+        found = materialise(found.unionByName(verified(likely(neighbours.where("b is not null").select(F.col("c").alias("a"), "b")))), "near")
+    # The rest: groups with several components.
+    joined = connected_components(found)
+    rooted = classes.select("c", "n").join(joined.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    held = materialise(seen.join(groups.select("view"), "view").join(rooted, "c"), "rooted")
+    parted = held.groupBy("view").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.sum("n") / block).alias("blocks")).where("least < most")
+    members = materialise(held.join(parted.select("view", "blocks"), "view").withColumn("own", F.pmod(F.xxhash64("c"), "blocks")), "parted")
+    sets = sets_of(members.select(F.col("c").alias("i")).distinct()).distinct()
+    # Block i meets block j if i <= j; a text stands on the left where its own block is i.
+    dealt = members.select("view", "c", "root", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to")).select(
+        "view", F.least("own", "to").alias("low"), F.greatest("own", "to").alias("high"), (F.col("own") <= F.col("to")).alias("is_left"), "c", "root")
+    pairs = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+    with arrowtext.small_batches(spark):
+        rest = materialise(dealt.join(sets.withColumnRenamed("i", "c"), "c").select(*dealt.columns, "set").repartition("view", "low", "high")
+                           .sortWithinPartitions("view", "low", "high").mapInArrow(_blocks(similarity, pairs), pairs), "rest")
+    found = joined if rest.isEmpty() else connected_components(found.unionByName(rest))
     roots = classes.join(found.select(F.col("node").alias("c"), "root"), "c", "left").select(*text, F.coalesce("root", "c").alias("component_id"))
     return sketches.join(roots, text).select(F.col("i").alias(id_col), "component_id")
 

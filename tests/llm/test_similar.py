@@ -92,3 +92,20 @@ def test_recall_on_the_given_documents(spark):
     assert all(found[a] == found[b] for a, b in pairs - differing)
     want = roots(sets, near_pairs(sets))
     assert all(want[i] == want[c] for i, c in found.items())
+
+
+def test_all_near_pairs_of_a_large_group_are_joined(spark):
+    """Texts that share their least shingles but are not near, with near pairs among them: one sample of one shingle makes large groups."""
+    rng = random.Random(18)
+    common = " ".join(f"common{n}" for n in range(100))
+    own = lambda i: " ".join(f"own{i}x{n}" for n in range(45))
+    texts = [f"{common} {own(i)}" for i in range(120)]
+    texts += [texts[i] + f" end{i}" for i in range(0, 120, 2)]
+    rng.shuffle(texts)
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    pairs = near_pairs(sets)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.similar_texts(docs, samples=1, sample=1, radius=0, block=2000).collect()}
+    assert len(pairs) == 60 and sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
+    want = roots(sets, pairs)
+    assert all(want[i] == want[c] for i, c in found.items())
