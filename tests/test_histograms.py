@@ -251,3 +251,21 @@ def test_a_digest_does_not_depend_on_how_tasks_are_cut(spark):
     samples = rows.withColumns({"ts_ms": F.lit(0).cast("bigint"), "value": F.col("mean")})
     bins = histograms.histogram_bins(samples.select("series", "ts_ms", "value"), exact=True)
     assert shown(bins) == shown(digest.compress_digest(digest.as_digest(rows.withColumn("weight", F.lit(1)), keys), keys, False))
+
+
+def test_values_of_one_scan_task_are_counted_in_many(spark):
+    """A scan of one huge row group: what it holds must not depend on its rows."""
+    rows = spark.range(0, 4000, 1, 1).selectExpr(
+        "concat('s', id % 3) AS series", "CASE WHEN id % 4 = 0 THEN 7.5D ELSE double(id % 1500) END AS mean", "CAST(id % 5 + 1 AS BIGINT) AS weight")
+
+    def shown(counted):
+        return sorted(map(tuple, counted.select("series", "mean", "weight", "lo", "hi").collect()))
+
+    wanted = shown(digest.as_digest(rows, ["series"]))
+    dealt = digest.count_values(rows, ["series"], task_rows=100)
+    assert dealt.rdd.getNumPartitions() == 40 and shown(dealt) == wanted
+    hot = digest.count_values(rows, ["series"], task_rows=100, hot_rows=300)
+    assert shown(hot) == wanted
+    # Nothing is counted below the first shuffle of a large table.
+    plan = digest.count_values(rows, ["series"], task_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan[plan.index("Exchange"):]
