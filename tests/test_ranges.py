@@ -146,3 +146,25 @@ def test_broadcast_is_bounded_by_bytes(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(ranges.broadcast_if_small(rows)) and "broadcast" not in plan(ranges.broadcast_if_small(rows, 1000))
     assert "broadcast" in plan(ranges.broadcast_if_small(rows.limit(0)))
+
+
+def test_a_scan_of_one_row_group_is_dealt_whatever_its_bytes(spark, tmp_path):
+    """As many splits as cores, but one row group: all rows are those of one task. Work on rows stays behind the shuffle."""
+    path = str(tmp_path / "one.parquet")
+    spark.range(0, 30_000, 1, 1).selectExpr("id", "md5(CAST(id AS STRING)) AS text").write.parquet(path)
+    with_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        scan = spark.read.parquet(path)
+        assert scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        rows = ranges.dealt(scan, least_rows=1000)
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 10_000 and sum(sizes) == 30_000
+        checked = rows.withColumn("checked", F.sha2("text", 256)).filter(F.col("checked") > "4")
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert "sha2" not in plan[plan.index("Exchange"):]
+        assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(30_000))
+        even = spark.range(0, 30_000, 1, 4)
+        assert ranges.dealt(even, least_rows=1000) is even
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_split)
