@@ -175,7 +175,7 @@ def stream_sink(
     while (last := _last_round(path)) is not None and not (left := waiting(last[2])).isEmpty():
         deliver(left, last[0], last[1] + 1)
     at = [F.regexp_extract("_metadata.file_path", r"batch=(\d+)/round=(\d+)/", n).cast("int").alias(c) for n, c in ((1, "batch"), (2, "round"))]
-    return spark.read.schema(OUTCOMES).option("recursiveFileLookup", "true").option("pathGlobFilter", "*-*.json").json(path).select("*", *at)
+    return spark.read.schema(OUTCOMES).option("recursiveFileLookup", "true").option("pathGlobFilter", "*-*.{json,json.gz}").json(path).select("*", *at)
 
 
 def _numbers(folder: str, name: str) -> list[int]:
